@@ -75,6 +75,9 @@ x_raw AS (
 def with_adapter(body: str) -> str:
     """Prefix a query body (which may start with its own ``name AS (...)``
     CTEs followed by a final SELECT) with the adapter CTEs."""
+    body = body.strip()
+    if body.upper().startswith("SELECT"):
+        return "WITH " + adapter_ctes() + "\n" + body
     return "WITH " + adapter_ctes() + ",\n" + body
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from patronage.plans import scores
+from patronage.plans import scores, serving
 from patronage.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
@@ -16,4 +16,20 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "clv_scores": scores.clv_scores,
     "clv_scores_notebook": scores.clv_scores_notebook,
     "dataset_span_months": scores.dataset_span_months,
+    "rfm_segment_validation": serving.rfm_segment_validation,
+    "rfm_score_distribution": serving.rfm_score_distribution,
+    "clv_segment_validation": serving.clv_segment_validation,
+    "clv_overall": serving.clv_overall,
+    "segment_matrix": serving.segment_matrix,
+    "monthly_revenue": serving.monthly_revenue,
+    "category_revenue": serving.category_revenue,
+    "country_revenue_line_grain": serving.country_revenue_line_grain,
+    "country_revenue": serving.country_revenue,
+    "cohort_retention": serving.cohort_retention,
+    "top_customers_clv": serving.top_customers_clv,
+    "campaign_preview": serving.campaign_preview,
+    "customer_master": serving.customer_master,
+    "order_details": serving.order_details,
+    "monthly_kpi": serving.monthly_kpi,
+    "segment_kpi": serving.segment_kpi,
 }

@@ -49,14 +49,16 @@ def invoice_totals(t: Tables) -> DataFrame:
     return t.order_items().groupBy("invoice_no").agg(F.sum("line_total").alias("inv_total"))
 
 
-def line_margins(t: Tables, default_margin: str | None = None) -> DataFrame:
+def line_margins(t: Tables, default_margin: str | None = None,
+                 with_description: bool = False) -> DataFrame:
     """order_items with the category margin of each line.
 
     ``default_margin=None`` keeps only lines whose product and category margin
     exist (inner joins); otherwise missing ones get the default.
     """
     items = t.order_items()
-    products = t.products().select("stock_code", "category")
+    pcols = ["stock_code", "category"] + (["description"] if with_description else [])
+    products = t.products().select(*pcols)
     margins = t.margins().select("category", "gross_margin_pct")
     if default_margin is None:
         # margins: fixed 9-row table.
