@@ -263,9 +263,10 @@ def notebook_ctes() -> str:
 
 
 def all_oracle_sql() -> dict[str, str]:
-    from patronage.plans import oracle_serving
+    from patronage.plans import oracle_cleaning, oracle_serving
     out = score_sql()
     out.update(oracle_serving.serving_sql())
+    out.update(oracle_cleaning.cleaning_sql())
     return out
 
 

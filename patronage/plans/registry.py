@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from patronage.plans import scores, serving
+from patronage.plans import cleaning, scores, serving
 from patronage.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
@@ -32,4 +32,16 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "order_details": serving.order_details,
     "monthly_kpi": serving.monthly_kpi,
     "segment_kpi": serving.segment_kpi,
+    "quality_audit": cleaning.quality_audit,
+    "cleaning_waterfall": cleaning.cleaning_waterfall,
+    "clean_lines": cleaning.clean_lines,
+    "category_distribution": cleaning.category_distribution,
+    "customers_dim": cleaning.customers_dim,
+    "products_dim": cleaning.products_dim,
+    "orders_dim": cleaning.orders_dim,
+    "order_items_clean": cleaning.order_items_clean,
+    "table_counts": cleaning.table_counts,
+    "staging_counts": cleaning.staging_counts,
+    "constraint_violations": cleaning.constraint_violations,
+    "raw_staging": cleaning.raw_staging,
 }
