@@ -263,8 +263,9 @@ def notebook_ctes() -> str:
 
 
 def all_oracle_sql() -> dict[str, str]:
-    from patronage.plans import oracle_cleaning, oracle_serving
+    from patronage.plans import oracle_cleaning, oracle_explore, oracle_serving
     out = score_sql()
+    out.update(oracle_explore.explore_sql())
     out.update(oracle_serving.serving_sql())
     out.update(oracle_cleaning.cleaning_sql())
     return out

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from patronage.plans import cleaning, scores, serving
+from patronage.plans import campaign, cleaning, explore, scores, serving
 from patronage.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
@@ -44,4 +44,21 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "staging_counts": cleaning.staging_counts,
     "constraint_violations": cleaning.constraint_violations,
     "raw_staging": cleaning.raw_staging,
+    "monthly_net_revenue": explore.monthly_net_revenue,
+    "category_net_revenue_top9": explore.category_net_revenue_top9,
+    "country_customers_top10": explore.country_customers_top10,
+    "top_products": explore.top_products,
+    "order_heatmap": explore.order_heatmap,
+    "order_items_enriched": explore.order_items_enriched,
+    "avg_clv_by_segment": explore.avg_clv_by_segment,
+    "clv_histogram": explore.clv_histogram,
+    "clv_stats": explore.clv_stats,
+    "rfm_describe": explore.rfm_describe,
+    "rfm_clv_points": explore.rfm_clv_points,
+    "campaign_targets": campaign.campaign_targets,
+    "campaign_roi": campaign.campaign_roi,
+    "cac_reduction": campaign.cac_reduction,
+    "campaign_cost_by_segment": campaign.campaign_cost_by_segment,
+    "segment_counts": campaign.segment_counts,
+    "analysis_footer": campaign.analysis_footer,
 }
