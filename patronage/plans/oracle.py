@@ -254,6 +254,23 @@ def rfm_ctes() -> str:
     return _rfm_ctes()
 
 
+def upsert_sql() -> str:
+    def renamed(orders: str, tag: str) -> str:
+        return (_rfm_ctes().replace("x_completed", orders).replace("x_rfm", f"x_rfm_{tag}")
+                .replace("x_snapshot", f"x_snapshot_{tag}"))
+    cut = ("CAST(CAST(min(invoice_date) AS DATE) + CAST(floor(date_diff('day', CAST(min(invoice_date) AS DATE), "
+           "CAST(max(invoice_date) AS DATE)) / 2) AS INTEGER) AS DATE)")
+    return with_adapter(f"""
+x_cut AS (SELECT {cut} AS cutoff FROM x_completed),
+x_old_o AS (SELECT * FROM x_completed WHERE CAST(invoice_date AS DATE) <= (SELECT cutoff FROM x_cut)),
+x_new_o AS (SELECT * FROM x_completed WHERE CAST(invoice_date AS DATE) > (SELECT cutoff FROM x_cut)),
+{renamed('x_old_o', 'old').strip()},
+{renamed('x_new_o', 'new').strip()}
+SELECT {RFM_COLS} FROM x_rfm_new
+UNION ALL
+SELECT {RFM_COLS} FROM x_rfm_old WHERE customer_id NOT IN (SELECT customer_id FROM x_rfm_new)""")
+
+
 def clv_ctes() -> str:
     return _clv_ctes()
 
@@ -265,6 +282,7 @@ def notebook_ctes() -> str:
 def all_oracle_sql() -> dict[str, str]:
     from patronage.plans import oracle_cleaning, oracle_explore, oracle_serving
     out = score_sql()
+    out["score_upsert"] = upsert_sql()
     out.update(oracle_explore.explore_sql())
     out.update(oracle_serving.serving_sql())
     out.update(oracle_cleaning.cleaning_sql())

@@ -61,4 +61,5 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "campaign_cost_by_segment": campaign.campaign_cost_by_segment,
     "segment_counts": campaign.segment_counts,
     "analysis_footer": campaign.analysis_footer,
+    "score_upsert": scores.score_upsert,
 }

@@ -269,3 +269,34 @@ def customer_clv_master(t: Tables, **kw) -> DataFrame:
     m = notebook_master(t, **kw)
     return m.select(*[round_half_up(F.col(c), 6).alias(c) if c == "gross_margin_pct" else c
                       for c in NOTEBOOK_MASTER_COLUMNS])
+
+
+# ---------------------------------------------------------------------------
+# Incremental refresh of a score table (upsert by customer_id)
+# ---------------------------------------------------------------------------
+
+def _midpoint_cutoff(t: Tables) -> DataFrame:
+    """One row: the calendar midpoint of the completed-order span."""
+    first = F.to_date(F.min("invoice_date"))
+    days = F.datediff(F.max("invoice_date"), F.min("invoice_date"))
+    return t.completed_orders().agg(
+        F.date_add(first, F.floor(days / 2).cast("int")).alias("_cutoff"))
+
+
+def score_upsert(t: Tables, *, local_rows: int | None = None) -> DataFrame:
+    """Q-42: the RFM score table as of the span midpoint, refreshed by an
+    upsert with the scores of the later orders: customers active later get
+    the new row, the others keep theirs."""
+    from patronage.operators.upsert import upsert
+
+    cut = F.broadcast(_midpoint_cutoff(t))  # one row
+
+    def before(o: DataFrame) -> DataFrame:
+        return o.crossJoin(cut).where(F.to_date("invoice_date") <= F.col("_cutoff")).drop("_cutoff")
+
+    def after(o: DataFrame) -> DataFrame:
+        return o.crossJoin(cut).where(F.to_date("invoice_date") > F.col("_cutoff")).drop("_cutoff")
+
+    old = rfm_scores(t.restrict_orders(before), local_rows=local_rows)
+    new = rfm_scores(t.restrict_orders(after), local_rows=local_rows)
+    return upsert(old, new, ["customer_id"])

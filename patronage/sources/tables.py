@@ -51,6 +51,15 @@ class Tables:
         self.sf_dir = sf_dir.rstrip("/") if sf_dir else None
         self.category_rules = category_rules
         self._star = star or {}
+        self._order_filter = None
+
+    def restrict_orders(self, fn) -> "Tables":
+        """A view of the same tables whose ``orders()`` passes through ``fn``
+        (e.g. an as-of cutoff for incremental score refreshes)."""
+        other = Tables(self.spark, self.sf_dir, category_rules=self.category_rules, star=self._star)
+        prev = self._order_filter
+        other._order_filter = fn if prev is None else (lambda o: fn(prev(o)))
+        return other
 
     # -- construction ------------------------------------------------------
     @classmethod
@@ -84,6 +93,10 @@ class Tables:
 
     def orders(self, with_country: bool = False) -> DataFrame:
         """invoice_no, customer_id, invoice_date, order_status [, country]."""
+        o = self._orders(with_country)
+        return self._order_filter(o) if self._order_filter else o
+
+    def _orders(self, with_country: bool) -> DataFrame:
         if self._star.get("orders") is not None:
             o = self._star["orders"]
             cols = ["invoice_no", "customer_id", "invoice_date", "order_status"]
