@@ -6,11 +6,12 @@ rank is computed in a distributed way instead:
 
 1. range-partition on the full order (which always ends in a unique key, so
    heavy ties still split across partitions) and sort inside partitions;
-2. checkpoint the result to the shared checkpoint folder, so the sampled
-   range bounds cannot change between the two reads below;
-3. count rows per partition (P rows, P = partition count) and turn the
-   counts into offsets with a running sum; broadcast those P rows;
-4. rank = offset of the partition + position inside the partition.
+2. write the result once as Parquet into the shared checkpoint folder (one
+   file per range partition), so the sampled range bounds cannot change
+   between the two reads below;
+3. count rows per file (P rows, P = partition count) and turn the counts
+   into offsets with a running sum; broadcast those P rows;
+4. rank = offset of the file + ``_metadata.row_index`` inside the file.
 
 Below a row-count threshold (checked by counting the materialised input) a
 plain window is cheaper and is used instead; both paths give identical ranks.
@@ -20,6 +21,7 @@ NTILE(k) and pandas-style ``qcut(rank, k)`` are then integer arithmetic on
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -29,13 +31,20 @@ from patronage.session import ensure_checkpoint_dir
 
 LOCAL_ROWS_CONF = "patronage.rank.localRows"
 DEFAULT_LOCAL_ROWS = 1_000_000
-_POS_BITS = 33  # monotonically_increasing_id: partition index << 33 | row position
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the session's shared folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage: write ``df`` once as Parquet into the session's shared
+    checkpoint folder and read it back.
+
+    A reliable ``checkpoint()`` of an uncached plan computes it twice (one job
+    to count, one to write); a table write computes it once, survives executor
+    loss, and keeps per-file row positions (``_metadata.row_index``).
+    """
+    root = ensure_checkpoint_dir(df.sparkSession)
+    path = f"{root.rstrip('/')}/patronage-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def _local_rows(df: DataFrame, local_rows: int | None) -> int:
@@ -49,28 +58,31 @@ def _distributed_rank(df: DataFrame, order: Sequence[Column], name: str,
                       partitions: int | None) -> DataFrame:
     spark = df.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # One file per range partition, rows sorted inside: file name order is
+    # partition order and _metadata.row_index is the position in the file.
     ordered = materialize(df.repartitionByRange(parts, *order).sortWithinPartitions(*order))
-    rid = F.monotonically_increasing_id()
-    tagged = ordered.select("*", F.shiftright(rid, _POS_BITS).alias("_pid"),
-                            rid.bitwiseAND(F.lit((1 << _POS_BITS) - 1)).alias("_pos"))
-    counts = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    # P rows (one per partition): bounded by the partition count, safe to broadcast.
-    offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    return (tagged.join(F.broadcast(offsets), "_pid")
+    tagged = ordered.select("*", F.col("_metadata.file_path").alias("_file"),
+                            F.col("_metadata.row_index").alias("_pos"))
+    counts = tagged.groupBy("_file").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per file (= per partition): bounded by the partition count, safe to broadcast.
+    offsets = counts.select("_file", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    return (tagged.join(F.broadcast(offsets), "_file")
             .withColumn(name, F.col("_pos") + F.col("_off") + 1)
-            .drop("_pid", "_pos", "_off"))
+            .drop("_file", "_pos", "_off"))
 
 
 def add_ranks(df: DataFrame, orders: Mapping[str, Sequence[Column]], *,
               local_rows: int | None = None, partitions: int | None = None,
-              ) -> tuple[DataFrame, int]:
+              materialized: bool = False) -> tuple[DataFrame, int]:
     """Add one 1-based rank column per ``orders`` entry; also return the row count.
 
     Every order must end in a unique key so the ranks are a total order
     (the equivalent of pandas ``rank(method='first')`` on a sorted frame).
+    ``materialized=True`` means ``df`` is already a cheap, deterministic
+    projection of a materialised table, so it is not written again.
     """
-    base = materialize(df)
+    base = df if materialized else materialize(df)
     n = base.count()
     if n <= _local_rows(base, local_rows):
         out = base

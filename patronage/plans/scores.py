@@ -50,16 +50,20 @@ def invoice_totals(t: Tables) -> DataFrame:
 
 
 def line_margins(t: Tables, default_margin: str | None = None,
-                 with_description: bool = False) -> DataFrame:
+                 with_description: bool = False, left: bool = False) -> DataFrame:
     """order_items with the category margin of each line.
 
     ``default_margin=None`` keeps only lines whose product and category margin
-    exist (inner joins); otherwise missing ones get the default.
+    exist (inner joins) unless ``left``, which keeps them with a NULL margin;
+    otherwise missing ones get the default.
     """
     items = t.order_items()
     pcols = ["stock_code", "category"] + (["description"] if with_description else [])
     products = t.products().select(*pcols)
     margins = t.margins().select("category", "gross_margin_pct")
+    if default_margin is None and left:
+        return (items.join(products, "stock_code", "left")
+                .join(F.broadcast(margins), "category", "left"))
     if default_margin is None:
         # margins: fixed 9-row table.
         return (items.join(products, "stock_code")
@@ -177,10 +181,63 @@ def clv_scores(t: Tables, *, local_rows: int | None = None) -> DataFrame:
 
 
 def rfm_clv(t: Tables, *, local_rows: int | None = None) -> DataFrame:
-    """Both score tables joined 1:1 on customer_id (inner), as the BI queries use."""
-    rfm = rfm_scores(t, local_rows=local_rows)
-    clv = clv_scores(t, local_rows=local_rows)
-    return rfm.join(clv, "customer_id")
+    """Both SQL-rule score tables joined 1:1 on customer_id (inner), from ONE
+    pass over the fact: lines LEFT-join product and margin once; per invoice
+    the all-lines totals feed RFM and the matched-lines totals feed CLV."""
+    lines = line_margins(t, default_margin=None, left=True)
+    matched = F.col("gross_margin_pct").isNotNull()
+    inv = lines.groupBy("invoice_no").agg(
+        F.sum("line_total").alias("inv_total"),
+        F.sum(F.when(matched, F.col("line_total"))).alias("clv_total"),
+        F.sum(F.col("line_total") * F.col("gross_margin_pct")).alias("clv_margin"),
+        F.count_if(matched).alias("clv_lines"))
+    orders = t.completed_orders().select("invoice_no", "customer_id", "invoice_date")
+    per_customer = (orders.join(inv, "invoice_no").groupBy("customer_id").agg(
+        F.max(F.to_date("invoice_date")).alias("last_date"),
+        F.count(F.lit(1)).alias("frequency"),
+        F.sum("inv_total").alias("monetary"),
+        F.count_if(F.col("clv_lines") > 0).alias("order_count"),
+        F.sum("clv_total").alias("total_revenue"),
+        F.sum("clv_margin").alias("margin_total")))
+    base = materialize(per_customer.crossJoin(F.broadcast(snapshot_date(t)))
+                       .crossJoin(F.broadcast(dataset_span_months(t))))
+    n_clv = base.where(F.col("order_count") > 0).count()
+    has_clv = F.col("order_count") > 0
+    rev = F.col("total_revenue").cast("double")
+    cnt = F.col("order_count").cast("double")
+    blended = round_half_up(F.try_divide(F.col("margin_total").cast("double"),
+                                         F.nullif(rev, F.lit(0.0))), 4)
+    value = F.try_divide(rev, cnt) * F.try_divide(cnt, F.col("dataset_span_months"))
+    scored = base.select(
+        "customer_id",
+        F.datediff("snapshot_date", "last_date").cast("int").alias("recency_days"),
+        F.col("frequency").cast("int").alias("frequency"),
+        F.col("monetary").cast("decimal(18,2)").alias("monetary"),
+        has_clv.alias("_has_clv"),
+        F.when(has_clv, round_money(F.try_divide(rev, cnt))).alias("avg_order_value"),
+        F.when(has_clv, round_money(F.try_divide(cnt, F.col("dataset_span_months")), 12, 4))
+        .alias("purchase_freq_monthly"),
+        F.when(has_clv, round_money(F.lit(1.0) - F.lit(1.0) / cnt, 5, 4)).alias("churn_rate"),
+        F.when(has_clv, blended.cast("decimal(5,4)")).alias("gross_margin_pct"),
+        F.when(has_clv, round_money(value * 12 * blended)).alias("clv_12m"),
+        F.when(has_clv, round_money(value * 36 * blended)).alias("clv_36m"))
+    cid = F.col("customer_id")
+    ranked, n = add_ranks(scored, {
+        "_rr": [F.col("recency_days"), cid], "_fr": [F.col("frequency"), cid],
+        "_mr": [F.col("monetary"), cid],
+        # customers without CLV sort last, so CLV ranks 1..n_clv cover exactly the CLV rows
+        "_cr": [(~F.col("_has_clv")).cast("int"), F.col("clv_12m").asc_nulls_first(), cid],
+    }, local_rows=local_rows, materialized=True)
+    k = config.RFM_TILES
+    tile = ntile(F.col("_cr"), n_clv, config.CLV_TILES)
+    out = ranked.where(F.col("_has_clv")).select(
+        "customer_id", "recency_days", "frequency", "monetary",
+        (F.lit(k + 1) - ntile(F.col("_rr"), n, k)).cast("int").alias("r_score"),
+        ntile(F.col("_fr"), n, k).alias("f_score"),
+        ntile(F.col("_mr"), n, k).alias("m_score"),
+        *CLV_COLUMNS[1:-1],
+        F.when(tile == 3, "High").when(tile == 2, "Medium").otherwise("Low").alias("clv_segment"))
+    return _segment_and_sum(out, config.SQL_SEGMENT_RULES)
 
 
 # ---------------------------------------------------------------------------
@@ -239,7 +296,8 @@ def notebook_master(t: Tables, *, local_rows: int | None = None,
     cid = F.col("customer_id")
     ranked, n = add_ranks(scored, {
         "_rr": [F.col("recency_days"), cid], "_fr": [F.col("frequency"), cid],
-        "_mr": [F.col("monetary"), cid], "_cr": [F.col("clv_12m"), cid]}, local_rows=local_rows)
+        "_mr": [F.col("monetary"), cid], "_cr": [F.col("clv_12m"), cid]}, local_rows=local_rows,
+        materialized=True)
     k = config.RFM_TILES
     tier = qcut(F.col("_cr"), n, config.CLV_TILES)
     out = ranked.select(

@@ -67,8 +67,9 @@ class Tables:
         return cls(spark, sf_dir, **kw)
 
     @classmethod
-    def from_star(cls, spark: SparkSession, *, orders: DataFrame, order_items: DataFrame,
-                  products: DataFrame, customers: DataFrame | None = None,
+    def from_star(cls, spark: SparkSession, *, orders: DataFrame | None = None,
+                  order_items: DataFrame | None = None,
+                  products: DataFrame | None = None, customers: DataFrame | None = None,
                   margins: DataFrame | None = None, raw: DataFrame | None = None,
                   category_rules=config.CATEGORY_RULES) -> "Tables":
         star = {"orders": orders, "order_items": order_items, "products": products,
@@ -91,19 +92,27 @@ class Tables:
                 .join(F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey"), "left")
                 .select(F.col("c_custkey").alias("customer_id"), F.col("n_name").alias("country")))
 
-    def orders(self, with_country: bool = False) -> DataFrame:
-        """invoice_no, customer_id, invoice_date, order_status [, country]."""
-        o = self._orders(with_country)
+    def orders(self, with_country: bool = False, status: str | None = None) -> DataFrame:
+        """invoice_no, customer_id, invoice_date, order_status [, country];
+        optionally only orders with the given status."""
+        o = self._orders(with_country, status)
         return self._order_filter(o) if self._order_filter else o
 
-    def _orders(self, with_country: bool) -> DataFrame:
+    def _orders(self, with_country: bool, status_filter: str | None) -> DataFrame:
         if self._star.get("orders") is not None:
             o = self._star["orders"]
+            if status_filter is not None:
+                o = o.where(F.col("order_status") == status_filter)
             cols = ["invoice_no", "customer_id", "invoice_date", "order_status"]
             return o.select(*cols, "country") if with_country else o.select(*cols)
         status = lookup_col(F.col("o_orderstatus"), config.ADAPTER_STATUS,
                             F.lit(None).cast("string"))
-        o = self.source("orders").select(
+        src = self.source("orders")
+        if status_filter is not None:
+            # filter on the stored code so the predicate reaches the parquet scan
+            codes = [code for code, label in config.ADAPTER_STATUS if label == status_filter]
+            src = src.where(F.col("o_orderstatus").isin(codes))
+        o = src.select(
             F.col("o_orderkey").alias("invoice_no"),
             F.col("o_custkey").alias("customer_id"),
             F.col("o_orderdate").alias("invoice_date"),
@@ -113,7 +122,7 @@ class Tables:
         return o.join(self._customer_country(), "customer_id", "left")
 
     def completed_orders(self, with_country: bool = False) -> DataFrame:
-        return self.orders(with_country).where(F.col("order_status") == "Completed")
+        return self.orders(with_country, status="Completed")
 
     def order_items(self) -> DataFrame:
         """invoice_no, stock_code, quantity, unit_price decimal(10,2), line_total decimal(14,2)."""
