@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from patronage.session import ensure_checkpoint_dir
 
 LOCAL_ROWS_CONF = "patronage.rank.localRows"
-DEFAULT_LOCAL_ROWS = 1_000_000
+DEFAULT_LOCAL_ROWS = 250_000
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -73,37 +73,62 @@ def _distributed_rank(df: DataFrame, order: Sequence[Column], name: str,
 
 
 def add_ranks(df: DataFrame, orders: Mapping[str, Sequence[Column]], *,
+              bound: int | None = None, counts: Mapping[str, Column] | None = None,
               local_rows: int | None = None, partitions: int | None = None,
-              materialized: bool = False) -> tuple[DataFrame, int]:
-    """Add one 1-based rank column per ``orders`` entry; also return the row count.
+              materialized: bool = False) -> DataFrame:
+    """Add one 1-based rank column per ``orders`` entry, plus ``_n`` (row
+    count) and one count column per ``counts`` entry (rows where the
+    condition holds).
 
     Every order must end in a unique key so the ranks are a total order
     (the equivalent of pandas ``rank(method='first')`` on a sorted frame).
+
+    Paths, all giving identical ranks:
+
+    * ``bound`` (a proven upper bound on the row count, e.g. the size of the
+      customer dimension for a per-customer table) at or below the threshold:
+      plain windows inside the same plan, nothing materialised;
+    * otherwise the input is materialised and counted; at or below the
+      threshold the windows run on it;
+    * above the threshold: :func:`_distributed_rank` per order.
+
     ``materialized=True`` means ``df`` is already a cheap, deterministic
     projection of a materialised table, so it is not written again.
     """
-    base = df if materialized else materialize(df)
-    n = base.count()
-    if n <= _local_rows(base, local_rows):
-        out = base
+    counts = dict(counts or {})
+    limit = _local_rows(df, local_rows)
+    if bound is not None and bound <= limit:
+        out = df
+        everything = Window.partitionBy()
         for name, order in orders.items():
             out = out.withColumn(name, F.row_number().over(Window.orderBy(*order)))
-        return out, n
+        out = out.withColumn("_n", F.count(F.lit(1)).over(everything))
+        for name, cond in counts.items():
+            out = out.withColumn(name, F.sum(cond.cast("long")).over(everything))
+        return out
+    base = df if materialized else materialize(df)
+    totals = base.agg(F.count(F.lit(1)).alias("_n"),
+                      *[F.count_if(c).alias(k) for k, c in counts.items()]).first()
+    n = totals["_n"]
     out = base
-    for name, order in orders.items():
-        out = _distributed_rank(out, order, name, partitions)
-    return out, n
+    if n <= limit:
+        for name, order in orders.items():
+            out = out.withColumn(name, F.row_number().over(Window.orderBy(*order)))
+    else:
+        for name, order in orders.items():
+            out = _distributed_rank(out, order, name, partitions)
+    return out.select("*", F.lit(n).alias("_n"), *[F.lit(totals[k]).alias(k) for k in counts])
 
 
-def ntile(rank: Column, n: int, k: int) -> Column:
+def ntile(rank: Column, n: Column | int, k: int) -> Column:
     """SQL ``NTILE(k)`` from a 1-based rank among n rows: the first n mod k
     tiles hold one row more than the rest."""
-    q, r = divmod(n, k)
+    n = F.lit(n) if isinstance(n, int) else n
+    q = F.floor(n / k)
+    r = n - q * k
     big = r * (q + 1)
     head = F.floor((rank + q) / (q + 1))
-    if q == 0:
-        return head.cast("int")
-    tail = F.lit(r) + F.floor((rank - big + (q - 1)) / q)
+    tail = r + F.floor(F.try_divide(rank - big + q - 1, q))
     return F.when(rank <= big, head).otherwise(tail).cast("int")
 
 
@@ -116,18 +141,21 @@ def ntile_sql(rank: str, n: str, k: int) -> str:
             f"ELSE {r} + ({rank} - {big} + {q} - 1) // {q} END AS INTEGER)")
 
 
-def qcut(rank: Column, n: int, k: int) -> Column:
+def qcut(rank: Column, n: Column | int, k: int) -> Column:
     """pandas ``qcut(rank, k)`` bin (1-based) for ranks 1..n.
 
     Bin edges sit at 1 + j(n-1)/k; a rank on an edge belongs to the lower bin
     except where the float edge falls just below the integer (k = 3 with
-    n = 1 mod 3), where it moves up one bin.
+    n = 1 mod 3), where it moves up one bin. (pandas raises for n = 1; we
+    give bin 1.)
     """
-    if n <= 1:
-        return F.lit(1)
-    if k == 3 and n % 3 == 1:
-        return F.least(F.lit(k), F.floor(F.lit(k) * (rank - 1) / (n - 1)) + 1).cast("int")
-    return F.greatest(F.lit(1), F.floor((F.lit(k) * (rank - 1) + (n - 2)) / (n - 1))).cast("int")
+    n = F.lit(n) if isinstance(n, int) else n
+    down = F.greatest(F.lit(1), F.floor(F.try_divide(F.lit(k) * (rank - 1) + (n - 2), n - 1)))
+    binned = down
+    if k == 3:
+        up = F.least(F.lit(k), F.floor(F.try_divide(F.lit(k) * (rank - 1), n - 1)) + 1)
+        binned = F.when(n % 3 == 1, up).otherwise(down)
+    return F.when(n <= 1, F.lit(1)).otherwise(binned).cast("int")
 
 
 def qcut_sql(rank: str, n: str, k: int) -> str:

@@ -251,6 +251,6 @@ def raw_staging(t: Tables, *, local_rows: int | None = None) -> DataFrame:
     """S-02: the staging table with a consecutive surrogate ``id`` from 1 in
     staging order (exact global rank; distributed above the size threshold)."""
     raw = t.raw_transactions()
-    ranked, _ = add_ranks(raw, {"id": [F.col("_seq")]}, local_rows=local_rows)
+    ranked = add_ranks(raw, {"id": [F.col("_seq")]}, local_rows=local_rows)
     return ranked.select("id", "InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate",
                          "UnitPrice", "CustomerID", "Country")

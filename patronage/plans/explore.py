@@ -110,8 +110,8 @@ def order_items_with_ids(t: Tables, *, local_rows: int | None = None) -> DataFra
     """order_items plus ``item_id``: consecutive ids in line-load order
     (exact global rank; distributed above the size threshold)."""
     li = t.source("lineitem")
-    ranked, _ = add_ranks(li.select(*RAW_ORDER), {"item_id": [F.col(c) for c in RAW_ORDER]},
-                          local_rows=local_rows)
+    ranked = add_ranks(li.select(*RAW_ORDER), {"item_id": [F.col(c) for c in RAW_ORDER]},
+                       local_rows=local_rows)
     return ranked.select(
         "item_id", F.col("l_orderkey").alias("invoice_no"), F.col("l_partkey").alias("stock_code"),
         F.col("l_quantity").cast("int").alias("quantity"),

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from patronage import config
 from patronage.functions.rounding import round_half_up, round_money
 from patronage.functions.rules import segment_col
-from patronage.operators.rank import add_ranks, materialize, ntile, qcut
+from patronage.operators.rank import add_ranks, ntile, qcut
 from patronage.sources.tables import Tables
 
 RFM_COLUMNS = ["customer_id", "recency_days", "frequency", "monetary", "r_score", "f_score",
@@ -127,11 +127,12 @@ def rfm_scores(t: Tables, *, local_rows: int | None = None) -> DataFrame:
     Ties break on ascending customer_id."""
     base = rfm_base(t)
     k = config.RFM_TILES
-    ranked, n = add_ranks(base, {
+    ranked = add_ranks(base, {
         "_rr": [F.col("recency_days"), F.col("customer_id")],
         "_fr": [F.col("frequency"), F.col("customer_id")],
         "_mr": [F.col("monetary"), F.col("customer_id")],
-    }, local_rows=local_rows)
+    }, bound=t.customer_bound(), local_rows=local_rows)
+    n = F.col("_n")
     scored = ranked.select(
         "customer_id", "recency_days", "frequency", "monetary",
         (F.lit(k + 1) - ntile(F.col("_rr"), n, k)).cast("int").alias("r_score"),
@@ -172,9 +173,9 @@ def clv_scores(t: Tables, *, local_rows: int | None = None) -> DataFrame:
         blended.cast("decimal(5,4)").alias("gross_margin_pct"),
         round_money(value * 12 * blended).alias("clv_12m"),
         round_money(value * 36 * blended).alias("clv_36m"))
-    ranked, n = add_ranks(scored, {"_cr": [F.col("clv_12m").asc_nulls_first(), F.col("customer_id")]},
-                          local_rows=local_rows)
-    tile = ntile(F.col("_cr"), n, config.CLV_TILES)
+    ranked = add_ranks(scored, {"_cr": [F.col("clv_12m").asc_nulls_first(), F.col("customer_id")]},
+                       bound=t.customer_bound(), local_rows=local_rows)
+    tile = ntile(F.col("_cr"), F.col("_n"), config.CLV_TILES)
     return ranked.select(
         *CLV_COLUMNS[:-1],
         F.when(tile == 3, "High").when(tile == 2, "Medium").otherwise("Low").alias("clv_segment"))
@@ -199,9 +200,8 @@ def rfm_clv(t: Tables, *, local_rows: int | None = None) -> DataFrame:
         F.count_if(F.col("clv_lines") > 0).alias("order_count"),
         F.sum("clv_total").alias("total_revenue"),
         F.sum("clv_margin").alias("margin_total")))
-    base = materialize(per_customer.crossJoin(F.broadcast(snapshot_date(t)))
-                       .crossJoin(F.broadcast(dataset_span_months(t))))
-    n_clv = base.where(F.col("order_count") > 0).count()
+    base = (per_customer.crossJoin(F.broadcast(snapshot_date(t)))
+            .crossJoin(F.broadcast(dataset_span_months(t))))
     has_clv = F.col("order_count") > 0
     rev = F.col("total_revenue").cast("double")
     cnt = F.col("order_count").cast("double")
@@ -222,14 +222,15 @@ def rfm_clv(t: Tables, *, local_rows: int | None = None) -> DataFrame:
         F.when(has_clv, round_money(value * 12 * blended)).alias("clv_12m"),
         F.when(has_clv, round_money(value * 36 * blended)).alias("clv_36m"))
     cid = F.col("customer_id")
-    ranked, n = add_ranks(scored, {
+    ranked = add_ranks(scored, {
         "_rr": [F.col("recency_days"), cid], "_fr": [F.col("frequency"), cid],
         "_mr": [F.col("monetary"), cid],
         # customers without CLV sort last, so CLV ranks 1..n_clv cover exactly the CLV rows
         "_cr": [(~F.col("_has_clv")).cast("int"), F.col("clv_12m").asc_nulls_first(), cid],
-    }, local_rows=local_rows, materialized=True)
+    }, bound=t.customer_bound(), counts={"_n_clv": F.col("_has_clv")}, local_rows=local_rows)
     k = config.RFM_TILES
-    tile = ntile(F.col("_cr"), n_clv, config.CLV_TILES)
+    n = F.col("_n")
+    tile = ntile(F.col("_cr"), F.col("_n_clv"), config.CLV_TILES)
     out = ranked.where(F.col("_has_clv")).select(
         "customer_id", "recency_days", "frequency", "monetary",
         (F.lit(k + 1) - ntile(F.col("_rr"), n, k)).cast("int").alias("r_score"),
@@ -270,8 +271,9 @@ def notebook_master(t: Tables, *, local_rows: int | None = None,
                          F.sum("inv_total").alias("monetary"),
                          F.sum("inv_margin").alias("margin_total"),
                          F.min_by("country", F.struct("invoice_date", "invoice_no")).alias("country")))
-    base = materialize(per_customer)
-    # one-row scalars: analysis date and the span in months, broadcast (1 row)
+    base = per_customer
+    # one-row scalars: analysis date and the span in months, broadcast (1 row);
+    # the aggregate shares the customer-level exchange with the main branch
     span = base.agg(F.max("last_purchase").alias("_max"), F.min("first_purchase").alias("_min")).select(
         F.timestamp_add("DAY", F.lit(1), F.col("_max")).alias("_snap"),
         (days_between(F.col("_max"), F.col("_min")) / config.DAYS_PER_MONTH).alias("_months"))
@@ -294,10 +296,11 @@ def notebook_master(t: Tables, *, local_rows: int | None = None,
         np_round(F.lit(1.0) - F.lit(1.0) / F.greatest(freq, F.lit(1.0)), 6).alias("churn_rate"),
         clv12.alias("clv_12m"))
     cid = F.col("customer_id")
-    ranked, n = add_ranks(scored, {
+    ranked = add_ranks(scored, {
         "_rr": [F.col("recency_days"), cid], "_fr": [F.col("frequency"), cid],
-        "_mr": [F.col("monetary"), cid], "_cr": [F.col("clv_12m"), cid]}, local_rows=local_rows,
-        materialized=True)
+        "_mr": [F.col("monetary"), cid], "_cr": [F.col("clv_12m"), cid]},
+        bound=t.customer_bound(), local_rows=local_rows)
+    n = F.col("_n")
     k = config.RFM_TILES
     tier = qcut(F.col("_cr"), n, config.CLV_TILES)
     out = ranked.select(
@@ -306,8 +309,7 @@ def notebook_master(t: Tables, *, local_rows: int | None = None,
         qcut(F.col("_fr"), n, k).alias("f_score"),
         qcut(F.col("_mr"), n, k).alias("m_score"),
         np_round(F.col("clv_12m") * 3, 2).alias("clv_36m"),
-        F.when(tier == 1, "Low").when(tier == 2, "Medium").otherwise("High").alias("clv_segment"),
-        F.lit(n).alias("_n"))
+        F.when(tier == 1, "Low").when(tier == 2, "Medium").otherwise("High").alias("clv_segment"))
     return _segment_and_sum(out, config.NOTEBOOK_SEGMENT_RULES)
 
 

@@ -69,7 +69,7 @@ def stage_raw(df: DataFrame, local_rows: int | None = None) -> DataFrame:
     the nondeterministic split ids are fixed once)."""
     if "_seq" not in df.columns:
         df = with_file_order(df)
-    ranked, _ = add_ranks(df, {"id": [F.col("_seq")]}, local_rows=local_rows)
+    ranked = add_ranks(df, {"id": [F.col("_seq")]}, local_rows=local_rows)
     return ranked.select("id", *[c for c in df.columns if c != "_seq"])
 
 

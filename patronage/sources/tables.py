@@ -57,6 +57,8 @@ class Tables:
         """A view of the same tables whose ``orders()`` passes through ``fn``
         (e.g. an as-of cutoff for incremental score refreshes)."""
         other = Tables(self.spark, self.sf_dir, category_rules=self.category_rules, star=self._star)
+        if hasattr(self, "_bound"):
+            other._bound = self._bound
         prev = self._order_filter
         other._order_filter = fn if prev is None else (lambda o: fn(prev(o)))
         return other
@@ -79,6 +81,18 @@ class Tables:
     def source(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def customer_bound(self) -> int | None:
+        """Proven upper bound on the number of distinct customers (rows of the
+        customer dimension, which every order references); None if unknown."""
+        if not hasattr(self, "_bound"):
+            if self.sf_dir is not None:
+                self._bound = self.source("customer").count()
+            elif self._star.get("customers") is not None:
+                self._bound = self._star["customers"].count()
+            else:
+                self._bound = None
+        return self._bound
+
     # -- logical tables ----------------------------------------------------
     def margins(self) -> DataFrame:
         if self._star.get("margins") is not None:

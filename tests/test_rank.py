@@ -54,9 +54,12 @@ def test_distributed_rank_equals_window(spark):
         F.col("id").alias("key"),
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 101).alias("metric"))
     order = {"rk": [F.col("metric"), F.col("key")]}
-    local, n1 = add_ranks(df, order, local_rows=10**9)
-    dist, n2 = add_ranks(df, order, local_rows=0, partitions=7)
-    assert n1 == n2 == 30000
+    bounded = add_ranks(df, order, bound=30000, local_rows=10**9)
+    local = add_ranks(df, order, local_rows=10**9)
+    dist = add_ranks(df, order, local_rows=0, partitions=7)
+    assert local.first()["_n"] == dist.first()["_n"] == bounded.first()["_n"] == 30000
+    bj = bounded.select("key", F.col("rk").alias("a")).join(dist.select("key", F.col("rk").alias("b")), "key")
+    assert bj.where("a <> b").count() == 0
     joined = local.select("key", F.col("rk").alias("a")).join(dist.select("key", F.col("rk").alias("b")), "key")
     assert joined.where("a <> b").count() == 0
     assert joined.agg(F.min("b"), F.max("b"), F.countDistinct("b")).first() == (1, 30000, 30000)
@@ -72,6 +75,6 @@ def test_tile_sizes_differ_by_at_most_one(spark):
 def test_seven_tied_customers_tile_by_id(spark):
     # 7 customers with equal frequency: tiles follow customer_id, sizes 2,2,1,1,1
     df = spark.createDataFrame([(i, 3) for i in range(1, 8)], "customer_id long, frequency int")
-    ranked, n = add_ranks(df, {"r": [F.col("frequency"), F.col("customer_id")]})
-    got = [r[0] for r in ranked.orderBy("customer_id").select(ntile(F.col("r"), n, 5)).collect()]
+    ranked = add_ranks(df, {"r": [F.col("frequency"), F.col("customer_id")]})
+    got = [r[0] for r in ranked.orderBy("customer_id").select(ntile(F.col("r"), F.col("_n"), 5)).collect()]
     assert got == [1, 1, 2, 2, 3, 4, 5]
