@@ -120,6 +120,23 @@ def add_ranks(df: DataFrame, orders: Mapping[str, Sequence[Column]], *,
     return out.select("*", F.lit(n).alias("_n"), *[F.lit(totals[k]).alias(k) for k in counts])
 
 
+def with_totals(df: DataFrame, totals: Mapping[str, Column], *, bound: int | None = None,
+                local_rows: int | None = None) -> DataFrame:
+    """Add whole-table aggregates (e.g. a max date) as columns.
+
+    A bounded input (see :func:`add_ranks`) is moved to one partition anyway
+    by the rank windows that follow, so the totals are windows over that same
+    partition. Otherwise the input is materialised once and a one-row
+    aggregate of it is broadcast (bounded at one row).
+    """
+    if bound is not None and bound <= _local_rows(df, local_rows):
+        everything = Window.partitionBy()
+        return df.select("*", *[agg.over(everything).alias(name) for name, agg in totals.items()])
+    base = materialize(df)
+    one = base.agg(*[agg.alias(name) for name, agg in totals.items()])
+    return base.crossJoin(F.broadcast(one))
+
+
 def ntile(rank: Column, n: Column | int, k: int) -> Column:
     """SQL ``NTILE(k)`` from a 1-based rank among n rows: the first n mod k
     tiles hold one row more than the rest."""

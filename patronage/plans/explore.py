@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from patronage import config
 from patronage.functions.rounding import round_half_up
-from patronage.operators.rank import add_ranks
+from patronage.operators.rank import add_ranks, materialize
 from patronage.plans import scores
 from patronage.plans.scores import np_round
 from patronage.sources.tables import RAW_ORDER, Tables
@@ -70,10 +70,15 @@ def country_customers_top10(t: Tables) -> DataFrame:
     """Q-12n: top 10 countries by distinct customers with completed lines;
     pct = share of the top-10 total (as the notebook computes it)."""
     with_lines = t.order_items().select("invoice_no").distinct()
-    pairs = (t.completed_orders(with_country=True).select("invoice_no", "customer_id", "country")
-             .join(with_lines, "invoice_no", "left_semi")
-             .where(F.col("country").isNotNull())
-             .select("country", "customer_id").distinct())
+    if t.country_is_customer_attribute:
+        buyers = (t.completed_orders().select("invoice_no", "customer_id")
+                  .join(with_lines, "invoice_no", "left_semi").select("customer_id").distinct())
+        pairs = buyers.join(t.customer_countries(), "customer_id").where(F.col("country").isNotNull())
+    else:
+        pairs = (t.completed_orders(with_country=True).select("invoice_no", "customer_id", "country")
+                 .join(with_lines, "invoice_no", "left_semi")
+                 .where(F.col("country").isNotNull())
+                 .select("country", "customer_id").distinct())
     top = (pairs.groupBy("country").agg(F.count(F.lit(1)).alias("customer_count"))
            .orderBy(F.col("customer_count").desc(), "country").limit(10))
     # at most 10 rows: bounded single-partition window
@@ -174,7 +179,7 @@ def avg_clv_by_segment(t: Tables) -> DataFrame:
 
 def clv_stats(t: Tables) -> DataFrame:
     """Q-32b: mean, median and 99th percentile of the 12-month CLV."""
-    m = scores.notebook_master(t)
+    m = materialize(scores.notebook_master(t))
     med_aggs, med = _quantile("clv_12m", "_cr", 0.5)
     p99_aggs, p99 = _quantile("clv_12m", "_cr", 0.99)
     agg = m.agg(F.count(F.lit(1)).alias("customers"),
@@ -191,7 +196,8 @@ N_BINS = 30
 def clv_histogram(t: Tables) -> DataFrame:
     """Q-32: 30 equal-width bins of the 12-month CLV clipped at its 99th
     percentile, with numpy's bin assignment (last bin closed)."""
-    m = scores.notebook_master(t)
+    # read twice (statistics, then binning): materialise the customer table once
+    m = materialize(scores.notebook_master(t))
     p99_aggs, p99 = _quantile("clv_12m", "_cr", 0.99)
     stats = m.agg(F.min("clv_12m").alias("_min"), *p99_aggs).select(
         F.least(F.col("_min"), p99).alias("lo"), p99.alias("hi"))
@@ -223,7 +229,7 @@ def clv_histogram(t: Tables) -> DataFrame:
 def rfm_describe(t: Tables) -> DataFrame:
     """Q-33: ``describe()`` of recency, frequency and monetary: count, mean,
     sample std, min, quartiles, max; rounded to 2 places."""
-    m = scores.notebook_master(t)
+    m = materialize(scores.notebook_master(t))
     metrics = (("recency_days", "_rr"), ("frequency", "_fr"), ("monetary", "_mr"))
     aggs, finals = [], {}
     for col, rank in metrics:

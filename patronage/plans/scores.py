@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from patronage import config
 from patronage.functions.rounding import round_half_up, round_money
 from patronage.functions.rules import segment_col
-from patronage.operators.rank import add_ranks, ntile, qcut
+from patronage.operators.rank import add_ranks, ntile, qcut, with_totals
 from patronage.sources.tables import Tables
 
 RFM_COLUMNS = ["customer_id", "recency_days", "frequency", "monetary", "r_score", "f_score",
@@ -262,33 +262,38 @@ def notebook_master(t: Tables, *, local_rows: int | None = None,
     customer with a completed line, plus the helper ranks ``_rr _fr _mr _cr``
     and the customer count ``_n`` for quantile statistics.
     """
-    orders = t.completed_orders(with_country=True)
+    by_customer = t.country_is_customer_attribute
+    orders = t.completed_orders(with_country=not by_customer)
+    aggs = [F.max("invoice_date").alias("last_purchase"),
+            F.min("invoice_date").alias("first_purchase"),
+            F.count(F.lit(1)).alias("frequency"),
+            F.sum("inv_total").alias("monetary"),
+            F.sum("inv_margin").alias("margin_total")]
+    if not by_customer:
+        # first country over the customer's invoices
+        aggs.append(F.min_by("country", F.struct("invoice_date", "invoice_no")).alias("country"))
     per_customer = (orders.join(invoice_margin_totals(t, default_margin), "invoice_no")
-                    .groupBy("customer_id")
-                    .agg(F.max("invoice_date").alias("last_purchase"),
-                         F.min("invoice_date").alias("first_purchase"),
-                         F.count(F.lit(1)).alias("frequency"),
-                         F.sum("inv_total").alias("monetary"),
-                         F.sum("inv_margin").alias("margin_total"),
-                         F.min_by("country", F.struct("invoice_date", "invoice_no")).alias("country")))
-    base = per_customer
-    # one-row scalars: analysis date and the span in months, broadcast (1 row);
-    # the aggregate shares the customer-level exchange with the main branch
-    span = base.agg(F.max("last_purchase").alias("_max"), F.min("first_purchase").alias("_min")).select(
-        F.timestamp_add("DAY", F.lit(1), F.col("_max")).alias("_snap"),
-        (days_between(F.col("_max"), F.col("_min")) / config.DAYS_PER_MONTH).alias("_months"))
+                    .groupBy("customer_id").agg(*aggs))
+    if by_customer:
+        per_customer = per_customer.join(t.customer_countries(), "customer_id", "left")
+    bound = t.customer_bound()
+    # whole-table scalars: analysis date (last line + 1 day) and span in months
+    base = with_totals(per_customer, {"_max": F.max("last_purchase"), "_min": F.min("first_purchase")},
+                       bound=bound, local_rows=local_rows)
+    snap = F.timestamp_add("DAY", F.lit(1), F.col("_max"))
+    months = days_between(F.col("_max"), F.col("_min")) / config.DAYS_PER_MONTH
     monetary = F.col("monetary").cast("double")
     freq = F.col("frequency").cast("double")
     margin = F.when(monetary > 0, F.col("margin_total").cast("double") / monetary) \
         .otherwise(F.lit(float(default_margin)))
     aov = np_round(F.try_divide(monetary, freq), 2)
-    pfm = np_round(F.try_divide(freq, F.col("_months")), 6)
+    pfm = np_round(F.try_divide(freq, months), 6)
     clv12 = np_round(aov * pfm * 12 * margin, 2)
-    scored = base.crossJoin(F.broadcast(span)).select(
+    scored = base.select(
         "customer_id", "country",
         F.to_date("first_purchase").alias("first_purchase_date"),
         F.to_date("last_purchase").alias("last_purchase_date"),
-        days_between(F.col("_snap"), F.col("last_purchase")).cast("int").alias("recency_days"),
+        days_between(snap, F.col("last_purchase")).cast("int").alias("recency_days"),
         F.col("frequency").cast("int").alias("frequency"),
         F.col("monetary").cast("decimal(18,2)").alias("monetary"),
         aov.alias("avg_order_value"), pfm.alias("purchase_freq_monthly"),
@@ -299,7 +304,7 @@ def notebook_master(t: Tables, *, local_rows: int | None = None,
     ranked = add_ranks(scored, {
         "_rr": [F.col("recency_days"), cid], "_fr": [F.col("frequency"), cid],
         "_mr": [F.col("monetary"), cid], "_cr": [F.col("clv_12m"), cid]},
-        bound=t.customer_bound(), local_rows=local_rows)
+        bound=bound, local_rows=local_rows)
     n = F.col("_n")
     k = config.RFM_TILES
     tier = qcut(F.col("_cr"), n, config.CLV_TILES)

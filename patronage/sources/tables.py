@@ -135,6 +135,16 @@ class Tables:
             return o
         return o.join(self._customer_country(), "customer_id", "left")
 
+    @property
+    def country_is_customer_attribute(self) -> bool:
+        """True when an order's country is its customer's country (the TPC-H
+        adapter), so country can be joined at customer grain."""
+        return self.sf_dir is not None
+
+    def customer_countries(self) -> DataFrame:
+        """customer_id -> country at customer grain (adapter only)."""
+        return self._customer_country()
+
     def completed_orders(self, with_country: bool = False) -> DataFrame:
         return self.orders(with_country, status="Completed")
 
