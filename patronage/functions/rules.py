@@ -62,10 +62,13 @@ def _condition_col(cond, scores) -> Column:
     return out
 
 
-def segment_col(r: Column, f: Column, m: Column,
+def segment_col(r: Column | str, f: Column | str, m: Column | str,
                 rules=config.SQL_SEGMENT_RULES,
                 fallback: str = config.SEGMENT_FALLBACK) -> Column:
-    """RFM segment label from 1-5 scores, first matching rule wins."""
+    """RFM segment label from 1-5 scores, first matching rule wins. Given
+    column names, the CASE is built as one SQL expression."""
+    if isinstance(r, str) and isinstance(f, str) and isinstance(m, str):
+        return F.expr(segment_sql(r, f, m, rules, fallback))
     scores = {"r": r, "f": f, "m": m}
     return first_match([(_condition_col(c, scores), label) for label, c in rules], fallback)
 

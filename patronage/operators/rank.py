@@ -137,9 +137,12 @@ def with_totals(df: DataFrame, totals: Mapping[str, Column], *, bound: int | Non
     return base.crossJoin(F.broadcast(one))
 
 
-def ntile(rank: Column, n: Column | int, k: int) -> Column:
+def ntile(rank: Column | str, n: Column | int | str, k: int) -> Column:
     """SQL ``NTILE(k)`` from a 1-based rank among n rows: the first n mod k
-    tiles hold one row more than the rest."""
+    tiles hold one row more than the rest. With column names the expression
+    is built as one SQL expression."""
+    if isinstance(rank, str) and isinstance(n, str):
+        return F.expr(ntile_sql(rank, n, k, div="div"))
     n = F.lit(n) if isinstance(n, int) else n
     q = F.floor(n / k)
     r = n - q * k
@@ -149,23 +152,26 @@ def ntile(rank: Column, n: Column | int, k: int) -> Column:
     return F.when(rank <= big, head).otherwise(tail).cast("int")
 
 
-def ntile_sql(rank: str, n: str, k: int) -> str:
-    """SQL text of :func:`ntile` with ``n`` an SQL expression."""
-    q = f"({n} // {k})"
+def ntile_sql(rank: str, n: str, k: int, div: str = "//") -> str:
+    """SQL text of :func:`ntile` with ``n`` an SQL expression; ``div`` is the
+    dialect's integer division operator (``//`` DuckDB, ``div`` Spark)."""
+    q = f"({n} {div} {k})"
     r = f"({n} % {k})"
     big = f"({r} * ({q} + 1))"
-    return (f"CAST(CASE WHEN {rank} <= {big} THEN ({rank} + {q}) // ({q} + 1) "
-            f"ELSE {r} + ({rank} - {big} + {q} - 1) // {q} END AS INTEGER)")
+    return (f"CAST(CASE WHEN {rank} <= {big} THEN ({rank} + {q}) {div} ({q} + 1) "
+            f"ELSE {r} + ({rank} - {big} + {q} - 1) {div} {q} END AS INTEGER)")
 
 
-def qcut(rank: Column, n: Column | int, k: int) -> Column:
+def qcut(rank: Column | str, n: Column | int | str, k: int) -> Column:
     """pandas ``qcut(rank, k)`` bin (1-based) for ranks 1..n.
 
     Bin edges sit at 1 + j(n-1)/k; a rank on an edge belongs to the lower bin
     except where the float edge falls just below the integer (k = 3 with
     n = 1 mod 3), where it moves up one bin. (pandas raises for n = 1; we
-    give bin 1.)
+    give bin 1.) With column names the expression is one SQL expression.
     """
+    if isinstance(rank, str) and isinstance(n, str):
+        return F.expr(qcut_sql(rank, n, k, div="div"))
     n = F.lit(n) if isinstance(n, int) else n
     down = F.greatest(F.lit(1), F.floor(F.try_divide(F.lit(k) * (rank - 1) + (n - 2), n - 1)))
     binned = down
@@ -175,10 +181,10 @@ def qcut(rank: Column, n: Column | int, k: int) -> Column:
     return F.when(n <= 1, F.lit(1)).otherwise(binned).cast("int")
 
 
-def qcut_sql(rank: str, n: str, k: int) -> str:
-    """SQL text of :func:`qcut`."""
-    up = f"LEAST({k}, ({k} * ({rank} - 1)) // ({n} - 1) + 1)"
-    down = f"GREATEST(1, ({k} * ({rank} - 1) + {n} - 2) // ({n} - 1))"
+def qcut_sql(rank: str, n: str, k: int, div: str = "//") -> str:
+    """SQL text of :func:`qcut` (``div`` as in :func:`ntile_sql`)."""
+    up = f"LEAST({k}, ({k} * ({rank} - 1)) {div} ({n} - 1) + 1)"
+    down = f"GREATEST(1, ({k} * ({rank} - 1) + {n} - 2) {div} ({n} - 1))"
     if k == 3:
         return (f"CAST(CASE WHEN {n} <= 1 THEN 1 WHEN {n} % 3 = 1 THEN {up} "
                 f"ELSE {down} END AS INTEGER)")

@@ -97,8 +97,7 @@ def dataset_span_months(t: Tables) -> DataFrame:
 
 def _segment_and_sum(df: DataFrame, rules) -> DataFrame:
     return (df.withColumn("rfm_score", F.col("r_score") + F.col("f_score") + F.col("m_score"))
-            .withColumn("rfm_segment", segment_col(F.col("r_score"), F.col("f_score"),
-                                                   F.col("m_score"), rules)))
+            .withColumn("rfm_segment", segment_col("r_score", "f_score", "m_score", rules)))
 
 
 # ---------------------------------------------------------------------------
@@ -135,9 +134,9 @@ def rfm_scores(t: Tables, *, local_rows: int | None = None) -> DataFrame:
     n = F.col("_n")
     scored = ranked.select(
         "customer_id", "recency_days", "frequency", "monetary",
-        (F.lit(k + 1) - ntile(F.col("_rr"), n, k)).cast("int").alias("r_score"),
-        ntile(F.col("_fr"), n, k).alias("f_score"),
-        ntile(F.col("_mr"), n, k).alias("m_score"))
+        (F.lit(k + 1) - ntile("_rr", "_n", k)).cast("int").alias("r_score"),
+        ntile("_fr", "_n", k).alias("f_score"),
+        ntile("_mr", "_n", k).alias("m_score"))
     return _segment_and_sum(scored, config.SQL_SEGMENT_RULES).select(*RFM_COLUMNS)
 
 
@@ -175,7 +174,7 @@ def clv_scores(t: Tables, *, local_rows: int | None = None) -> DataFrame:
         round_money(value * 36 * blended).alias("clv_36m"))
     ranked = add_ranks(scored, {"_cr": [F.col("clv_12m").asc_nulls_first(), F.col("customer_id")]},
                        bound=t.customer_bound(), local_rows=local_rows)
-    tile = ntile(F.col("_cr"), F.col("_n"), config.CLV_TILES)
+    tile = ntile("_cr", "_n", config.CLV_TILES)
     return ranked.select(
         *CLV_COLUMNS[:-1],
         F.when(tile == 3, "High").when(tile == 2, "Medium").otherwise("Low").alias("clv_segment"))
@@ -230,12 +229,12 @@ def rfm_clv(t: Tables, *, local_rows: int | None = None) -> DataFrame:
     }, bound=t.customer_bound(), counts={"_n_clv": F.col("_has_clv")}, local_rows=local_rows)
     k = config.RFM_TILES
     n = F.col("_n")
-    tile = ntile(F.col("_cr"), F.col("_n_clv"), config.CLV_TILES)
+    tile = ntile("_cr", "_n_clv", config.CLV_TILES)
     out = ranked.where(F.col("_has_clv")).select(
         "customer_id", "recency_days", "frequency", "monetary",
-        (F.lit(k + 1) - ntile(F.col("_rr"), n, k)).cast("int").alias("r_score"),
-        ntile(F.col("_fr"), n, k).alias("f_score"),
-        ntile(F.col("_mr"), n, k).alias("m_score"),
+        (F.lit(k + 1) - ntile("_rr", "_n", k)).cast("int").alias("r_score"),
+        ntile("_fr", "_n", k).alias("f_score"),
+        ntile("_mr", "_n", k).alias("m_score"),
         *CLV_COLUMNS[1:-1],
         F.when(tile == 3, "High").when(tile == 2, "Medium").otherwise("Low").alias("clv_segment"))
     return _segment_and_sum(out, config.SQL_SEGMENT_RULES)
@@ -307,12 +306,12 @@ def notebook_master(t: Tables, *, local_rows: int | None = None,
         bound=bound, local_rows=local_rows)
     n = F.col("_n")
     k = config.RFM_TILES
-    tier = qcut(F.col("_cr"), n, config.CLV_TILES)
+    tier = qcut("_cr", "_n", config.CLV_TILES)
     out = ranked.select(
         "*",
-        (F.lit(k + 1) - qcut(F.col("_rr"), n, k)).cast("int").alias("r_score"),
-        qcut(F.col("_fr"), n, k).alias("f_score"),
-        qcut(F.col("_mr"), n, k).alias("m_score"),
+        (F.lit(k + 1) - qcut("_rr", "_n", k)).cast("int").alias("r_score"),
+        qcut("_fr", "_n", k).alias("f_score"),
+        qcut("_mr", "_n", k).alias("m_score"),
         np_round(F.col("clv_12m") * 3, 2).alias("clv_36m"),
         F.when(tier == 1, "Low").when(tier == 2, "Medium").otherwise("High").alias("clv_segment"))
     return _segment_and_sum(out, config.NOTEBOOK_SEGMENT_RULES)

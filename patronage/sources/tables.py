@@ -36,6 +36,22 @@ RAW_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity
              "l_shipdate")
 
 
+# Layout of the driver's TPC-H-style tables. Reading with the schema given
+# skips the footer-reading job that schema inference runs on every read.
+SOURCE_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": ("p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+             "p_retailprice double"),
+    "orders": ("o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+               "o_orderdate timestamp_ntz, o_orderpriority string"),
+    "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                 "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                 "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
+}
+_BOUNDS: dict[str, int] = {}
+
+
 def margins_frame(spark: SparkSession) -> DataFrame:
     rows = [(c, Decimal(m), n) for c, m, n in config.CATEGORY_MARGINS]
     return spark.createDataFrame(rows, MARGIN_SCHEMA)
@@ -79,14 +95,24 @@ class Tables:
         return cls(spark, None, category_rules=category_rules, star=star)
 
     def source(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if not hasattr(self, "_sources"):
+            self._sources = {}
+        if name not in self._sources:
+            reader = self.spark.read
+            if name in SOURCE_SCHEMAS:
+                reader = reader.schema(SOURCE_SCHEMAS[name])
+            self._sources[name] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._sources[name]
 
     def customer_bound(self) -> int | None:
         """Proven upper bound on the number of distinct customers (rows of the
         customer dimension, which every order references); None if unknown."""
         if not hasattr(self, "_bound"):
             if self.sf_dir is not None:
-                self._bound = self.source("customer").count()
+                path = f"{self.sf_dir}/customer.parquet"
+                if path not in _BOUNDS:  # one count per table path and process
+                    _BOUNDS[path] = self.source("customer").count()
+                self._bound = _BOUNDS[path]
             elif self._star.get("customers") is not None:
                 self._bound = self._star["customers"].count()
             else:
