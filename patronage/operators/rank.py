@@ -13,8 +13,9 @@ rank is computed in a distributed way instead:
    into offsets with a running sum; broadcast those P rows;
 4. rank = offset of the file + ``_metadata.row_index`` inside the file.
 
-Below a row-count threshold (checked by counting the materialised input) a
-plain window is cheaper and is used instead; both paths give identical ranks.
+When a proven upper bound on the row count (e.g. the customer dimension for
+a per-customer table) is below a threshold, plain windows in the same plan
+are cheaper and are used instead; both paths give identical ranks.
 NTILE(k) and pandas-style ``qcut(rank, k)`` are then integer arithmetic on
 (rank, n).
 """
@@ -54,10 +55,26 @@ def _local_rows(df: DataFrame, local_rows: int | None) -> int:
     return DEFAULT_LOCAL_ROWS if value is None else int(value)
 
 
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def _range_partitions(df: DataFrame, partitions: int | None) -> int:
+    """Range partition count: the configured shuffle width, or more when the
+    optimizer's size estimate says partitions would exceed ~128 MB."""
+    if partitions:
+        return partitions
+    spark = df.sparkSession
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    except Exception:  # noqa: BLE001 - estimate unavailable: keep the configured width
+        return base
+    return max(base, min(100_000, -(-size // TARGET_PARTITION_BYTES)))
+
+
 def _distributed_rank(df: DataFrame, order: Sequence[Column], name: str,
                       partitions: int | None) -> DataFrame:
-    spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = _range_partitions(df, partitions)
     # One file per range partition, rows sorted inside: file name order is
     # partition order and _metadata.row_index is the position in the file.
     ordered = materialize(df.repartitionByRange(parts, *order).sortWithinPartitions(*order))
@@ -75,7 +92,7 @@ def _distributed_rank(df: DataFrame, order: Sequence[Column], name: str,
 def add_ranks(df: DataFrame, orders: Mapping[str, Sequence[Column]], *,
               bound: int | None = None, counts: Mapping[str, Column] | None = None,
               local_rows: int | None = None, partitions: int | None = None,
-              materialized: bool = False) -> DataFrame:
+              deterministic: bool = True) -> DataFrame:
     """Add one 1-based rank column per ``orders`` entry, plus ``_n`` (row
     count) and one count column per ``counts`` entry (rows where the
     condition holds).
@@ -83,21 +100,19 @@ def add_ranks(df: DataFrame, orders: Mapping[str, Sequence[Column]], *,
     Every order must end in a unique key so the ranks are a total order
     (the equivalent of pandas ``rank(method='first')`` on a sorted frame).
 
-    Paths, all giving identical ranks:
-
     * ``bound`` (a proven upper bound on the row count, e.g. the size of the
       customer dimension for a per-customer table) at or below the threshold:
       plain windows inside the same plan, nothing materialised;
-    * otherwise the input is materialised and counted; at or below the
-      threshold the windows run on it;
-    * above the threshold: :func:`_distributed_rank` per order.
+    * otherwise one distributed rank per order (:func:`_distributed_rank`),
+      which materialises the range-sorted rows once; the counts are read from
+      that table. A ``deterministic=False`` input (e.g. one carrying
+      ``monotonically_increasing_id``) is materialised first, because the
+      range sampler and the shuffle read it twice.
 
-    ``materialized=True`` means ``df`` is already a cheap, deterministic
-    projection of a materialised table, so it is not written again.
+    Both paths give identical ranks (tested).
     """
     counts = dict(counts or {})
-    limit = _local_rows(df, local_rows)
-    if bound is not None and bound <= limit:
+    if bound is not None and bound <= _local_rows(df, local_rows):
         out = df
         everything = Window.partitionBy()
         for name, order in orders.items():
@@ -106,18 +121,13 @@ def add_ranks(df: DataFrame, orders: Mapping[str, Sequence[Column]], *,
         for name, cond in counts.items():
             out = out.withColumn(name, F.sum(cond.cast("long")).over(everything))
         return out
-    base = df if materialized else materialize(df)
-    totals = base.agg(F.count(F.lit(1)).alias("_n"),
-                      *[F.count_if(c).alias(k) for k, c in counts.items()]).first()
-    n = totals["_n"]
-    out = base
-    if n <= limit:
-        for name, order in orders.items():
-            out = out.withColumn(name, F.row_number().over(Window.orderBy(*order)))
-    else:
-        for name, order in orders.items():
-            out = _distributed_rank(out, order, name, partitions)
-    return out.select("*", F.lit(n).alias("_n"), *[F.lit(totals[k]).alias(k) for k in counts])
+    out = df if deterministic else materialize(df)
+    for name, order in orders.items():
+        out = _distributed_rank(out, order, name, partitions)
+    # one-row totals over the ranked table, broadcast (bounded at one row)
+    totals = out.agg(F.count(F.lit(1)).alias("_n"),
+                     *[F.count_if(c).alias(k) for k, c in counts.items()])
+    return out.crossJoin(F.broadcast(totals))
 
 
 def with_totals(df: DataFrame, totals: Mapping[str, Column], *, bound: int | None = None,

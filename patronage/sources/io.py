@@ -65,11 +65,11 @@ def with_file_order(df: DataFrame) -> DataFrame:
 
 def stage_raw(df: DataFrame, local_rows: int | None = None) -> DataFrame:
     """S-02: consecutive surrogate ``id`` from 1 in file order (the id is a
-    distributed exact rank over ``_seq``; the input is checkpointed first, so
+    distributed exact rank over ``_seq``; the input is materialised first, so
     the nondeterministic split ids are fixed once)."""
     if "_seq" not in df.columns:
         df = with_file_order(df)
-    ranked = add_ranks(df, {"id": [F.col("_seq")]}, local_rows=local_rows)
+    ranked = add_ranks(df, {"id": [F.col("_seq")]}, local_rows=local_rows, deterministic=False)
     return ranked.select("id", *[c for c in df.columns if c != "_seq"])
 
 

@@ -1,5 +1,6 @@
 """The scoring plans give identical results on every rank path: windows in
-one plan (bounded input), windows on a materialised input, distributed ranks."""
+one plan (bounded input) and distributed ranks (unknown bound, or a bound
+over the threshold)."""
 
 import pytest
 
@@ -18,7 +19,7 @@ def test_rank_paths_agree(spark, fn):
     t = Tables.from_tpch(spark, SF_SMALL)
     bounded = _rows(fn(t))
     t2 = Tables.from_tpch(spark, SF_SMALL)
-    t2._bound = None  # unknown bound: materialise, count, windows
+    t2._bound = None  # unknown bound: distributed ranks, partitions from the size estimate
     local = _rows(fn(t2))
     distributed = _rows(fn(t, local_rows=0))
     assert bounded == local == distributed
