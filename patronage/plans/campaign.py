@@ -7,7 +7,7 @@ needed; every summary is one grouped or global aggregate.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from patronage import config
@@ -95,7 +95,15 @@ def segment_counts(t: Tables) -> DataFrame:
     long = targets.select(F.expr(
         "stack(3, 'rfm_segment', rfm_segment, 'clv_segment', clv_segment, "
         "'priority_tier', priority_tier) AS (kind, label)"))
-    return long.groupBy("kind", "label").agg(F.count(F.lit(1)).alias("customers"))
+    counts = long.groupBy("kind", "label").agg(F.count(F.lit(1)).alias("customers"))
+    # display order: tiers in their fixed order (absent tiers drop out), other
+    # labels by descending count then label; at most ~15 rows per kind
+    tier_pos = lookup_col(F.col("label"), [(x, i + 1) for i, x in enumerate(config.TIER_ORDER)], None)
+    by_count = F.row_number().over(
+        Window.partitionBy("kind").orderBy(F.col("customers").desc(), F.col("label")))
+    return counts.select("kind", "label", "customers",
+                         F.when(F.col("kind") == "priority_tier", tier_pos).otherwise(by_count)
+                         .cast("int").alias("position"))
 
 
 def analysis_footer(t: Tables) -> DataFrame:

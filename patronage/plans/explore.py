@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from patronage import config
 from patronage.functions.rounding import round_half_up
+from patronage.functions.rules import lookup_col
 from patronage.operators.rank import add_ranks, materialize
 from patronage.plans import scores
 from patronage.plans.scores import np_round
@@ -108,7 +109,10 @@ def order_heatmap(t: Tables) -> DataFrame:
     inv = _completed_invoices(t).join(with_lines, "invoice_no", "left_semi")
     cells = inv.select(F.date_format("invoice_date", "EEEE").alias("dow"),
                        F.date_format("invoice_date", "MMMM").alias("month"))
-    return cells.groupBy("dow").pivot("month", list(config.MONTH_NAMES)).agg(F.count(F.lit(1)))
+    pos = lookup_col(F.col("dow"), [(d, i + 1) for i, d in enumerate(config.DAY_NAMES)], None)
+    return (cells.withColumn("dow_position", pos.cast("int"))
+            .groupBy("dow", "dow_position").pivot("month", list(config.MONTH_NAMES))
+            .agg(F.count(F.lit(1))))
 
 
 def order_items_with_ids(t: Tables, *, local_rows: int | None = None) -> DataFrame:

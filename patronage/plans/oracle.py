@@ -243,6 +243,11 @@ def score_sql() -> dict[str, str]:
         "rfm_scores": with_adapter(rfm + f"\nSELECT {RFM_COLS} FROM x_rfm"),
         "clv_scores": with_adapter(clv + f"\nSELECT {CLV_COLS} FROM x_clv"),
         "rfm_scores_notebook": with_adapter(nb + f"\nSELECT {RFM_COLS} FROM x_master"),
+        "customer_clv_master": with_adapter(
+            nb + "\nSELECT customer_id, country, first_purchase_date, last_purchase_date, rfm_segment, "
+            "r_score, f_score, m_score, rfm_score, recency_days, frequency, monetary, avg_order_value, "
+            f"purchase_freq_monthly, {sql_round('gross_margin_pct', 6)} AS gross_margin_pct, churn_rate, "
+            "clv_12m, clv_36m, clv_segment FROM x_master"),
         "clv_scores_notebook": with_adapter(
             nb + "\nSELECT customer_id, avg_order_value, purchase_freq_monthly, churn_rate, "
             f"{sql_round('gross_margin_pct', 6)} AS gross_margin_pct, clv_12m, clv_36m, clv_segment "

@@ -87,7 +87,7 @@ JOIN x_cm c ON p.stock_code = c.stock_code"""),
 SELECT invoice_no, customer_id, invoice_date, country, 'Completed' AS order_status
 FROM (SELECT *, row_number() OVER (PARTITION BY invoice_no ORDER BY id) AS rn FROM x_clean)
 WHERE rn = 1"""),
-        "order_items_clean": with_adapter(clean + """
+        "order_items": with_adapter(clean + """
 SELECT invoice_no, stock_code, quantity, CAST(round(unit_price, 2) AS DECIMAL(10,2)) AS unit_price,
        CAST(CAST(quantity AS DECIMAL(10,0)) * CAST(round(unit_price, 2) AS DECIMAL(10,2))
             AS DECIMAL(14,2)) AS line_total

@@ -75,6 +75,10 @@ FROM x_master""")
 
 
 def explore_sql() -> dict[str, str]:
+    tier_pos = lookup_sql("label", [(x, i + 1) for i, x in enumerate(config.TIER_ORDER)], None) \
+        .replace("ELSE None", "ELSE NULL")
+    dow_pos = lookup_sql("dayname(invoice_date)", [(d, i + 1) for i, d in enumerate(config.DAY_NAMES)], None) \
+        .replace("ELSE None", "ELSE NULL")
     months = ", ".join(
         f"NULLIF(count(*) FILTER (WHERE monthname(invoice_date) = '{m}'), 0) AS \"{m}\""
         for m in config.MONTH_NAMES)
@@ -115,7 +119,8 @@ GROUP BY product_name, category
 ORDER BY sum(line_total * margin_pct) DESC, product_name, category LIMIT 20"""),
         "order_heatmap": with_adapter(NB + f""",
 x_inv AS (SELECT DISTINCT invoice_no, invoice_date FROM x_nb_lines)
-SELECT dayname(invoice_date) AS dow, {months} FROM x_inv GROUP BY 1"""),
+SELECT dayname(invoice_date) AS dow, CAST({dow_pos} AS INTEGER) AS dow_position, {months}
+FROM x_inv GROUP BY 1, 2"""),
         "order_items_enriched": with_adapter(f"""
 x_ii AS (SELECT row_number() OVER (ORDER BY {seq}) AS item_id, l_orderkey AS invoice_no,
                 l_partkey AS stock_code, CAST(l_quantity AS INTEGER) AS quantity,
@@ -170,10 +175,14 @@ SELECT rfm_segment, count(*) AS customers, CAST(sum(campaign_cost) AS BIGINT) AS
        CAST(count(*) * {config.BLANKET_COST_PER_CUSTOMER} AS BIGINT) AS blanket_cost,
        {np_round_sql('sum(campaign_cost) / count(*)', 2)} AS avg_cost
 FROM x_t GROUP BY rfm_segment"""),
-        "segment_counts": with_adapter(camp + """
-SELECT 'rfm_segment' AS kind, rfm_segment AS label, count(*) AS customers FROM x_t GROUP BY 2
-UNION ALL SELECT 'clv_segment', clv_segment, count(*) FROM x_t GROUP BY 2
-UNION ALL SELECT 'priority_tier', priority_tier, count(*) FROM x_t GROUP BY 2"""),
+        "segment_counts": with_adapter(camp + f""",
+x_sc AS (SELECT 'rfm_segment' AS kind, rfm_segment AS label, count(*) AS customers FROM x_t GROUP BY 2
+  UNION ALL SELECT 'clv_segment', clv_segment, count(*) FROM x_t GROUP BY 2
+  UNION ALL SELECT 'priority_tier', priority_tier, count(*) FROM x_t GROUP BY 2)
+SELECT kind, label, customers,
+       CAST(CASE WHEN kind = 'priority_tier' THEN {tier_pos}
+            ELSE row_number() OVER (PARTITION BY kind ORDER BY customers DESC, label) END AS INTEGER) AS position
+FROM x_sc"""),
         "analysis_footer": with_adapter(NB + f"""
 SELECT count(*) AS customers, {np_round_sql(mean, 2)} AS avg_clv_12m,
        {np_round_sql('CAST(sum(CAST(avg_order_value AS DECIMAL(18,2))) AS DOUBLE) / count(avg_order_value)', 2)} AS avg_aov,

@@ -39,7 +39,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "customers_dim": cleaning.customers_dim,
     "products_dim": cleaning.products_dim,
     "orders_dim": cleaning.orders_dim,
-    "order_items_clean": cleaning.order_items_clean,
+    "order_items": cleaning.order_items_clean,
     "table_counts": cleaning.table_counts,
     "staging_counts": cleaning.staging_counts,
     "constraint_violations": cleaning.constraint_violations,
@@ -62,4 +62,5 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "segment_counts": campaign.segment_counts,
     "analysis_footer": campaign.analysis_footer,
     "score_upsert": scores.score_upsert,
+    "customer_clv_master": scores.customer_clv_master,
 }
