@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from patronage import config
+from patronage.functions.money import sum_money_times_rate
 from patronage.functions.rounding import round_half_up
 from patronage.functions.rules import lookup_col
 from patronage.operators.rank import add_ranks, materialize
@@ -52,7 +53,7 @@ def category_net_revenue_top9(t: Tables) -> DataFrame:
     lines = scores.line_margins(t, config.DEFAULT_MARGIN)
     per_invoice = (lines.where(F.col("category").isNotNull())
                    .groupBy("invoice_no", "category")
-                   .agg(F.sum(F.col("line_total") * F.col("gross_margin_pct")).alias("net"),
+                   .agg(sum_money_times_rate("line_total", "gross_margin_pct").alias("net"),
                         F.sum("quantity").alias("qty")))
     agg = (per_invoice.join(_completed_invoices(t).select("invoice_no"), "invoice_no")
            .groupBy("category")
@@ -93,7 +94,7 @@ def top_products(t: Tables) -> DataFrame:
              .join(_completed_invoices(t).select("invoice_no"), "invoice_no", "left_semi")
              .where(F.col("description").isNotNull() & F.col("category").isNotNull()))
     agg = lines.groupBy(F.col("description").alias("product_name"), "category").agg(
-        F.sum(F.col("line_total") * F.col("gross_margin_pct")).alias("net"),
+        sum_money_times_rate("line_total", "gross_margin_pct").alias("net"),
         F.sum("quantity").alias("units"))
     return (agg.orderBy(F.col("net").desc(), "product_name", "category").limit(20)
             .select("product_name", "category",

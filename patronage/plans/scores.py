@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patronage import config
+from patronage.functions.money import sum_money, sum_money_times_rate
 from patronage.functions.rounding import round_half_up, round_money
 from patronage.functions.rules import segment_col
 from patronage.operators.rank import add_ranks, ntile, qcut, with_totals
@@ -46,7 +47,7 @@ def days_between(later, earlier):
 
 def invoice_totals(t: Tables) -> DataFrame:
     """invoice_no -> inv_total (sum of line_total); invoice grain."""
-    return t.order_items().groupBy("invoice_no").agg(F.sum("line_total").alias("inv_total"))
+    return t.order_items().groupBy("invoice_no").agg(sum_money("line_total").alias("inv_total"))
 
 
 def line_margins(t: Tables, default_margin: str | None = None,
@@ -78,8 +79,8 @@ def line_margins(t: Tables, default_margin: str | None = None,
 def invoice_margin_totals(t: Tables, default_margin: str | None = None) -> DataFrame:
     """invoice_no -> inv_total, inv_margin (sum of line_total x margin)."""
     return (line_margins(t, default_margin).groupBy("invoice_no")
-            .agg(F.sum("line_total").alias("inv_total"),
-                 F.sum(F.col("line_total") * F.col("gross_margin_pct")).alias("inv_margin")))
+            .agg(sum_money("line_total").alias("inv_total"),
+                 sum_money_times_rate("line_total", "gross_margin_pct").alias("inv_margin")))
 
 
 def snapshot_date(t: Tables) -> DataFrame:
@@ -187,9 +188,9 @@ def rfm_clv(t: Tables, *, local_rows: int | None = None) -> DataFrame:
     lines = line_margins(t, default_margin=None, left=True)
     matched = F.col("gross_margin_pct").isNotNull()
     inv = lines.groupBy("invoice_no").agg(
-        F.sum("line_total").alias("inv_total"),
-        F.sum(F.when(matched, F.col("line_total"))).alias("clv_total"),
-        F.sum(F.col("line_total") * F.col("gross_margin_pct")).alias("clv_margin"),
+        sum_money("line_total").alias("inv_total"),
+        sum_money(F.when(matched, F.col("line_total"))).alias("clv_total"),
+        sum_money_times_rate("line_total", "gross_margin_pct").alias("clv_margin"),
         F.count_if(matched).alias("clv_lines"))
     orders = t.completed_orders().select("invoice_no", "customer_id", "invoice_date")
     per_customer = (orders.join(inv, "invoice_no").groupBy("customer_id").agg(

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from patronage import config
+from patronage.functions.money import sum_money
 from patronage.functions.rounding import round_half_up, round_money
 from patronage.functions.rules import lookup_col
 from patronage.plans import scores
@@ -92,7 +93,7 @@ def _month_of(col: str = "invoice_date"):
 def monthly_revenue(t: Tables) -> DataFrame:
     """Q-10: gross revenue trend by month with month-over-month growth."""
     inv = t.order_items().groupBy("invoice_no").agg(
-        F.sum("line_total").alias("inv_total"), F.sum("unit_price").alias("price_sum"),
+        sum_money("line_total").alias("inv_total"), sum_money("unit_price").alias("price_sum"),
         F.count(F.lit(1)).alias("lines"))
     monthly = (t.completed_orders().join(inv, "invoice_no")
                .groupBy(_month_of().alias("year_month"))
@@ -116,8 +117,8 @@ def category_revenue(t: Tables) -> DataFrame:
     """Q-11: revenue by product category (completed orders, 4-way star)."""
     per_invoice = (scores.line_margins(t)
                    .groupBy("invoice_no", "category", "gross_margin_pct")
-                   .agg(F.sum("line_total").alias("lt"), F.sum("quantity").alias("qty"),
-                        F.sum("unit_price").alias("price_sum"), F.count(F.lit(1)).alias("lines")))
+                   .agg(sum_money("line_total").alias("lt"), F.sum("quantity").alias("qty"),
+                        sum_money("unit_price").alias("price_sum"), F.count(F.lit(1)).alias("lines")))
     done = t.completed_orders().select("invoice_no")
     agg = (per_invoice.join(done, "invoice_no")
            .groupBy("category", "gross_margin_pct")
@@ -136,7 +137,7 @@ def _customer_line_stats(t: Tables) -> DataFrame:
     """Per customer: gross revenue and the number of rows the line-grain
     LEFT JOIN customers -> completed orders -> items would produce."""
     inv = t.order_items().groupBy("invoice_no").agg(
-        F.sum("line_total").alias("inv_total"), F.count(F.lit(1)).alias("lines"))
+        sum_money("line_total").alias("inv_total"), F.count(F.lit(1)).alias("lines"))
     per_order = t.completed_orders().select("invoice_no", "customer_id").join(inv, "invoice_no", "left")
     return per_order.groupBy("customer_id").agg(
         F.sum("inv_total").alias("gross"),
