@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from patronage import config
 from patronage.functions.rules import category_col, non_merch_col
-from patronage.operators.rank import add_ranks
+from patronage.operators.rank import add_ranks, materialize
 from patronage.plans.scores import np_round
 from patronage.sources.tables import Tables, seq_first
 
@@ -145,8 +145,10 @@ def products_dim(t: Tables) -> DataFrame:
     """Q-25: one row per stock code — modal description, modal category,
     mean unit price rounded to 2 places."""
     lines = clean_lines_with_seq(t)
-    per_desc = lines.groupBy("stock_code", "description").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("unit_price").alias("price_sum"))
+    # one row per distinct (stock_code, description): far smaller than the lines,
+    # read by three aggregates below, so it is materialised once
+    per_desc = materialize(lines.groupBy("stock_code", "description").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("unit_price").alias("price_sum")))
     per_desc = per_desc.withColumn("category", category_col(F.col("description"), t.category_rules))
     desc_mode = _modal(per_desc.where(F.col("description").isNotNull()), "stock_code",
                        "description", "n")

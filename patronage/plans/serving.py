@@ -157,26 +157,29 @@ def _country_revenue(t: Tables, line_grain: bool) -> DataFrame:
         F.sum("gross").alias("gross"),
         F.sum(weighted).alias("clv_sum"),
         F.sum(F.when(F.col("clv_12m").isNotNull(), F.col("w"))).alias("clv_rows"))
-    out = agg.crossJoin(F.broadcast(total)).select(
+    return agg.crossJoin(F.broadcast(total)).select(
         "country", "total_customers",
         round_half_up(F.col("total_customers") / F.col("_all") * 100, 1).alias("customer_pct"),
         round_money(F.col("gross")).alias("gross_revenue"),
         round_half_up(F.try_divide(F.col("clv_sum").cast("double"), F.col("clv_rows")), 2)
         .alias("avg_clv_12m"),
         round_money(F.col("clv_sum")).alias("total_clv_12m"))
+
+
+def _top15(df: DataFrame) -> DataFrame:
     # top-15 report (the limit is the feature)
-    return out.orderBy(F.col("gross_revenue").desc_nulls_last(), "country").limit(15)
+    return df.orderBy(F.col("gross_revenue").desc_nulls_last(), "country").limit(15)
 
 
 def country_revenue_line_grain(t: Tables) -> DataFrame:
     """Q-12: top 15 countries; CLV averaged/summed at line grain, as written
     in the source query (each customer's CLV counts once per joined line)."""
-    return _country_revenue(t, line_grain=True)
+    return _top15(_country_revenue(t, line_grain=True))
 
 
 def country_revenue(t: Tables) -> DataFrame:
     """Q-12b: top 15 countries; CLV counted once per customer."""
-    return _country_revenue(t, line_grain=False)
+    return _top15(_country_revenue(t, line_grain=False))
 
 
 def cohort_retention(t: Tables) -> DataFrame:
