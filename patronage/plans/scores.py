@@ -181,6 +181,20 @@ def clv_scores(t: Tables, *, local_rows: int | None = None) -> DataFrame:
         F.when(tile == 3, "High").when(tile == 2, "Medium").otherwise("Low").alias("clv_segment"))
 
 
+def clv_value(base: DataFrame) -> DataFrame:
+    """customer_id -> clv_12m from per-customer CLV inputs (order_count,
+    total_revenue, margin_total, dataset_span_months); NULL for customers
+    without a product/margin-matched order. No tiers, so no ranks."""
+    rev = F.col("total_revenue").cast("double")
+    cnt = F.col("order_count").cast("double")
+    blended = round_half_up(F.try_divide(F.col("margin_total").cast("double"),
+                                         F.nullif(rev, F.lit(0.0))), 4)
+    value = F.try_divide(rev, cnt) * F.try_divide(cnt, F.col("dataset_span_months"))
+    return base.select("customer_id", "gross", "fan_rows",
+                       F.when(F.col("order_count") > 0, round_money(value * 12 * blended))
+                       .alias("clv_12m"))
+
+
 def rfm_clv(t: Tables, *, local_rows: int | None = None) -> DataFrame:
     """Both SQL-rule score tables joined 1:1 on customer_id (inner), from ONE
     pass over the fact: lines LEFT-join product and margin once; per invoice

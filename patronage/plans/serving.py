@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from patronage import config
-from patronage.functions.money import sum_money
+from patronage.functions.money import sum_money, sum_money_times_rate
 from patronage.functions.rounding import round_half_up, round_money
 from patronage.functions.rules import lookup_col
 from patronage.plans import scores
@@ -133,23 +133,32 @@ def category_revenue(t: Tables) -> DataFrame:
         round_half_up(F.col("price_sum").cast("double") / F.col("lines"), 2).alias("avg_unit_price"))
 
 
-def _customer_line_stats(t: Tables) -> DataFrame:
-    """Per customer: gross revenue and the number of rows the line-grain
-    LEFT JOIN customers -> completed orders -> items would produce."""
-    inv = t.order_items().groupBy("invoice_no").agg(
-        sum_money("line_total").alias("inv_total"), F.count(F.lit(1)).alias("lines"))
+def _country_revenue(t: Tables, line_grain: bool) -> DataFrame:
+    """Per country: customers, share, gross revenue and CLV totals.
+
+    One pass over the fact: per invoice the all-line totals (gross revenue,
+    line count) and the product/margin-matched totals (CLV inputs); per
+    customer the CLV value (no tiers needed) and the number of rows the
+    source's line-grain LEFT JOIN would produce, so "line grain" is a
+    weight, not a fan-out."""
+    lines = scores.line_margins(t, default_margin=None, left=True)
+    matched = F.col("gross_margin_pct").isNotNull()
+    inv = lines.groupBy("invoice_no").agg(
+        sum_money("line_total").alias("inv_total"), F.count(F.lit(1)).alias("lines"),
+        sum_money(F.when(matched, F.col("line_total"))).alias("clv_total"),
+        sum_money_times_rate("line_total", "gross_margin_pct").alias("clv_margin"),
+        F.count_if(matched).alias("clv_lines"))
     per_order = t.completed_orders().select("invoice_no", "customer_id").join(inv, "invoice_no", "left")
-    return per_order.groupBy("customer_id").agg(
+    per_customer = per_order.groupBy("customer_id").agg(
         F.sum("inv_total").alias("gross"),
-        F.sum(F.coalesce(F.col("lines"), F.lit(1))).alias("fan_rows"))
-
-
-def _country_revenue(t: Tables, line_grain: bool) -> DataFrame:
+        F.sum(F.coalesce(F.col("lines"), F.lit(1))).alias("fan_rows"),
+        F.count_if(F.col("clv_lines") > 0).alias("order_count"),
+        F.sum("clv_total").alias("total_revenue"),
+        F.sum("clv_margin").alias("margin_total"))
+    clv = scores.clv_value(per_customer.crossJoin(F.broadcast(scores.dataset_span_months(t))))
     customers = t.customers().select("customer_id", "country")
     total = t.customers().agg(F.count(F.lit(1)).alias("_all"))
-    clv = scores.clv_scores(t).select("customer_id", "clv_12m")
-    joined = (customers.join(_customer_line_stats(t), "customer_id", "left")
-              .join(clv, "customer_id", "left")
+    joined = (customers.join(clv, "customer_id", "left")
               .withColumn("w", F.coalesce(F.col("fan_rows"), F.lit(1)) if line_grain else F.lit(1)))
     weighted = F.col("clv_12m") * F.col("w")
     agg = joined.groupBy("country").agg(
