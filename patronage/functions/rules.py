@@ -19,6 +19,24 @@ def _sql_str(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
 
+def _spark_str(value: str) -> str:
+    """Spark SQL string literal (backslash is an escape character there)."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def lit_sql(v) -> str:
+    """SQL literal valid in both Spark and DuckDB; floats stay doubles."""
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, int):
+        return str(v)
+    if isinstance(v, float):
+        return f"CAST({v!r} AS DOUBLE)"
+    return _sql_str(v)
+
+
 def first_match(cases: Sequence[tuple[Column, object]], otherwise) -> Column:
     """``CASE WHEN c1 THEN v1 WHEN c2 THEN v2 ... ELSE otherwise END``."""
     expr = None
@@ -104,9 +122,14 @@ def segment_sql(r: str, f: str, m: str, rules=config.SQL_SEGMENT_RULES,
 # Product categoriser: ordered (label, regex) list on a normalised description
 # ---------------------------------------------------------------------------
 
-def category_col(description: Column, rules=config.CATEGORY_RULES,
+def category_col(description: Column | str, rules=config.CATEGORY_RULES,
                  fallback: str = config.FALLBACK_CATEGORY) -> Column:
-    """First rule whose regex occurs in ``description`` (NULL -> fallback)."""
+    """First rule whose regex occurs in ``description`` (NULL -> fallback).
+    ``description`` may be a Column or a Spark SQL expression (one call)."""
+    if isinstance(description, str):
+        whens = " ".join(f"WHEN {description} RLIKE {_spark_str(p)} THEN {_sql_str(label)}"
+                         for label, p in rules)
+        return F.expr(f"CASE {whens} ELSE {_sql_str(fallback)} END")
     return first_match([(description.rlike(pattern), label) for label, pattern in rules], fallback)
 
 
@@ -122,15 +145,18 @@ def category_sql(description: str, rules=config.CATEGORY_RULES,
 # Lookups with a default
 # ---------------------------------------------------------------------------
 
-def lookup_col(key: Column, pairs: Iterable[tuple[object, object]], default) -> Column:
+def lookup_col(key: Column | str, pairs: Iterable[tuple[object, object]], default) -> Column:
+    """``CASE key WHEN k THEN v ... ELSE default``; with ``key`` a column name
+    or SQL expression it is built as one SQL expression."""
+    if isinstance(key, str) and not isinstance(default, Column):
+        return F.expr(lookup_sql(key, pairs, default))
+    key = F.col(key) if isinstance(key, str) else key
     return first_match([(key == k, v) for k, v in pairs], default)
 
 
 def lookup_sql(key: str, pairs: Iterable[tuple[object, object]], default) -> str:
-    def lit(v):
-        return _sql_str(v) if isinstance(v, str) else repr(v)
-    whens = " ".join(f"WHEN {key} = {lit(k)} THEN {lit(v)}" for k, v in pairs)
-    return f"CASE {whens} ELSE {lit(default)} END"
+    whens = " ".join(f"WHEN {key} = {lit_sql(k)} THEN {lit_sql(v)}" for k, v in pairs)
+    return f"CASE {whens} ELSE {lit_sql(default)} END"
 
 
 def non_merch_col(stock_code: Column) -> Column:
@@ -148,7 +174,9 @@ def non_merch_sql(stock_code: str) -> str:
     return f"({stock_code} IN ({codes}) OR {prefixes})"
 
 
-def roi_band_col(roi: Column) -> Column:
+def roi_band_col(roi: Column | str) -> Column:
+    if isinstance(roi, str):
+        return F.expr(roi_band_sql(roi))
     return first_match([(roi >= t, label) for t, label in config.ROI_BANDS],
                        config.ROI_BAND_FALLBACK)
 

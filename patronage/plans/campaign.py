@@ -21,14 +21,14 @@ TARGET_COLUMNS = ["customer_id", "rfm_segment", "clv_segment", "campaign_name",
                   "clv_12m", "expected_revenue", "priority_tier"]
 
 
-def _matrix(col: Column, field: int, default) -> Column:
+def _matrix(col: str, field: int, default) -> Column:
     return lookup_col(col, [(row[0], row[field]) for row in config.CAMPAIGN_MATRIX], default)
 
 
 def with_campaign(master: DataFrame) -> DataFrame:
     name, cost, uplift = config.CAMPAIGN_FALLBACK
-    seg = F.col("rfm_segment")
-    tier = lookup_col(F.col("clv_segment"), [(x, x) for x in config.TIER_ORDER], "Low")
+    seg = "rfm_segment"
+    tier = lookup_col("clv_segment", [(x, x) for x in config.TIER_ORDER], "Low")
     return master.select(
         "customer_id", "rfm_segment", "clv_segment",
         _matrix(seg, 1, name).alias("campaign_name"),
@@ -58,10 +58,11 @@ def campaign_roi(t: Tables) -> DataFrame:
         _money("expected_revenue").alias("total_expected"))
     roi = np_round((F.col("total_expected").cast("double") - F.col("total_cost"))
                    / F.col("total_cost") * 100, 1)
-    return agg.select("rfm_segment", "campaign_name", "customers", "total_cost",
-                      round_half_up(F.col("avg_clv"), 6).alias("avg_clv"),
-                      F.col("total_expected").cast("decimal(18,2)").alias("total_expected"),
-                      roi.alias("roi_pct"), roi_band_col(roi).alias("roi_band"))
+    out = agg.select("rfm_segment", "campaign_name", "customers", "total_cost",
+                     round_half_up(F.col("avg_clv"), 6).alias("avg_clv"),
+                     F.col("total_expected").cast("decimal(18,2)").alias("total_expected"),
+                     roi.alias("roi_pct"))
+    return out.withColumn("roi_band", roi_band_col("roi_pct"))
 
 
 def cac_reduction(t: Tables) -> DataFrame:
@@ -98,7 +99,7 @@ def segment_counts(t: Tables) -> DataFrame:
     counts = long.groupBy("kind", "label").agg(F.count(F.lit(1)).alias("customers"))
     # display order: tiers in their fixed order (absent tiers drop out), other
     # labels by descending count then label; at most ~15 rows per kind
-    tier_pos = lookup_col(F.col("label"), [(x, i + 1) for i, x in enumerate(config.TIER_ORDER)], None)
+    tier_pos = lookup_col("label", [(x, i + 1) for i, x in enumerate(config.TIER_ORDER)], None)
     by_count = F.row_number().over(
         Window.partitionBy("kind").orderBy(F.col("customers").desc(), F.col("label")))
     return counts.select("kind", "label", "customers",

@@ -149,7 +149,7 @@ def products_dim(t: Tables) -> DataFrame:
     # read by three aggregates below, so it is materialised once
     per_desc = materialize(lines.groupBy("stock_code", "description").agg(
         F.count(F.lit(1)).alias("n"), F.sum("unit_price").alias("price_sum")))
-    per_desc = per_desc.withColumn("category", category_col(F.col("description"), t.category_rules))
+    per_desc = per_desc.withColumn("category", category_col("description", t.category_rules))
     desc_mode = _modal(per_desc.where(F.col("description").isNotNull()), "stock_code",
                        "description", "n")
     cat_counts = per_desc.groupBy("stock_code", "category").agg(F.sum("n").alias("n"))

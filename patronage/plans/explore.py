@@ -110,7 +110,7 @@ def order_heatmap(t: Tables) -> DataFrame:
     inv = _completed_invoices(t).join(with_lines, "invoice_no", "left_semi")
     cells = inv.select(F.date_format("invoice_date", "EEEE").alias("dow"),
                        F.date_format("invoice_date", "MMMM").alias("month"))
-    pos = lookup_col(F.col("dow"), [(d, i + 1) for i, d in enumerate(config.DAY_NAMES)], None)
+    pos = lookup_col("dow", [(d, i + 1) for i, d in enumerate(config.DAY_NAMES)], None)
     return (cells.withColumn("dow_position", pos.cast("int"))
             .groupBy("dow", "dow_position").pivot("month", list(config.MONTH_NAMES))
             .agg(F.count(F.lit(1))))

@@ -22,7 +22,7 @@ def _margins_values() -> str:
 
 
 def adapter_ctes(rules=config.ADAPTER_CATEGORY_RULES) -> str:
-    status = lookup_sql("o.o_orderstatus", config.ADAPTER_STATUS, None).replace("ELSE None", "ELSE NULL")
+    status = lookup_sql("o.o_orderstatus", config.ADAPTER_STATUS, None)
     seq = ", ".join(f"l.{c}" for c in RAW_ORDER)
     return f"""
 x_geo AS (

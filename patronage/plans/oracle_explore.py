@@ -75,10 +75,8 @@ FROM x_master""")
 
 
 def explore_sql() -> dict[str, str]:
-    tier_pos = lookup_sql("label", [(x, i + 1) for i, x in enumerate(config.TIER_ORDER)], None) \
-        .replace("ELSE None", "ELSE NULL")
-    dow_pos = lookup_sql("dayname(invoice_date)", [(d, i + 1) for i, d in enumerate(config.DAY_NAMES)], None) \
-        .replace("ELSE None", "ELSE NULL")
+    tier_pos = lookup_sql("label", [(x, i + 1) for i, x in enumerate(config.TIER_ORDER)], None)
+    dow_pos = lookup_sql("dayname(invoice_date)", [(d, i + 1) for i, d in enumerate(config.DAY_NAMES)], None)
     months = ", ".join(
         f"NULLIF(count(*) FILTER (WHERE monthname(invoice_date) = '{m}'), 0) AS \"{m}\""
         for m in config.MONTH_NAMES)

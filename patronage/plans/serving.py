@@ -231,11 +231,11 @@ def top_customers_clv(t: Tables) -> DataFrame:
 
 def campaign_preview(t: Tables) -> DataFrame:
     """Q-15: recommended campaign and priority tier per customer (SQL preview)."""
-    tier = lookup_col(F.col("clv_segment"), config.PRIORITY_TIERS, config.PRIORITY_FALLBACK)
+    tier = lookup_col("clv_segment", config.PRIORITY_TIERS, config.PRIORITY_FALLBACK)
     return _customer_scores(t).select(
         "customer_id", "country", "rfm_segment", "clv_segment",
         round_money(F.col("clv_12m")).alias("projected_clv_12m"),
-        lookup_col(F.col("rfm_segment"), config.PREVIEW_CAMPAIGNS, config.PREVIEW_FALLBACK)
+        lookup_col("rfm_segment", config.PREVIEW_CAMPAIGNS, config.PREVIEW_FALLBACK)
         .alias("recommended_campaign"),
         tier.cast("int").alias("priority_tier"))
 

@@ -145,8 +145,7 @@ class Tables:
                 o = o.where(F.col("order_status") == status_filter)
             cols = ["invoice_no", "customer_id", "invoice_date", "order_status"]
             return o.select(*cols, "country") if with_country else o.select(*cols)
-        status = lookup_col(F.col("o_orderstatus"), config.ADAPTER_STATUS,
-                            F.lit(None).cast("string"))
+        status = lookup_col("o_orderstatus", config.ADAPTER_STATUS, None)
         src = self.source("orders")
         if status_filter is not None:
             # filter on the stored code so the predicate reaches the parquet scan
@@ -191,11 +190,10 @@ class Tables:
         """stock_code, description, category, avg_unit_price."""
         if self._star.get("products") is not None:
             return self._star["products"]
-        desc = F.upper(F.col("p_name"))
         return self.source("part").select(
             F.col("p_partkey").alias("stock_code"),
-            desc.alias("description"),
-            category_col(desc, self.category_rules).alias("category"),
+            F.upper(F.col("p_name")).alias("description"),
+            category_col("upper(p_name)", self.category_rules).alias("category"),
             F.col("p_retailprice").cast("decimal(10,2)").alias("avg_unit_price"))
 
     def customers(self) -> DataFrame:

@@ -69,3 +69,12 @@ def test_roi_bands(spark):
     df = spark.createDataFrame([(250.0,), (200.0,), (150.0,), (100.0,), (99.9,), (-50.0,)], "r double")
     got = [r[0] for r in df.select(roi_band_col(F.col("r"))).collect()]
     assert got == ["green", "green", "amber", "amber", "red", "red"]
+
+
+def test_categoriser_sql_text_form_matches_column_form(spark):
+    words = ["CHRISTMAS GIFT BAG", "BAGS", "RED BAG", "TEA TOWEL", "BEACH TOWEL", None, "JAM JAR",
+             "PENCIL CASE", "BALL", "FOOTBALL", "HANDBAGS", "SOAP DISH", "LIGHT", "LIGHTS"]
+    df = spark.createDataFrame([(w,) for w in words], "d string")
+    for rules in (config.CATEGORY_RULES, config.ADAPTER_CATEGORY_RULES):
+        got = df.select(category_col(F.col("d"), rules).alias("a"), category_col("d", rules).alias("b"))
+        assert got.where("NOT (a <=> b)").count() == 0
