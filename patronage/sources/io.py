@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from patronage.functions.keys import normalize_key
 from patronage.operators.rank import add_ranks
 
 RAW_CSV_SCHEMA = T.StructType([
@@ -46,13 +47,17 @@ MASTER_SCHEMA = T.StructType([
 
 
 def read_raw_csv(spark: SparkSession, path: str, timestamp_format: str = "M/d/yyyy H:mm",
-                 encoding: str = "ISO-8859-1") -> DataFrame:
+                 encoding: str = "ISO-8859-1", normalize_keys: bool = False) -> DataFrame:
     """S-01: raw invoice-line CSV with an explicit schema. Codes stay strings;
-    unparseable timestamps become NULL instead of failing the job."""
+    unparseable timestamps become NULL instead of failing the job.
+    ``normalize_keys`` trims and upper-cases StockCode (case-insensitive keys)."""
     df = (spark.read.schema(RAW_CSV_SCHEMA).option("header", True)
           .option("encoding", encoding).option("mode", "PERMISSIVE").csv(path))
     ts = F.try_to_timestamp(F.col("InvoiceDate"), F.lit(timestamp_format)).cast("timestamp_ntz")
-    return df.withColumn("InvoiceDate", ts)
+    df = df.withColumn("InvoiceDate", ts)
+    if normalize_keys:
+        df = df.withColumn("StockCode", normalize_key("StockCode"))
+    return df
 
 
 def with_file_order(df: DataFrame) -> DataFrame:

@@ -31,3 +31,14 @@ def test_export_and_read_master(spark, scratch):
     back = read_master_csv(spark, out)
     assert back.count() == master.count()
     assert back.columns == master.columns
+
+
+def test_normalize_keys_on_load(spark, scratch):
+    path = os.path.join(scratch, "keys.csv")
+    with open(path, "w", encoding="ISO-8859-1") as f:
+        f.write("InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n")
+        f.write("1,85123a ,X,1,12/1/2010 8:26,1.00,1,UK\n")
+        f.write("2,85123A,X,1,12/1/2010 8:26,1.00,1,UK\n")
+    plain = read_raw_csv(spark, path).select("StockCode").distinct().count()
+    folded = read_raw_csv(spark, path, normalize_keys=True).select("StockCode").distinct().count()
+    assert (plain, folded) == (2, 1)
