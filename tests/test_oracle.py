@@ -61,3 +61,18 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
     assert df.columns[:2] == ["customer_id", "recency_days"]
+
+
+def test_decimal_column_list_is_current(spark):
+    from scripts.gen_decimal_columns import decimal_columns
+    from patronage.plans.decimal_columns import DECIMAL_COLUMNS, TEMPORAL_COLUMNS
+    assert decimal_columns(spark, SF_SMALL) == (DECIMAL_COLUMNS, TEMPORAL_COLUMNS)
+
+
+def test_driver_facing_outputs_have_no_decimals(spark, con):
+    for name in ("rfm_scores", "clv_scores", "category_revenue", "order_details"):
+        df = entry.queries()[name](spark, SF_SMALL)
+        assert not [f for f in df.schema.fields
+                    if f.dataType.typeName() in ("decimal", "date", "timestamp", "timestamp_ntz")], name
+        types = [d[1] for d in con.execute(entry.oracle_sql()[name]).description]
+        assert not [t for t in types if any(k in str(t) for k in ("DECIMAL", "DATE", "TIMESTAMP"))], name
