@@ -1,0 +1,34 @@
+"""The oracle suite again with the distributed rank path forced
+(``patronage.rank.localRows=0``): the path a cluster takes for large tables."""
+
+import pytest
+
+import __spark_entry__ as entry
+from tests.conftest import SF_SMALL
+from tests.test_oracle import _canon, con  # noqa: F401  (fixture)
+
+RANKED = ["rfm_scores", "rfm_scores_notebook", "clv_scores", "clv_scores_notebook",
+          "customer_clv_master", "segment_matrix", "segment_kpi", "top_customers_clv",
+          "order_details", "clv_histogram", "clv_stats", "rfm_describe", "campaign_roi",
+          "cac_reduction", "segment_counts", "score_upsert", "raw_staging", "order_items_enriched",
+          "rfm_score_distribution", "clv_segment_validation", "rfm_segment_validation",
+          "clv_overall", "campaign_targets", "avg_clv_by_segment", "analysis_footer",
+          "rfm_clv_points", "campaign_preview", "customer_master", "campaign_cost_by_segment"]
+
+
+@pytest.fixture()
+def distributed(spark):
+    spark.conf.set("patronage.rank.localRows", "0")
+    yield spark
+    spark.conf.unset("patronage.rank.localRows")
+
+
+@pytest.mark.parametrize("name", RANKED)
+def test_distributed_path_matches_oracle(distributed, con, name):  # noqa: F811
+    df = entry.queries()[name](distributed, SF_SMALL)
+    srows = [tuple(r) for r in df.collect()]
+    cur = con.execute(entry.oracle_sql()[name])
+    dcols = [d[0] for d in cur.description]
+    drows = cur.fetchall()
+    assert len(srows) == len(drows)
+    assert _canon(df.columns, srows) == _canon(dcols, drows)
