@@ -10,8 +10,7 @@ from __future__ import annotations
 
 from patronage import config
 from patronage.functions.rounding import sql_round, sql_round_money
-from patronage.functions.rules import (category_sql, lookup_sql, non_merch_sql, roi_band_sql,
-                                       segment_sql)
+from patronage.functions.rules import category_sql, lookup_sql, segment_sql
 from patronage.operators.rank import ntile_sql, qcut_sql
 from patronage.sources.tables import RAW_ORDER
 
@@ -294,5 +293,5 @@ def all_oracle_sql() -> dict[str, str]:
     return out
 
 
-__all__ = ["adapter_ctes", "with_adapter", "score_sql", "all_oracle_sql", "non_merch_sql",
-           "roi_band_sql", "np_round_sql", "days_between_sql"]
+__all__ = ["adapter_ctes", "with_adapter", "score_sql", "all_oracle_sql", "np_round_sql",
+           "days_between_sql"]
