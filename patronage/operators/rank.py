@@ -55,21 +55,12 @@ def _local_rows(df: DataFrame, local_rows: int | None) -> int:
     return DEFAULT_LOCAL_ROWS if value is None else int(value)
 
 
-TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-
-
 def _range_partitions(df: DataFrame, partitions: int | None) -> int:
-    """Range partition count: the configured shuffle width, or more when the
-    optimizer's size estimate says partitions would exceed ~128 MB."""
-    if partitions:
-        return partitions
-    spark = df.sparkSession
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    try:
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # noqa: BLE001 - estimate unavailable: keep the configured width
-        return base
-    return max(base, min(100_000, -(-size // TARGET_PARTITION_BYTES)))
+    """Range partition count: the given one, else the session's shuffle width
+    (size ``spark.sql.shuffle.partitions`` for the cluster). Optimizer size
+    estimates are deliberately not used: without table statistics a cross
+    join with a one-row scalar is estimated as the product of both sides."""
+    return partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def _distributed_rank(df: DataFrame, order: Sequence[Column], name: str,

@@ -78,3 +78,13 @@ def test_seven_tied_customers_tile_by_id(spark):
     ranked = add_ranks(df, {"r": [F.col("frequency"), F.col("customer_id")]})
     got = [r[0] for r in ranked.orderBy("customer_id").select(ntile(F.col("r"), F.col("_n"), 5)).collect()]
     assert got == [1, 1, 2, 2, 3, 4, 5]
+
+
+def test_range_width_is_the_configured_shuffle_width(spark):
+    from patronage.operators.rank import _range_partitions
+    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert _range_partitions(spark.range(1000), None) == base
+    # a cross join with a one-row scalar must not inflate the width
+    big = spark.range(10**6).crossJoin(spark.range(1).withColumnRenamed("id", "one"))
+    assert _range_partitions(big, None) == base
+    assert _range_partitions(big, 12) == 12
