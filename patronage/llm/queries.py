@@ -7,11 +7,23 @@ returns the digest columns of its contract.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from patronage.llm import packing, sharding, token_files
+from patronage.llm import fingerprints, packing, sharding, simhash_dedup, token_files, topk
 from patronage.llm.common import checkpointed, remove_path, table
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash of all documents and of their edited texts."""
+    return fingerprints.digest(fingerprints.fingerprint_documents(table(spark, sf_dir, "documents")))
+
+
+def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents whose fingerprints differ in 3 bits at most."""
+    found = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=3)
+    return simhash_dedup.digest(found)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Harmonic packing of all documents into sequences of 1024 tokens."""
     return packing.digest(packing.pack(table(spark, sf_dir, "documents"), capacity=1024, end_id=0))
@@ -22,6 +34,28 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.digest(sharding.shard(table(spark, sf_dir, "documents"), 40))
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest integer inner products of every 20th vector."""
+    vectors = topk.integer_vectors(table(spark, sf_dir, "embeddings"), scale=64.0)
+    return topk.top_k(vectors, F.col("vec_id") % 20 == 0, 20)
+
+
+OP6_SQL = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+    FROM v q JOIN v c ON c.vec_id <> q.vec_id
+    WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
+WHERE r <= 20
+"""
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written to seekable token files and read back."""
     back, folder = token_files.round_trip(table(spark, sf_dir, "documents"), end_id=2)
@@ -31,9 +65,14 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
+    "op2_simhash_dedup": op2_simhash_dedup,
     "op4_packing": op4_packing,
     "op5_sharding": op5_sharding,
+    "op6_topk": op6_topk,
     "op9_token_files": op9_token_files,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_topk": OP6_SQL,
+}
