@@ -63,7 +63,7 @@ def rotation(vectors: DataFrame, dims: int) -> np.ndarray:
             total += m.T @ m
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(dims * dims)), pa.array(total.ravel())], names=["at", "x"])
 
-    sums = vectors.select("v").mapInArrow(run, "at int, x double").groupBy("at").agg(F.sum("x").alias("x"))
+    sums = vectors.select("v").mapInArrow(run, "at bigint, x double").groupBy("at").agg(F.sum("x").alias("x"))
     at, x = np.zeros(dims * dims, np.int64), np.zeros(dims * dims)
     for i, row in enumerate(sums.collect()):
         at[i], x[i] = row["at"], row["x"]
