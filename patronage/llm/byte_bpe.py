@@ -94,13 +94,16 @@ class ByteBpe:
     def _encode(self, text: str) -> bytes:
         if self.fast is not None and len(text) <= LONG_CHUNK and PLAIN(text):
             return np.array(self.fast.encode_ordinary(text), ID_TYPE).tobytes()
+        return self._library(text)
+
+    def _library(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, ID_TYPE).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if not self.chunked or any(s in text for s in self.special):
-            return self._encode(text)
+            return self._library(text)
         try:
             return b"".join(self._segments(text))
         except _WholeText:
