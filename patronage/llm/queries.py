@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm import fingerprints, packing, sharding, simhash_dedup, token_files, topk
+from patronage.llm import bpe, fingerprints, packing, quality, sharding, simhash_dedup, token_counts, token_files, topk
 from patronage.llm.common import checkpointed, remove_path, table
 
 
@@ -24,6 +24,11 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.digest(found)
 
 
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all documents by backtracking BPE, and what they decode to."""
+    return bpe.digest(bpe.encode_decode(table(spark, sf_dir, "documents")))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Harmonic packing of all documents into sequences of 1024 tokens."""
     return packing.digest(packing.pack(table(spark, sf_dir, "documents"), capacity=1024, end_id=0))
@@ -56,6 +61,27 @@ WHERE r <= 20
 """
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts by source, language and tokenizer version after a load, the
+    removal of equal texts and a new version for one language."""
+    return token_counts.corpus_history(table(spark, sf_dir, "documents"))
+
+
+OP7_SQL = r"""
+WITH d AS (
+    SELECT doc_id, lang, source, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id NULLS LAST) AS copy
+    FROM documents),
+counted AS (
+    SELECT source, lang, len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) AS words,
+           len(regexp_extract_all(text, '[.,;:!?]')) AS stops
+    FROM d WHERE copy = 1)
+SELECT source, lang, CASE WHEN lang = 'en' THEN 'words-2' ELSE 'words-1' END AS tokenizer,
+       count(*) AS documents, CAST(sum(words + CASE WHEN lang = 'en' THEN stops ELSE 0 END) AS BIGINT) AS tokens
+FROM counted GROUP BY ALL
+"""
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written to seekable token files and read back."""
     back, folder = token_files.round_trip(table(spark, sf_dir, "documents"), end_id=2)
@@ -64,15 +90,25 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents by a Bradley-Terry model of their labels."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.digest(quality.scores(docs, quality.train(docs, table(spark, sf_dir, "labels"))))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_simhash_dedup": op2_simhash_dedup,
+    "op3_bpe": op3_bpe,
     "op4_packing": op4_packing,
     "op5_sharding": op5_sharding,
     "op6_topk": op6_topk,
+    "op7_token_counts": op7_token_counts,
     "op9_token_files": op9_token_files,
+    "op10_quality": op10_quality,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_topk": OP6_SQL,
+    "op7_token_counts": OP7_SQL,
 }
