@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from patronage.llm.common import checkpointed, prepare, unsigned
@@ -61,17 +61,22 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
 
 def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                  words: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id, fp: each row's fingerprint as a (signed) bigint. Null texts
-    count as empty; null ids stay; further columns aren't read."""
+    """doc_id, hash (xxhash64 of the text), fp (the fingerprint as a signed
+    bigint) of each row. Null texts count as empty; null ids stay; further
+    columns aren't read."""
     prepare(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = np.fromiter((fingerprint(t.as_py(), words) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            fps = np.fromiter((fingerprint(t.as_py(), words) for t in batch.column(2)), np.uint64, batch.num_rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps.view(np.int64))], names=["doc_id", "hash", "fp"])
 
-    return (docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-            .mapInArrow(run, "doc_id bigint, fp bigint"))
+    return (docs.select(F.col(id_col).cast("long"), _hash(text_col), F.col(text_col).cast("string"))
+            .mapInArrow(run, "doc_id bigint, hash bigint, fp bigint"))
+
+
+def _hash(text_col: str):
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
 
 
 def _forest(left: np.ndarray, right: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -143,8 +148,9 @@ def links(nodes: DataFrame, *, max_bits: int = MAX_BITS, segments: int = SEGMENT
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS,
                     max_bits: int = MAX_BITS, segments: int = SEGMENTS, block: int = BLOCK) -> DataFrame:
-    """One row per input row: doc_id, fp, component_id (the smallest doc_id
-    that links reach, itself included; null if there is none but null ids).
+    """One row per input row: doc_id, hash, fp, root (the component's smallest
+    fingerprint), component_id (the smallest doc_id that links reach, itself
+    included; null if there is none but null ids).
 
     Null and empty texts and texts of white space have fingerprint 0 and link
     like any other. Rows of equal id or text are rows of their own. An empty
@@ -155,8 +161,23 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     roots = components(links(nodes.select("fp"), max_bits=max_bits, segments=segments, block=block))
     rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of = rooted.join(least, "root").select("fp", "component_id")
-    return found.join(of, "fp").select("doc_id", "fp", "component_id")
+    of = rooted.join(least, "root").select("fp", "root", "component_id")
+    return found.join(of, "fp").select("doc_id", "hash", "fp", "root", "component_id")
+
+
+def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each component, all columns: that of the
+    smallest id (null ids last; of rows that share it the one of least text hash)."""
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
+    row = F.struct(F.col("doc_id").isNull().alias("null_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), "hash")
+    kept = found.groupBy("root").agg(F.min(row).alias("row")).select(F.col("row.null_id").alias("_null_id"), F.col("row.id").alias("_id"),
+                                                                     F.col("row.hash").alias("_hash"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.select(whole.alias("_row"), F.col(id_col).isNull().alias("_null_id"),
+                        F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("_id"), _hash(text_col).alias("_hash"))
+    same = Window.partitionBy("_null_id", "_id", "_hash").orderBy(F.xxhash64("_row"))
+    one = keyed.join(kept, ["_null_id", "_id", "_hash"]).withColumn("_nth", F.row_number().over(same)).where("_nth = 1")
+    return one.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
 
 
 def digest(rows: DataFrame) -> DataFrame:
