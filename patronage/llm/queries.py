@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm import bpe, fingerprints, packing, quality, sharding, simhash_dedup, token_counts, token_files, topk
-from patronage.llm.common import checkpointed, remove_path, table
+from patronage.llm import bpe, fingerprints, packing, quality, sharding, simhash_dedup, suffix_dedup, token_counts, token_files, topk
+from patronage.llm.common import checkpointed, remove_path, scratch_path, table
 
 
 def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,10 +82,17 @@ FROM counted GROUP BY ALL
 """
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What goes of each document when strings of 400 bytes that start twice go."""
+    return suffix_dedup.measure(table(spark, sf_dir, "documents"), 400)
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written to seekable token files and read back."""
-    back, folder = token_files.round_trip(table(spark, sf_dir, "documents"), end_id=2)
-    out = checkpointed(token_files.digest(back))
+    folder = scratch_path(spark, "tokens")
+    manifest = token_files.write(table(spark, sf_dir, "documents"), folder, end_id=2)
+    rows = token_files.placed(token_files.digest(token_files.read(spark, folder)), manifest)
+    out = checkpointed(rows.select("doc_id", "start", "n_tokens", "ids_crc32"))
     remove_path(spark, folder)
     return out
 
@@ -104,6 +111,7 @@ QUERIES = {
     "op5_sharding": op5_sharding,
     "op6_topk": op6_topk,
     "op7_token_counts": op7_token_counts,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_token_files": op9_token_files,
     "op10_quality": op10_quality,
 }

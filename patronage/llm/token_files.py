@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from patronage.llm.byte_bpe import byte_bpe, vocabulary
-from patronage.llm.common import checkpointed, prepare, scratch_path
+from patronage.llm.common import checkpointed, prepare
 
 # Fixed values of the file format.
 INDEX_MAGIC, TABLE_MAGIC, FOOTER_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
@@ -214,12 +214,20 @@ def _with_first(manifest: DataFrame) -> DataFrame:
             .select("task", "number", "file", "documents", "tokens", "bytes", (F.col("base") + F.col("before")).alias("first")))
 
 
+def _any_file(spark: SparkSession, folder: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{folder.rstrip('/')}/*.tok.zst")
+    found = place.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(place)
+    return found is not None and len(found) > 0
+
+
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """All documents of the files in ``folder``: file, number_in_file, doc_id,
     first (ids before it in its file), ids (little-endian unsigned 32-bit
     integers). Every frame is held against its checksum. Files that the
     manifest doesn't list are to be left out by a join on ``file``."""
     prepare(spark)
+    if not _any_file(spark, folder):
+        return spark.createDataFrame([], DOCUMENTS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -237,21 +245,15 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     return named.mapInArrow(run, DOCUMENTS)
 
 
-def round_trip(docs: DataFrame, **options) -> tuple[DataFrame, str]:
-    """Write the documents under the shared checkpoint folder and read them
-    back: doc_id, start (ids of all documents before it), ids. Also returns the
-    folder, for the caller to remove when the rows have been used."""
-    spark = docs.sparkSession
-    prepare(spark)
-    folder = scratch_path(spark, "tokens")
-    manifest = write(docs, folder, **options)
-    if manifest.isEmpty():
-        return spark.createDataFrame([], "doc_id bigint, start bigint, ids binary"), folder
-    back = read(spark, folder)
+def placed(rows: DataFrame, manifest: DataFrame) -> DataFrame:
+    """Rows of listed files, their ``first`` replaced by start: the ids of all
+    documents before. What is needed of the ids is best taken before, so that
+    the ids themselves aren't shuffled."""
     listed = manifest.select("file", F.col("first").alias("base"))
-    return back.join(listed, "file").select("doc_id", (F.col("base") + F.col("first")).alias("start"), "ids"), folder
+    return rows.join(listed, "file").withColumn("start", F.col("base") + F.col("first")).drop("file", "base", "first")
 
 
-def digest(back: DataFrame) -> DataFrame:
-    return back.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+def digest(rows: DataFrame) -> DataFrame:
+    """Rows of :func:`read` with the number and crc32 of the ids for the ids."""
+    return rows.select("file", "doc_id", "first", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                        F.crc32("ids").alias("ids_crc32"))
