@@ -6,12 +6,13 @@ partition is a tuple of loads, one per shard. The method repeatedly takes the
 two partial partitions of largest spread and adds them in opposite order, so
 that large loads meet small ones.
 
-Done in two levels, since one heap over all groups would be one task: groups
-are dealt by hash into buckets of a few thousand, each bucket is differenced
-to one tuple in its own task, and the buckets' tuples (a few numbers per
-bucket) are differenced in the same way. Both levels are the same operation,
-so the result is a Karmarkar-Karp partition whose first combinations are made
-inside a bucket.
+One heap over all groups would be one task, so it is done in two steps. The
+``groups_per_bucket`` largest groups are differenced alone. All others are
+dealt by hash into buckets of about as many, and each bucket is differenced in
+its own task, together with one more partial partition: the first step's
+loads, scaled to the bucket's share of all that is left. So each bucket fills
+up its part of what the large groups left uneven, and the buckets' results
+add up shard by shard.
 """
 
 from __future__ import annotations
@@ -26,8 +27,7 @@ from pyspark.sql import functions as F
 
 from patronage.llm.common import checkpointed, prepare
 
-GROUPS_PER_BUCKET = 4_000  # also the number of rows (by doc_id hash) that one task numbers
-LEVEL_TUPLES = 2_000       # tuples that one task combines at the upper levels
+GROUPS_PER_BUCKET = 4_000  # also bounds what the driver holds; and a quarter of the rows that one task numbers
 
 
 def difference(parts: Iterable[Sequence[int]], shards: int) -> tuple[list[int], list[list[int]]]:
@@ -82,42 +82,28 @@ def difference(parts: Iterable[Sequence[int]], shards: int) -> tuple[list[int],
     return [load for load, _ in final] + [0] * (shards - len(final)), where
 
 
-def _level(tuples: DataFrame, per_task: int, shards: int) -> tuple[DataFrame, DataFrame, int]:
-    """Combine tuples (key, slot, load) bucket by bucket. Returns the mapping
-    (key, slot) -> (bucket, into), the buckets' own tuples (key, slot, load) and their number."""
-    n = tuples.select("key").distinct().count()
-    buckets = max(1, -(-n // per_task))
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["key", "slot"], kind="stable")
-        starts = np.flatnonzero(np.r_[True, (frame["key"].values[1:] != frame["key"].values[:-1])])
-        loads = np.split(frame["load"].values, starts[1:])
-        total, where = difference([x.tolist() for x in loads], shards)
-        into = np.concatenate([np.asarray(w, np.int64) for w in where])
-        return pd.DataFrame({"key": frame["key"].values, "slot": frame["slot"].values,
-                             "bucket": frame["bucket"].values, "into": into,
-                             "total": np.asarray(total, np.int64)[into]})
-
-    moved = checkpointed(
-        tuples.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
-        .groupBy("bucket").applyInPandas(run, "key bigint, slot bigint, bucket bigint, into bigint, total bigint"))
-    upper = moved.select(F.col("bucket").alias("key"), F.col("into").alias("slot"),
-                         F.col("total").alias("load")).distinct()
-    return moved.select("key", "slot", "bucket", "into"), upper, buckets
-
-
 def balance(groups: DataFrame, shards: int, *, groups_per_bucket: int = GROUPS_PER_BUCKET) -> DataFrame:
     """Shard of each group. ``groups``: key bigint (unique), load bigint >= 0.
-    Returns key, shard; no group leaves a shard, loads are near equal unless
-    single groups are larger than a shard's share."""
-    tuples = groups.select("key", F.lit(0).cast("long").alias("slot"), "load")
-    moved, upper, buckets = _level(tuples, groups_per_bucket, shards)
-    placed = moved.select("key", F.col("bucket").alias("b"), F.col("into").alias("s"))
-    while buckets > 1:
-        step, upper, buckets = _level(upper, LEVEL_TUPLES, shards)
-        step = step.select(F.col("key").alias("b"), F.col("slot").alias("s"), "bucket", "into")
-        placed = placed.join(step, ["b", "s"]).select("key", F.col("bucket").alias("b"), F.col("into").alias("s"))
-    return placed.select("key", F.col("s").cast("int").alias("shard"))
+    Returns key, shard; loads are near equal unless single groups are larger
+    than a shard's share."""
+    spark = groups.sparkSession
+    large = groups.orderBy(F.desc("load"), "key").limit(groups_per_bucket).collect()
+    loads, where = difference([[r["load"]] for r in large], shards)
+    first = spark.createDataFrame([(r["key"], w[0]) for r, w in zip(large, where, strict=True)], "key bigint, shard int")
+    rest = groups.join(F.broadcast(first), "key", "left_anti")  # groups_per_bucket rows
+    left = rest.agg(F.count(F.lit(1)).alias("n"), F.sum("load").alias("load")).first()
+    buckets, total = max(1, -(-left["n"] // groups_per_bucket)), left["load"] or 0
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("key")
+        items = frame["load"].tolist()
+        share = [x * sum(items) // max(1, total) for x in loads]
+        _, where = difference([share, *([x] for x in items)], shards)
+        shard_of = {slot: s for s, slot in enumerate(where[0])}
+        return pd.DataFrame({"key": frame["key"].to_numpy(), "shard": np.array([shard_of[w[0]] for w in where[1:]], np.int32)})
+
+    dealt = rest.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+    return dealt.groupBy("bucket").applyInPandas(run, "key bigint, shard int").unionAll(first)
 
 
 def shard(docs: DataFrame, shards: int = 40, *, id_col: str = "doc_id", text_col: str = "text", overhead: int = 16,
