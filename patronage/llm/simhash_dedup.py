@@ -99,7 +99,8 @@ def _forest(left: np.ndarray, right: np.ndarray, max_bits: int) -> tuple[np.ndar
 
 
 def _balls(width: int, radius: int) -> list[int]:
-    return [sum(1 << b for b in bits) for n in range(radius + 1) for bits in itertools.combinations(range(width), n)]
+    """Bit masks of the ball, as signed 64-bit numbers."""
+    return [sum(1 << b if b < 63 else -1 << 63 for b in bits) for n in range(radius + 1) for bits in itertools.combinations(range(width), n)]
 
 
 def links(nodes: DataFrame, *, max_bits: int = MAX_BITS, segments: int = SEGMENTS, block: int = BLOCK) -> DataFrame:

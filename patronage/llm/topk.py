@@ -107,7 +107,10 @@ class _Block:
 
     def _enter(self, at: int, ids: np.ndarray, scores: np.ndarray) -> None:
         scores, ids = np.concatenate([self.best[at][0], scores]), np.concatenate([self.best[at][1], ids])
-        order = np.lexsort((ids, -scores))[:self.k]
+        order = np.lexsort((ids, -scores))
+        if len(set(ids.tolist())) < len(ids):  # rows that share an id count once
+            order = order[np.sort(np.unique(ids[order], return_index=True)[1])]
+        order = order[:self.k]
         self.best[at] = scores[order], ids[order]
         if len(order) == self.k:
             self.least[at] = scores[order[-1]]
