@@ -6,7 +6,6 @@ compile these tables into native Spark column expressions.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES — these must equal the source system's constants for results
@@ -141,25 +140,3 @@ ADAPTER_CATEGORY_RULES = (
     ("Garden & Outdoor", r"ANVIL|ROD"),
 )
 ADAPTER_STATUS = (("F", "Completed"), ("O", "Open"), ("P", "Pending"))
-
-
-@dataclass(frozen=True)
-class Rules:
-    """Which of the two reference rule sets a query follows.
-
-    ``sql``: the database scripts (NTILE scores, SQL segment table, calendar-day
-    recency, rounded span, NULL margin on zero revenue, inner margin join).
-    ``notebook``: the pandas notebooks (qcut on first-rank, notebook segment
-    table, 24-hour recency, unrounded span, 0.48 default margin).
-    """
-
-    name: str = "sql"
-    segment_rules: tuple = field(default=SQL_SEGMENT_RULES)
-
-    @staticmethod
-    def of(name: str) -> "Rules":
-        if name == "sql":
-            return Rules("sql", SQL_SEGMENT_RULES)
-        if name == "notebook":
-            return Rules("notebook", NOTEBOOK_SEGMENT_RULES)
-        raise ValueError(f"unknown rule set {name!r}")

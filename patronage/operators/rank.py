@@ -1,192 +1,211 @@
-"""Exact global ranks, NTILE and qcut without a single-partition sort.
-
-A window with ``ORDER BY`` and no ``PARTITION BY`` runs on one task. For tile
-scores over every customer that is the one step that does not scale, so the
-rank is computed in a distributed way instead:
-
-1. range-partition on the full order (which always ends in a unique key, so
-   heavy ties still split across partitions) and sort inside partitions;
-2. write the result once as Parquet into the shared checkpoint folder (one
-   file per range partition), so the sampled range bounds cannot change
-   between the two reads below;
-3. count rows per file (P rows, P = partition count) and turn the counts
-   into offsets with a running sum; broadcast those P rows;
-4. rank = offset of the file + ``_metadata.row_index`` inside the file.
-
-When a proven upper bound on the row count (e.g. the customer dimension for
-a per-customer table) is below a threshold, plain windows in the same plan
-are cheaper and are used instead; both paths give identical ranks.
-NTILE(k) and pandas-style ``qcut(rank, k)`` are then integer arithmetic on
-(rank, n).
+"""Exact global ranks, NTILE, qcut and quantiles without a single-partition sort.
+
+A window with ``ORDER BY`` and no ``PARTITION BY`` runs on one task. Two
+distributed forms replace it, at every size:
+
+* :func:`order_statistics` finds the rows at a few given ranks. Only a slim
+  frame (metric, value, key) is range-partitioned, all metrics in one shuffle;
+  the row counts of its partitions (one number each) tell which partition
+  holds a rank, and only those few partitions are numbered.
+* :func:`add_tiles` turns the rows at the tile borders into literals, so that a
+  tile is a comparison with at most k - 1 cut keys, evaluated where the row is.
+* :func:`number_rows` gives every row its rank (surrogate ids): the sorted
+  partitions are written once and each file's rows start after the files before it.
+
+All orders end in a unique key, so a value that a third of all rows share still
+spreads over partitions. The input is materialised once in the shared
+checkpoint folder; building such a query therefore runs Spark jobs.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from patronage.session import ensure_checkpoint_dir
 
-LOCAL_ROWS_CONF = "patronage.rank.localRows"
-DEFAULT_LOCAL_ROWS = 250_000
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Cut lineage into the shared checkpoint folder. Spark removes the files
+    when no plan needs them any more, if
+    ``spark.cleaner.referenceTracking.cleanCheckpoints`` is on."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage: write ``df`` once as Parquet into the session's shared
-    checkpoint folder and read it back.
 
-    A reliable ``checkpoint()`` of an uncached plan computes it twice (one job
-    to count, one to write); a table write computes it once, survives executor
-    loss, and keeps per-file row positions (``_metadata.row_index``).
-    """
-    root = ensure_checkpoint_dir(df.sparkSession)
-    path = f"{root.rstrip('/')}/patronage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def _local_rows(df: DataFrame, local_rows: int | None) -> int:
-    if local_rows is not None:
-        return local_rows
-    value = df.sparkSession.conf.get(LOCAL_ROWS_CONF, None)
-    return DEFAULT_LOCAL_ROWS if value is None else int(value)
-
-
-def _range_partitions(df: DataFrame, partitions: int | None) -> int:
-    """Range partition count: the given one, else the session's shuffle width
-    (size ``spark.sql.shuffle.partitions`` for the cluster). Optimizer size
-    estimates are deliberately not used: without table statistics a cross
-    join with a one-row scalar is estimated as the product of both sides."""
-    return partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def _distributed_rank(df: DataFrame, order: Sequence[Column], name: str,
-                      partitions: int | None) -> DataFrame:
-    parts = _range_partitions(df, partitions)
-    # One file per range partition, rows sorted inside: file name order is
-    # partition order and _metadata.row_index is the position in the file.
-    ordered = materialize(df.repartitionByRange(parts, *order).sortWithinPartitions(*order))
-    tagged = ordered.select("*", F.col("_metadata.file_path").alias("_file"),
-                            F.col("_metadata.row_index").alias("_pos"))
-    counts = tagged.groupBy("_file").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per file (= per partition): bounded by the partition count, safe to broadcast.
-    offsets = counts.select("_file", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    return (tagged.join(F.broadcast(offsets), "_file")
-            .withColumn(name, F.col("_pos") + F.col("_off") + 1)
-            .drop("_file", "_pos", "_off"))
-
-
-def add_ranks(df: DataFrame, orders: Mapping[str, Sequence[Column]], *,
-              bound: int | None = None, counts: Mapping[str, Column] | None = None,
-              local_rows: int | None = None, partitions: int | None = None,
-              deterministic: bool = True) -> DataFrame:
-    """Add one 1-based rank column per ``orders`` entry, plus ``_n`` (row
-    count) and one count column per ``counts`` entry (rows where the
-    condition holds).
-
-    Every order must end in a unique key so the ranks are a total order
-    (the equivalent of pandas ``rank(method='first')`` on a sorted frame).
-
-    * ``bound`` (a proven upper bound on the row count, e.g. the size of the
-      customer dimension for a per-customer table) at or below the threshold:
-      plain windows inside the same plan, nothing materialised;
-    * otherwise one distributed rank per order (:func:`_distributed_rank`),
-      which materialises the range-sorted rows once; the counts are read from
-      that table. A ``deterministic=False`` input (e.g. one carrying
-      ``monotonically_increasing_id``) is materialised first, because the
-      range sampler and the shuffle read it twice.
-
-    Both paths give identical ranks (tested).
-    """
-    counts = dict(counts or {})
-    if bound is not None and bound <= _local_rows(df, local_rows):
-        out = df
-        everything = Window.partitionBy()
-        for name, order in orders.items():
-            out = out.withColumn(name, F.row_number().over(Window.orderBy(*order)))
-        out = out.withColumn("_n", F.count(F.lit(1)).over(everything))
-        for name, cond in counts.items():
-            out = out.withColumn(name, F.sum(cond.cast("long")).over(everything))
-        return out
-    out = df if deterministic else materialize(df)
-    for name, order in orders.items():
-        out = _distributed_rank(out, order, name, partitions)
-    # one-row totals over the ranked table, broadcast (bounded at one row)
-    totals = out.agg(F.count(F.lit(1)).alias("_n"),
-                     *[F.count_if(c).alias(k) for k, c in counts.items()])
-    return out.crossJoin(F.broadcast(totals))
-
-
-def with_totals(df: DataFrame, totals: Mapping[str, Column], *, bound: int | None = None,
-                local_rows: int | None = None) -> DataFrame:
-    """Add whole-table aggregates (e.g. a max date) as columns.
-
-    A bounded input (see :func:`add_ranks`) is moved to one partition anyway
-    by the rank windows that follow, so the totals are windows over that same
-    partition. Otherwise the input is materialised once and a one-row
-    aggregate of it is broadcast (bounded at one row).
+@dataclass(frozen=True)
+class Metric:
+    """A value to rank by (ascending, NULL first) and, if only some rows are
+    to be ranked, their condition (the others rank last)."""
+
+    value: str
+    only: str | None = None
+
+
+def _sort_key(df: DataFrame, metric: Metric, key: str) -> list[Column]:
+    """(left out, exact value, floating value, key): a metric's total order."""
+    value = F.col(metric.value)
+    out = ~F.coalesce(F.col(metric.only), F.lit(False)) if metric.only else F.lit(False)
+    floating = isinstance(df.schema[metric.value].dataType, (FloatType, DoubleType))
+    exact = F.lit(None) if floating else value
+    return [out.alias("out"), exact.cast("decimal(38,6)").alias("exact"),
+            (value if floating else F.lit(None)).cast("double").alias("floating"), F.col(key).alias("key")]
+
+
+SORT = ["out", "exact", "floating", "key"]
+
+
+def order_statistics(df: DataFrame, metrics: Mapping[str, Metric], key: str,
+                     ranks: Callable[[str, int], Sequence[int]]) -> tuple[dict[str, dict[int, tuple]], dict[str, int]]:
+    """The sort keys at some ranks of each metric.
+
+    ``df`` must be materialised (it is read twice); ``key`` is unique.
+    ``ranks(name, n)`` gives the 1-based ranks wanted among the n rows that
+    the metric ranks; ranks outside 1..n are left out. Returns
+    ``{name: {rank: sort key}}`` and ``{name: n}``. The driver holds one count
+    per partition and the rows asked for.
     """
-    if bound is not None and bound <= _local_rows(df, local_rows):
-        everything = Window.partitionBy()
-        return df.select("*", *[agg.over(everything).alias(name) for name, agg in totals.items()])
-    base = materialize(df)
-    one = base.agg(*[agg.alias(name) for name, agg in totals.items()])
-    return base.crossJoin(F.broadcast(one))
-
-
-def ntile(rank: Column | str, n: Column | int | str, k: int) -> Column:
-    """SQL ``NTILE(k)`` from a 1-based rank among n rows: the first n mod k
-    tiles hold one row more than the rest. With column names the expression
-    is built as one SQL expression."""
-    if isinstance(rank, str) and isinstance(n, str):
-        return F.expr(ntile_sql(rank, n, k, div="div"))
-    n = F.lit(n) if isinstance(n, int) else n
-    q = F.floor(n / k)
-    r = n - q * k
-    big = r * (q + 1)
-    head = F.floor((rank + q) / (q + 1))
-    tail = r + F.floor(F.try_divide(rank - big + q - 1, q))
-    return F.when(rank <= big, head).otherwise(tail).cast("int")
-
-
-def ntile_sql(rank: str, n: str, k: int, div: str = "//") -> str:
-    """SQL text of :func:`ntile` with ``n`` an SQL expression; ``div`` is the
-    dialect's integer division operator (``//`` DuckDB, ``div`` Spark)."""
-    q = f"({n} {div} {k})"
-    r = f"({n} % {k})"
-    big = f"({r} * ({q} + 1))"
-    return (f"CAST(CASE WHEN {rank} <= {big} THEN ({rank} + {q}) {div} ({q} + 1) "
-            f"ELSE {r} + ({rank} - {big} + {q} - 1) {div} {q} END AS INTEGER)")
-
-
-def qcut(rank: Column | str, n: Column | int | str, k: int) -> Column:
+    names = list(metrics)
+    totals = df.agg(F.count(F.lit(1)).alias("all"), *[
+        F.count_if(F.col(m.only) if m.only else F.lit(True)).alias(f"n_{i}") for i, m in enumerate(metrics.values())]).first()
+    sizes = {name: totals[f"n_{i}"] for i, name in enumerate(names)}
+    slim = df.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("metric"), *_sort_key(df, metrics[name], key)) for i, name in enumerate(names)])))
+    ranged = checkpointed(slim.repartitionByRange("metric", *SORT).withColumn("part", F.spark_partition_id()))
+    wanted: dict[tuple[int, int], tuple[str, int]] = {}
+    starts, at = [], 0
+    for row in sorted(ranged.groupBy("part").count().collect()):
+        starts.append((row["part"], at, at + row["count"]))
+        at += row["count"]
+    for i, name in enumerate(names):
+        for rank in ranks(name, sizes[name]):
+            if 1 <= rank <= sizes[name]:
+                place = i * totals["all"] + rank
+                part, low = next((p, lo) for p, lo, hi in starts if place <= hi)
+                wanted[part, place - low] = (name, rank)
+    found: dict[str, dict[int, tuple]] = {name: {} for name in names}
+    if wanted:
+        numbered = (ranged.where(F.col("part").isin(sorted({p for p, _ in wanted})))
+                    .withColumn("nth", F.row_number().over(Window.partitionBy("part").orderBy("metric", *SORT))))
+        hit = F.lit(False)
+        for part, nth in wanted:
+            hit = hit | ((F.col("part") == part) & (F.col("nth") == nth))
+        for r in numbered.where(hit).collect():
+            name, rank = wanted[r["part"], r["nth"]]
+            found[name][rank] = tuple(r[c] for c in SORT)
+    return found, sizes
+
+
+def ntile_border(j: int, n: int, k: int) -> int:
+    """Last rank of SQL ``NTILE(k)``'s tile j among n rows: the first n mod k
+    tiles hold one row more than the rest."""
+    return j * (n // k) + min(j, n % k)
+
+
+def qcut_bin(rank: int, n: int, k: int) -> int:
     """pandas ``qcut(rank, k)`` bin (1-based) for ranks 1..n.
 
     Bin edges sit at 1 + j(n-1)/k; a rank on an edge belongs to the lower bin
     except where the float edge falls just below the integer (k = 3 with
-    n = 1 mod 3), where it moves up one bin. (pandas raises for n = 1; we
-    give bin 1.) With column names the expression is one SQL expression.
+    n = 1 mod 3), where it moves up one bin. (pandas raises for n = 1; here it is bin 1.)
     """
-    if isinstance(rank, str) and isinstance(n, str):
-        return F.expr(qcut_sql(rank, n, k, div="div"))
-    n = F.lit(n) if isinstance(n, int) else n
-    down = F.greatest(F.lit(1), F.floor(F.try_divide(F.lit(k) * (rank - 1) + (n - 2), n - 1)))
-    binned = down
-    if k == 3:
-        up = F.least(F.lit(k), F.floor(F.try_divide(F.lit(k) * (rank - 1), n - 1)) + 1)
-        binned = F.when(n % 3 == 1, up).otherwise(down)
-    return F.when(n <= 1, F.lit(1)).otherwise(binned).cast("int")
-
-
-def qcut_sql(rank: str, n: str, k: int, div: str = "//") -> str:
-    """SQL text of :func:`qcut` (``div`` as in :func:`ntile_sql`)."""
-    up = f"LEAST({k}, ({k} * ({rank} - 1)) {div} ({n} - 1) + 1)"
-    down = f"GREATEST(1, ({k} * ({rank} - 1) + {n} - 2) {div} ({n} - 1))"
-    if k == 3:
-        return (f"CAST(CASE WHEN {n} <= 1 THEN 1 WHEN {n} % 3 = 1 THEN {up} "
-                f"ELSE {down} END AS INTEGER)")
-    return f"CAST(CASE WHEN {n} <= 1 THEN 1 ELSE {down} END AS INTEGER)"
+    if n <= 1:
+        return 1
+    if k == 3 and n % 3 == 1:
+        return min(k, k * (rank - 1) // (n - 1) + 1)
+    return max(1, (k * (rank - 1) + n - 2) // (n - 1))
+
+
+def qcut_border(j: int, n: int, k: int) -> int:
+    """Last rank of qcut's bin j (bins are ascending in the rank)."""
+    low, high = 0, n
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if qcut_bin(mid, n, k) <= j else (low, mid - 1)
+    return low
+
+
+def add_tiles(df: DataFrame, key: str, tiles: Mapping[str, tuple[Metric, int]],
+              border: Callable[[int, int, int], int] = ntile_border) -> DataFrame:
+    """Add one 1-based tile column per entry of ``tiles`` (metric, number of
+    tiles); ``border(j, n, k)`` is the last rank of tile j. Rows that a metric
+    leaves out get its last tile. ``key`` is unique."""
+    base = checkpointed(df)
+    found, sizes = order_statistics(base, {name: m for name, (m, _) in tiles.items()}, key,
+                                    lambda name, n: [border(j, n, tiles[name][1]) for j in range(1, tiles[name][1])])
+    out = base
+    for name, (metric, k) in tiles.items():
+        mine = F.struct(*_sort_key(base, metric, key))
+        tile = F.lit(1)
+        for j in range(1, k):
+            rank = border(j, sizes[name], k)
+            if rank < 1:  # an empty tile at the front: all rows are beyond it
+                tile = tile + 1
+            elif rank < sizes[name]:
+                left_out, exact, floating, at = found[name][rank]
+                cut = F.struct(F.lit(left_out).alias("out"), F.lit(exact).cast("decimal(38,6)").alias("exact"),
+                               F.lit(floating).cast("double").alias("floating"),
+                               F.lit(at).cast(base.schema[key].dataType).alias("key"))
+                tile = tile + (mine > cut).cast("int")
+        out = out.withColumn(name, tile.cast("int"))
+    return out
+
+
+def quantiles(df: DataFrame, key: str, wanted: Mapping[str, Sequence[float]]) -> dict[tuple[str, float], float | None]:
+    """numpy 'linear' quantiles of columns of a materialised frame, NULL
+    ranking first. ``wanted``: column -> quantiles. None for an empty frame."""
+    def around(n: int, q: float) -> tuple[int, int, float]:
+        h = (n - 1) * q
+        return int(h) + 1, min(int(h) + 2, n), h - int(h)
+
+    found, sizes = order_statistics(df, {c: Metric(c) for c in wanted}, key,
+                                    lambda c, n: [r for q in wanted[c] for r in around(n, q)[:2]] if n else [])
+    out: dict[tuple[str, float], float | None] = {}
+    for c, qs in wanted.items():
+        for q in qs:
+            if not sizes[c]:
+                out[c, q] = None
+                continue
+            low, high, g = around(sizes[c], q)
+            a, b = ((float(v) if v is not None else None) for v in (
+                found[c][r][1] if found[c][r][1] is not None else found[c][r][2] for r in (low, high)))
+            if a is None or b is None:
+                out[c, q] = None
+            else:
+                out[c, q] = b - (b - a) * (1 - g) if g >= 0.5 else a + (b - a) * g
+    return out
+
+
+# ---------------------------------------------------------------------------
+# a rank for every row
+# ---------------------------------------------------------------------------
+
+def file_number(path: Column) -> Column:
+    """The partition number in a part file's name. Names aren't compared as
+    text: Spark pads to five digits, and ``part-100000`` sorts before ``part-99999``."""
+    return F.regexp_extract(path, r"part-(\d+)-", 1).cast("long")
+
+
+def number_rows(df: DataFrame, order: Sequence[Column], name: str, folder: str | None = None,
+                partitions: int | None = None) -> DataFrame:
+    """Add a consecutive 1-based number in ``order`` (which ends in a unique
+    key). The sorted rows are written once under ``folder`` (default: a new
+    folder in the shared checkpoint folder, for the caller's session to keep)
+    and read back, one file per range partition."""
+    spark = df.sparkSession
+    path = folder or f"{ensure_checkpoint_dir(spark).rstrip('/')}/patronage-{uuid.uuid4().hex}"
+    width = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartitionByRange(width, *order).sortWithinPartitions(*order).write.option("maxRecordsPerFile", 0).parquet(path)
+    tagged = spark.read.schema(df.schema).parquet(path).select(
+        "*", file_number(F.col("_metadata.file_path")).alias("_part"), F.col("_metadata.row_index").alias("_pos"))
+    counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per file, so as many as range partitions
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    return (tagged.join(F.broadcast(offsets), "_part")
+            .withColumn(name, F.col("_pos") + F.col("_off") + 1).drop("_part", "_pos", "_off"))

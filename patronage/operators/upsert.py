@@ -10,13 +10,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def last_per_key(updates: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per key: the last by ``order`` (ties: the largest row)."""
+    rest = [c for c in updates.columns if c not in key]
+    last = updates.groupBy(*key).agg(F.max_by(F.struct(*rest), F.struct(*order, *rest)).alias("_last"))
+    return last.select(*[F.col(c) if c in key else F.col(f"_last.{c}").alias(c) for c in updates.columns])
+
+
+def require_unique(df: DataFrame, key: Sequence[str], what: str) -> None:
+    """Raise if a key has several rows."""
+    several = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").limit(1).collect()
+    if several:
+        raise ValueError(f"{what} has several rows for key {[several[0][k] for k in key]}; give an order to keep the last")
+
+
 def upsert(target: DataFrame, updates: DataFrame, key: Sequence[str],
            update_cols: Sequence[str] | None = None) -> DataFrame:
     """Merge ``updates`` into ``target`` on ``key``.
 
     Matching rows take the ``update_cols`` from ``updates`` and keep every
     other column; unmatched update rows are inserted (columns they lack are
-    NULL); unmatched target rows are kept. Both sides must be unique on key.
+    NULL); unmatched target rows are kept. Both sides must be unique on key
+    (:func:`last_per_key` makes updates so, :func:`write_upsert` checks it).
     One full outer join on the key (a shuffle of both sides by key).
     """
     key = list(key)
@@ -42,26 +57,40 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def latest_version(spark: SparkSession, root: str) -> str | None:
-    """Newest ``v<NNNNNN>`` directory under ``root`` (None if there is none)."""
+def _versions(spark: SparkSession, root: str) -> list[tuple[int, bool]]:
+    """(number, finished) of the versions under ``root``, ascending."""
     fs, p = _fs(spark, root)
     if not fs.exists(p):
-        return None
-    names = sorted(s.getPath().getName() for s in fs.listStatus(p)
-                   if s.isDirectory() and s.getPath().getName().startswith("v"))
-    return f"{root.rstrip('/')}/{names[-1]}" if names else None
+        return []
+    found = []
+    for s in fs.listStatus(p):
+        name = s.getPath().getName()
+        if s.isDirectory() and name[:1] == "v" and name[1:].isdigit():
+            mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")
+            found.append((int(name[1:]), fs.exists(mark)))
+    return sorted(found)
+
+
+def latest_version(spark: SparkSession, root: str) -> str | None:
+    """Newest finished ``v<number>`` directory under ``root`` (None if there is
+    none). A version that a crash left unfinished doesn't count."""
+    done = [n for n, finished in _versions(spark, root) if finished]
+    return f"{root.rstrip('/')}/v{done[-1]:06d}" if done else None
 
 
 def write_upsert(spark: SparkSession, root: str, updates: DataFrame, key: Sequence[str],
-                 update_cols: Sequence[str] | None = None) -> str:
+                 update_cols: Sequence[str] | None = None, order: Sequence[str] | None = None) -> str:
     """Upsert into the versioned Parquet table at ``root``; returns the path of
-    the new version. Readers use :func:`latest_version`."""
-    current = latest_version(spark, root)
-    if current is None:
-        merged, nxt = updates, 1
+    the new version, numbered past all others. Readers use
+    :func:`latest_version`. If a key may have several update rows, ``order``
+    keeps the last; without it they are an error."""
+    if order:
+        updates = last_per_key(updates, key, order)
     else:
-        merged = upsert(spark.read.parquet(current), updates, key, update_cols)
-        nxt = int(current.rsplit("/v", 1)[1]) + 1
+        require_unique(updates, key, "the update")
+    current = latest_version(spark, root)
+    merged = updates if current is None else upsert(spark.read.parquet(current), updates, key, update_cols)
+    nxt = max([n for n, _ in _versions(spark, root)], default=0) + 1
     out = f"{root.rstrip('/')}/v{nxt:06d}"
     merged.write.mode("errorifexists").parquet(out)
     return out

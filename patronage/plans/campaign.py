@@ -26,16 +26,17 @@ def _matrix(col: str, field: int, default) -> Column:
 
 
 def with_campaign(master: DataFrame) -> DataFrame:
+    """Campaign, cost and expected revenue; the priority tier if there are CLV tiers."""
     name, cost, uplift = config.CAMPAIGN_FALLBACK
     seg = "rfm_segment"
-    tier = lookup_col("clv_segment", [(x, x) for x in config.TIER_ORDER], "Low")
+    tiered = "clv_segment" in master.columns
+    tier = [lookup_col("clv_segment", [(x, x) for x in config.TIER_ORDER], "Low").alias("priority_tier")] if tiered else []
     return master.select(
-        "customer_id", "rfm_segment", "clv_segment",
+        "customer_id", "rfm_segment", *(["clv_segment"] if tiered else []),
         _matrix(seg, 1, name).alias("campaign_name"),
         _matrix(seg, 2, cost).cast("int").alias("campaign_cost"),
         "clv_12m",
-        np_round(F.col("clv_12m") * _matrix(seg, 3, uplift), 2).alias("expected_revenue"),
-        tier.alias("priority_tier"))
+        np_round(F.col("clv_12m") * _matrix(seg, 3, uplift), 2).alias("expected_revenue"), *tier)
 
 
 def campaign_targets(t: Tables) -> DataFrame:
@@ -50,7 +51,7 @@ def _money(col: str) -> Column:
 def campaign_roi(t: Tables) -> DataFrame:
     """Q-35: per segment and campaign — customers, cost, average CLV,
     expected revenue, ROI % and its band."""
-    targets = with_campaign(scores.notebook_master(t))
+    targets = with_campaign(scores.notebook_master(t, tiers=False))
     agg = targets.groupBy("rfm_segment", "campaign_name").agg(
         F.count(F.lit(1)).alias("customers"),
         F.sum("campaign_cost").cast("bigint").alias("total_cost"),
@@ -67,7 +68,7 @@ def campaign_roi(t: Tables) -> DataFrame:
 
 def cac_reduction(t: Tables) -> DataFrame:
     """Q-36: blanket vs targeted campaign cost and total incremental revenue."""
-    targets = with_campaign(scores.notebook_master(t))
+    targets = with_campaign(scores.notebook_master(t, tiers=False))
     agg = targets.agg(F.count(F.lit(1)).alias("customers"),
                       F.sum("campaign_cost").cast("bigint").alias("targeted_total"),
                       _money("expected_revenue").alias("incremental"))
@@ -80,7 +81,7 @@ def cac_reduction(t: Tables) -> DataFrame:
 
 def campaign_cost_by_segment(t: Tables) -> DataFrame:
     """Q-37: per segment — customers, targeted cost, blanket cost, mean cost."""
-    targets = with_campaign(scores.notebook_master(t))
+    targets = with_campaign(scores.notebook_master(t, tiers=False))
     agg = targets.groupBy("rfm_segment").agg(
         F.count(F.lit(1)).alias("customers"),
         F.sum("campaign_cost").cast("bigint").alias("total_cost"))
@@ -109,7 +110,7 @@ def segment_counts(t: Tables) -> DataFrame:
 
 def analysis_footer(t: Tables) -> DataFrame:
     """Q-43: customers, average CLV/AOV/margin, champions and lost counts."""
-    m = scores.notebook_master(t)
+    m = scores.notebook_master(t, tiers=False)
     return m.agg(
         F.count(F.lit(1)).alias("customers"),
         np_round(_money("clv_12m").cast("double") / F.count("clv_12m"), 2).alias("avg_clv_12m"),

@@ -2,22 +2,21 @@
 
 Everything here is single-pass over the raw lines: the audit and the
 cleaning waterfall are one global aggregate each (partial per task, one
-tiny final merge), and each dimension is one grouped aggregate. "First row
-by staging order" uses ``min_by(value, staging key)`` inside the aggregate
-instead of a sort, and the modal description/category are derived from one
-(stock_code, description) count table.
+tiny final merge). "First row by staging order" keeps one row per key and
+task before the shuffle, and the modal description/category are derived from
+one (stock_code, description) count table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from patronage import config
 from patronage.functions.rules import category_col, non_merch_col
-from patronage.operators.rank import add_ranks, materialize
+from patronage.operators.rank import checkpointed, number_rows
 from patronage.plans.scores import np_round
-from patronage.sources.tables import Tables, seq_first
+from patronage.sources.tables import Tables
 
 # FIXED VALUES: audit rule labels and waterfall step labels.
 AUDIT_RULES = (
@@ -121,16 +120,31 @@ def category_distribution(t: Tables) -> DataFrame:
     return clean_lines_with_seq(t).groupBy("category").agg(F.count(F.lit(1)).alias("line_count"))
 
 
+def _first_lines(lines: DataFrame, key: str, columns: list[str], keep=None) -> DataFrame:
+    """Per ``key`` the ``columns`` of its first line in staging order. Spark
+    keeps only a key's first line in each task before the shuffle (window group
+    limit), so a key with very many lines doesn't meet in one task."""
+    if keep is not None:
+        lines = lines.where(keep)
+    parts = [f.name for f in lines.schema["_seq"].dataType.fields]
+    flat = lines.select(key, *columns, *[F.col(f"_seq.{p}").alias(f"_p{i}") for i, p in enumerate(parts)])
+    ordered = F.row_number().over(Window.partitionBy(key).orderBy(*[f"_p{i}" for i in range(len(parts))]))
+    return flat.withColumn("_nth", ordered).where("_nth = 1").select(key, *columns)
+
+
+def customers_from(lines: DataFrame) -> DataFrame:
+    span = lines.groupBy("customer_id").agg(
+        F.to_date(F.min("invoice_date")).alias("first_purchase_date"),
+        F.to_date(F.max("invoice_date")).alias("last_purchase_date"))
+    first = _first_lines(lines, "customer_id", ["country"], F.col("country").isNotNull())
+    return span.join(first, "customer_id", "left").select(
+        "customer_id", "country", "first_purchase_date", "last_purchase_date", F.lit(True).alias("is_active"))
+
+
 def customers_dim(t: Tables) -> DataFrame:
     """Q-24: one row per customer — first country (staging order), first and
     last purchase date, active flag."""
-    lines = clean_lines_with_seq(t)
-    country_seq = F.when(F.col("country").isNotNull(), F.col("_seq"))
-    return lines.groupBy("customer_id").agg(
-        F.min_by("country", country_seq).alias("country"),
-        F.to_date(F.min("invoice_date")).alias("first_purchase_date"),
-        F.to_date(F.max("invoice_date")).alias("last_purchase_date"),
-        F.lit(True).alias("is_active"))
+    return customers_from(clean_lines_with_seq(t))
 
 
 def _modal(counts: DataFrame, key: str, value: str, weight: str) -> DataFrame:
@@ -144,12 +158,15 @@ def _modal(counts: DataFrame, key: str, value: str, weight: str) -> DataFrame:
 def products_dim(t: Tables) -> DataFrame:
     """Q-25: one row per stock code — modal description, modal category,
     mean unit price rounded to 2 places."""
-    lines = clean_lines_with_seq(t)
+    return products_from(clean_lines_with_seq(t), t.category_rules)
+
+
+def products_from(lines: DataFrame, category_rules) -> DataFrame:
     # one row per distinct (stock_code, description): far smaller than the lines,
     # read by three aggregates below, so it is materialised once
-    per_desc = materialize(lines.groupBy("stock_code", "description").agg(
+    per_desc = checkpointed(lines.groupBy("stock_code", "description").agg(
         F.count(F.lit(1)).alias("n"), F.sum("unit_price").alias("price_sum")))
-    per_desc = per_desc.withColumn("category", category_col("description", t.category_rules))
+    per_desc = per_desc.withColumn("category", category_col("description", category_rules))
     desc_mode = _modal(per_desc.where(F.col("description").isNotNull()), "stock_code",
                        "description", "n")
     cat_counts = per_desc.groupBy("stock_code", "category").agg(F.sum("n").alias("n"))
@@ -161,43 +178,57 @@ def products_dim(t: Tables) -> DataFrame:
                     np_round(F.col("mean_price"), 2).cast("decimal(10,2)").alias("avg_unit_price")))
 
 
+def orders_from(lines: DataFrame) -> DataFrame:
+    return _first_lines(lines, "invoice_no", ["customer_id", "invoice_date", "country"]).withColumn(
+        "order_status", F.lit("Completed"))
+
+
 def orders_dim(t: Tables) -> DataFrame:
     """Q-26: one row per invoice, taken from its first line in staging order."""
-    lines = clean_lines_with_seq(t)
-    first = lines.groupBy("invoice_no").agg(
-        seq_first(F.struct("customer_id", "invoice_date", "country")).alias("h"))
-    return first.select("invoice_no", "h.customer_id", "h.invoice_date", "h.country",
-                        F.lit("Completed").alias("order_status"))
+    return orders_from(clean_lines_with_seq(t))
 
 
 def order_items_clean(t: Tables) -> DataFrame:
-    """Q-27: order lines with the unit price narrowed to 2 places (half-up)
-    before the stored line_total = quantity x unit_price is generated."""
-    lines = clean_lines_with_seq(t)
+    """Q-27: order lines with a consecutive ``item_id`` in staging order and the
+    unit price narrowed to 2 places (half-up) before the stored line_total =
+    quantity x unit_price is generated."""
+    return order_items_from(clean_lines_with_seq(t))
+
+
+def order_items_from(lines: DataFrame) -> DataFrame:
     price = F.round(F.col("unit_price"), 2).cast("decimal(10,2)")
-    return lines.select(
+    lines = lines.select(
         "invoice_no", "stock_code", "quantity", price.alias("unit_price"),
-        (F.col("quantity").cast("decimal(10,0)") * price).cast("decimal(14,2)").alias("line_total"))
+        (F.col("quantity").cast("decimal(10,0)") * price).cast("decimal(14,2)").alias("line_total"), "_seq")
+    return number_rows(lines, [F.col("_seq")], "item_id").select(
+        "item_id", "invoice_no", "stock_code", "quantity", "unit_price", "line_total")
 
 
 def table_counts(t: Tables) -> DataFrame:
-    """Q-40: row count of each normalised table built from the clean lines."""
-    c = clean_lines_with_seq(t).agg(
-        F.count_distinct("customer_id").alias("customers"),
-        F.count_distinct("stock_code").alias("products"),
-        F.count_distinct("invoice_no").alias("orders"),
-        F.count(F.lit(1)).alias("order_items"))
-    return c.select(F.expr("stack(4, 'customers', customers, 'products', products, "
-                           "'orders', orders, 'order_items', order_items) AS (table_name, row_count)"))
+    """Q-40: row count of each normalised table built from the clean lines:
+    invoices and customers from the (invoice, customer) pairs, products from
+    their distinct codes. Keys are reduced in the tasks that read the lines."""
+    lines = clean_lines_with_seq(t)
+    pairs = checkpointed(lines.groupBy("invoice_no", "customer_id").agg(F.count(F.lit(1)).alias("n")))
+
+    def distinct(df: DataFrame, key: str, name: str) -> DataFrame:
+        return df.where(F.col(key).isNotNull()).select(key).distinct().agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"), "row_count")
+
+    items = pairs.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count")).select(F.lit("order_items").alias("table_name"), "row_count")
+    return (items.unionByName(distinct(pairs, "customer_id", "customers")).unionByName(distinct(pairs, "invoice_no", "orders"))
+            .unionByName(distinct(lines, "stock_code", "products")))
 
 
 def staging_counts(t: Tables) -> DataFrame:
     """Q-44: rows / distinct customers / distinct invoices for the staging
     table and for the completed order lines used by the analyses."""
-    raw = t.raw_transactions().agg(
-        F.lit("raw_transactions").alias("stage"), F.count(F.lit(1)).alias("row_count"),
-        F.count_distinct("CustomerID").alias("customers"),
-        F.count_distinct("InvoiceNo").alias("invoices"))
+    keys = checkpointed(t.raw_transactions().groupBy("CustomerID", "InvoiceNo").agg(F.count(F.lit(1)).alias("n")))
+    count = lambda c: keys.where(F.col(c).isNotNull()).select(c).distinct().agg(F.count(F.lit(1)).alias(c))
+    # one-row frames
+    raw = (keys.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count")).crossJoin(count("CustomerID")).crossJoin(count("InvoiceNo"))
+           .select(F.lit("raw_transactions").alias("stage"), "row_count", F.col("CustomerID").alias("customers"),
+                   F.col("InvoiceNo").alias("invoices")))
     inv = t.order_items().groupBy("invoice_no").agg(F.count(F.lit(1)).alias("lines"))
     done = t.completed_orders().select("invoice_no", "customer_id").join(inv, "invoice_no")
     lines = done.agg(
@@ -249,10 +280,9 @@ def constraint_violations(t: Tables) -> DataFrame:
     return out
 
 
-def raw_staging(t: Tables, *, local_rows: int | None = None) -> DataFrame:
+def raw_staging(t: Tables) -> DataFrame:
     """S-02: the staging table with a consecutive surrogate ``id`` from 1 in
-    staging order (exact global rank; distributed above the size threshold)."""
-    raw = t.raw_transactions()
-    ranked = add_ranks(raw, {"id": [F.col("_seq")]}, local_rows=local_rows)
-    return ranked.select("id", "InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate",
-                         "UnitPrice", "CustomerID", "Country")
+    staging order."""
+    return number_rows(t.raw_transactions(), [F.col("_seq")], "id").select(
+        "id", "InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate",
+        "UnitPrice", "CustomerID", "Country")

@@ -3,8 +3,8 @@
 They follow the notebook semantics: order lines of completed orders with a
 LEFT lookup of product and category margin (default 0.48), money summed
 exactly, and pandas-style rounding where the notebook rounds.
-Exact quantiles are read off the distributed ranks of the customer master
-(two rows per quantile), never by collecting a column.
+Exact quantiles are two rows of the customer table, found by their rank in a
+distributed sort, never by collecting a column.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from patronage import config
 from patronage.functions.money import sum_money_times_rate
 from patronage.functions.rounding import round_half_up
 from patronage.functions.rules import lookup_col
-from patronage.operators.rank import add_ranks, materialize
+from patronage.operators.rank import checkpointed, number_rows, quantiles
 from patronage.plans import scores
 from patronage.plans.scores import np_round
 from patronage.sources.tables import RAW_ORDER, Tables
@@ -61,7 +61,7 @@ def category_net_revenue_top9(t: Tables) -> DataFrame:
                 F.count(F.lit(1)).alias("orders")))
     margin = t.margins().select("category", F.col("gross_margin_pct").alias("margin_pct"))
     top = agg.orderBy(F.col("net").desc(), "category").limit(9)
-    return (top.join(F.broadcast(margin), "category", "left")
+    return (top.join(margin, "category", "left")
             .select("category", F.col("net").cast("decimal(24,6)").alias("net_revenue"),
                     F.col("units_sold").cast("bigint").alias("units_sold"), "orders",
                     F.coalesce(F.col("margin_pct"),
@@ -89,13 +89,15 @@ def country_customers_top10(t: Tables) -> DataFrame:
 
 
 def top_products(t: Tables) -> DataFrame:
-    """Q-28: top 20 (product name, category) by margin-adjusted revenue."""
-    lines = (scores.line_margins(t, config.DEFAULT_MARGIN, with_description=True)
-             .join(_completed_invoices(t).select("invoice_no"), "invoice_no", "left_semi")
-             .where(F.col("description").isNotNull() & F.col("category").isNotNull()))
-    agg = lines.groupBy(F.col("description").alias("product_name"), "category").agg(
-        sum_money_times_rate("line_total", "gross_margin_pct").alias("net"),
-        F.sum("quantity").alias("units"))
+    """Q-28: top 20 (product name, category) by margin-adjusted revenue. Lines
+    are summed per invoice and product in 64 bits first, then in decimals, so a
+    product's total can't overflow."""
+    lines = scores.line_margins(t, config.DEFAULT_MARGIN, with_description=True).where(
+        F.col("description").isNotNull() & F.col("category").isNotNull())
+    per_invoice = lines.groupBy("invoice_no", F.col("description").alias("product_name"), "category").agg(
+        sum_money_times_rate("line_total", "gross_margin_pct").alias("net"), F.sum("quantity").alias("units"))
+    agg = (per_invoice.join(_completed_invoices(t).select("invoice_no"), "invoice_no", "left_semi")
+           .groupBy("product_name", "category").agg(F.sum("net").alias("net"), F.sum("units").alias("units")))
     return (agg.orderBy(F.col("net").desc(), "product_name", "category").limit(20)
             .select("product_name", "category",
                     F.col("net").cast("decimal(24,6)").alias("net_revenue"),
@@ -105,29 +107,25 @@ def top_products(t: Tables) -> DataFrame:
 def order_heatmap(t: Tables) -> DataFrame:
     """Q-29: distinct invoices by day-of-week (rows) x month name (columns).
     An invoice has one date, so distinct invoices per cell = invoices per cell
-    at invoice grain."""
+    at invoice grain. All seven days are rows and all twelve months columns,
+    cells without orders are NULL."""
     with_lines = t.order_items().select("invoice_no").distinct()
     inv = _completed_invoices(t).join(with_lines, "invoice_no", "left_semi")
     cells = inv.select(F.date_format("invoice_date", "EEEE").alias("dow"),
                        F.date_format("invoice_date", "MMMM").alias("month"))
-    pos = lookup_col("dow", [(d, i + 1) for i, d in enumerate(config.DAY_NAMES)], None)
-    return (cells.withColumn("dow_position", pos.cast("int"))
-            .groupBy("dow", "dow_position").pivot("month", list(config.MONTH_NAMES))
-            .agg(F.count(F.lit(1))))
-
-
-def order_items_with_ids(t: Tables, *, local_rows: int | None = None) -> DataFrame:
-    """order_items plus ``item_id``: consecutive ids in line-load order
-    (exact global rank; distributed above the size threshold)."""
-    li = t.source("lineitem")
-    ranked = add_ranks(li.select(*RAW_ORDER), {"item_id": [F.col(c) for c in RAW_ORDER]},
-                       local_rows=local_rows)
-    return ranked.select(
-        "item_id", F.col("l_orderkey").alias("invoice_no"), F.col("l_partkey").alias("stock_code"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        F.round(F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")).cast("decimal(28,6)"), 2)
-        .cast("decimal(10,2)").alias("unit_price"),
-        F.col("l_extendedprice").cast("decimal(14,2)").alias("line_total"))
+    counts = (cells.groupBy("dow").pivot("month", list(config.MONTH_NAMES)).agg(F.count(F.lit(1))))
+    days = t.spark.createDataFrame([(d, i + 1) for i, d in enumerate(config.DAY_NAMES)], "dow string, dow_position int")
+    return days.join(counts, "dow", "left").select("dow", "dow_position", *config.MONTH_NAMES)
+
+
+def order_items_with_ids(t: Tables) -> DataFrame:
+    """order_items with ``item_id``. A loaded star schema stores it; for the
+    driver's lines consecutive ids in line-load order are given here."""
+    items = t.order_items()
+    if "item_id" in items.columns:
+        return items
+    return number_rows(t.order_items_in_order(), [F.col(f"_o{i}") for i in range(len(RAW_ORDER))], "item_id").select(
+        "item_id", *items.columns)
 
 
 def order_items_enriched(t: Tables) -> DataFrame:
@@ -141,7 +139,7 @@ def order_items_enriched(t: Tables) -> DataFrame:
                                           "order_status")
     lines = (items.join(headers, "invoice_no")
              .join(products, "stock_code", "left")
-             .join(F.broadcast(margins), "category", "left"))
+             .join(margins, "category", "left"))
     margin = F.coalesce(F.col("gross_margin_pct"), F.lit(config.DEFAULT_MARGIN).cast("decimal(5,4)"))
     net = (F.col("line_total") * margin).cast("decimal(20,6)")
     return lines.select(
@@ -154,29 +152,9 @@ def order_items_enriched(t: Tables) -> DataFrame:
 # customer-master statistics
 # ---------------------------------------------------------------------------
 
-def _quantile(value: str, rank: str, q: float) -> tuple[list[Column], Column]:
-    """numpy 'linear' quantile from a 1-based rank column and ``_n``.
-
-    Returns the aggregate expressions to add and the final expression over
-    their aliases (named ``{value}_{q}_a|b|n``)."""
-    tag = f"{value}_{str(q).replace('.', '_')}"
-    h = (F.col("_n") - 1) * F.lit(q)
-    lo = F.floor(h) + 1
-    hi = F.least(lo + 1, F.col("_n"))
-    v = F.col(value).cast("double")
-    aggs = [F.max(F.when(F.col(rank) == lo, v)).alias(f"{tag}_a"),
-            F.max(F.when(F.col(rank) == hi, v)).alias(f"{tag}_b"),
-            F.max("_n").alias(f"{tag}_n")]
-    a, b = F.col(f"{tag}_a"), F.col(f"{tag}_b")
-    hh = (F.col(f"{tag}_n") - 1) * F.lit(q)
-    g = hh - F.floor(hh)
-    diff = b - a
-    return aggs, F.when(g >= 0.5, b - diff * (1 - g)).otherwise(a + diff * g)
-
-
 def avg_clv_by_segment(t: Tables) -> DataFrame:
     """Q-31: mean 12-month CLV per RFM segment (notebook rules)."""
-    m = scores.notebook_master(t)
+    m = scores.notebook_master(t, tiers=False)
     return m.groupBy("rfm_segment").agg(
         round_half_up(F.sum(F.col("clv_12m").cast("decimal(18,2)")).cast("double") / F.count("clv_12m"),
                       6).alias("avg_clv_12m"))
@@ -184,15 +162,13 @@ def avg_clv_by_segment(t: Tables) -> DataFrame:
 
 def clv_stats(t: Tables) -> DataFrame:
     """Q-32b: mean, median and 99th percentile of the 12-month CLV."""
-    m = materialize(scores.notebook_master(t))
-    med_aggs, med = _quantile("clv_12m", "_cr", 0.5)
-    p99_aggs, p99 = _quantile("clv_12m", "_cr", 0.99)
-    agg = m.agg(F.count(F.lit(1)).alias("customers"),
-                (F.sum(F.col("clv_12m").cast("decimal(18,2)")).cast("double") / F.count("clv_12m"))
-                .alias("mean"), *med_aggs, *p99_aggs)
-    return agg.select("customers", round_half_up(F.col("mean"), 6).alias("mean_clv_12m"),
-                      round_half_up(med, 6).alias("median_clv_12m"),
-                      round_half_up(p99, 6).alias("p99_clv_12m"))
+    m = checkpointed(scores.notebook_base(t).select("customer_id", "clv_12m"))
+    q = quantiles(m, "customer_id", {"clv_12m": [0.5, 0.99]})
+    return m.agg(F.count(F.lit(1)).alias("customers"),
+                 round_half_up(F.sum(F.col("clv_12m").cast("decimal(18,2)")).cast("double") / F.count("clv_12m"), 6)
+                 .alias("mean_clv_12m"),
+                 round_half_up(F.lit(q["clv_12m", 0.5]).cast("double"), 6).alias("median_clv_12m"),
+                 round_half_up(F.lit(q["clv_12m", 0.99]).cast("double"), 6).alias("p99_clv_12m"))
 
 
 N_BINS = 30
@@ -201,11 +177,10 @@ N_BINS = 30
 def clv_histogram(t: Tables) -> DataFrame:
     """Q-32: 30 equal-width bins of the 12-month CLV clipped at its 99th
     percentile, with numpy's bin assignment (last bin closed)."""
-    # read twice (statistics, then binning): materialise the customer table once
-    m = materialize(scores.notebook_master(t))
-    p99_aggs, p99 = _quantile("clv_12m", "_cr", 0.99)
-    stats = m.agg(F.min("clv_12m").alias("_min"), *p99_aggs).select(
-        F.least(F.col("_min"), p99).alias("lo"), p99.alias("hi"))
+    # read twice (statistics, then binning): the customer table is materialised once
+    m = checkpointed(scores.notebook_base(t).select("customer_id", "clv_12m"))
+    p99 = F.lit(quantiles(m, "customer_id", {"clv_12m": [0.99]})["clv_12m", 0.99]).cast("double")
+    stats = m.agg(F.min("clv_12m").alias("_min")).select(F.least(F.col("_min"), p99).alias("lo"), p99.alias("hi"))
     # degenerate range: numpy widens it by 0.5 on each side
     stats = stats.select(F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
                          F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"))
@@ -234,41 +209,27 @@ def clv_histogram(t: Tables) -> DataFrame:
 def rfm_describe(t: Tables) -> DataFrame:
     """Q-33: ``describe()`` of recency, frequency and monetary: count, mean,
     sample std, min, quartiles, max; rounded to 2 places."""
-    m = materialize(scores.notebook_master(t))
-    metrics = (("recency_days", "_rr"), ("frequency", "_fr"), ("monetary", "_mr"))
-    aggs, finals = [], {}
-    for col, rank in metrics:
-        v = F.col(col).cast("double")
-        aggs += [F.count(col).alias(f"{col}_count"),
-                 (F.sum(F.col(col).cast("decimal(28,2)")).cast("double") / F.count(col)).alias(f"{col}_mean"),
-                 F.stddev_samp(v).alias(f"{col}_std"), F.min(v).alias(f"{col}_min"),
-                 F.max(v).alias(f"{col}_max")]
-        for q in (0.25, 0.5, 0.75):
-            qa, qf = _quantile(col, rank, q)
-            aggs += qa
-            finals[(col, q)] = qf
-    wide = m.agg(*aggs)
-    rows = []
-    for col, _ in metrics:
-        rows.append(wide.select(
-            F.lit(col).alias("metric"), F.col(f"{col}_count").alias("count"),
-            np_round(F.col(f"{col}_mean"), 2).alias("mean"),
-            np_round(F.col(f"{col}_std"), 2).alias("std"),
-            np_round(F.col(f"{col}_min"), 2).alias("min"),
-            np_round(finals[(col, 0.25)], 2).alias("p25"),
-            np_round(finals[(col, 0.5)], 2).alias("p50"),
-            np_round(finals[(col, 0.75)], 2).alias("p75"),
-            np_round(F.col(f"{col}_max"), 2).alias("max")))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    m = checkpointed(scores.notebook_base(t, with_clv=False))
+    metrics, quartiles = ("recency_days", "frequency", "monetary"), (0.25, 0.5, 0.75)
+    q = quantiles(m, "customer_id", {c: quartiles for c in metrics})
+    aggs = []
+    for c in metrics:
+        v = F.col(c).cast("double")
+        aggs += [F.count(c).alias(f"{c}_count"),
+                 (F.sum(F.col(c).cast("decimal(28,2)")).cast("double") / F.count(c)).alias(f"{c}_mean"),
+                 F.stddev_samp(v).alias(f"{c}_std"), F.min(v).alias(f"{c}_min"), F.max(v).alias(f"{c}_max")]
+    rows = F.array(*[F.struct(
+        F.lit(c).alias("metric"), F.col(f"{c}_count").alias("count"),
+        *[np_round(F.col(f"{c}_{x}"), 2).alias(x) for x in ("mean", "std", "min")],
+        *[np_round(F.lit(q[c, p]).cast("double"), 2).alias(f"p{int(p * 100)}") for p in quartiles],
+        np_round(F.col(f"{c}_max"), 2).alias("max")) for c in metrics])
+    return m.agg(*aggs).select(F.inline(rows))
 
 
 def rfm_clv_points(t: Tables) -> DataFrame:
     """Q-39: scatter data — recency vs monetary per customer, point size
     = max(clv_12m, 5) / 5 (NULL stays NULL)."""
-    m = scores.notebook_master(t)
+    m = scores.notebook_master(t, tiers=False)
     clv = F.col("clv_12m")
     size = F.when(clv.isNull(), F.lit(None).cast("double")).otherwise(F.greatest(clv, F.lit(5.0)) / 5)
     return m.select("customer_id", "recency_days", "monetary", "rfm_segment", "clv_12m",

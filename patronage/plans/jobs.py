@@ -6,34 +6,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patronage.operators.upsert import write_upsert
+from patronage.operators.upsert import latest_version, write_upsert
 from patronage.plans import cleaning, scores
 from patronage.sources.io import write_table
 from patronage.sources.tables import Tables
 
 
-def build_star_schema(t: Tables, root: str, mode: str = "overwrite") -> dict[str, str]:
-    """S-05: write customers, products, orders and order_items built from
-    the cleaned staging lines (append or replace). Facts are partitioned by
-    invoice month so month filters prune files."""
+def build_star_schema(t: Tables, root: str, mode: str = "overwrite", month_files: int = 8) -> dict[str, str]:
+    """S-05: write the cleaned lines once, and from them customers, products,
+    orders, order_items (with ``item_id``) and the margin table (append or
+    replace). Facts are partitioned by invoice month so month filters prune
+    files; a month's rows come from ``month_files`` tasks, so a busy month
+    isn't one task and files aren't tasks x months."""
     root = root.rstrip("/")
-    items = (cleaning.order_items_clean(t)
-             .join(cleaning.orders_dim(t).select("invoice_no", "invoice_date"), "invoice_no")
-             .withColumn("invoice_month", F.date_format("invoice_date", "yyyy-MM"))
-             .drop("invoice_date"))
-    tables = {
-        "customers": cleaning.customers_dim(t).withColumn("created_at", F.current_timestamp()),
-        "products": cleaning.products_dim(t),
-        "orders": cleaning.orders_dim(t),
-        "order_items": items,
-    }
-    paths = {}
-    for name, df in tables.items():
-        paths[name] = f"{root}/{name}"
-        write_table(df, paths[name], mode, ["invoice_month"] if name == "order_items" else None)
+    paths = {name: f"{root}/{name}" for name in ("clean_lines", "customers", "products", "orders", "order_items", "category_margin_assumptions")}
+    write_table(cleaning.clean_lines_with_seq(t), paths["clean_lines"], "overwrite")
+    lines = t.spark.read.parquet(paths["clean_lines"])
+    orders = cleaning.orders_from(lines)
+    write_table(cleaning.customers_from(lines).withColumn("created_at", F.current_timestamp()), paths["customers"], mode)
+    write_table(cleaning.products_from(lines, t.category_rules), paths["products"], mode)
+    write_table(orders, paths["orders"], mode)
+    items = (cleaning.order_items_from(lines).join(orders.select("invoice_no", "invoice_date"), "invoice_no")
+             .withColumn("invoice_month", F.date_format("invoice_date", "yyyy-MM")).drop("invoice_date")
+             .withColumn("_salt", F.pmod(F.xxhash64("item_id"), F.lit(month_files))))
+    write_table(items.repartition("invoice_month", "_salt").drop("_salt"), paths["order_items"], mode, ["invoice_month"])
+    write_table(t.margins(), paths["category_margin_assumptions"], "overwrite")
     return paths
 
 
+def load_star_schema(spark, root: str, **options) -> Tables:
+    """The tables that :func:`build_star_schema` wrote, and the newest stored
+    scores if :func:`persist_scores` wrote them under the same root."""
+    root = root.rstrip("/")
+    read = lambda name: spark.read.parquet(f"{root}/{name}")
+    stored = {name: latest_version(spark, f"{root}/{name}") for name in ("rfm_scores", "clv_scores")}
+    return Tables.from_star(
+        spark, orders=read("orders"), order_items=read("order_items"), products=read("products"), customers=read("customers"),
+        margins=read("category_margin_assumptions"), **{name: spark.read.parquet(p) for name, p in stored.items() if p}, **options)
+
+
 def _stamped(df: DataFrame) -> DataFrame:
     return df.withColumn("updated_at", F.current_timestamp())
 
@@ -45,7 +56,7 @@ def persist_scores(t: Tables, root: str, mode: str = "upsert") -> dict[str, str]
     root = root.rstrip("/")
     both = scores.rfm_clv(t)
     out = {"rfm_scores": _stamped(both.select(*scores.RFM_COLUMNS)),
-           "clv_scores": _stamped(both.select(*scores.CLV_COLUMNS))}
+           "clv_scores": _stamped(both.where(F.col("clv_segment").isNotNull()).select(*scores.CLV_COLUMNS))}
     paths = {}
     for name, df in out.items():
         if mode == "upsert":

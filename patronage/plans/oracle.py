@@ -10,10 +10,58 @@ from __future__ import annotations
 
 from patronage import config
 from patronage.functions.rounding import sql_round, sql_round_money
-from patronage.functions.rules import category_sql, lookup_sql, segment_sql
-from patronage.operators.rank import ntile_sql, qcut_sql
 from patronage.sources.tables import RAW_ORDER
 
+# The twins share constants with the engine, never its operators or rule
+# compiler: tiles, quantiles, segments and fan-outs are DuckDB's own.
+
+SQL_SEGMENT = """CASE
+    WHEN r_score >= 4 AND f_score >= 4 AND m_score >= 4 THEN 'Champions'
+    WHEN r_score >= 3 AND f_score >= 4 AND m_score >= 3 THEN 'Loyal Customers'
+    WHEN r_score >= 4 AND f_score <= 2 AND m_score <= 2 THEN 'New Customers'
+    WHEN r_score >= 3 AND f_score >= 2 AND m_score >= 3 THEN 'Potential Loyalists'
+    WHEN r_score >= 3 AND f_score >= 3 THEN 'Promising'
+    WHEN r_score = 2 AND f_score >= 2 AND m_score >= 2 THEN 'Need Attention'
+    WHEN r_score = 2 AND (f_score <= 2 OR m_score <= 2) THEN 'At Risk'
+    WHEN r_score = 1 AND f_score >= 3 AND m_score >= 3 THEN 'Cannot Lose Them'
+    WHEN r_score = 1 THEN 'Lost'
+    ELSE 'Hibernating' END"""
+NOTEBOOK_SEGMENT = """CASE
+    WHEN r_score >= 4 AND f_score >= 4 AND m_score >= 4 THEN 'Champions'
+    WHEN r_score >= 3 AND f_score >= 3 AND m_score >= 3 THEN 'Loyal Customers'
+    WHEN r_score >= 4 AND f_score <= 2 THEN 'New Customers'
+    WHEN r_score >= 3 AND f_score >= 2 AND m_score <= 3 THEN 'Potential Loyalists'
+    WHEN r_score >= 4 AND f_score >= 2 AND m_score >= 3 THEN 'Promising'
+    WHEN r_score = 3 AND f_score <= 3 THEN 'Need Attention'
+    WHEN r_score <= 2 AND f_score >= 4 THEN 'At Risk'
+    WHEN r_score <= 2 AND f_score >= 2 AND m_score >= 3 THEN 'Cannot Lose Them'
+    WHEN r_score <= 2 AND f_score <= 2 AND m_score <= 2 THEN 'Lost'
+    ELSE 'Hibernating' END"""
+
+
+def _text(v) -> str:
+    return "NULL" if v is None else str(v) if isinstance(v, (int, float)) else "'" + v.replace("'", "''") + "'"
+
+
+def case_of(key: str, pairs, default) -> str:
+    """A literal CASE over constants."""
+    return f"CASE {key} " + " ".join(f"WHEN {_text(k)} THEN {_text(v)}" for k, v in pairs) + f" ELSE {_text(default)} END"
+
+
+def category_case(description: str, rules) -> str:
+    return "CASE " + " ".join(f"WHEN regexp_matches({description}, {_text(p)}) THEN {_text(label)}" for label, p in rules) + \
+        f" ELSE {_text(config.FALLBACK_CATEGORY)} END"
+
+
+def qcut_bins(rank: str, n: str, k: int) -> str:
+    """pandas ``qcut`` of the ranks 1..n from its definition: one bin more for
+    each inner edge 1 + j(n-1)/k that lies below the rank (and, for k = 3 and
+    n = 1 mod 3, where numpy's edge falls just short of the integer, at it)."""
+    at = f"({k} = 3 AND {n} % 3 = 1 AND {n} > 1)"
+    edges = " + ".join(f"CASE WHEN {k} * ({rank} - 1) > {j} * ({n} - 1) OR ({at} AND {k} * ({rank} - 1) = {j} * ({n} - 1)) "
+                       f"THEN 1 ELSE 0 END" for j in range(1, k))
+    return f"CAST(1 + {edges} AS INTEGER)"
+
 
 def _margins_values() -> str:
     rows = ", ".join(f"('{c}', CAST({m} AS DECIMAL(5,4)))" for c, m, _ in config.CATEGORY_MARGINS)
@@ -21,7 +69,7 @@ def _margins_values() -> str:
 
 
 def adapter_ctes(rules=config.ADAPTER_CATEGORY_RULES) -> str:
-    status = lookup_sql("o.o_orderstatus", config.ADAPTER_STATUS, None)
+    status = case_of("o.o_orderstatus", config.ADAPTER_STATUS, None)
     seq = ", ".join(f"l.{c}" for c in RAW_ORDER)
     return f"""
 x_geo AS (
@@ -40,7 +88,7 @@ x_items AS (
   FROM lineitem),
 x_products AS (
   SELECT p_partkey AS stock_code, upper(p_name) AS description,
-         {category_sql('upper(p_name)', rules)} AS category,
+         {category_case('upper(p_name)', rules)} AS category,
          CAST(p_retailprice AS DECIMAL(10,2)) AS avg_unit_price
   FROM part),
 x_margins AS ({_margins_values()}),
@@ -96,8 +144,6 @@ x_span AS (
 
 
 def _rfm_ctes() -> str:
-    ntiles = {
-        "r": ntile_sql("rr", "n", 5), "f": ntile_sql("fr", "n", 5), "m": ntile_sql("mr", "n", 5)}
     return SNAPSHOT + f""",
 x_rfm_base AS (
   SELECT o.customer_id,
@@ -106,20 +152,14 @@ x_rfm_base AS (
          CAST(sum(i.line_total) AS DECIMAL(18,2)) AS monetary
   FROM x_completed o JOIN x_items i ON o.invoice_no = i.invoice_no
   GROUP BY o.customer_id),
-x_rfm_ranked AS (
-  SELECT *,
-    row_number() OVER (ORDER BY recency_days, customer_id) AS rr,
-    row_number() OVER (ORDER BY frequency, customer_id) AS fr,
-    row_number() OVER (ORDER BY monetary, customer_id) AS mr,
-    count(*) OVER () AS n
-  FROM x_rfm_base),
 x_rfm_scored AS (
   SELECT customer_id, recency_days, frequency, monetary,
-         CAST(6 - {ntiles['r']} AS INTEGER) AS r_score, {ntiles['f']} AS f_score, {ntiles['m']} AS m_score
-  FROM x_rfm_ranked),
+         CAST(6 - ntile(5) OVER (ORDER BY recency_days, customer_id) AS INTEGER) AS r_score,
+         CAST(ntile(5) OVER (ORDER BY frequency, customer_id) AS INTEGER) AS f_score,
+         CAST(ntile(5) OVER (ORDER BY monetary, customer_id) AS INTEGER) AS m_score
+  FROM x_rfm_base),
 x_rfm AS (
-  SELECT *, CAST(r_score + f_score + m_score AS INTEGER) AS rfm_score,
-         {segment_sql('r_score', 'f_score', 'm_score', config.SQL_SEGMENT_RULES)} AS rfm_segment
+  SELECT *, CAST(r_score + f_score + m_score AS INTEGER) AS rfm_score, {SQL_SEGMENT} AS rfm_segment
   FROM x_rfm_scored)"""
 
 
@@ -128,7 +168,6 @@ def _clv_ctes() -> str:
     cnt = "CAST(order_count AS DOUBLE)"
     blended = sql_round(f"CAST(margin_total AS DOUBLE) / NULLIF({rev}, 0)", 4)
     value = f"({rev} / {cnt}) * ({cnt} / dataset_span_months)"
-    tile = ntile_sql("cr", "n", 3)
     return SPAN + f""",
 x_clv_base AS (
   SELECT o.customer_id, count(DISTINCT o.invoice_no) AS order_count,
@@ -147,15 +186,12 @@ x_clv_scored AS (
     {sql_round_money(f'{value} * 12 * {blended}')} AS clv_12m,
     {sql_round_money(f'{value} * 36 * {blended}')} AS clv_36m
   FROM x_clv_base, x_span),
-x_clv_ranked AS (
-  SELECT *, row_number() OVER (ORDER BY clv_12m ASC NULLS FIRST, customer_id) AS cr,
-         count(*) OVER () AS n
-  FROM x_clv_scored),
+x_clv_tiled AS (
+  SELECT *, ntile(3) OVER (ORDER BY clv_12m ASC NULLS FIRST, customer_id) AS tile FROM x_clv_scored),
 x_clv AS (
   SELECT customer_id, avg_order_value, purchase_freq_monthly, churn_rate, gross_margin_pct,
-         clv_12m, clv_36m,
-         CASE WHEN {tile} = 3 THEN 'High' WHEN {tile} = 2 THEN 'Medium' ELSE 'Low' END AS clv_segment
-  FROM x_clv_ranked)"""
+         clv_12m, clv_36m, CASE tile WHEN 3 THEN 'High' WHEN 2 THEN 'Medium' ELSE 'Low' END AS clv_segment
+  FROM x_clv_tiled)"""
 
 
 def np_round_sql(expr: str, digits: int) -> str:
@@ -173,7 +209,7 @@ def _notebook_ctes() -> str:
     pfm = np_round_sql("frequency / months", 6)
     margin = ("CASE WHEN CAST(monetary AS DOUBLE) > 0 THEN CAST(margin_total AS DOUBLE) / "
               "CAST(monetary AS DOUBLE) ELSE 0.48 END")
-    tier = qcut_sql("cr", "n", 3)
+    tier = qcut_bins("cr", "n", 3)
     return f"""
 x_nb_lines AS (
   SELECT o.invoice_no, o.customer_id, o.invoice_date, o.country, i.line_total, i.quantity,
@@ -214,15 +250,15 @@ x_nb_ranked AS (
   FROM x_nb_scored),
 x_nb_tiles AS (
   SELECT *,
-    CAST({k + 1} - {qcut_sql('rr', 'n', k)} AS INTEGER) AS r_score,
-    {qcut_sql('fr', 'n', k)} AS f_score,
-    {qcut_sql('mr', 'n', k)} AS m_score,
+    CAST({k + 1} - {qcut_bins('rr', 'n', k)} AS INTEGER) AS r_score,
+    {qcut_bins('fr', 'n', k)} AS f_score,
+    {qcut_bins('mr', 'n', k)} AS m_score,
     {np_round_sql('clv_12m * 3', 2)} AS clv_36m,
     CASE WHEN {tier} = 1 THEN 'Low' WHEN {tier} = 2 THEN 'Medium' ELSE 'High' END AS clv_segment
   FROM x_nb_ranked),
 x_master AS (
   SELECT *, CAST(r_score + f_score + m_score AS INTEGER) AS rfm_score,
-         {segment_sql('r_score', 'f_score', 'm_score', config.NOTEBOOK_SEGMENT_RULES)} AS rfm_segment
+         {NOTEBOOK_SEGMENT} AS rfm_segment
   FROM x_nb_tiles)"""
 
 
@@ -259,20 +295,20 @@ def rfm_ctes() -> str:
 
 
 def upsert_sql() -> str:
-    def renamed(orders: str, tag: str) -> str:
-        return (_rfm_ctes().replace("x_completed", orders).replace("x_rfm", f"x_rfm_{tag}")
-                .replace("x_snapshot", f"x_snapshot_{tag}"))
+    old = (_rfm_ctes().replace("x_completed", "x_old_o").replace("x_rfm", "x_rfm_old")
+           .replace("x_snapshot", "x_snapshot_old"))
     cut = ("CAST(CAST(min(invoice_date) AS DATE) + CAST(floor(date_diff('day', CAST(min(invoice_date) AS DATE), "
            "CAST(max(invoice_date) AS DATE)) / 2) AS INTEGER) AS DATE)")
     return with_adapter(f"""
 x_cut AS (SELECT {cut} AS cutoff FROM x_completed),
 x_old_o AS (SELECT * FROM x_completed WHERE CAST(invoice_date AS DATE) <= (SELECT cutoff FROM x_cut)),
-x_new_o AS (SELECT * FROM x_completed WHERE CAST(invoice_date AS DATE) > (SELECT cutoff FROM x_cut)),
-{renamed('x_old_o', 'old').strip()},
-{renamed('x_new_o', 'new').strip()}
-SELECT {RFM_COLS} FROM x_rfm_new
+x_later AS (SELECT DISTINCT customer_id FROM x_completed WHERE CAST(invoice_date AS DATE) > (SELECT cutoff FROM x_cut)),
+{old.strip()},
+{_rfm_ctes().strip()},
+x_new AS (SELECT * FROM x_rfm WHERE customer_id IN (SELECT customer_id FROM x_later))
+SELECT {RFM_COLS} FROM x_new
 UNION ALL
-SELECT {RFM_COLS} FROM x_rfm_old WHERE customer_id NOT IN (SELECT customer_id FROM x_rfm_new)""")
+SELECT {RFM_COLS} FROM x_rfm_old WHERE customer_id NOT IN (SELECT customer_id FROM x_new)""")
 
 
 def clv_ctes() -> str:

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 from patronage import config
-from patronage.functions.rules import category_sql, non_merch_sql
 from patronage.plans.cleaning import AUDIT_RULES, WATERFALL_STEPS
-from patronage.plans.oracle import np_round_sql, with_adapter
+from patronage.plans.oracle import category_case, np_round_sql, with_adapter
 
 STRIP = r"'^\s+|\s+$'"
 
 
 def _flags() -> dict[str, str]:
+    codes = ", ".join(f"'{c}'" for c in config.NON_MERCH_CODES)
+    heads = " OR ".join(f"substr(\"StockCode\", 1, {len(p)}) = '{p}'" for p in config.NON_MERCH_PREFIXES)
     return {
-        "non_merch": f"COALESCE({non_merch_sql('\"StockCode\"')}, FALSE)",
+        "non_merch": f"COALESCE(\"StockCode\" IN ({codes}) OR {heads}, FALSE)",
         "cancelled": "COALESCE(starts_with(\"InvoiceNo\", 'C'), FALSE)",
         "no_customer": "\"CustomerID\" IS NULL",
         "bad_price": "NOT COALESCE(\"UnitPrice\" > 0, FALSE)",
@@ -29,14 +30,14 @@ x_clean AS (
   SELECT id, "InvoiceNo" AS invoice_no, "StockCode" AS stock_code, {desc} AS description,
          "Quantity" AS quantity, "InvoiceDate" AS invoice_date, "UnitPrice" AS unit_price,
          regexp_replace("CustomerID", {STRIP}, '', 'g') AS customer_id, "Country" AS country,
-         {category_sql(desc, rules)} AS category
+         {category_case(desc, rules)} AS category
   FROM x_raw WHERE NOT ({drop}))"""
 
 
 def cleaning_sql() -> dict[str, str]:
     f = _flags()
     clean = clean_ctes()
-    cat = category_sql("description", config.ADAPTER_CATEGORY_RULES)
+    cat = category_case("description", config.ADAPTER_CATEGORY_RULES)
     audit_exprs = [
         "count(*)", f"count(*) FILTER (WHERE {f['no_customer']})",
         "count(*) FILTER (WHERE starts_with(\"InvoiceNo\", 'C'))",
@@ -88,7 +89,7 @@ SELECT invoice_no, customer_id, invoice_date, country, 'Completed' AS order_stat
 FROM (SELECT *, row_number() OVER (PARTITION BY invoice_no ORDER BY id) AS rn FROM x_clean)
 WHERE rn = 1"""),
         "order_items": with_adapter(clean + """
-SELECT invoice_no, stock_code, quantity, CAST(round(unit_price, 2) AS DECIMAL(10,2)) AS unit_price,
+SELECT row_number() OVER (ORDER BY id) AS item_id, invoice_no, stock_code, quantity, CAST(round(unit_price, 2) AS DECIMAL(10,2)) AS unit_price,
        CAST(CAST(quantity AS DECIMAL(10,0)) * CAST(round(unit_price, 2) AS DECIMAL(10,2))
             AS DECIMAL(14,2)) AS line_total
 FROM x_clean"""),

@@ -4,31 +4,23 @@ from __future__ import annotations
 
 from patronage import config
 from patronage.functions.rounding import sql_round as R
-from patronage.functions.rules import lookup_sql, roi_band_sql
-from patronage.plans.oracle import notebook_ctes, np_round_sql, with_adapter
+from patronage.plans.oracle import case_of, notebook_ctes, np_round_sql, with_adapter
 from patronage.sources.tables import RAW_ORDER
 
 NB = notebook_ctes()
 
 
-def quantile_sql(value: str, rank: str, q: float, src: str = "x_master") -> str:
-    """numpy 'linear' quantile read from a 1-based rank column and ``n``."""
-    h = f"((n - 1) * CAST({q} AS DOUBLE))"
-    a = f"(SELECT CAST({value} AS DOUBLE) FROM {src} WHERE {rank} = floor({h}) + 1)"
-    b = f"(SELECT CAST({value} AS DOUBLE) FROM {src} WHERE {rank} = LEAST(floor({h}) + 2, n))"
-    g = f"({h} - floor({h}))"
-    n = f"(SELECT max(n) AS n FROM {src})"
-    return (f"(SELECT CASE WHEN {g} >= 0.5 THEN {b} - ({b} - {a}) * (1 - {g}) "
-            f"ELSE {a} + ({b} - {a}) * {g} END FROM {n})")
+def quantile_sql(value: str, q: float) -> str:
+    return f"(SELECT quantile_cont(CAST({value} AS DOUBLE), {q}) FROM x_master)"
 
 
 def _campaign_ctes() -> str:
     name, cost, uplift = config.CAMPAIGN_FALLBACK
     m = config.CAMPAIGN_MATRIX
-    name_sql = lookup_sql("rfm_segment", [(r[0], r[1]) for r in m], name)
-    cost_sql = lookup_sql("rfm_segment", [(r[0], r[2]) for r in m], cost)
-    uplift_sql = lookup_sql("rfm_segment", [(r[0], r[3]) for r in m], uplift)
-    tier = lookup_sql("clv_segment", [(x, x) for x in config.TIER_ORDER], "Low")
+    name_sql = case_of("rfm_segment", [(r[0], r[1]) for r in m], name)
+    cost_sql = case_of("rfm_segment", [(r[0], r[2]) for r in m], cost)
+    uplift_sql = case_of("rfm_segment", [(r[0], r[3]) for r in m], uplift)
+    tier = case_of("clv_segment", [(x, x) for x in config.TIER_ORDER], "Low")
     return NB + f""",
 x_t AS (
   SELECT customer_id, rfm_segment, clv_segment, {name_sql} AS campaign_name,
@@ -43,7 +35,7 @@ def _hist_sql() -> str:
         return f"(CASE WHEN {i} >= 30 THEN hi ELSE {i} * ((hi - lo) / 30) + lo END)"
     f = "floor((x - lo) / (hi - lo) * 30)"
     return NB + f""",
-x_st0 AS (SELECT min(clv_12m) AS mn, {quantile_sql('clv_12m', 'cr', 0.99)} AS p99 FROM x_master),
+x_st0 AS (SELECT min(clv_12m) AS mn, {quantile_sql('clv_12m', 0.99)} AS p99 FROM x_master),
 x_st1 AS (SELECT LEAST(mn, p99) AS lo, p99 AS hi FROM x_st0),
 x_st AS (SELECT CASE WHEN lo = hi THEN lo - 0.5 ELSE lo END AS lo,
                 CASE WHEN lo = hi THEN hi + 0.5 ELSE hi END AS hi FROM x_st1),
@@ -60,8 +52,8 @@ FROM range(1, 31) AS r(bin) CROSS JOIN x_st LEFT JOIN x_cnt c ON CAST(r.bin AS I
 
 def _describe_sql() -> str:
     parts = []
-    for col, rank in (("recency_days", "rr"), ("frequency", "fr"), ("monetary", "mr")):
-        qs = {q: quantile_sql(col, rank, q) for q in (0.25, 0.5, 0.75)}
+    for col in ("recency_days", "frequency", "monetary"):
+        qs = {q: quantile_sql(col, q) for q in (0.25, 0.5, 0.75)}
         parts.append(f"""
 SELECT '{col}' AS metric, count({col}) AS count,
   {np_round_sql(f'CAST(sum(CAST({col} AS DECIMAL(28,2))) AS DOUBLE) / count({col})', 2)} AS mean,
@@ -75,8 +67,8 @@ FROM x_master""")
 
 
 def explore_sql() -> dict[str, str]:
-    tier_pos = lookup_sql("label", [(x, i + 1) for i, x in enumerate(config.TIER_ORDER)], None)
-    dow_pos = lookup_sql("dayname(invoice_date)", [(d, i + 1) for i, d in enumerate(config.DAY_NAMES)], None)
+    tier_pos = case_of("label", [(x, i + 1) for i, x in enumerate(config.TIER_ORDER)], None)
+    days = ", ".join(f"('{d}', {i + 1})" for i, d in enumerate(config.DAY_NAMES))
     months = ", ".join(
         f"NULLIF(count(*) FILTER (WHERE monthname(invoice_date) = '{m}'), 0) AS \"{m}\""
         for m in config.MONTH_NAMES)
@@ -117,8 +109,8 @@ GROUP BY product_name, category
 ORDER BY sum(line_total * margin_pct) DESC, product_name, category LIMIT 20"""),
         "order_heatmap": with_adapter(NB + f""",
 x_inv AS (SELECT DISTINCT invoice_no, invoice_date FROM x_nb_lines)
-SELECT dayname(invoice_date) AS dow, CAST({dow_pos} AS INTEGER) AS dow_position, {months}
-FROM x_inv GROUP BY 1, 2"""),
+SELECT d.dow, CAST(d.pos AS INTEGER) AS dow_position, {months}
+FROM (VALUES {days}) AS d(dow, pos) LEFT JOIN x_inv ON dayname(invoice_date) = d.dow GROUP BY 1, 2"""),
         "order_items_enriched": with_adapter(f"""
 x_ii AS (SELECT row_number() OVER (ORDER BY {seq}) AS item_id, l_orderkey AS invoice_no,
                 l_partkey AS stock_code, CAST(l_quantity AS INTEGER) AS quantity,
@@ -137,8 +129,8 @@ LEFT JOIN x_margins m ON p.category = m.category"""),
 SELECT rfm_segment, {R(mean, 6)} AS avg_clv_12m FROM x_master GROUP BY rfm_segment"""),
         "clv_stats": with_adapter(NB + f"""
 SELECT count(*) AS customers, {R(mean, 6)} AS mean_clv_12m,
-       {R(quantile_sql('clv_12m', 'cr', 0.5), 6)} AS median_clv_12m,
-       {R(quantile_sql('clv_12m', 'cr', 0.99), 6)} AS p99_clv_12m
+       {R(quantile_sql('clv_12m', 0.5), 6)} AS median_clv_12m,
+       {R(quantile_sql('clv_12m', 0.99), 6)} AS p99_clv_12m
 FROM x_master"""),
         "clv_histogram": with_adapter(_hist_sql()),
         "rfm_describe": with_adapter(_describe_sql()),
@@ -158,7 +150,7 @@ x_r AS (SELECT rfm_segment, campaign_name, count(*) AS customers,
 x_r2 AS (SELECT *, {np_round_sql('(CAST(total_expected AS DOUBLE) - total_cost) / total_cost * 100', 1)} AS roi_pct
          FROM x_r)
 SELECT rfm_segment, campaign_name, customers, total_cost, {R('avg_clv', 6)} AS avg_clv,
-       total_expected, roi_pct, {roi_band_sql('roi_pct')} AS roi_band
+       total_expected, roi_pct, CASE WHEN roi_pct >= 200 THEN 'green' WHEN roi_pct >= 100 THEN 'amber' ELSE 'red' END AS roi_band
 FROM x_r2"""),
         "cac_reduction": with_adapter(camp + f""",
 x_a AS (SELECT count(*) AS customers, CAST(sum(campaign_cost) AS BIGINT) AS targeted_total,

@@ -8,20 +8,21 @@ Plan shape (both rule sets):
 * the join with completed orders is a sort-merge join on invoice_no (the
   aggregated side is already hash-partitioned on it);
 * one shuffle on customer_id builds the customer base;
-* tile scores use :func:`patronage.operators.rank.add_ranks` (exact, no
-  single-partition sort above the size threshold).
+* tile scores use :func:`patronage.operators.rank.add_tiles`: the rows at the
+  tile borders are found in a distributed sort of (metric, customer_id) and
+  each customer is compared with them (exact, no single-partition sort).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from patronage import config
 from patronage.functions.money import sum_money, sum_money_times_rate
 from patronage.functions.rounding import round_half_up, round_money
 from patronage.functions.rules import segment_col
-from patronage.operators.rank import add_ranks, ntile, qcut, with_totals
+from patronage.operators.rank import Metric, add_tiles, checkpointed, qcut_border
 from patronage.sources.tables import Tables
 
 RFM_COLUMNS = ["customer_id", "recency_days", "frequency", "monetary", "r_score", "f_score",
@@ -64,13 +65,12 @@ def line_margins(t: Tables, default_margin: str | None = None,
     margins = t.margins().select("category", "gross_margin_pct")
     if default_margin is None and left:
         return (items.join(products, "stock_code", "left")
-                .join(F.broadcast(margins), "category", "left"))
+                .join(margins, "category", "left"))
     if default_margin is None:
-        # margins: fixed 9-row table.
         return (items.join(products, "stock_code")
-                .join(F.broadcast(margins), "category"))
+                .join(margins, "category"))
     return (items.join(products, "stock_code", "left")
-            .join(F.broadcast(margins), "category", "left")
+            .join(margins, "category", "left")
             .withColumn("gross_margin_pct",
                         F.coalesce(F.col("gross_margin_pct"),
                                    F.lit(default_margin).cast("decimal(5,4)"))))
@@ -122,23 +122,23 @@ def rfm_base(t: Tables) -> DataFrame:
                     F.col("monetary").cast("decimal(18,2)").alias("monetary")))
 
 
-def rfm_scores(t: Tables, *, local_rows: int | None = None) -> DataFrame:
-    """Q-02: NTILE(5) quintiles (recency inverted), SQL segment rules.
-    Ties break on ascending customer_id."""
-    base = rfm_base(t)
+def _rfm_tiles() -> dict:
     k = config.RFM_TILES
-    ranked = add_ranks(base, {
-        "_rr": [F.col("recency_days"), F.col("customer_id")],
-        "_fr": [F.col("frequency"), F.col("customer_id")],
-        "_mr": [F.col("monetary"), F.col("customer_id")],
-    }, bound=t.customer_bound(), local_rows=local_rows)
-    n = F.col("_n")
-    scored = ranked.select(
-        "customer_id", "recency_days", "frequency", "monetary",
-        (F.lit(k + 1) - ntile("_rr", "_n", k)).cast("int").alias("r_score"),
-        ntile("_fr", "_n", k).alias("f_score"),
-        ntile("_mr", "_n", k).alias("m_score"))
-    return _segment_and_sum(scored, config.SQL_SEGMENT_RULES).select(*RFM_COLUMNS)
+    return {"_r": (Metric("recency_days"), k), "f_score": (Metric("frequency"), k), "m_score": (Metric("monetary"), k)}
+
+
+def _recency_score() -> Column:
+    """Recent customers score high: the recency tile, inverted."""
+    return (F.lit(config.RFM_TILES + 1) - F.col("_r")).cast("int").alias("r_score")
+
+
+def rfm_scores(t: Tables) -> DataFrame:
+    """Q-02: NTILE(5) quintiles (recency inverted), SQL segment rules.
+    Ties break on ascending customer_id. The stored table, if there is one."""
+    if t.stored("rfm_scores") is not None:
+        return t.stored("rfm_scores").select(*RFM_COLUMNS)
+    tiled = add_tiles(rfm_base(t), "customer_id", _rfm_tiles())
+    return _segment_and_sum(tiled.select("*", _recency_score()), config.SQL_SEGMENT_RULES).select(*RFM_COLUMNS)
 
 
 # ---------------------------------------------------------------------------
@@ -155,9 +155,12 @@ def clv_base(t: Tables) -> DataFrame:
     return per_customer.crossJoin(F.broadcast(dataset_span_months(t)))
 
 
-def clv_scores(t: Tables, *, local_rows: int | None = None) -> DataFrame:
-    """Q-05: AOV x monthly frequency x 12 (36) x blended margin; NTILE(3) tiers."""
-    base = clv_base(t)
+CLV_VALUE_COLUMNS = CLV_COLUMNS[:-1]
+
+
+def _clv_columns() -> list[Column]:
+    """The value columns of the CLV table from per-customer inputs (order_count,
+    total_revenue, margin_total, dataset_span_months)."""
     rev = F.col("total_revenue").cast("double")
     cnt = F.col("order_count").cast("double")
     months = F.col("dataset_span_months")
@@ -165,20 +168,32 @@ def clv_scores(t: Tables, *, local_rows: int | None = None) -> DataFrame:
                                          F.nullif(rev, F.lit(0.0))), 4)
     per_month = F.try_divide(cnt, months)
     value = F.try_divide(rev, cnt) * per_month
-    scored = base.select(
-        "customer_id",
-        round_money(F.try_divide(rev, cnt)).alias("avg_order_value"),
-        round_money(per_month, 12, 4).alias("purchase_freq_monthly"),
-        round_money(F.lit(1.0) - F.lit(1.0) / cnt, 5, 4).alias("churn_rate"),
-        blended.cast("decimal(5,4)").alias("gross_margin_pct"),
-        round_money(value * 12 * blended).alias("clv_12m"),
-        round_money(value * 36 * blended).alias("clv_36m"))
-    ranked = add_ranks(scored, {"_cr": [F.col("clv_12m").asc_nulls_first(), F.col("customer_id")]},
-                       bound=t.customer_bound(), local_rows=local_rows)
-    tile = ntile("_cr", "_n", config.CLV_TILES)
-    return ranked.select(
-        *CLV_COLUMNS[:-1],
-        F.when(tile == 3, "High").when(tile == 2, "Medium").otherwise("Low").alias("clv_segment"))
+    return [round_money(F.try_divide(rev, cnt)).alias("avg_order_value"),
+            round_money(per_month, 12, 4).alias("purchase_freq_monthly"),
+            round_money(F.lit(1.0) - F.try_divide(F.lit(1.0), cnt), 5, 4).alias("churn_rate"),
+            blended.cast("decimal(5,4)").alias("gross_margin_pct"),
+            round_money(value * 12 * blended).alias("clv_12m"),
+            round_money(value * 36 * blended).alias("clv_36m")]
+
+
+def clv_values(t: Tables) -> DataFrame:
+    """The CLV table without tiers (nothing is ranked)."""
+    if t.stored("clv_scores") is not None:
+        return t.stored("clv_scores").select(*CLV_VALUE_COLUMNS)
+    return clv_base(t).select("customer_id", *_clv_columns())
+
+
+def _tier(tile: str) -> Column:
+    return F.when(F.col(tile) == 3, "High").when(F.col(tile) == 2, "Medium").otherwise("Low")
+
+
+def clv_scores(t: Tables) -> DataFrame:
+    """Q-05: AOV x monthly frequency x 12 (36) x blended margin; NTILE(3)
+    tiers. The stored table, if there is one."""
+    if t.stored("clv_scores") is not None:
+        return t.stored("clv_scores").select(*CLV_COLUMNS)
+    tiled = add_tiles(clv_values(t), "customer_id", {"_c": (Metric("clv_12m"), config.CLV_TILES)})
+    return tiled.select(*CLV_VALUE_COLUMNS, _tier("_c").alias("clv_segment"))
 
 
 def clv_value(base: DataFrame) -> DataFrame:
@@ -195,10 +210,14 @@ def clv_value(base: DataFrame) -> DataFrame:
                        .alias("clv_12m"))
 
 
-def rfm_clv(t: Tables, *, local_rows: int | None = None) -> DataFrame:
-    """Both SQL-rule score tables joined 1:1 on customer_id (inner), from ONE
-    pass over the fact: lines LEFT-join product and margin once; per invoice
-    the all-lines totals feed RFM and the matched-lines totals feed CLV."""
+def rfm_clv(t: Tables) -> DataFrame:
+    """Both SQL-rule score tables LEFT-joined 1:1 on customer_id: every customer
+    with RFM scores; CLV columns are NULL for those without a product/margin-
+    matched order. Stored tables are joined; otherwise ONE pass over the fact
+    feeds both: lines LEFT-join product and margin once; per invoice the all-lines
+    totals feed RFM and the matched-lines totals feed CLV."""
+    if t.stored("rfm_scores") is not None and t.stored("clv_scores") is not None:
+        return rfm_scores(t).join(clv_scores(t), "customer_id", "left")
     lines = line_margins(t, default_margin=None, left=True)
     matched = F.col("gross_margin_pct").isNotNull()
     inv = lines.groupBy("invoice_no").agg(
@@ -216,43 +235,25 @@ def rfm_clv(t: Tables, *, local_rows: int | None = None) -> DataFrame:
         F.sum("clv_margin").alias("margin_total")))
     base = (per_customer.crossJoin(F.broadcast(snapshot_date(t)))
             .crossJoin(F.broadcast(dataset_span_months(t))))
-    has_clv = F.col("order_count") > 0
-    rev = F.col("total_revenue").cast("double")
-    cnt = F.col("order_count").cast("double")
-    blended = round_half_up(F.try_divide(F.col("margin_total").cast("double"),
-                                         F.nullif(rev, F.lit(0.0))), 4)
-    value = F.try_divide(rev, cnt) * F.try_divide(cnt, F.col("dataset_span_months"))
     scored = base.select(
         "customer_id",
         F.datediff("snapshot_date", "last_date").cast("int").alias("recency_days"),
         F.col("frequency").cast("int").alias("frequency"),
         F.col("monetary").cast("decimal(18,2)").alias("monetary"),
-        has_clv.alias("_has_clv"),
-        F.when(has_clv, round_money(F.try_divide(rev, cnt))).alias("avg_order_value"),
-        F.when(has_clv, round_money(F.try_divide(cnt, F.col("dataset_span_months")), 12, 4))
-        .alias("purchase_freq_monthly"),
-        F.when(has_clv, round_money(F.lit(1.0) - F.lit(1.0) / cnt, 5, 4)).alias("churn_rate"),
-        F.when(has_clv, blended.cast("decimal(5,4)")).alias("gross_margin_pct"),
-        F.when(has_clv, round_money(value * 12 * blended)).alias("clv_12m"),
-        F.when(has_clv, round_money(value * 36 * blended)).alias("clv_36m"))
-    cid = F.col("customer_id")
-    ranked = add_ranks(scored, {
-        "_rr": [F.col("recency_days"), cid], "_fr": [F.col("frequency"), cid],
-        "_mr": [F.col("monetary"), cid],
-        # customers without CLV sort last, so CLV ranks 1..n_clv cover exactly the CLV rows
-        "_cr": [(~F.col("_has_clv")).cast("int"), F.col("clv_12m").asc_nulls_first(), cid],
-    }, bound=t.customer_bound(), counts={"_n_clv": F.col("_has_clv")}, local_rows=local_rows)
-    k = config.RFM_TILES
-    n = F.col("_n")
-    tile = ntile("_cr", "_n_clv", config.CLV_TILES)
-    out = ranked.where(F.col("_has_clv")).select(
-        "customer_id", "recency_days", "frequency", "monetary",
-        (F.lit(k + 1) - ntile("_rr", "_n", k)).cast("int").alias("r_score"),
-        ntile("_fr", "_n", k).alias("f_score"),
-        ntile("_mr", "_n", k).alias("m_score"),
-        *CLV_COLUMNS[1:-1],
-        F.when(tile == 3, "High").when(tile == 2, "Medium").otherwise("Low").alias("clv_segment"))
-    return _segment_and_sum(out, config.SQL_SEGMENT_RULES)
+        (F.col("order_count") > 0).alias("_has_clv"), *_clv_columns())
+    tiled = add_tiles(scored, "customer_id", {
+        **_rfm_tiles(), "_c": (Metric("clv_12m", only="_has_clv"), config.CLV_TILES)})
+    has = F.col("_has_clv")
+    out = tiled.select(
+        "customer_id", "recency_days", "frequency", "monetary", _recency_score(), "f_score", "m_score",
+        *[F.when(has, F.col(c)).alias(c) for c in CLV_VALUE_COLUMNS[1:]],
+        F.when(has, _tier("_c")).alias("clv_segment"))
+    return _segment_and_sum(out, config.SQL_SEGMENT_RULES).select(*RFM_COLUMNS, *CLV_COLUMNS[1:])
+
+
+def scored_customers(t: Tables) -> DataFrame:
+    """Customers with both scores (the inner join of the two tables)."""
+    return rfm_clv(t).where(F.col("clv_segment").isNotNull())
 
 
 # ---------------------------------------------------------------------------
@@ -266,35 +267,36 @@ NOTEBOOK_MASTER_COLUMNS = [
     "clv_36m", "clv_segment"]
 
 
-def notebook_master(t: Tables, *, local_rows: int | None = None,
-                    default_margin: str = config.DEFAULT_MARGIN) -> DataFrame:
-    """Notebook semantics: qcut on first-rank, 24-hour recency from the last
-    line + 1 day, unrounded span, 0.48 default margin, AOV/frequency rounded
-    before the CLV product, 36-month CLV = 3 x the rounded 12-month value.
-
-    One fact pass feeds all four tile ranks; the result carries one row per
-    customer with a completed line, plus the helper ranks ``_rr _fr _mr _cr``
-    and the customer count ``_n`` for quantile statistics.
-    """
+def notebook_base(t: Tables, *, default_margin: str = config.DEFAULT_MARGIN, with_clv: bool = True) -> DataFrame:
+    """The customer table of the notebook rules before any ranking: 24-hour
+    recency from the last line + 1 day, unrounded span, 0.48 default margin,
+    AOV/frequency rounded before the CLV product. Without ``with_clv`` only the
+    RFM inputs, and neither products nor margins are read."""
     by_customer = t.country_is_customer_attribute
-    orders = t.completed_orders(with_country=not by_customer)
+    orders = t.completed_orders(with_country=with_clv and not by_customer)
     aggs = [F.max("invoice_date").alias("last_purchase"),
             F.min("invoice_date").alias("first_purchase"),
             F.count(F.lit(1)).alias("frequency"),
-            F.sum("inv_total").alias("monetary"),
-            F.sum("inv_margin").alias("margin_total")]
-    if not by_customer:
-        # first country over the customer's invoices
-        aggs.append(F.min_by("country", F.struct("invoice_date", "invoice_no")).alias("country"))
-    per_customer = (orders.join(invoice_margin_totals(t, default_margin), "invoice_no")
-                    .groupBy("customer_id").agg(*aggs))
-    if by_customer:
+            F.sum("inv_total").alias("monetary")]
+    if with_clv:
+        aggs.append(F.sum("inv_margin").alias("margin_total"))
+        if not by_customer:
+            # first country over the customer's invoices
+            aggs.append(F.min_by("country", F.struct("invoice_date", "invoice_no")).alias("country"))
+    totals = invoice_margin_totals(t, default_margin) if with_clv else invoice_totals(t)
+    per_customer = orders.join(totals, "invoice_no").groupBy("customer_id").agg(*aggs)
+    if with_clv and by_customer:
         per_customer = per_customer.join(t.customer_countries(), "customer_id", "left")
-    bound = t.customer_bound()
-    # whole-table scalars: analysis date (last line + 1 day) and span in months
-    base = with_totals(per_customer, {"_max": F.max("last_purchase"), "_min": F.min("first_purchase")},
-                       bound=bound, local_rows=local_rows)
+    # whole-table scalars: analysis date (last line + 1 day) and span in months; one row
+    per_customer = checkpointed(per_customer)
+    span = per_customer.agg(F.max("last_purchase").alias("_max"), F.min("first_purchase").alias("_min"))
+    base = per_customer.crossJoin(F.broadcast(span))
     snap = F.timestamp_add("DAY", F.lit(1), F.col("_max"))
+    rfm = [days_between(snap, F.col("last_purchase")).cast("int").alias("recency_days"),
+           F.col("frequency").cast("int").alias("frequency"),
+           F.col("monetary").cast("decimal(18,2)").alias("monetary")]
+    if not with_clv:
+        return base.select("customer_id", *rfm)
     months = days_between(F.col("_max"), F.col("_min")) / config.DAYS_PER_MONTH
     monetary = F.col("monetary").cast("double")
     freq = F.col("frequency").cast("double")
@@ -303,49 +305,47 @@ def notebook_master(t: Tables, *, local_rows: int | None = None,
     aov = np_round(F.try_divide(monetary, freq), 2)
     pfm = np_round(F.try_divide(freq, months), 6)
     clv12 = np_round(aov * pfm * 12 * margin, 2)
-    scored = base.select(
+    return base.select(
         "customer_id", "country",
         F.to_date("first_purchase").alias("first_purchase_date"),
-        F.to_date("last_purchase").alias("last_purchase_date"),
-        days_between(snap, F.col("last_purchase")).cast("int").alias("recency_days"),
-        F.col("frequency").cast("int").alias("frequency"),
-        F.col("monetary").cast("decimal(18,2)").alias("monetary"),
+        F.to_date("last_purchase").alias("last_purchase_date"), *rfm,
         aov.alias("avg_order_value"), pfm.alias("purchase_freq_monthly"),
         margin.alias("gross_margin_pct"),
         np_round(F.lit(1.0) - F.lit(1.0) / F.greatest(freq, F.lit(1.0)), 6).alias("churn_rate"),
-        clv12.alias("clv_12m"))
-    cid = F.col("customer_id")
-    ranked = add_ranks(scored, {
-        "_rr": [F.col("recency_days"), cid], "_fr": [F.col("frequency"), cid],
-        "_mr": [F.col("monetary"), cid], "_cr": [F.col("clv_12m"), cid]},
-        bound=bound, local_rows=local_rows)
-    n = F.col("_n")
+        clv12.alias("clv_12m"), np_round(clv12 * 3, 2).alias("clv_36m"))
+
+
+def notebook_master(t: Tables, *, rfm: bool = True, tiers: bool = True, with_clv: bool = True) -> DataFrame:
+    """Notebook rules: qcut on first-rank; 36-month CLV = 3 x the rounded
+    12-month value. One row per customer with a completed line. ``rfm`` and
+    ``tiers`` say which scores are wanted; only those are ranked."""
     k = config.RFM_TILES
-    tier = qcut("_cr", "_n", config.CLV_TILES)
-    out = ranked.select(
-        "*",
-        (F.lit(k + 1) - qcut("_rr", "_n", k)).cast("int").alias("r_score"),
-        qcut("_fr", "_n", k).alias("f_score"),
-        qcut("_mr", "_n", k).alias("m_score"),
-        np_round(F.col("clv_12m") * 3, 2).alias("clv_36m"),
-        F.when(tier == 1, "Low").when(tier == 2, "Medium").otherwise("High").alias("clv_segment"))
-    return _segment_and_sum(out, config.NOTEBOOK_SEGMENT_RULES)
-
-
-def rfm_scores_notebook(t: Tables, **kw) -> DataFrame:
+    tiles = {"_r": (Metric("recency_days"), k), "f_score": (Metric("frequency"), k), "m_score": (Metric("monetary"), k)} if rfm else {}
+    if tiers:
+        tiles["_c"] = (Metric("clv_12m"), config.CLV_TILES)
+    out = add_tiles(notebook_base(t, with_clv=with_clv), "customer_id", tiles, qcut_border)
+    if tiers:
+        out = out.withColumn("clv_segment", F.when(F.col("_c") == 1, "Low").when(F.col("_c") == 2, "Medium").otherwise("High")).drop("_c")
+    if rfm:
+        out = _segment_and_sum(out.select("*", _recency_score()), config.NOTEBOOK_SEGMENT_RULES).drop("_r")
+    return out
+
+
+def rfm_scores_notebook(t: Tables) -> DataFrame:
     """Q-02n."""
-    return notebook_master(t, **kw).select(*RFM_COLUMNS)
+    return notebook_master(t, tiers=False, with_clv=False).select(*RFM_COLUMNS)
 
 
-def clv_scores_notebook(t: Tables, **kw) -> DataFrame:
+def clv_scores_notebook(t: Tables) -> DataFrame:
     """Q-05n."""
-    m = notebook_master(t, **kw)
+    m = notebook_master(t, rfm=False)
     return m.select(*CLV_COLUMNS[:4], round_half_up(F.col("gross_margin_pct"), 6)
                     .alias("gross_margin_pct"), *CLV_COLUMNS[5:])
 
 
-def customer_clv_master(t: Tables, **kw) -> DataFrame:
-    m = notebook_master(t, **kw)
+def customer_clv_master(t: Tables) -> DataFrame:
+    """The customer master of the notebook rules (the exported table)."""
+    m = notebook_master(t)
     return m.select(*[round_half_up(F.col(c), 6).alias(c) if c == "gross_margin_pct" else c
                       for c in NOTEBOOK_MASTER_COLUMNS])
 
@@ -362,10 +362,10 @@ def _midpoint_cutoff(t: Tables) -> DataFrame:
         F.date_add(first, F.floor(days / 2).cast("int")).alias("_cutoff"))
 
 
-def score_upsert(t: Tables, *, local_rows: int | None = None) -> DataFrame:
+def score_upsert(t: Tables) -> DataFrame:
     """Q-42: the RFM score table as of the span midpoint, refreshed by an
-    upsert with the scores of the later orders: customers active later get
-    the new row, the others keep theirs."""
+    upsert: scores over the full history, for the customers active after the
+    midpoint; the others keep their old row."""
     from patronage.operators.upsert import upsert
 
     cut = F.broadcast(_midpoint_cutoff(t))  # one row
@@ -373,9 +373,8 @@ def score_upsert(t: Tables, *, local_rows: int | None = None) -> DataFrame:
     def before(o: DataFrame) -> DataFrame:
         return o.crossJoin(cut).where(F.to_date("invoice_date") <= F.col("_cutoff")).drop("_cutoff")
 
-    def after(o: DataFrame) -> DataFrame:
-        return o.crossJoin(cut).where(F.to_date("invoice_date") > F.col("_cutoff")).drop("_cutoff")
-
-    old = rfm_scores(t.restrict_orders(before), local_rows=local_rows)
-    new = rfm_scores(t.restrict_orders(after), local_rows=local_rows)
+    later = t.completed_orders().crossJoin(cut).where(F.to_date("invoice_date") > F.col("_cutoff"))
+    active = later.select("customer_id").distinct()
+    old = rfm_scores(t.restrict_orders(before))
+    new = rfm_scores(t).join(active, "customer_id", "left_semi")
     return upsert(old, new, ["customer_id"])

@@ -60,7 +60,7 @@ def clv_segment_validation(t: Tables) -> DataFrame:
 
 def clv_overall(t: Tables) -> DataFrame:
     """Q-07: one row — customers, average/total/min/max 12-month CLV."""
-    return scores.clv_scores(t).agg(
+    return scores.clv_values(t).agg(
         F.count(F.lit(1)).alias("total_customers"),
         round_half_up(_avg("clv_12m"), 2).alias("overall_avg_clv_12m"),
         round_money(F.sum("clv_12m")).alias("total_projected_12m"),
@@ -74,7 +74,7 @@ def clv_overall(t: Tables) -> DataFrame:
 
 def segment_matrix(t: Tables) -> DataFrame:
     """Q-09: RFM segment x CLV tier."""
-    return scores.rfm_clv(t).groupBy("rfm_segment", "clv_segment").agg(
+    return scores.scored_customers(t).groupBy("rfm_segment", "clv_segment").agg(
         F.count(F.lit(1)).alias("customer_count"),
         round_half_up(_avg("recency_days"), 1).alias("avg_recency_days"),
         round_half_up(_avg("frequency"), 1).alias("avg_orders"),
@@ -214,7 +214,7 @@ def cohort_retention(t: Tables) -> DataFrame:
 def _customer_scores(t: Tables) -> DataFrame:
     customers = t.customers().select("customer_id", "country", "first_purchase_date",
                                      "last_purchase_date")
-    return customers.join(scores.rfm_clv(t), "customer_id")
+    return customers.join(scores.scored_customers(t), "customer_id")
 
 
 def top_customers_clv(t: Tables) -> DataFrame:
@@ -259,7 +259,8 @@ def customer_master(t: Tables) -> DataFrame:
 def order_details(t: Tables) -> DataFrame:
     """Q-17 (view ``vw_order_details``): one row per order line with every
     dimension; scores joined LEFT on the order header first (header grain is
-    smaller than line grain), so the line fact is shuffled once."""
+    smaller than line grain), so the line fact is shuffled once. Each score is
+    NULL for customers without it."""
     segs = scores.rfm_clv(t).select("customer_id", "rfm_segment", "clv_segment")
     headers = t.orders(with_country=True).join(segs, "customer_id", "left")
     lines = scores.line_margins(t, with_description=True)

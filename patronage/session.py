@@ -21,7 +21,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "12g")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.showConsoleProgress", "false")
     )
     spark = builder.getOrCreate()
@@ -34,7 +35,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's reliable checkpoint folder.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; use it.
-    Only when nothing is configured (local tests) is a scratch folder made.
+    Only when nothing is configured and the master is local (tests, bench) is
+    a scratch folder made; on a cluster it would be a folder per machine, so
+    that raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -42,6 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     if not configured:
         configured = tempfile.mkdtemp(prefix="patronage-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patronage.functions.keys import normalize_key
-from patronage.operators.rank import add_ranks
+from patronage.operators.rank import checkpointed, number_rows
 
 RAW_CSV_SCHEMA = T.StructType([
     T.StructField("InvoiceNo", T.StringType()),
@@ -68,14 +68,13 @@ def with_file_order(df: DataFrame) -> DataFrame:
         F.monotonically_increasing_id()))
 
 
-def stage_raw(df: DataFrame, local_rows: int | None = None) -> DataFrame:
-    """S-02: consecutive surrogate ``id`` from 1 in file order (the id is a
-    distributed exact rank over ``_seq``; the input is materialised first, so
-    the nondeterministic split ids are fixed once)."""
+def stage_raw(df: DataFrame) -> DataFrame:
+    """S-02: consecutive surrogate ``id`` from 1 in file order (a distributed
+    exact rank over ``_seq``; the input is materialised first, so the
+    nondeterministic split ids are fixed once)."""
     if "_seq" not in df.columns:
         df = with_file_order(df)
-    ranked = add_ranks(df, {"id": [F.col("_seq")]}, local_rows=local_rows, deterministic=False)
-    return ranked.select("id", *[c for c in df.columns if c != "_seq"])
+    return number_rows(checkpointed(df), [F.col("_seq")], "id").select("id", *[c for c in df.columns if c != "_seq"])
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",

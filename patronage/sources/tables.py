@@ -36,6 +36,8 @@ RAW_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity
              "l_shipdate")
 
 
+BROADCAST_ROWS = 10_000  # a caller's lookup table of more rows isn't broadcast
+
 # Layout of the driver's TPC-H-style tables. Reading with the schema given
 # skips the footer-reading job that schema inference runs on every read.
 SOURCE_SCHEMAS = {
@@ -49,7 +51,6 @@ SOURCE_SCHEMAS = {
                  "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
                  "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"),
 }
-_BOUNDS: dict[str, int] = {}
 
 
 def margins_frame(spark: SparkSession) -> DataFrame:
@@ -73,8 +74,6 @@ class Tables:
         """A view of the same tables whose ``orders()`` passes through ``fn``
         (e.g. an as-of cutoff for incremental score refreshes)."""
         other = Tables(self.spark, self.sf_dir, category_rules=self.category_rules, star=self._star)
-        if hasattr(self, "_bound"):
-            other._bound = self._bound
         prev = self._order_filter
         other._order_filter = fn if prev is None else (lambda o: fn(prev(o)))
         return other
@@ -89,9 +88,13 @@ class Tables:
                   order_items: DataFrame | None = None,
                   products: DataFrame | None = None, customers: DataFrame | None = None,
                   margins: DataFrame | None = None, raw: DataFrame | None = None,
+                  rfm_scores: DataFrame | None = None, clv_scores: DataFrame | None = None,
                   category_rules=config.CATEGORY_RULES) -> "Tables":
+        """Tables of a star schema. With stored score tables, views and BI
+        queries read them instead of scoring the fact again."""
         star = {"orders": orders, "order_items": order_items, "products": products,
-                "customers": customers, "margins": margins, "raw": raw}
+                "customers": customers, "margins": margins, "raw": raw,
+                "rfm_scores": rfm_scores, "clv_scores": clv_scores}
         return cls(spark, None, category_rules=category_rules, star=star)
 
     def source(self, name: str) -> DataFrame:
@@ -104,26 +107,21 @@ class Tables:
             self._sources[name] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._sources[name]
 
-    def customer_bound(self) -> int | None:
-        """Proven upper bound on the number of distinct customers (rows of the
-        customer dimension, which every order references); None if unknown."""
-        if not hasattr(self, "_bound"):
-            if self.sf_dir is not None:
-                path = f"{self.sf_dir}/customer.parquet"
-                if path not in _BOUNDS:  # one count per table path and process
-                    _BOUNDS[path] = self.source("customer").count()
-                self._bound = _BOUNDS[path]
-            elif self._star.get("customers") is not None:
-                self._bound = self._star["customers"].count()
-            else:
-                self._bound = None
-        return self._bound
+    def stored(self, name: str) -> DataFrame | None:
+        """A stored score table (``rfm_scores`` or ``clv_scores``) given to
+        :meth:`from_star`; None if the scores are to be computed."""
+        return None if self._order_filter else self._star.get(name)
 
     # -- logical tables ----------------------------------------------------
     def margins(self) -> DataFrame:
-        if self._star.get("margins") is not None:
-            return self._star["margins"]
-        return margins_frame(self.spark)
+        """category, gross_margin_pct, notes: a small table, broadcast in joins.
+        A caller's table is so only if its size allows."""
+        given = self._star.get("margins")
+        if given is None:
+            return F.broadcast(margins_frame(self.spark))  # 9 rows
+        if not hasattr(self, "_margins_are_few"):
+            self._margins_are_few = given.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+        return F.broadcast(given) if self._margins_are_few else given
 
     def _customer_country(self) -> DataFrame:
         nation = self.source("nation").select("n_nationkey", "n_name")
@@ -174,17 +172,25 @@ class Tables:
         return self.orders(with_country, status="Completed")
 
     def order_items(self) -> DataFrame:
-        """invoice_no, stock_code, quantity, unit_price decimal(10,2), line_total decimal(14,2)."""
+        """invoice_no, stock_code, quantity, unit_price decimal(10,2), line_total decimal(14,2);
+        a loaded star schema also has item_id."""
         if self._star.get("order_items") is not None:
             return self._star["order_items"]
-        li = self.source("lineitem")
-        return li.select(
+        return self._adapter_items()
+
+    def _adapter_items(self, *more) -> DataFrame:
+        return self.source("lineitem").select(
             F.col("l_orderkey").alias("invoice_no"),
             F.col("l_partkey").alias("stock_code"),
             F.col("l_quantity").cast("int").alias("quantity"),
             round_money(F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")), 10, 2)
             .alias("unit_price"),
-            F.col("l_extendedprice").cast("decimal(14,2)").alias("line_total"))
+            F.col("l_extendedprice").cast("decimal(14,2)").alias("line_total"), *more)
+
+    def order_items_in_order(self) -> DataFrame:
+        """The adapter's order items with their load order (columns _o0, _o1, ...)."""
+        order = [F.col(c).alias(f"_o{i}") for i, c in enumerate(RAW_ORDER)]
+        return self._adapter_items(*order)
 
     def products(self) -> DataFrame:
         """stock_code, description, category, avg_unit_price."""

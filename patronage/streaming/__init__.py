@@ -16,10 +16,12 @@ from patronage.operators.upsert import write_upsert
 
 
 def upsert_each_batch(root: str, key: Sequence[str],
-                      transform: Callable[[DataFrame], DataFrame] | None = None):
+                      transform: Callable[[DataFrame], DataFrame] | None = None,
+                      order: Sequence[str] | None = None):
     """``foreachBatch`` function: optionally transform the micro-batch, then
-    upsert it into the versioned Parquet table at ``root``."""
+    upsert it into the versioned Parquet table at ``root``. If a micro-batch may
+    hold several rows of a key, ``order`` keeps the last of them."""
     def run(batch: DataFrame, batch_id: int) -> None:
         data = transform(batch) if transform else batch
-        write_upsert(data.sparkSession, root, data, key)
+        write_upsert(data.sparkSession, root, data, key, order=order)
     return run

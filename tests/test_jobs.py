@@ -1,3 +1,6 @@
+import datetime
+from decimal import Decimal
+
 from patronage.operators.upsert import latest_version
 from patronage.plans import jobs, scores
 from patronage.sources.tables import Tables
@@ -7,11 +10,13 @@ from tests.conftest import SF_SMALL
 def test_star_schema_and_scores_round_trip(spark, scratch):
     t = Tables.from_tpch(spark, SF_SMALL)
     paths = jobs.build_star_schema(t, f"{scratch}/star")
-    counts = {k: spark.read.parquet(p).count() for k, p in paths.items()}
     from patronage.plans import cleaning
     expected = dict(cleaning.table_counts(t).collect())
-    assert counts == expected
-    assert "invoice_month" in spark.read.parquet(paths["order_items"]).columns
+    assert {k: spark.read.parquet(paths[k]).count() for k in expected} == expected
+    items = spark.read.parquet(paths["order_items"])
+    assert "invoice_month" in items.columns
+    assert sorted(r[0] for r in items.select("item_id").collect()) == list(range(1, items.count() + 1))
+    assert spark.read.parquet(paths["category_margin_assumptions"]).count() == t.margins().count()
 
     first = jobs.persist_scores(t, f"{scratch}/scores")
     again = jobs.persist_scores(t, f"{scratch}/scores")
@@ -19,4 +24,64 @@ def test_star_schema_and_scores_round_trip(spark, scratch):
     a = spark.read.parquet(first["rfm_scores"]).drop("updated_at")
     b = spark.read.parquet(again["rfm_scores"]).drop("updated_at")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
-    assert b.count() == scores.rfm_clv(t).count()
+    assert b.count() == scores.rfm_scores(t).count()
+
+
+def _tiny_star(spark):
+    """Customers a (a line with a margin) and b (only a category without one)."""
+    ts = datetime.datetime
+    orders = spark.createDataFrame([("1", "a", ts(2011, 1, 5, 9), "Completed", "UK"), ("2", "a", ts(2011, 3, 7, 9), "Completed", "UK"),
+                                    ("3", "b", ts(2011, 3, 8, 9), "Completed", "FR")],
+                                   "invoice_no string, customer_id string, invoice_date timestamp_ntz, order_status string, country string")
+    items = spark.createDataFrame([(1, "1", "s1", 2, Decimal("3.00"), Decimal("6.00")), (2, "2", "s1", 1, Decimal("3.00"), Decimal("3.00")),
+                                   (3, "3", "s2", 5, Decimal("2.00"), Decimal("10.00"))],
+                                  "item_id bigint, invoice_no string, stock_code string, quantity int, unit_price decimal(10,2), line_total decimal(14,2)")
+    products = spark.createDataFrame([("s1", "MUG", "Kitchen & Dining", Decimal("3.00")), ("s2", "ODD", "No such category", Decimal("2.00"))],
+                                     "stock_code string, description string, category string, avg_unit_price decimal(10,2)")
+    customers = spark.createDataFrame([("a", "UK", None, None, True), ("b", "FR", None, None, True)],
+                                      "customer_id string, country string, first_purchase_date date, last_purchase_date date, is_active boolean")
+    return {"orders": orders, "order_items": items, "products": products, "customers": customers}
+
+
+def test_customers_without_a_margin_keep_their_rfm_scores(spark, scratch):
+    star = _tiny_star(spark)
+    t = Tables.from_star(spark, **star)
+    paths = jobs.persist_scores(t, f"{scratch}/scores")
+    rfm, clv = (spark.read.parquet(paths[n]) for n in ("rfm_scores", "clv_scores"))
+    assert {r.customer_id for r in rfm.collect()} == {"a", "b"} and {r.customer_id for r in clv.collect()} == {"a"}
+    from patronage.plans import explore, serving
+    stored = Tables.from_star(spark, **star, rfm_scores=rfm, clv_scores=clv)
+    margins = {r.category for r in t.margins().collect()}
+    assert "No such category" not in margins
+    for tables in (t, stored):
+        both = {r.customer_id: r for r in scores.rfm_clv(tables).collect()}
+        assert both["b"].rfm_segment and both["b"].clv_segment is None and both["a"].clv_segment
+        assert {r.customer_id for r in serving.customer_master(tables).collect()} == {"a"}
+        details = serving.order_details(tables).collect()
+        assert {r.order_id for r in details} == {"1", "2"} and all(r.clv_segment for r in details)
+    # given score tables, the details read the lines once
+    plan = serving.order_details(stored)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("line_total#") and "Aggregate" not in plan
+    enriched = {r.item_id: r for r in explore.order_items_enriched(stored).collect()}
+    assert set(enriched) == {1, 2, 3} and enriched[3].net_line_total == Decimal("4.800000")
+
+
+def test_heatmap_has_all_days(spark):
+    from patronage.plans import explore
+    rows = {r.dow: r for r in explore.order_heatmap(Tables.from_star(spark, **_tiny_star(spark))).collect()}
+    assert [rows[d].dow_position for d in ("Monday", "Saturday", "Sunday")] == [1, 6, 7] and len(rows) == 7
+    assert rows["Saturday"].January is None and rows["Wednesday"].January == 1
+
+
+def test_top_products_does_not_overflow(spark):
+    from patronage.plans import explore
+    star = _tiny_star(spark)
+    big = Decimal("999999999999.99")
+    star["order_items"] = spark.range(400).selectExpr("id + 1 as item_id", "cast(id % 3 + 1 as string) as invoice_no", "'s1' as stock_code",
+                                                      "1 as quantity", "cast(1 as decimal(10,2)) as unit_price",
+                                                      f"cast('{big}' as decimal(14,2)) as line_total")
+    # an invoice's lines stay under 2^63 units of 1e-6; the product's total doesn't
+    few = star["order_items"].where("item_id <= 30")
+    rows = explore.top_products(Tables.from_star(spark, **{**star, "order_items": few})).collect()
+    assert len(rows) == 1 and rows[0].units == 30
+    assert rows[0].net_revenue > Decimal(2 ** 63) / 10 ** 6

@@ -1,29 +1,15 @@
+import random
+
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from patronage.operators.rank import add_ranks, ntile, ntile_sql, qcut, qcut_sql
-
-
-@pytest.mark.parametrize("k", [3, 5])
-def test_ntile_matches_spark_ntile(spark, k):
-    for n in [1, 2, 3, 4, 5, 6, 7, 11, 12, 13, 29, 30, 31, 100, 1425]:
-        df = spark.range(1, n + 1).select(F.col("id").alias("rank"))
-        got = df.select(ntile(F.col("rank"), n, k).alias("a"),
-                        F.ntile(k).over(Window.orderBy("rank")).alias("b"))
-        assert got.where("a <> b").count() == 0, n
-
-
-def test_ntile_sql_text_matches_duckdb_ntile():
-    con = duckdb.connect()
-    for k in (3, 5):
-        for n in range(1, 120):
-            bad = con.execute(
-                f"SELECT count(*) FROM (SELECT i AS rank, {n} AS n, ntile({k}) OVER (ORDER BY i) AS t "
-                f"FROM range(1, {n + 1}) r(i)) WHERE {ntile_sql('rank', 'n', k)} <> t").fetchone()[0]
-            assert bad == 0, (k, n)
+from patronage.operators.rank import (Metric, add_tiles, checkpointed, file_number, ntile_border, number_rows, qcut_bin,
+                                      qcut_border, quantiles)
+from patronage.plans.oracle import qcut_bins
 
 
 def _pandas_qcut(n, k):
@@ -32,59 +18,75 @@ def _pandas_qcut(n, k):
 
 
 @pytest.mark.parametrize("k", [3, 5])
-def test_qcut_sql_matches_pandas(k):
+def test_qcut_bins_and_borders_match_pandas(k):
     con = duckdb.connect()
-    for n in list(range(2, 400)) + [1425, 1426, 4334, 14434, 14435]:
-        got = [r[0] for r in con.execute(
-            f"SELECT {qcut_sql('i', str(n), k)} FROM range(1, {n + 1}) r(i) ORDER BY i").fetchall()]
-        assert got == _pandas_qcut(n, k), (k, n)
+    for n in [*range(2, 400), 1425, 1426, 4334, 14434, 14435]:
+        want = _pandas_qcut(n, k)
+        assert [qcut_bin(r, n, k) for r in range(1, n + 1)] == want, (k, n)
+        borders = [qcut_border(j, n, k) for j in range(1, k)]
+        assert [1 + sum(r > b for b in borders) for r in range(1, n + 1)] == want, (k, n)
+        if n < 120:  # the SQL twin's own definition
+            got = con.execute(f"SELECT {qcut_bins('i', str(n), k)} FROM range(1, {n + 1}) r(i) ORDER BY i").fetchall()
+            assert [g[0] for g in got] == want, (k, n)
 
 
 @pytest.mark.parametrize("k", [3, 5])
-def test_qcut_column_matches_pandas(spark, k):
-    for n in [2, 3, 4, 7, 10, 13, 100, 1425, 4334]:
-        df = spark.range(1, n + 1).select(F.col("id").alias("rank"))
-        got = [r[0] for r in df.orderBy("rank").select(qcut(F.col("rank"), n, k)).collect()]
-        assert got == _pandas_qcut(n, k), (k, n)
-
-
-def test_distributed_rank_equals_window(spark):
-    # heavy ties: a third of all rows share one metric value
-    df = spark.range(30000).select(
-        F.col("id").alias("key"),
-        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 101).alias("metric"))
-    order = {"rk": [F.col("metric"), F.col("key")]}
-    bounded = add_ranks(df, order, bound=30000, local_rows=10**9)
-    local = add_ranks(df, order, local_rows=10**9)
-    dist = add_ranks(df, order, local_rows=0, partitions=7)
-    assert local.first()["_n"] == dist.first()["_n"] == bounded.first()["_n"] == 30000
-    bj = bounded.select("key", F.col("rk").alias("a")).join(dist.select("key", F.col("rk").alias("b")), "key")
-    assert bj.where("a <> b").count() == 0
-    joined = local.select("key", F.col("rk").alias("a")).join(dist.select("key", F.col("rk").alias("b")), "key")
-    assert joined.where("a <> b").count() == 0
-    assert joined.agg(F.min("b"), F.max("b"), F.countDistinct("b")).first() == (1, 30000, 30000)
-
-
-def test_tile_sizes_differ_by_at_most_one(spark):
-    for n in (7, 1425, 1001):
-        df = spark.range(1, n + 1).select(F.col("id").alias("rank"))
-        sizes = [r[1] for r in df.groupBy(ntile(F.col("rank"), n, 5).alias("t")).count().collect()]
-        assert max(sizes) - min(sizes) <= 1
-
-
-def test_seven_tied_customers_tile_by_id(spark):
-    # 7 customers with equal frequency: tiles follow customer_id, sizes 2,2,1,1,1
-    df = spark.createDataFrame([(i, 3) for i in range(1, 8)], "customer_id long, frequency int")
-    ranked = add_ranks(df, {"r": [F.col("frequency"), F.col("customer_id")]})
-    got = [r[0] for r in ranked.orderBy("customer_id").select(ntile(F.col("r"), F.col("_n"), 5)).collect()]
-    assert got == [1, 1, 2, 2, 3, 4, 5]
-
-
-def test_range_width_is_the_configured_shuffle_width(spark):
-    from patronage.operators.rank import _range_partitions
-    base = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    assert _range_partitions(spark.range(1000), None) == base
-    # a cross join with a one-row scalar must not inflate the width
-    big = spark.range(10**6).crossJoin(spark.range(1).withColumnRenamed("id", "one"))
-    assert _range_partitions(big, None) == base
-    assert _range_partitions(big, 12) == 12
+def test_ntile_borders_match_spark(spark, k):
+    for n in [1, 2, 3, 4, 5, 6, 7, 11, 13, 29, 31, 100, 1425]:
+        got = [r[0] for r in spark.range(1, n + 1).select(F.ntile(k).over(Window.orderBy("id"))).collect()]
+        borders = [ntile_border(j, n, k) for j in range(1, k)]
+        assert [1 + sum(r > b for b in borders) for r in range(1, n + 1)] == got
+
+
+def _frame(spark, n=3000):
+    """Heavy ties: a third of all rows share one value; NULLs; a floating metric."""
+    return spark.range(n).select(
+        F.concat(F.lit("c"), F.col("id")).alias("key"),
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 101).alias("tied"),
+        F.when(F.col("id") % 10 != 0, F.sin("id") * 100).alias("wave"),
+        (F.col("id") % 7 < 5).alias("some"), F.expr("cast(id * 37 % 1009 as decimal(18,2)) / 100").cast("decimal(18,2)").alias("money"))
+
+
+def test_tiles_equal_windows(spark):
+    df = _frame(spark)
+    got = add_tiles(df, "key", {"a": (Metric("tied"), 5), "b": (Metric("wave"), 3), "c": (Metric("money"), 5),
+                                "d": (Metric("wave", only="some"), 3)})
+    want = df.select("key", *[F.ntile(k).over(Window.orderBy(c, "key")).alias(name)
+                              for name, c, k in (("a", "tied", 5), ("b", "wave", 3), ("c", "money", 5))])
+    part = df.where("some").select("key", F.ntile(3).over(Window.orderBy("wave", "key")).alias("d"))
+    assert got.select("key", "a", "b", "c").exceptAll(want).count() == 0
+    assert got.where("some").select("key", "d").exceptAll(part).count() == 0 and got.count() == 3000
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 4, 5, 7])
+def test_fewer_rows_than_tiles(spark, n):
+    df = spark.createDataFrame([(i, 3) for i in range(1, n + 1)], "customer_id long, frequency int")
+    got = [r[0] for r in add_tiles(df, "customer_id", {"t": (Metric("frequency"), 5)}).orderBy("customer_id").select("t").collect()]
+    assert got == [1 + sum(r > ntile_border(j, n, 5) for j in range(1, 5)) for r in range(1, n + 1)]
+    if n == 7:
+        assert got == [1, 1, 2, 2, 3, 4, 5]
+
+
+def test_quantiles_equal_numpy(spark):
+    df = checkpointed(_frame(spark, 1001).where("wave is not null"))
+    got = quantiles(df, "key", {"wave": [0.25, 0.5, 0.99], "money": [0.0, 1.0, 0.333]})
+    for (c, q), v in got.items():
+        values = [float(r[0]) for r in df.select(c).collect()]
+        assert v == pytest.approx(np.quantile(values, q), rel=1e-12, abs=1e-12)
+    empty = checkpointed(df.limit(0))
+    assert quantiles(empty, "key", {"wave": [0.5]}) == {("wave", 0.5): None}
+
+
+def test_number_rows(spark):
+    rng = random.Random(1)
+    ids = rng.sample(range(10 ** 6), 2000)
+    df = spark.createDataFrame([(i, i % 3) for i in ids], "id long, tied long").repartition(5)
+    got = number_rows(df, [F.col("tied"), F.col("id")], "n", partitions=7).orderBy("n").collect()
+    assert [(r["tied"], r["id"]) for r in got] == sorted((i % 3, i) for i in ids) and [r["n"] for r in got] == list(range(1, 2001))
+
+
+def test_files_follow_their_number_not_their_name(spark):
+    names = [f"file:/x/part-{n:05d}-ab12.c000.snappy.parquet" for n in (7, 99998, 99999, 100000, 100001, 1234567)]
+    df = spark.createDataFrame([(n,) for n in sorted(names)], "path string")
+    got = [r[0] for r in df.select(file_number(F.col("path")).alias("n")).orderBy("n").collect()]
+    assert got == [7, 99998, 99999, 100000, 100001, 1234567]

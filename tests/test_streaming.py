@@ -7,17 +7,16 @@ from patronage.streaming import upsert_each_batch
 
 def test_upsert_each_batch(spark, scratch):
     src, root, ckpt = f"{scratch}/in", f"{scratch}/scores", f"{scratch}/ckpt"
-    spark.createDataFrame([(1, 1.0), (2, 2.0)], "customer_id long, score double") \
-        .write.parquet(f"{src}/b1")
-    spark.createDataFrame([(2, 5.0), (3, 3.0)], "customer_id long, score double") \
-        .write.parquet(f"{src}/b2")
-    stream = (spark.readStream.schema("customer_id long, score double")
-              .option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true")
-              .parquet(src))
-    q = (stream.writeStream.foreachBatch(upsert_each_batch(root, ["customer_id"]))
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination(120)
+
+    def arrive(name, rows):
+        spark.createDataFrame(rows, "customer_id long, score double").coalesce(1).write.parquet(f"{src}/{name}")
+        stream = (spark.readStream.schema("customer_id long, score double")
+                  .option("recursiveFileLookup", "true").parquet(src))
+        q = (stream.writeStream.foreachBatch(upsert_each_batch(root, ["customer_id"], order=["score"]))
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        q.awaitTermination(120)
+
+    arrive("b1", [(1, 1.0), (2, 7.0)])
+    arrive("b2", [(2, 4.0), (2, 5.0), (3, 3.0)])  # two rows of a key in one micro-batch: the last by score
     final = spark.read.parquet(latest_version(spark, root))
-    rows = sorted(tuple(r) for r in final.collect())
-    assert [r[0] for r in rows] == [1, 2, 3]
-    assert final.count() == 3
+    assert sorted(tuple(r) for r in final.collect()) == [(1, 1.0), (2, 5.0), (3, 3.0)]

@@ -1,6 +1,9 @@
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
-from patronage.operators.upsert import latest_version, upsert, write_upsert
+from patronage.operators.upsert import last_per_key, latest_version, upsert, write_upsert
 
 
 def _rows(df):
@@ -37,3 +40,32 @@ def test_versioned_write_never_overwrites_input(spark, scratch):
     assert _rows(spark.read.parquet(p1)) == [(1, 1.0), (2, 2.0)]
     assert _rows(spark.read.parquet(p2)) == [(1, 1.0), (2, 5.0), (3, 3.0)]
     assert spark.read.parquet(p2).where(F.col("customer_id") == 2).count() == 1
+
+
+def test_duplicate_keys_are_refused_or_the_last_is_kept(spark, scratch):
+    target = spark.createDataFrame([(1, "a", 0)], "k long, v string, at int")
+    updates = spark.createDataFrame([(1, "b", 1), (1, "c", 2), (2, "d", 5), (2, "e", 4)], "k long, v string, at int")
+    with pytest.raises(ValueError):
+        write_upsert(spark, f"{scratch}/t", updates, ["k"])
+    write_upsert(spark, f"{scratch}/t", target, ["k"])
+    with pytest.raises(ValueError):
+        write_upsert(spark, f"{scratch}/t", updates, ["k"])
+    path = write_upsert(spark, f"{scratch}/t", updates, ["k"], order=["at"])
+    assert _rows(spark.read.parquet(path)) == [(1, "c", 2), (2, "d", 5)]
+    assert _rows(last_per_key(updates, ["k"], ["at"])) == [(1, "c", 2), (2, "d", 5)]
+
+
+def test_unfinished_versions_do_not_count(spark, scratch):
+    root = f"{scratch}/t"
+    one = write_upsert(spark, root, spark.createDataFrame([(1, "a")], "k long, v string"), ["k"])
+    os.makedirs(f"{root}/v000002/_temporary")  # as a crash leaves it
+    assert latest_version(spark, root) == one
+    three = write_upsert(spark, root, spark.createDataFrame([(2, "b")], "k long, v string"), ["k"])
+    assert three.endswith("v000003") and _rows(spark.read.parquet(three)) == [(1, "a"), (2, "b")]
+
+
+def test_versions_are_numbers(spark, scratch):
+    frame = spark.createDataFrame([(1, "a")], "k long, v string")
+    for n in (999999, 1000000):
+        frame.write.parquet(f"{scratch}/t/v{n:06d}")
+    assert latest_version(spark, f"{scratch}/t").endswith("v1000000")
