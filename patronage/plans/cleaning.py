@@ -238,42 +238,79 @@ def staging_counts(t: Tables) -> DataFrame:
     return raw.unionByName(lines)
 
 
-def _violations(name: str, df: DataFrame) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("violations")).select(
+#: NOT NULL columns of each table, as the source schema declares them.
+NOT_NULL = {
+    "raw_transactions": ("InvoiceNo", "StockCode", "Quantity", "InvoiceDate", "UnitPrice", "Country"),
+    "category_margin_assumptions": ("category", "gross_margin_pct"),
+    "customers": ("customer_id", "country", "first_purchase_date", "last_purchase_date", "is_active"),
+    "products": ("stock_code", "description", "category", "avg_unit_price"),
+    "orders": ("invoice_no", "customer_id", "invoice_date", "country", "order_status"),
+    "order_items": ("invoice_no", "stock_code", "quantity", "unit_price"),
+    "rfm_scores": ("customer_id", "recency_days", "frequency", "monetary", "r_score", "f_score", "m_score", "rfm_score", "rfm_segment"),
+    "clv_scores": ("customer_id", "avg_order_value", "purchase_freq_monthly", "churn_rate", "gross_margin_pct", "clv_12m",
+                   "clv_36m", "clv_segment"),
+}
+
+
+def _null_counts(table: str, df: DataFrame) -> DataFrame:
+    """One row per NOT NULL column, from one pass over the table."""
+    columns = NOT_NULL[table]
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(f"{table}.nn_{c.lower()}").alias("constraint_name"), F.col(c).alias("violations")) for c in columns])))
+
+
+def _duplicate_rows(name: str, counts: DataFrame) -> DataFrame:
+    """Rows whose key has several; ``counts``: n per key."""
+    return counts.where("n > 1").agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("violations")).select(
         F.lit(name).alias("constraint_name"), "violations")
 
 
-def _duplicate_rows(name: str, df: DataFrame, key: str) -> DataFrame:
-    dup = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    return dup.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("violations")).select(
+def _orphans(name: str, counts: DataFrame, key: str, parent: DataFrame, parent_key: str | None = None) -> DataFrame:
+    """Rows whose key isn't in the parent (NULL keys included); ``counts``: n per key."""
+    parent = parent.select(F.col(parent_key or key).alias(key)).distinct()
+    return counts.join(parent, key, "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("violations")).select(
         F.lit(name).alias("constraint_name"), "violations")
 
 
+def _per_key(df: DataFrame, key: str) -> DataFrame:
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+
+
 def constraint_violations(t: Tables) -> DataFrame:
-    """Q-41: primary-key, foreign-key and NOT NULL violations of the star
-    schema as a report (Spark does not enforce constraints)."""
-    orders = t.orders()
+    """Q-41: primary-key, foreign-key and NOT NULL violations of the whole
+    schema as a report (Spark does not enforce constraints). NULLs are counted
+    in one pass per table; keys are reduced to one row each before they meet
+    their parents, so the lines are read twice."""
+    orders, products, customers, margins = t.orders(with_country=True), t.products(), t.customers(), t.margins()
     items = t.order_items()
-    products = t.products()
-    customers = t.customers()
-    margins = t.margins()
+    item_nulls = [F.count_if(F.col(c).isNull()).alias(c) for c in NOT_NULL["order_items"][1:]]
+    per_invoice = checkpointed(items.groupBy("invoice_no").agg(F.count(F.lit(1)).alias("n"), *item_nulls))
+    sums = per_invoice.agg(F.coalesce(F.sum(F.when(F.col("invoice_no").isNull(), F.col("n"))), F.lit(0)).alias("invoice_no"),
+                           *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in NOT_NULL["order_items"][1:]])
     parts = [
-        _duplicate_rows("orders.pk_invoice_no", orders, "invoice_no"),
-        _duplicate_rows("customers.pk_customer_id", customers, "customer_id"),
-        _duplicate_rows("products.pk_stock_code", products, "stock_code"),
-        _violations("order_items.fk_invoice_no",
-                    items.join(orders.select("invoice_no"), "invoice_no", "left_anti")),
-        _violations("order_items.fk_stock_code",
-                    items.join(products.select("stock_code"), "stock_code", "left_anti")),
-        _violations("orders.fk_customer_id",
-                    orders.join(customers.select("customer_id"), "customer_id", "left_anti")),
-        _violations("products.fk_category",
-                    products.join(F.broadcast(margins.select("category")), "category", "left_anti")),
-        _violations("orders.nn_invoice_date", orders.where(F.col("invoice_date").isNull())),
-        _violations("orders.nn_customer_id", orders.where(F.col("customer_id").isNull())),
-        _violations("order_items.nn_quantity", items.where(F.col("quantity").isNull())),
-        _violations("order_items.nn_unit_price", items.where(F.col("unit_price").isNull())),
+        sums.select(F.inline(F.array(*[F.struct(F.lit(f"order_items.nn_{c}").alias("constraint_name"), F.col(c).alias("violations"))
+                                       for c in NOT_NULL["order_items"]]))),
+        _orphans("order_items.fk_invoice_no", per_invoice.select("invoice_no", "n"), "invoice_no", orders),
+        _orphans("order_items.fk_stock_code", _per_key(items, "stock_code"), "stock_code", products),
+        _duplicate_rows("orders.pk_invoice_no", _per_key(orders, "invoice_no")),
+        _duplicate_rows("customers.pk_customer_id", _per_key(customers, "customer_id")),
+        _duplicate_rows("products.pk_stock_code", _per_key(products, "stock_code")),
+        _duplicate_rows("category_margin_assumptions.pk_category", _per_key(margins, "category")),
+        _orphans("orders.fk_customer_id", _per_key(orders, "customer_id"), "customer_id", customers),
+        _orphans("products.fk_category", _per_key(products, "category"), "category", margins),
+        _null_counts("raw_transactions", t.raw_transactions()),
+        *[_null_counts(n, df) for n, df in (("orders", orders), ("products", products), ("customers", customers),
+                                            ("category_margin_assumptions", margins))],
     ]
+    if "item_id" in items.columns:
+        parts.append(_duplicate_rows("order_items.pk_item_id", _per_key(items, "item_id")))
+    for name in ("rfm_scores", "clv_scores"):
+        stored = t.stored(name)
+        if stored is not None:
+            per_customer = _per_key(stored, "customer_id")
+            parts += [_null_counts(name, stored), _duplicate_rows(f"{name}.pk_customer_id", per_customer),
+                      _orphans(f"{name}.fk_customer_id", per_customer, "customer_id", customers)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

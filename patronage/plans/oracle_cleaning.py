@@ -34,6 +34,28 @@ x_clean AS (
   FROM x_raw WHERE NOT ({drop}))"""
 
 
+def _constraints() -> str:
+    not_null = {  # fixed values: the source schema's NOT NULL columns
+        ("raw_transactions", "x_raw"): ('"InvoiceNo"', '"StockCode"', '"Quantity"', '"InvoiceDate"', '"UnitPrice"', '"Country"'),
+        ("category_margin_assumptions", "x_margins"): ("category", "gross_margin_pct"),
+        ("customers", "x_customers"): ("customer_id", "country", "first_purchase_date", "last_purchase_date", "is_active"),
+        ("products", "x_products"): ("stock_code", "description", "category", "avg_unit_price"),
+        ("orders", "x_orders"): ("invoice_no", "customer_id", "invoice_date", "country", "order_status"),
+        ("order_items", "x_items"): ("invoice_no", "stock_code", "quantity", "unit_price"),
+    }
+    keys = {("orders", "x_orders"): "invoice_no", ("customers", "x_customers"): "customer_id", ("products", "x_products"): "stock_code",
+            ("category_margin_assumptions", "x_margins"): "category"}
+    foreign = [("order_items", "x_items", "invoice_no", "x_orders"), ("order_items", "x_items", "stock_code", "x_products"),
+               ("orders", "x_orders", "customer_id", "x_customers"), ("products", "x_products", "category", "x_margins")]
+    rows = [f"SELECT '{t}.nn_{c.strip(chr(34)).lower()}' AS constraint_name, count(*) FILTER (WHERE {c} IS NULL) AS violations FROM {x}"
+            for (t, x), columns in not_null.items() for c in columns]
+    rows += [f"SELECT '{t}.pk_{k}', CAST(COALESCE(sum(n), 0) AS BIGINT) FROM (SELECT count(*) AS n FROM {x} GROUP BY {k} HAVING count(*) > 1)"
+             for (t, x), k in keys.items()]
+    rows += [f"SELECT '{t}.fk_{k}', count(*) FROM {x} c WHERE NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{k} = c.{k})"
+             for t, x, k, parent in foreign]
+    return " UNION ALL ".join(rows)
+
+
 def cleaning_sql() -> dict[str, str]:
     f = _flags()
     clean = clean_ctes()
@@ -105,26 +127,7 @@ FROM x_raw
 UNION ALL
 SELECT 'completed_lines', count(*), count(DISTINCT o.customer_id), count(DISTINCT o.invoice_no)
 FROM x_completed o JOIN x_items i ON o.invoice_no = i.invoice_no"""),
-        "constraint_violations": with_adapter("""
-x_dup AS (SELECT 'orders.pk_invoice_no' AS c, COALESCE(sum(n), 0) AS v FROM
-            (SELECT count(*) AS n FROM x_orders GROUP BY invoice_no HAVING count(*) > 1)
-          UNION ALL SELECT 'customers.pk_customer_id', COALESCE(sum(n), 0) FROM
-            (SELECT count(*) AS n FROM x_customers GROUP BY customer_id HAVING count(*) > 1)
-          UNION ALL SELECT 'products.pk_stock_code', COALESCE(sum(n), 0) FROM
-            (SELECT count(*) AS n FROM x_products GROUP BY stock_code HAVING count(*) > 1))
-SELECT c AS constraint_name, CAST(v AS BIGINT) AS violations FROM x_dup
-UNION ALL SELECT 'order_items.fk_invoice_no', count(*) FROM x_items i
-  WHERE NOT EXISTS (SELECT 1 FROM x_orders o WHERE o.invoice_no = i.invoice_no)
-UNION ALL SELECT 'order_items.fk_stock_code', count(*) FROM x_items i
-  WHERE NOT EXISTS (SELECT 1 FROM x_products p WHERE p.stock_code = i.stock_code)
-UNION ALL SELECT 'orders.fk_customer_id', count(*) FROM x_orders o
-  WHERE NOT EXISTS (SELECT 1 FROM x_customers c WHERE c.customer_id = o.customer_id)
-UNION ALL SELECT 'products.fk_category', count(*) FROM x_products p
-  WHERE NOT EXISTS (SELECT 1 FROM x_margins m WHERE m.category = p.category)
-UNION ALL SELECT 'orders.nn_invoice_date', count(*) FROM x_orders WHERE invoice_date IS NULL
-UNION ALL SELECT 'orders.nn_customer_id', count(*) FROM x_orders WHERE customer_id IS NULL
-UNION ALL SELECT 'order_items.nn_quantity', count(*) FROM x_items WHERE quantity IS NULL
-UNION ALL SELECT 'order_items.nn_unit_price', count(*) FROM x_items WHERE unit_price IS NULL"""),
+        "constraint_violations": with_adapter(_constraints()),
         "raw_staging": with_adapter("""
 SELECT id, "InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice",
        "CustomerID", "Country" FROM x_raw"""),

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from patronage.plans import serving
+from patronage.plans.reports import ordered
 from patronage.sources.tables import Tables
 
 VIEWS = {
@@ -24,7 +25,7 @@ def register_views(t: Tables, names=None) -> dict[str, DataFrame]:
         "category_margin_assumptions": t.margins(),
     }
     for name in names or VIEWS:
-        frames[name] = VIEWS[name](t)
+        frames[name] = ordered(name.removeprefix("vw_"), VIEWS[name](t))
     for name, df in frames.items():
         df.createOrReplaceTempView(name)
     return frames

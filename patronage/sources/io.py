@@ -49,9 +49,12 @@ MASTER_SCHEMA = T.StructType([
 def read_raw_csv(spark: SparkSession, path: str, timestamp_format: str = "M/d/yyyy H:mm",
                  encoding: str = "ISO-8859-1", normalize_keys: bool = False) -> DataFrame:
     """S-01: raw invoice-line CSV with an explicit schema. Codes stay strings;
-    unparseable timestamps become NULL instead of failing the job.
+    unparseable timestamps become NULL instead of failing the job, and a row
+    with a bad number keeps its text in ``_corrupt_record`` (NULL for good rows),
+    so that it can be told from a row whose number is missing.
     ``normalize_keys`` trims and upper-cases StockCode (case-insensitive keys)."""
-    df = (spark.read.schema(RAW_CSV_SCHEMA).option("header", True)
+    schema = T.StructType([*RAW_CSV_SCHEMA.fields, T.StructField("_corrupt_record", T.StringType())])
+    df = (spark.read.schema(schema).option("header", True).option("columnNameOfCorruptRecord", "_corrupt_record")
           .option("encoding", encoding).option("mode", "PERMISSIVE").csv(path))
     ts = F.try_to_timestamp(F.col("InvoiceDate"), F.lit(timestamp_format)).cast("timestamp_ntz")
     df = df.withColumn("InvoiceDate", ts)

@@ -114,3 +114,39 @@ def test_table_counts(t):
     assert got["order_items"] == 19
     assert got["orders"] == len({r[1] for r in ROWS if r[0] in
                                  {2, 7, 8, 9, 14, 15, 16, 17, 18, 19, 20, 21, 22, 23, 24, 25, 26, 27, 28}})
+
+
+def test_constraint_report_sees_every_kind(spark):
+    import datetime
+    from decimal import Decimal
+
+    from patronage.plans import cleaning
+    from patronage.sources.tables import Tables
+    when = datetime.datetime(2011, 1, 5, 9)
+    star = {
+        "orders": spark.createDataFrame([("1", "a", when, "Completed", "UK"), ("1", "z", None, "Completed", None)],
+                                        "invoice_no string, customer_id string, invoice_date timestamp_ntz, order_status string, country string"),
+        "order_items": spark.createDataFrame([(1, "1", "s1", 2, Decimal("3.00"), Decimal("6.00")), (1, "9", "s9", None, None, None),
+                                              (2, None, "s1", 1, Decimal("1.00"), Decimal("1.00"))],
+                                             "item_id bigint, invoice_no string, stock_code string, quantity int, unit_price decimal(10,2), line_total decimal(14,2)"),
+        "products": spark.createDataFrame([("s1", "MUG", "Kitchen & Dining", Decimal("3.00")), ("s2", None, "No such", None)],
+                                          "stock_code string, description string, category string, avg_unit_price decimal(10,2)"),
+        "customers": spark.createDataFrame([("a", None, None, None, True)],
+                                           "customer_id string, country string, first_purchase_date date, last_purchase_date date, is_active boolean"),
+        "raw": spark.createDataFrame([(1, None, "s", "d", 1, when, Decimal("1"), None, "UK")],
+                                     "id bigint, InvoiceNo string, StockCode string, Description string, Quantity int, InvoiceDate timestamp_ntz, "
+                                     "UnitPrice decimal(10,4), CustomerID string, Country string"),
+        "rfm_scores": spark.createDataFrame([("a", 1, 1, Decimal("1.00"), 1, 1, 1, 3, "Lost"), ("q", 1, 1, None, 1, 1, 1, 3, "Lost")],
+                                            "customer_id string, recency_days int, frequency int, monetary decimal(14,2), r_score int, f_score int, "
+                                            "m_score int, rfm_score int, rfm_segment string"),
+    }
+    rows = cleaning.constraint_violations(Tables.from_star(spark, **star)).collect()
+    got = {r.constraint_name: r.violations for r in rows}
+    assert len(got) == len(rows)
+    wrong = {k: v for k, v in got.items() if v}
+    assert wrong == {
+        "orders.pk_invoice_no": 2, "orders.fk_customer_id": 1, "orders.nn_invoice_date": 1, "orders.nn_country": 1,
+        "order_items.pk_item_id": 2, "order_items.fk_invoice_no": 2, "order_items.fk_stock_code": 1, "order_items.nn_invoice_no": 1,
+        "order_items.nn_quantity": 1, "order_items.nn_unit_price": 1, "products.fk_category": 1, "products.nn_description": 1,
+        "products.nn_avg_unit_price": 1, "customers.nn_country": 1, "customers.nn_first_purchase_date": 1,
+        "customers.nn_last_purchase_date": 1, "raw_transactions.nn_invoiceno": 1, "rfm_scores.nn_monetary": 1, "rfm_scores.fk_customer_id": 1}

@@ -42,3 +42,13 @@ def test_normalize_keys_on_load(spark, scratch):
     plain = read_raw_csv(spark, path).select("StockCode").distinct().count()
     folded = read_raw_csv(spark, path, normalize_keys=True).select("StockCode").distinct().count()
     assert (plain, folded) == (2, 1)
+
+
+def test_bad_numbers_are_kept_apart_from_missing_ones(spark, scratch):
+    path = f"{scratch}/bad.csv"
+    with open(path, "w", encoding="ISO-8859-1") as f:
+        f.write("InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
+                "1,s,d,6,12/1/2010 8:26,2.55,c,UK\n2,s,d,six,12/1/2010 8:26,2.55,c,UK\n3,s,d,,12/1/2010 8:26,2.55,c,UK\n")
+    rows = {r.InvoiceNo: r for r in read_raw_csv(spark, path).collect()}
+    assert rows["1"]._corrupt_record is None and rows["3"]._corrupt_record is None and rows["3"].Quantity is None
+    assert rows["2"].Quantity is None and "six" in rows["2"]._corrupt_record
