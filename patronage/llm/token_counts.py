@@ -102,7 +102,7 @@ def corpus_history(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
         F.struct(F.col(id_col).isNull().alias("null_id"), F.col(id_col).cast("long").alias("id"), F.monotonically_increasing_id().alias("row")).alias("row"),
         F.col(source_col).cast("string").alias("source"), F.col(lang_col).cast("string").alias("lang"),
         F.unhex(F.sha2(text.cast("binary"), 256)).alias("hash"), words(text).alias("n1"), words_and_stops(text).alias("n2")))
-    first = rows.groupBy("hash").agg(F.min("row").alias("kept"))
+    first = checkpointed(rows.groupBy("hash").agg(F.min("row").alias("kept")))  # apart, so that the join can split a hot text
     judged = checkpointed(rows.join(first, "hash").select("source", "lang", "n1", "n2", (F.col("row") == F.col("kept")).alias("kept")))
     one = F.col("source"), F.col("lang"), F.lit("words-1"), F.col("n1")
     two = F.col("source"), F.col("lang"), F.lit("words-2"), F.col("n2")

@@ -94,16 +94,21 @@ class _Block:
             return False
         rest = np.sqrt((rotated[:, self.head:] ** 2).sum(axis=1))
         bound = self.first[live] @ rotated[:, :self.head].T + self.rest[live][:, None] * rest[None, :] + margin[live][:, None]
-        for row, at in zip(bound, np.flatnonzero(live), strict=True):
-            near = np.flatnonzero((row >= self.least[at]) & (ids != self.ids[at]))
-            if len(near):
-                self._enter(at, ids[near], self._scores(at, vectors[near], norm[near]))
+        least = self.least[live][:, None]
+        near = bound >= least
+        wanted = near.any(axis=0)
+        if wanted.any():
+            scores = self._scores(live, vectors[wanted], norm[wanted].max())
+            enters = near[:, wanted] & (scores >= least) & (self.ids[live][:, None] != ids[wanted][None, :])
+            for row in np.flatnonzero(enters.any(axis=1)):
+                self._enter(np.flatnonzero(live)[row], ids[wanted][enters[row]], scores[row, enters[row]].astype(np.int64))
         return True
 
-    def _scores(self, at: int, vectors: np.ndarray, norm: np.ndarray) -> np.ndarray:
-        if self.norm[at] * norm.max() < EXACT:
-            return (vectors.astype(np.float64) @ self.q[at].astype(np.float64)).astype(np.int64)
-        return vectors @ self.q[at]
+    def _scores(self, live: np.ndarray, vectors: np.ndarray, norm: float) -> np.ndarray:
+        """Whole scores; through floating point only where that is exact."""
+        if self.norm[live].max() * norm < EXACT:
+            return self.q[live].astype(np.float64) @ vectors.astype(np.float64).T
+        return self.q[live] @ vectors.T
 
     def _enter(self, at: int, ids: np.ndarray, scores: np.ndarray) -> None:
         scores, ids = np.concatenate([self.best[at][0], scores]), np.concatenate([self.best[at][1], ids])
