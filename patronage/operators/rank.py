@@ -10,7 +10,7 @@ distributed forms replace it, at every size:
 * :func:`add_tiles` turns the rows at the tile borders into literals, so that a
   tile is a comparison with at most k - 1 cut keys, evaluated where the row is.
 * :func:`number_rows` gives every row its rank (surrogate ids): the sorted
-  partitions are written once and each file's rows start after the files before it.
+  partitions are materialised once and each one's rows start after those before it.
 
 All orders end in a unique key, so a value that a third of all rows share still
 spreads over partitions. The input is materialised once in the shared
@@ -19,7 +19,6 @@ checkpoint folder; building such a query therefore runs Spark jobs.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -185,27 +184,18 @@ def quantiles(df: DataFrame, key: str, wanted: Mapping[str, Sequence[float]]) ->
 # a rank for every row
 # ---------------------------------------------------------------------------
 
-def file_number(path: Column) -> Column:
-    """The partition number in a part file's name. Names aren't compared as
-    text: Spark pads to five digits, and ``part-100000`` sorts before ``part-99999``."""
-    return F.regexp_extract(path, r"part-(\d+)-", 1).cast("long")
-
-
-def number_rows(df: DataFrame, order: Sequence[Column], name: str, folder: str | None = None,
-                partitions: int | None = None) -> DataFrame:
+def number_rows(df: DataFrame, order: Sequence[Column], name: str, partitions: int | None = None) -> DataFrame:
     """Add a consecutive 1-based number in ``order`` (which ends in a unique
-    key). The sorted rows are written once under ``folder`` (default: a new
-    folder in the shared checkpoint folder, for the caller's session to keep)
-    and read back, one file per range partition."""
-    spark = df.sparkSession
-    path = folder or f"{ensure_checkpoint_dir(spark).rstrip('/')}/patronage-{uuid.uuid4().hex}"
-    width = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.repartitionByRange(width, *order).sortWithinPartitions(*order).write.option("maxRecordsPerFile", 0).parquet(path)
-    tagged = spark.read.schema(df.schema).parquet(path).select(
-        "*", file_number(F.col("_metadata.file_path")).alias("_part"), F.col("_metadata.row_index").alias("_pos"))
-    counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    key). The sorted range partitions are materialised once; a row's number is
+    its place in its partition after the rows of all earlier partitions."""
+    width = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # the id holds the partition's number above 33 bits and the row's place below
+    placed = checkpointed(df.repartitionByRange(width, *order).sortWithinPartitions(*order)
+                          .withColumn("_id", F.monotonically_increasing_id()))
+    placed = placed.select("*", F.shiftright("_id", 33).alias("_part"), F.col("_id").bitwiseAND((1 << 33) - 1).alias("_pos"))
+    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per file, so as many as range partitions
+    # one row per range partition
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (tagged.join(F.broadcast(offsets), "_part")
-            .withColumn(name, F.col("_pos") + F.col("_off") + 1).drop("_part", "_pos", "_off"))
+    return (placed.join(F.broadcast(offsets), "_part")
+            .withColumn(name, F.col("_pos") + F.col("_off") + 1).drop("_id", "_part", "_pos", "_off"))

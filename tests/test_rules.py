@@ -78,3 +78,25 @@ def test_categoriser_sql_text_form_matches_column_form(spark):
     for rules in (config.CATEGORY_RULES, config.ADAPTER_CATEGORY_RULES):
         got = df.select(category_col(F.col("d"), rules).alias("a"), category_col("d", rules).alias("b"))
         assert got.where("NOT (a <=> b)").count() == 0
+
+
+def test_production_category_rules_agree_with_duckdb(spark):
+    """The production regexes over hand-made descriptions, in both engines."""
+    import duckdb
+    from pyspark.sql import functions as F
+
+    from patronage import config
+    from patronage.functions.rules import category_col
+    from patronage.plans.oracle import category_case
+
+    words = ["CHRISTMAS", "XMAS TREE", "BAG", "JUMBO BAG RED", "HANDBAG", "MUG", "TEA CUP", "CUPBOARD", "PLATE", "CAKE STAND", "LANTERN", "T-LIGHT HOLDER",
+             "CANDLE", "FRAME", "CLOCK", "CARD", "NOTEBOOK", "PENCIL", "WRAP", "TOY", "GAME", "DOLL", "GARDEN", "PLANTER", "SOAP", "BATH", "TOWEL",
+             "UMBRELLA", "NECKLACE", "RING", "RINGBINDER", "SPACEBOY", "WICKER HEART", "SIGN", "", "  ", "CARDIGAN", "GIFT TAG", "RIBBON", "LUNCH BOX"]
+    texts = [w for w in words] + [f"{a} {b}" for a in words[:20] for b in words[20:]] + [None]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, d string")
+    got = {r["id"]: r["c"] for r in rows.select("id", category_col("d", config.CATEGORY_RULES).alias("c")).collect()}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (id INTEGER, d VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(texts)))
+    want = dict(con.execute(f"SELECT id, {category_case('d', config.CATEGORY_RULES)} FROM t").fetchall())
+    assert got == want and len(set(got.values())) >= 6
