@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 
@@ -28,6 +29,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of plans that nothing refers to any
+    more. It does so when the driver's garbage is collected, which may be long
+    after a table has replaced them; a job of several large steps asks for it."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name inside the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

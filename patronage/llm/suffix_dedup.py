@@ -9,7 +9,9 @@ over, so only suffixes at anchors are sorted, and only where it matters:
    place, so only windows of anchors with equal grams can be equal. A few
    windows in a row share an anchor; what they cover is the anchor's context.
 2. Contexts that occur twice, counted by hash: all their windows repeat. That
-   settles the inside of copies; nothing but hashes and places is shuffled.
+   settles the inside of copies; nothing but hashes and places is shuffled. A
+   task sends a context on twice at most; what it meets more often is known to
+   repeat, so a context that is everywhere is no hot key.
 3. For the other contexts of a gram that has several (around the ends of
    copied passages), the suffixes and the reversed prefixes at their anchors
    are put in order by deep-shallow sorting. With the common prefixes of both
@@ -35,10 +37,10 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from patronage.llm.common import checkpointed, prepare, remove_path, scratch_path
+from patronage.llm.common import checkpointed, prepare, release, remove_path, scratch_path
 from patronage.llm.deep_shallow import deep_shallow
 
 MIN_LENGTH = 400
@@ -48,9 +50,12 @@ REFINE_ROWS = 4_096    # contexts that are sorted at once, if groups end there
 _BASE = 0x9E3779B97F4A7C15  # odd, so powers have inverses
 _PLACE_BITS = 24
 
-ANCHORS = "gram bigint, context bigint, before int, after int, doc bigint, hash bigint, start bigint"
-_ANCHOR_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-_ANCHOR_NAMES = ["gram", "context", "before", "after", "doc", "hash", "start"]
+SEEN = 1 << 20         # contexts that a task remembers
+
+#: known: the context is known to repeat; gram and context are then arbitrary, so that such rows spread.
+ANCHORS = "gram bigint, context bigint, before int, after int, doc bigint, hash bigint, start bigint, known boolean"
+_ANCHOR_TYPES = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
+_ANCHOR_NAMES = [c.split()[0] for c in ANCHORS.split(", ")]
 _POWERS: dict[str, np.ndarray] = {}
 
 
@@ -142,15 +147,24 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def _find_anchors(keyed: DataFrame, min_length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_64_intdigest
+        digest, seen = xxhash.xxh3_64_intdigest, {}
         for piece in _pieces(batches, min_length):
             columns = [[] for _ in _ANCHOR_NAMES]
             for number, first, last, place, gram in anchors([p[3] for p in piece], min_length):
                 doc, h, at, raw = piece[number]
                 contexts = np.array([digest(raw[a:b]) for a, b in zip(first.tolist(), (last + min_length).tolist(), strict=True)], np.uint64)
-                n = len(first)
-                for column, values in zip(columns, (gram, contexts.view(np.int64), place - first, place - last,
-                                                    np.full(n, doc), np.full(n, h), first + at), strict=True):
+                n, before = len(first), place - first
+                known = np.zeros(n, bool)
+                for i, key in enumerate(zip(contexts.tolist(), gram.tolist(), before.tolist(), strict=True)):
+                    times = seen[key] = seen.get(key, 0) + 1
+                    known[i] = times > 2
+                if len(seen) > SEEN:
+                    seen.clear()
+                spread = np.array([digest(f"{doc},{h},{at + p}") for p in first[known].tolist()], np.uint64).view(np.int64)
+                gram, contexts = gram.copy(), contexts.view(np.int64)
+                gram[known], contexts[known] = spread, spread
+                for column, values in zip(columns, (gram, contexts, before, place - last,
+                                                    np.full(n, doc), np.full(n, h), first + at, known), strict=True):
                     column.append(values)
             if columns[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), t) for c, t in zip(columns, _ANCHOR_TYPES, strict=True)], names=_ANCHOR_NAMES)
@@ -335,27 +349,35 @@ def repeated_windows(docs: DataFrame, min_length: int = MIN_LENGTH, *, id_col: s
     spark = docs.sparkSession
     prepare(spark)
     keyed = _keyed(docs, id_col, text_col)
+    kind = ["known", "gram", "context", "before", "after"]
+    alike = Window.partitionBy(*kind)  # two rows of each task at most
+    counted = (_find_anchors(keyed, min_length)
+               .withColumn("n", F.when(F.col("known"), 2).otherwise(F.count(F.lit(1)).over(alike)))
+               .withColumn("one", F.row_number().over(alike.orderBy("doc", "hash", "start")) == 1))
     folder = scratch_path(spark, "anchors")
-    _find_anchors(keyed, min_length).write.parquet(folder)
-    found = spark.read.parquet(folder)
-    kind = ["gram", "context", "before", "after"]
-    classes = found.groupBy(*kind).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "hash", "start")).alias("at"))
-    classes = classes.select(*kind, "n", "at.*")
+    counted.write.parquet(folder)
+    counted = spark.read.parquet(folder)
+    release(spark)  # the shuffle by context
+    classes = counted.where("one and not known").drop("one", "known")
     grams = classes.groupBy("gram").agg(F.count(F.lit(1)).alias("g"), F.min("n").alias("least")).where("g > 1 and least = 1")
+    grams = checkpointed(grams)  # apart, so that the join with it can split a hot gram
     chunks = F.ceil(F.col("g") / chunk)
     wanted = (classes.join(grams, "gram").withColumn("chunks", chunks)
               .withColumn("chunk", F.pmod(F.xxhash64("context", "before", "after"), F.col("chunks"))))
     refined = checkpointed(_refined(_cut_contexts(keyed, wanted, min_length), min_length))
+    del wanted
+    release(spark)  # the shuffles of classes, texts and contexts
     inside = refined.where("kind = 0").select("doc", "hash", "start", "stop")
     across = (refined.where("kind = 1").groupBy("gram", "l", "window")
               .agg(F.count(F.lit(1)).alias("n"), F.collect_list(F.when(F.col("single"), F.struct("doc", "hash", "start", "stop"))).alias("single"))
               .where("n > 1").select(F.inline("single")))  # a chunk gives one row per window, so the list is as long as the chunks are many
-    repeated = classes.where("n > 1").select(*kind)
-    settled = (found.join(repeated, kind)
-               .select("doc", "hash", "start", (F.col("start") + F.col("before") - F.col("after") + min_length).alias("stop")))
+    settled = counted.where("n > 1").select(
+        "doc", "hash", "start", (F.col("start") + F.col("before") - F.col("after") + min_length).alias("stop"))
     spans = settled.unionAll(inside).unionAll(across).groupBy("doc", "hash").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
     out = checkpointed(spans)
     remove_path(spark, folder)
+    del refined, inside, across, settled, spans, counted, classes
+    release(spark)
     return out
 
 
