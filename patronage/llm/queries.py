@@ -9,7 +9,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm import bpe, fingerprints, packing, quality, sharding, simhash_dedup, suffix_dedup, token_counts, token_files, topk
+from patronage.llm import (
+    alignment,
+    bpe,
+    collocations,
+    fingerprints,
+    language,
+    packing,
+    quality,
+    sharding,
+    simhash_dedup,
+    suffix_dedup,
+    token_counts,
+    token_files,
+    topk,
+)
 from patronage.llm.common import checkpointed, remove_path, scratch_path, table
 
 
@@ -103,6 +117,62 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.digest(quality.scores(docs, quality.train(docs, table(spark, sf_dir, "labels"))))
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all documents by a bidirectional recurrent network over bytes."""
+    docs = table(spark, sf_dir, "documents")
+    return language.digest(language.predict(docs, language.train(docs)))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers aligned by their ends, links valued by corpus counts."""
+    return alignment.digest(alignment.align(table(spark, sf_dir, "documents"), detail=False))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of each language."""
+    return collocations.mine(table(spark, sf_dir, "documents"), top=2000)
+
+
+OP13_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS piece, words FROM (
+        SELECT lang, list_filter(regexp_split_to_array(p, '[ \t]'), lambda w: w <> '') AS words FROM (
+            SELECT lang, unnest(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\r\x0B\x0C]')) AS p
+            FROM documents))
+    WHERE len(words) > 0),
+w AS (
+    SELECT lang, piece, unnest(words) AS w1, generate_subscripts(words, 1) AS i FROM pieces),
+o AS (
+    SELECT lang, w1, lead(w1) OVER p AS w2, lead(w1, 2) OVER p AS w3 FROM w WINDOW p AS (PARTITION BY piece ORDER BY i)),
+f1 AS (SELECT lang, w1, count(*) AS f FROM o GROUP BY ALL),
+f2 AS (SELECT lang, w1, w2, count(*) AS f FROM o WHERE w2 IS NOT NULL GROUP BY ALL),
+f3 AS (SELECT lang, w1, w2, w3, count(*) AS f FROM o WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+n AS (SELECT lang, sum(f) AS n FROM f1 GROUP BY lang),
+cuts AS (
+    SELECT c.lang, c.w1 || ' ' || c.w2 AS phrase, c.f AS a, x.f AS l, y.f AS r, 1 AS k,
+           c.f >= 10 AND NOT EXISTS (SELECT 1 FROM f3 t WHERE t.lang = c.lang AND 100 * t.f >= 50 * c.f
+                                     AND t.w1 = c.w1 AND t.w2 = c.w2)
+           AND NOT EXISTS (SELECT 1 FROM f3 t WHERE t.lang = c.lang AND 100 * t.f >= 50 * c.f
+                           AND t.w2 = c.w1 AND t.w3 = c.w2) AS kept
+    FROM f2 c JOIN f1 x ON x.lang = c.lang AND x.w1 = c.w1 JOIN f1 y ON y.lang = c.lang AND y.w1 = c.w2
+    WHERE c.f >= 10
+    UNION ALL
+    SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.f, x.f, y.f, 1, true
+    FROM f3 c JOIN f1 x ON x.lang = c.lang AND x.w1 = c.w1 JOIN f2 y ON y.lang = c.lang AND y.w1 = c.w2 AND y.w2 = c.w3
+    UNION ALL
+    SELECT c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.f, x.f, y.f, 2, true
+    FROM f3 c JOIN f2 x ON x.lang = c.lang AND x.w1 = c.w1 AND x.w2 = c.w2 JOIN f1 y ON y.lang = c.lang AND y.w1 = c.w3),
+scored AS (
+    SELECT *, CAST(1000000 * CAST(a AS HUGEINT) * a // (CAST(l AS HUGEINT) * r) AS BIGINT) AS score FROM cuts WHERE kept),
+lowest AS (
+    SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+JOIN n USING (lang)
+WHERE rank <= 2000
+"""
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_simhash_dedup": op2_simhash_dedup,
@@ -114,9 +184,13 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_token_files": op9_token_files,
     "op10_quality": op10_quality,
+    "op11_language": op11_language,
+    "op12_alignment": op12_alignment,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_topk": OP6_SQL,
     "op7_token_counts": OP7_SQL,
+    "op13_collocations": OP13_SQL,
 }

@@ -19,6 +19,9 @@ COLUMNS = {
     "op8_suffix_dedup": "doc_id n_bytes n_removed n_spans kept_sha256",
     "op9_token_files": "doc_id start n_tokens ids_crc32",
     "op10_quality": "doc_id held_out score predicted",
+    "op11_language": "doc_id held_out lang_pred score",
+    "op12_alignment": "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
+    "op13_collocations": "lang rank phrase a l r n score",
 }
 
 
