@@ -22,7 +22,6 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,20 +29,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from patronage.llm.blocks import Numbers, by_block, each_block, pack_arrays, rows_of, unpack_arrays
-from patronage.llm.byte_bpe import byte_symbols, vocabulary
+from patronage.llm.blocks import Numbers, by_block, each_block, narrow, pack_arrays, rows_of, unpack_arrays
+from patronage.llm.byte_bpe import LONG_CHUNK, PLAIN, byte_bpe, byte_symbols, vocabulary
 from patronage.llm.common import checkpointed, prepare, remove_path, scratch_path
 
 PIECE = 1 << 15         # ends that a piece merges
-BLOCK_BYTES = 4 << 20   # of text
+BLOCK_BYTES = 1 << 20   # of text
 BLOCK_DOCS = 20_000
 ENCODED = pa.schema([("block", pa.int64()), ("data", pa.binary()), ("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64())])
 ALIGNED = ("doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, "
            "groups_sha256 string, a_ids array<int>, b_ids array<int>, a_groups array<int>, b_groups array<int>")
 _ARROW = pa.schema([("doc_id", pa.int64())] + [(c, pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")]
                    + [("groups_sha256", pa.string())] + [(c, pa.list_(pa.int32())) for c in ("a_ids", "b_ids", "a_groups", "b_groups")])
-_PLAIN = re.compile("[\\x20-\\x7e\\xa1-\\u024f\\n]*").fullmatch
-_LONG = 5_000  # letters of a word beyond which the ranked encoder isn't used
 
 
 # -- the merge ------------------------------------------------------------------
@@ -96,18 +93,12 @@ class Pair:
     def __init__(self, path_a: str, path_b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        from tokenizers import Tokenizer
 
-        from patronage.llm.byte_bpe import byte_bpe
-
-        self.library = Tokenizer.from_file(path_a)
-        self.library.no_truncation()
-        self.library.no_padding()
-        self.library.encode_special_tokens = True
         known = byte_bpe(path_a)
-        self.ranked = known.fast
+        self.path_a, self.plain_library = path_a, None
+        self.ranked, self.lossless = known.fast, known.chunked
         back = {s: b for b, s in byte_symbols().items()}
-        vocab = self.library.get_vocab(with_added_tokens=True)
+        vocab = known.library.get_vocab(with_added_tokens=True)
         self.bytes_a = [b""] * (max(vocab.values()) + 1)
         for token, i in vocab.items():
             self.bytes_a[i] = token.encode() if token in known.special else bytes(back[c] for c in token)
@@ -123,10 +114,17 @@ class Pair:
         self.names = np.frombuffer(b"".join(names), np.uint8)
         self.name_at = np.concatenate([[0], np.cumsum([len(n) for n in names])])
 
-    def _ids_a(self, text: str) -> list[int]:
-        if self.ranked is not None and _PLAIN(text) and max(map(len, text.split(" "))) <= _LONG:
-            return self.ranked.encode_ordinary(text)
-        return self.library.encode(text, add_special_tokens=False).ids
+    def _ids_a(self, text: str) -> np.ndarray:
+        if self.ranked is not None and PLAIN(text) and (len(text) <= LONG_CHUNK or max(map(len, text.split(" "))) <= LONG_CHUNK):
+            return self.ranked.encode_to_numpy(text, disallowed_special=()).astype(np.int32)
+        if self.plain_library is None:
+            from tokenizers import Tokenizer
+
+            self.plain_library = Tokenizer.from_file(self.path_a)
+            self.plain_library.no_truncation()
+            self.plain_library.no_padding()
+            self.plain_library.encode_special_tokens = True
+        return np.array(self.plain_library.encode(text, add_special_tokens=False).ids, np.int32)
 
     def encode(self, text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
         """Ids of both; None if the text is empty or the tokens of one don't
@@ -138,9 +136,10 @@ class Pair:
         if b"".join(map(self.bytes_b.__getitem__, b)) != raw:
             return None
         a = self._ids_a(" " + text)
-        if b"".join(map(self.bytes_a.__getitem__, a)) != raw:
+        # without a normalizer, tokens of all bytes join to the text
+        if not self.lossless and b"".join(map(self.bytes_a.__getitem__, a.tolist())) != raw:
             return None
-        return np.array(a, np.int32), np.array(b, np.int32)
+        return a, np.array(b, np.int32)
 
     def groups_text(self, a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray) -> Iterator[bytes]:
         """``a1,a2|b1;a3|b2,b3`` in parts: ids of each group, which ends before
@@ -191,25 +190,27 @@ def _encode_block(both: Pair, docs: list[tuple], number: int, piece: int) -> Ite
     a = np.concatenate([np.zeros(0, np.int32), *[x[0] for x in ids if x is not None]])
     b = np.concatenate([np.zeros(0, np.int32), *[x[1] for x in ids if x is not None]])
     stream = _Stream(both, a, b, n_a, n_b)
-    held, common_a, common_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     width = len(both.bytes_b)
-    pairs: list[np.ndarray] = []
+    size = len(both.bytes_a) * width
+    keys, common_a, common_b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for doc, x, y, (ca, cb) in stream.pieces(piece):
-        pairs.append((doc, x.astype(np.int64) * width + y))
+        keys.append(_distinct(doc * size + x.astype(np.int64) * width + y)[0])
         common_a.append(ca)
         common_b.append(cb)
-    common_a, common_b = np.concatenate(common_a), np.concatenate(common_b)
-    if pairs:
-        code, place = np.unique(np.concatenate([p for _, p in pairs]), return_inverse=True)
-        held = np.unique(np.concatenate([d for d, _ in pairs]) * len(code) + place)
-        counts = np.bincount(held % len(code), minlength=len(code))
-    else:
-        code = counts = held[0]
+    code, counts = _distinct(_distinct(np.concatenate(keys))[0] % size)  # documents that hold each pair
     data = pack_arrays(doc_id=np.array([d or 0 for d, _ in docs], np.int64), no_id=np.array([d is None for d, _ in docs], bool),
-                       n_a=n_a, n_b=n_b, a=a, b=b, common_a=common_a, common_b=common_b)
+                       n_a=n_a, n_b=n_b, a=narrow(a), b=narrow(b), groups_a=narrow(np.diff(np.concatenate(common_a), prepend=-1)),
+                       groups_b=narrow(np.diff(np.concatenate(common_b), prepend=-1)))
     yield from rows_of(number, ENCODED, data, a=(code // width).astype(np.int32), b=(code % width).astype(np.int32), n=counts.astype(np.int64))
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values, ascending, and how often each occurs."""
+    keys = np.sort(keys)
+    at = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])[:len(keys)])
+    return keys[at], np.diff(at, append=len(keys))
+
+
 def _valued(both: Pair, data: bytes, known: pa.Table, detail: bool, piece: int) -> Iterator[pa.RecordBatch]:
     x = unpack_arrays(data)
     width = len(both.bytes_b)
@@ -224,7 +225,7 @@ def _valued(both: Pair, data: bytes, known: pa.Table, detail: bool, piece: int)
         n_links += np.bincount(doc, minlength=docs)
         n_best += np.bincount(doc[best[at]], minlength=docs)
         np.add.at(count_sum, doc, count[at])
-    end_a, end_b = x["common_a"] + 1, x["common_b"] + 1
+    end_a, end_b = np.cumsum(x["groups_a"], dtype=np.int64), np.cumsum(x["groups_b"], dtype=np.int64)
     group_stop = np.searchsorted(end_a, stream.stop_a, side="right")
     rows = []
     for k in range(docs):

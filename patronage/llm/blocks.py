@@ -18,14 +18,20 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-PLAIN_ROWS = 1 << 16  # of a batch
-_BLOCK_BITS = 33      # block = task << 33 | number within the task
+PLAIN_ROWS = 1 << 14  # of a batch
+_TASK_BITS, _BLOCK_BITS = 21, 11  # block = task << 11 | number within the task
+CODE_BITS = 31                    # a block's codes: block << 31 | code is a long
 
 
 def pack_arrays(**arrays: np.ndarray) -> bytes:
     out = io.BytesIO()
     np.savez(out, **arrays)
-    return zstandard.ZstdCompressor(level=1).compress(out.getvalue())
+    return zstandard.ZstdCompressor(level=6).compress(out.getvalue())
+
+
+def narrow(values: np.ndarray) -> np.ndarray:
+    """Non-negative numbers in the smallest type that holds them."""
+    return values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0))
 
 
 def unpack_arrays(data: bytes) -> dict[str, np.ndarray]:
@@ -34,15 +40,19 @@ def unpack_arrays(data: bytes) -> dict[str, np.ndarray]:
 
 
 class Numbers:
-    """Block numbers of a task. They depend on the attempt's split of the input
-    only, and count once the rows are written."""
+    """Block numbers of a task (at most 2,048; tasks below 2 million). They are
+    the same in every attempt at a task."""
 
     def __init__(self):
-        self.next = TaskContext.get().partitionId() << _BLOCK_BITS
+        self.task, self.next = TaskContext.get().partitionId(), 0
+        if self.task >> _TASK_BITS:
+            raise ValueError("too many tasks: read larger splits (spark.sql.files.maxPartitionBytes)")
 
     def __call__(self) -> int:
+        if self.next >> _BLOCK_BITS:
+            raise ValueError("a task has too much text: read smaller splits (spark.sql.files.maxPartitionBytes)")
         self.next += 1
-        return self.next - 1
+        return self.task << _BLOCK_BITS | (self.next - 1)
 
 
 def rows_of(block: int, schema: pa.Schema, data: bytes | None = None, **columns: Sequence) -> Iterator[pa.RecordBatch]:
@@ -56,7 +66,11 @@ def rows_of(block: int, schema: pa.Schema, data: bytes | None = None, **columns:
     for at in range(0, n, PLAIN_ROWS):
         m = min(PLAIN_ROWS, n - at)
         yield pa.RecordBatch.from_arrays([pa.array(np.full(m, block), pa.int64()), pa.nulls(m, pa.binary()),
-                                          *[pa.array(columns[c][at:at + m], schema.field(c).type) for c in plain]], schema=schema)
+                                          *[_part(columns[c], at, m, schema.field(c).type) for c in plain]], schema=schema)
+
+
+def _part(values: Sequence | pa.Array, at: int, n: int, kind: pa.DataType) -> pa.Array:
+    return values.slice(at, n) if isinstance(values, pa.Array) else pa.array(values[at:at + n], kind)
 
 
 def by_block(df: DataFrame) -> DataFrame:
