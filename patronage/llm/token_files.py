@@ -48,7 +48,7 @@ RECORD = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("tokens", "<u8")])
 FOOTER = struct.Struct("<IBI")
 
 FRAME_BYTES = 256 << 10
-FILE_BYTES = 24 << 20
+FILE_BYTES = 16 << 20
 MANIFEST = "task int, file string, number int, documents bigint, tokens bigint, bytes bigint"
 DOCUMENTS = "file string, number_in_file bigint, doc_id bigint, first bigint, ids binary"
 
@@ -65,6 +65,8 @@ class TokenFileWriter:
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
         self.records.append((doc_id or 0, doc_id is None, len(ids)))
         self.tokens += len(ids)
+        if len(ids) and int(ids.max()) > np.iinfo(self.type).max:
+            raise ValueError(f"id {ids.max()} doesn't fit {8 * self.type.itemsize} bits")
         self.open += ids.astype(self.type).tobytes()
         while len(self.open) >= self.frame_bytes:
             self._frame(bytes(self.open[:self.frame_bytes]))
@@ -75,7 +77,7 @@ class TokenFileWriter:
         self.table.append((len(packed), len(content), xxhash.xxh64_intdigest(content) & 0xFFFFFFFF))
         self.out.write(packed)
 
-    def finish(self) -> bytes:
+    def finish(self) -> memoryview:
         if self.open:
             self._frame(bytes(self.open))
             self.open.clear()
@@ -85,7 +87,7 @@ class TokenFileWriter:
         footer = FOOTER.pack(len(self.table), CHECKSUM_FLAG, FOOTER_MAGIC)
         self.out.write(struct.pack("<II", INDEX_MAGIC, len(index)) + index)
         self.out.write(struct.pack("<II", TABLE_MAGIC, len(entries) + len(footer)) + entries + footer)
-        return self.out.getvalue()
+        return self.out.getbuffer()
 
 
 class TokenFileReader:
@@ -153,12 +155,13 @@ def _filesystem(uri: str):
 
 
 def write(docs: DataFrame, folder: str, *, id_col: str = "doc_id", text_col: str = "text",
-          vocabulary_path: str | None = None, end_id: int = 2, width: int = 2, file_bytes: int = FILE_BYTES,
+          vocabulary_path: str | None = None, end_id: int = 2, width: int | None = None, file_bytes: int = FILE_BYTES,
           frame_bytes: int = FRAME_BYTES) -> DataFrame:
     """Encode documents and write them in ascending id order.
 
     ``folder`` is a URI that all executors reach (local path, HDFS or S3, as
-    pyarrow opens it). Returns the manifest, one row per file in order: task,
+    pyarrow opens it). ``width``: bytes of an id; 2 or 4, by the largest id of the
+    vocabulary and ``end_id``, if not given; an id that doesn't fit raises. Returns the manifest, one row per file in order: task,
     file, number (of the task's files), documents, tokens, bytes; and first,
     the ids in all files before it. It is materialised: files are written once.
 
@@ -169,6 +172,7 @@ def write(docs: DataFrame, folder: str, *, id_col: str = "doc_id", text_col: str
     spark = docs.sparkSession
     prepare(spark)
     path = vocabulary_path or vocabulary("byte_bpe_50k.json")
+    width = width or (2 if max(byte_bpe(path).largest_id, end_id) < 1 << 16 else 4)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -136,7 +136,7 @@ def test_readers_take_only_the_frames_asked_for():
     docs = [np.arange(n, dtype="<u4") for n in (0, 10, 500, 3, 49, 1)]
     for i, d in enumerate(docs):
         writer.add(None if i == 3 else i, d)
-    content = writer.finish()
+    content = bytes(writer.finish())
     reader = token_files.TokenFileReader(io.BytesIO(content))
     assert (reader.ids(5) == docs[5]).all() and reader.frames_read == 1
     assert all((reader.ids(i) == d).all() for i, d in enumerate(docs)) and reader.doc_id(3) is None and reader.doc_id(4) == 4
@@ -147,3 +147,22 @@ def test_readers_take_only_the_frames_asked_for():
     broken[reader.place[2] - 6] ^= 1
     with pytest.raises((ValueError, zstandard.ZstdError)):
         list(map(token_files.TokenFileReader(io.BytesIO(bytes(broken))).ids, range(6)))
+
+
+def test_long_plain_texts_are_cut_between_words(library, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "SEGMENT_CHARS", 30)
+    own = byte_bpe.ByteBpe(vocabulary("byte_bpe_50k.json"))
+    rng = random.Random(3)
+    for _ in range(50):
+        text = "".join(rng.choice(["the", "Wörter", "  ", " ", " ", "\n", "12", ".", "'s"]) for _ in range(200))
+        assert "".join(own._parts(text)) == text and own.encode(text) == raw(library_ids(library[0], text))
+
+
+def test_the_width_follows_the_ids(edge_docs, edge_rows, spark):
+    writer = token_files.TokenFileWriter(2)
+    with pytest.raises(ValueError):
+        writer.add(1, np.array([70_000], "<u4"))
+    folder = scratch_path(spark, "tokens")
+    manifest = token_files.write(edge_docs, folder, end_id=70_000)
+    rows = token_files.placed(token_files.read(spark, folder), manifest).collect()
+    assert len(rows) == len(edge_rows) and all(np.frombuffer(r["ids"], "<u4")[-1] == 70_000 for r in rows)
