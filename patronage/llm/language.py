@@ -29,6 +29,8 @@ from patronage.llm.quality import held_out
 
 UNKNOWN = "und"
 PER_LANGUAGE = 600  # documents of each language that the fit may use
+MARGIN = 4          # as many documents are expected below the hash limit as a fit uses, times this
+LANGUAGES = 1_000   # that a network may have
 WINDOWS = 6         # pieces of each of them
 WINDOW = 64         # characters of a piece
 HIDDEN = 16         # size of either state
@@ -216,18 +218,30 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
     """Fit to text and language of documents that aren't held out (see
     :func:`patronage.llm.quality.held_out`) and have a language and a letter.
     At most ``per_language`` rows of each language come to the driver, as
-    ``windows`` pieces of ``window`` characters each. None if there is no such row."""
+    ``windows`` pieces of ``window`` characters each; they are the rows of smallest
+    hash, found among those below a limit that the language's number of rows
+    sets, so that however many rows a language has, few of them meet in one task.
+    None if there is no such row; more than ``LANGUAGES`` languages raise."""
     prepare(docs.sparkSession)
     text, lang = F.col(text_col).cast("string"), F.col(lang_col).cast("string")
-    hashed = F.xxhash64(F.col(id_col).cast("string"), text)
+    known = docs.select(F.col(id_col).alias("id"), text.alias("text"), lang.alias("lang")).where(~held_out(F.col("id")) & F.col("lang").isNotNull())
+    counts = known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(LANGUAGES + 1).collect()
+    if len(counts) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
+    if not counts:
+        return None
+    limit = F.element_at(F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, MARGIN * per_language / r["n"]))]), F.col("lang"))
+    by_id, text = F.xxhash64(F.col("id").cast("string")), F.col("text")
+    below = F.pmod(by_id, F.lit(1 << 40)) <= limit * float(1 << 40)
+    hashed = F.xxhash64(by_id, text)
     room = F.greatest(F.length(text) - window + 1, F.lit(1))
     # the first piece is the text's beginning, the others lie anywhere
     cuts = F.array(*[F.substring(text, F.lit(1) if i == 0 else (F.pmod(F.xxhash64(F.lit(i), hashed), room) + 1).cast("int"), F.lit(window))
                      for i in range(windows)])
-    rows = (docs.where(~held_out(F.col(id_col)) & lang.isNotNull() & text.rlike(r"\p{L}"))
-            .select(lang.alias("lang"), hashed.alias("hash"), cuts.alias("cuts")))
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy("hash", "cuts"))
+    rows = (known.where(below).where(text.rlike(r"\p{L}"))
+            .select("lang", hashed.alias("hash"), cuts.alias("cuts")))
     # a limit on row numbers is applied in every task before rows of one language meet
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("hash", "cuts"))
     got = rows.withColumn("nth", nth).where(F.col("nth") <= per_language).select("lang", "hash", "cuts").toArrow().to_pylist()
     if not got:
         return None
