@@ -5,12 +5,15 @@ from __future__ import annotations
 import gc
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from patronage.session import ensure_checkpoint_dir
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
@@ -37,6 +40,18 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+@contextmanager
+def short_lived_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Jobs of DataFrames made inside delete their shuffle files when they end,
+    so that a job of several stored steps doesn't keep those of all its steps."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name inside the shared checkpoint folder."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
