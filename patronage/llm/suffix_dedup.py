@@ -47,6 +47,7 @@ MIN_LENGTH = 400
 CHUNK = 16_384         # contexts of one gram that one task sorts together
 PIECE = 1 << 20        # bytes that are hashed at once
 REFINE_ROWS = 4_096    # contexts that are sorted at once, if groups end there
+MEASURED_BYTES = 8 << 20  # of texts in a batch of results
 _BASE = 0x9E3779B97F4A7C15  # odd, so powers have inverses
 _PLACE_BITS = 24
 
@@ -419,8 +420,10 @@ def _spans(value: pa.Scalar) -> list[tuple[int, int]]:
 
 def measure(docs: DataFrame, min_length: int = MIN_LENGTH, *, id_col: str = "doc_id", text_col: str = "text",
             chunk: int = CHUNK) -> DataFrame:
-    """What :func:`remove` would do, in bytes: doc_id, n_bytes, n_removed,
-    n_spans (maximal removed runs), kept_sha256 of every row. Null and empty
+    """What goes and what stays of every row: doc_id, n_bytes, n_removed,
+    n_spans (maximal removed runs), kept_sha256 (of the bytes that stay), text (what
+    :func:`remove` leaves: characters that go in part stay), removed (the
+    runs as start, stop in bytes). Null and empty
     texts have no bytes; of repeated rows each repeats the other; further
     columns aren't read. An empty table gives no rows."""
     spans = repeated_windows(docs, min_length, id_col=id_col, text_col=text_col, chunk=chunk)
@@ -435,18 +438,25 @@ def measure(docs: DataFrame, min_length: int = MIN_LENGTH, *, id_col: str = "doc
                                                  names=["doc_id", "hash", "packed"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, types = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"], [pa.int64()] * 4 + [pa.string()]
+        names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "text", "removed"]
+        types = [pa.int64()] * 4 + [pa.string()] * 2 + [pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))]
         for batch in batches:
-            out = []
+            out, held = [], 0
             for doc, packed, value in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), strict=True):
                 raw, runs = _unpack(packed.as_py()), _spans(value)
-                out.append((doc, len(raw), sum(b - a for a, b in runs), len(runs), hashlib.sha256(cut(raw, runs)).hexdigest()))
+                out.append((doc, len(raw), sum(b - a for a, b in runs), len(runs), hashlib.sha256(cut(raw, runs)).hexdigest(),
+                            cut(raw, whole_characters(raw, runs)).decode(), [{"start": a, "stop": b} for a, b in runs]))
+                held += len(raw)
+                if held >= MEASURED_BYTES:
+                    yield _rows(out, names, types)
+                    out, held = [], 0
             if out:
                 yield _rows(out, names, types)
 
     packed = rows.select("doc_id", F.xxhash64("text").alias("hash"), "text").mapInArrow(pack, "doc_id bigint, hash bigint, packed binary")
     joined = packed.withColumn("doc", F.coalesce("doc_id", F.lit(0))).join(spans, ["doc", "hash"], "left").select("doc_id", "packed", "spans")
-    return joined.mapInArrow(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string")
+    return joined.mapInArrow(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, text string, "
+                                  "removed array<struct<start bigint, stop bigint>>")
 
 
 def remove(docs: DataFrame, min_length: int = MIN_LENGTH, *, id_col: str = "doc_id", text_col: str = "text",

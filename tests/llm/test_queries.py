@@ -16,7 +16,7 @@ COLUMNS = {
     "op5_sharding": "doc_id size text_crc32 law shard slot grown_shard",
     "op6_topk": "query_id rank vec_id score",
     "op7_token_counts": "source lang tokenizer documents tokens",
-    "op8_suffix_dedup": "doc_id n_bytes n_removed n_spans kept_sha256",
+    "op8_suffix_dedup": "doc_id n_bytes n_removed n_spans kept_sha256 text removed",
     "op9_token_files": "doc_id start n_tokens ids_crc32",
     "op10_quality": "doc_id held_out score predicted",
     "op11_language": "doc_id held_out lang_pred score",

@@ -1,3 +1,4 @@
+import hashlib
 import random
 
 import numpy as np
@@ -34,6 +35,14 @@ def texts(seed, n=60, alphabet="abcdefgh \né"):
 def measured(spark, rows, length, **options):
     df = spark.createDataFrame(rows, SCHEMA).repartition(3)
     got = suffix_dedup.measure(df, length, **options).collect()
+    texts = {}
+    for i, t, *_ in rows:
+        texts.setdefault(i, []).append((t or "").encode())
+    for r in got:  # the text and the runs say the same as the figures
+        runs = [(x["start"], x["stop"]) for x in r["removed"]]
+        assert len(runs) == r["n_spans"] and sum(b - a for a, b in runs) == r["n_removed"]
+        raw = next(t for t in texts[r["doc_id"]] if len(t) == r["n_bytes"] and hashlib.sha256(suffix_dedup.cut(t, runs)).hexdigest() == r["kept_sha256"])
+        assert r["text"].encode() == suffix_dedup.cut(raw, suffix_dedup.whole_characters(raw, runs))
     return sorted((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got if r["doc_id"] is not None)
 
 
