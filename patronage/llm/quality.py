@@ -122,7 +122,8 @@ def held_out(doc_id: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
           per_label: int = PER_LABEL) -> Model:
     """Fit the model to labels (id, 0 or 1; other values and nulls don't count,
-    nor do ids with both labels). At most ``per_label`` ids of each label are used."""
+    nor do ids with both labels). At most ``per_label`` ids of each label are used; of
+    several documents with one id, the one whose statistics sort first."""
     spark = docs.sparkSession
     prepare(spark)
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).where("id is not null and label in (0, 1)")
@@ -140,7 +141,8 @@ def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_co
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1).cast(pa.int32()), pa.array(x, pa.list_(pa.float64()))],
                                              names=["id", "label", "x"])
 
-    rows = picked.mapInArrow(run, "id bigint, label int, x array<double>").toArrow()
+    # one row per id, however often documents repeat it
+    rows = picked.mapInArrow(run, "id bigint, label int, x array<double>").groupBy("id", "label").agg(F.min("x").alias("x")).toArrow()
     if not rows.num_rows:
         return fit(np.zeros((0, len(FEATURES))), np.zeros(0, bool), 0.0)
     x = np.asarray(rows["x"].combine_chunks().flatten()).reshape(rows.num_rows, -1)

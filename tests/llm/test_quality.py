@@ -74,3 +74,24 @@ def test_features_see_the_whole_text():
     assert len(quality.features("")) == len(quality.FEATURES) == len(quality.features("a b c"))
     text = "plain words " * 5000
     assert not np.allclose(quality.features(text), quality.features(text + "*** " * 3000))
+
+
+def test_the_fit_equals_plain_gradient_descent():
+    rng = np.random.default_rng(3)
+    good = rng.random(60) < 0.6
+    x = rng.standard_normal((60, len(quality.FEATURES))) * 0.5 + np.outer(good, rng.standard_normal(len(quality.FEATURES)) * 0.3)
+    model = quality.fit(x, good, 0.4)
+    z = ((x - x.mean(axis=0)) / x.std(axis=0)).clip(-8, 8)
+    d, w = quality._preferences(z[good], z[~good]), np.zeros(x.shape[1])
+    for _ in range(20_000):
+        w -= 0.5 * (-(d / (1 + np.exp(d @ w))[:, None]).mean(axis=0) + quality.RIDGE * w)
+    assert np.abs(w - model.weights).max() < 1e-4
+    assert abs(np.mean(model.score(x) < quality.THRESHOLD) - 0.4) < 0.1
+
+
+def test_an_id_counts_once_however_often_it_is_repeated(spark):
+    docs, labels = corpus(200)
+    ls = spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    once = quality.train(spark.createDataFrame(docs, SCHEMA), ls)
+    often = quality.train(spark.createDataFrame(docs + docs[:50] * 40, SCHEMA), ls)
+    assert (once.weights == often.weights).all() and once.cut == often.cut
