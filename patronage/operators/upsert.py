@@ -1,12 +1,11 @@
-"""Upsert by primary key (``INSERT ... ON DUPLICATE KEY UPDATE``) on
-immutable Parquet: compute the merged table and write it to a new version
-directory, never over the path being read."""
+"""Upsert by primary key (``INSERT ... ON DUPLICATE KEY UPDATE``) of one
+DataFrame into another. :mod:`patronage.operators.keyed_table` stores such a table."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -31,7 +30,7 @@ def upsert(target: DataFrame, updates: DataFrame, key: Sequence[str],
     Matching rows take the ``update_cols`` from ``updates`` and keep every
     other column; unmatched update rows are inserted (columns they lack are
     NULL); unmatched target rows are kept. Both sides must be unique on key
-    (:func:`last_per_key` makes updates so, :func:`write_upsert` checks it).
+    (:func:`last_per_key` makes updates so, a keyed table checks it).
     One full outer join on the key (a shuffle of both sides by key).
     """
     key = list(key)
@@ -49,48 +48,3 @@ def upsert(target: DataFrame, updates: DataFrame, key: Sequence[str],
         else:
             cols.append(F.col(f"t.{c}").alias(c))
     return merged.select(*cols)
-
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def _versions(spark: SparkSession, root: str) -> list[tuple[int, bool]]:
-    """(number, finished) of the versions under ``root``, ascending."""
-    fs, p = _fs(spark, root)
-    if not fs.exists(p):
-        return []
-    found = []
-    for s in fs.listStatus(p):
-        name = s.getPath().getName()
-        if s.isDirectory() and name[:1] == "v" and name[1:].isdigit():
-            mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")
-            found.append((int(name[1:]), fs.exists(mark)))
-    return sorted(found)
-
-
-def latest_version(spark: SparkSession, root: str) -> str | None:
-    """Newest finished ``v<number>`` directory under ``root`` (None if there is
-    none). A version that a crash left unfinished doesn't count."""
-    done = [n for n, finished in _versions(spark, root) if finished]
-    return f"{root.rstrip('/')}/v{done[-1]:06d}" if done else None
-
-
-def write_upsert(spark: SparkSession, root: str, updates: DataFrame, key: Sequence[str],
-                 update_cols: Sequence[str] | None = None, order: Sequence[str] | None = None) -> str:
-    """Upsert into the versioned Parquet table at ``root``; returns the path of
-    the new version, numbered past all others. Readers use
-    :func:`latest_version`. If a key may have several update rows, ``order``
-    keeps the last; without it they are an error."""
-    if order:
-        updates = last_per_key(updates, key, order)
-    else:
-        require_unique(updates, key, "the update")
-    current = latest_version(spark, root)
-    merged = updates if current is None else upsert(spark.read.parquet(current), updates, key, update_cols)
-    nxt = max([n for n, _ in _versions(spark, root)], default=0) + 1
-    out = f"{root.rstrip('/')}/v{nxt:06d}"
-    merged.write.mode("errorifexists").parquet(out)
-    return out

@@ -162,10 +162,19 @@ def products_dim(t: Tables) -> DataFrame:
 
 
 def products_from(lines: DataFrame, category_rules) -> DataFrame:
+    return products_of(product_parts(lines), category_rules)
+
+
+def product_parts(lines: DataFrame) -> DataFrame:
+    """What products are made of, additive over loads: lines and price sum of
+    each (stock code, description)."""
+    return lines.groupBy("stock_code", "description").agg(F.count(F.lit(1)).alias("n"), F.sum("unit_price").alias("price_sum"))
+
+
+def products_of(parts: DataFrame, category_rules) -> DataFrame:
     # one row per distinct (stock_code, description): far smaller than the lines,
     # read by three aggregates below, so it is materialised once
-    per_desc = checkpointed(lines.groupBy("stock_code", "description").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("unit_price").alias("price_sum")))
+    per_desc = checkpointed(parts.select("stock_code", "description", "n", "price_sum"))
     per_desc = per_desc.withColumn("category", category_col("description", category_rules))
     desc_mode = _modal(per_desc.where(F.col("description").isNotNull()), "stock_code",
                        "description", "n")

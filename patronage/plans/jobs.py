@@ -3,46 +3,98 @@ score tables. Output folders come from the caller (a shared filesystem)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patronage.operators.upsert import latest_version, write_upsert
+from patronage.operators.keyed_table import KeyedTable
 from patronage.plans import cleaning, scores
-from patronage.sources.io import write_table
+from patronage.sources.star import StarStore
 from patronage.sources.tables import Tables
 
+SCORES = ("rfm_scores", "clv_scores")
+BUCKETS = 16  # of invoices; about as many as the lines have GB, at least the cluster's cores
 
-def build_star_schema(t: Tables, root: str, mode: str = "overwrite", month_files: int = 8) -> dict[str, str]:
-    """S-05: write the cleaned lines once, and from them customers, products,
-    orders, order_items (with ``item_id``) and the margin table (append or
-    replace). Facts are partitioned by invoice month so month filters prune
-    files; a month's rows come from ``month_files`` tasks, so a busy month
-    isn't one task and files aren't tasks x months."""
-    root = root.rstrip("/")
-    paths = {name: f"{root}/{name}" for name in ("clean_lines", "customers", "products", "orders", "order_items", "category_margin_assumptions")}
-    write_table(cleaning.clean_lines_with_seq(t), paths["clean_lines"], "overwrite")
-    lines = t.spark.read.parquet(paths["clean_lines"])
-    orders = cleaning.orders_from(lines)
-    write_table(cleaning.customers_from(lines).withColumn("created_at", F.current_timestamp()), paths["customers"], mode)
-    write_table(cleaning.products_from(lines, t.category_rules), paths["products"], mode)
-    write_table(orders, paths["orders"], mode)
-    items = (cleaning.order_items_from(lines).join(orders.select("invoice_no", "invoice_date"), "invoice_no")
-             .withColumn("invoice_month", F.date_format("invoice_date", "yyyy-MM")).drop("invoice_date")
-             .withColumn("_salt", F.pmod(F.xxhash64("item_id"), F.lit(month_files))))
-    write_table(items.repartition("invoice_month", "_salt").drop("_salt"), paths["order_items"], mode, ["invoice_month"])
-    write_table(t.margins(), paths["category_margin_assumptions"], "overwrite")
-    return paths
+
+def _month(date: str) -> F.Column:
+    return F.date_format(date, "yyyy-MM").alias("invoice_month")
+
+
+def _customers(parts: DataFrame) -> DataFrame:
+    """Customers of all loads: first country, first and last date over them."""
+    return parts.groupBy("customer_id").agg(
+        F.min_by("country", F.when(F.col("country").isNotNull(), F.col("load"))).alias("country"),
+        F.min("first_purchase_date").alias("first_purchase_date"), F.max("last_purchase_date").alias("last_purchase_date"),
+        F.lit(True).alias("is_active"), F.min("created_at").alias("created_at"))
+
+
+def build_star_schema(t: Tables, root: str, mode: str = "overwrite", buckets: int = BUCKETS, load_id: str | None = None) -> dict[str, str]:
+    """S-05: load the cleaned lines into customers, products, orders,
+    order_items (with ``item_id``) and the margin table under ``root``.
+
+    ``mode="append"`` adds to what earlier loads stored, as if all lines had come in
+    one load, the earlier ones first: item ids go on after the last one, an
+    invoice keeps its first header, customers and products are those of all
+    lines. ``overwrite`` starts anew; readers see the old tables until it is done. A ``load_id``
+    that is stored already isn't loaded again. Two loads at once: the later one raises
+    :class:`~patronage.operators.manifest.Conflict` and stores nothing.
+
+    Returns the folders that hold this load's facts and the new small tables."""
+    if mode not in ("overwrite", "append"):
+        raise ValueError("mode is overwrite or append")
+    store = StarStore(t.spark, root)
+    number, manifest = store.manifest()
+    done = next((x for x in manifest["loads"] if load_id is not None and x["id"] == load_id), None)
+    if done:
+        return _paths(store, manifest, done["folder"])
+    earlier = manifest["loads"] if mode == "append" else []
+    first_item = manifest["items"] if earlier else 0
+    buckets = manifest["buckets"] if earlier else buckets
+    load = f"{number + 1:06d}-{uuid.uuid4().hex[:8]}"
+    folders = [x["folder"] for x in earlier] + [load]
+
+    store.write_parts("clean_lines", cleaning.clean_lines_with_seq(t), load)
+    lines = t.spark.read.parquet(f"{store.root}/clean_lines/load={load}")
+    headers = cleaning.orders_from(lines)
+    dates = headers.select("invoice_no", "invoice_date")
+    if earlier:  # an invoice that is stored keeps its header, and its new lines its month
+        stored = store.fact("orders").select("invoice_no", F.col("invoice_date").alias("stored_date"))
+        dates = dates.join(stored, "invoice_no", "left").select("invoice_no", F.coalesce("stored_date", "invoice_date").alias("invoice_date"))
+        headers = headers.join(stored, "invoice_no", "left_anti")
+    schemas = {"orders": store.write_fact("orders", headers.select("*", _month("invoice_date")), load, buckets)}
+    items = (cleaning.order_items_from(lines).join(dates.select("invoice_no", _month("invoice_date")), "invoice_no")
+             .withColumn("item_id", F.col("item_id") + first_item))
+    schemas["order_items"] = store.write_fact("order_items", items, load, buckets)
+
+    store.write_parts("customer_parts", cleaning.customers_from(lines).withColumn("created_at", F.current_timestamp()), load)
+    store.write_parts("product_parts", cleaning.product_parts(lines), load)
+    products = store.parts("product_parts", folders).groupBy("stock_code", "description").agg(
+        F.sum("n").alias("n"), F.sum("price_sum").alias("price_sum"))
+    tables = {"customers": store.write_table("customers", _customers(store.parts("customer_parts", folders))),
+              "products": store.write_table("products", cleaning.products_of(products, t.category_rules)),
+              "category_margin_assumptions": store.write_table("category_margin_assumptions", t.margins())}
+    new = {"loads": [*earlier, {"id": load_id or load, "folder": load}], "buckets": buckets, "items": first_item + lines.count(), "tables": tables,
+           "schemas": schemas}
+    store.manifests.commit(number + 1, new)
+    return _paths(store, new, load)
+
+
+def _paths(store: StarStore, manifest: dict, load: str) -> dict[str, str]:
+    facts = {name: f"{store.root}/{name}/load={load}" for name in ("clean_lines", "orders", "order_items")}
+    return {**facts, **{name: f"{store.root}/{folder}" for name, folder in manifest["tables"].items()}}
 
 
 def load_star_schema(spark, root: str, **options) -> Tables:
-    """The tables that :func:`build_star_schema` wrote, and the newest stored
-    scores if :func:`persist_scores` wrote them under the same root."""
-    root = root.rstrip("/")
-    read = lambda name: spark.read.parquet(f"{root}/{name}")
-    stored = {name: latest_version(spark, f"{root}/{name}") for name in ("rfm_scores", "clv_scores")}
+    """The tables that :func:`build_star_schema` stored, and the newest stored
+    scores if :func:`persist_scores` wrote them under the same root. Facts are
+    scans of invoice buckets: lines are summed per invoice and join their headers without a shuffle."""
+    store = StarStore(spark, root)
+    stored = {name: KeyedTable(spark, f"{store.root}/{name}") for name in SCORES}
     return Tables.from_star(
-        spark, orders=read("orders"), order_items=read("order_items"), products=read("products"), customers=read("customers"),
-        margins=read("category_margin_assumptions"), **{name: spark.read.parquet(p) for name, p in stored.items() if p}, **options)
+        spark, orders=store.fact("orders"), order_items=store.fact("order_items"), products=store.table("products"),
+        customers=store.table("customers"), margins=store.table("category_margin_assumptions"),
+        **{name: table.read() for name, table in stored.items() if table.version}, **options)
 
 
 def _stamped(df: DataFrame) -> DataFrame:
@@ -51,17 +103,17 @@ def _stamped(df: DataFrame) -> DataFrame:
 
 def persist_scores(t: Tables, root: str, mode: str = "upsert") -> dict[str, str]:
     """S-06 / S-08 / S-12: write ``rfm_scores`` and ``clv_scores`` with an
-    ``updated_at`` stamp, either replacing the tables or upserting by
-    customer_id into versioned Parquet (never over the version being read)."""
-    root = root.rstrip("/")
+    ``updated_at`` stamp as keyed tables under ``root``, either replacing the whole table or
+    upserting by customer_id; both are new versions that
+    :func:`load_star_schema` finds. Returns the tables' roots."""
+    if mode not in ("upsert", "replace"):
+        raise ValueError("mode is upsert or replace")
     both = scores.rfm_clv(t)
     out = {"rfm_scores": _stamped(both.select(*scores.RFM_COLUMNS)),
            "clv_scores": _stamped(both.where(F.col("clv_segment").isNotNull()).select(*scores.CLV_COLUMNS))}
     paths = {}
     for name, df in out.items():
-        if mode == "upsert":
-            paths[name] = write_upsert(t.spark, f"{root}/{name}", df, ["customer_id"])
-        else:
-            paths[name] = f"{root}/{name}"
-            write_table(df, paths[name], "overwrite")
+        paths[name] = f"{root.rstrip('/')}/{name}"
+        table = KeyedTable(t.spark, paths[name])
+        (table.merge if mode == "upsert" else table.replace)(df, ["customer_id"])
     return paths

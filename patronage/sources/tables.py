@@ -78,6 +78,15 @@ class Tables:
         other._order_filter = fn if prev is None else (lambda o: fn(prev(o)))
         return other
 
+    def between(self, start: str, stop: str) -> "Tables":
+        """A view of the same tables limited to orders from ``start`` to before
+        ``stop`` (dates as ``yyyy-MM-dd``). Where orders are stored by month, only the
+        months of the period are read, of the lines too."""
+        def period(o: DataFrame) -> DataFrame:
+            o = o.where((F.col("invoice_date") >= F.lit(start).cast("timestamp_ntz")) & (F.col("invoice_date") < F.lit(stop).cast("timestamp_ntz")))
+            return o.where(F.col("invoice_month").between(start[:7], stop[:7])) if "invoice_month" in o.columns else o
+        return self.restrict_orders(period)
+
     # -- construction ------------------------------------------------------
     @classmethod
     def from_tpch(cls, spark: SparkSession, sf_dir: str, **kw) -> "Tables":
@@ -142,6 +151,7 @@ class Tables:
             if status_filter is not None:
                 o = o.where(F.col("order_status") == status_filter)
             cols = ["invoice_no", "customer_id", "invoice_date", "order_status"]
+            cols += ["invoice_month"] if "invoice_month" in o.columns else []  # the month that the lines are stored under
             return o.select(*cols, "country") if with_country else o.select(*cols)
         status = lookup_col("o_orderstatus", config.ADAPTER_STATUS, None)
         src = self.source("orders")
@@ -174,9 +184,14 @@ class Tables:
     def order_items(self) -> DataFrame:
         """invoice_no, stock_code, quantity, unit_price decimal(10,2), line_total decimal(14,2);
         a loaded star schema also has item_id."""
-        if self._star.get("order_items") is not None:
-            return self._star["order_items"]
-        return self._adapter_items()
+        items = self._star.get("order_items")
+        if items is None:
+            return self._adapter_items()
+        if self._order_filter and "invoice_month" in items.columns and "invoice_month" in self._star["orders"].columns:
+            # one row per month: whatever restricts the orders, the scan of the lines skips all other months
+            months = F.broadcast(self.orders().select("invoice_month").distinct())
+            return items.join(months, "invoice_month", "left_semi")
+        return items
 
     def _adapter_items(self, *more) -> DataFrame:
         return self.source("lineitem").select(

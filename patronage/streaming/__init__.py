@@ -12,16 +12,18 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
-from patronage.operators.upsert import write_upsert
+from patronage.operators.keyed_table import KeyedTable
 
 
 def upsert_each_batch(root: str, key: Sequence[str],
                       transform: Callable[[DataFrame], DataFrame] | None = None,
-                      order: Sequence[str] | None = None):
+                      order: Sequence[str] | None = None, source: str = "stream"):
     """``foreachBatch`` function: optionally transform the micro-batch, then
-    upsert it into the versioned Parquet table at ``root``. If a micro-batch may
-    hold several rows of a key, ``order`` keeps the last of them."""
+    merge it into the keyed table at ``root``. If a key may come several
+    times, ``order`` keeps the last of its rows, within a micro-batch and over all of them.
+    The number of the last micro-batch of ``source`` is committed with the data, so
+    one that Spark runs again after a failure changes nothing."""
     def run(batch: DataFrame, batch_id: int) -> None:
         data = transform(batch) if transform else batch
-        write_upsert(data.sparkSession, root, data, key, order=order)
+        KeyedTable(data.sparkSession, root).merge(data, key, order=order or (), batch=(source, batch_id))
     return run

@@ -1,7 +1,11 @@
 import datetime
 from decimal import Decimal
 
-from patronage.operators.upsert import latest_version
+import pytest
+from pyspark.sql import functions as F
+
+from patronage.operators.keyed_table import KeyedTable
+from patronage.operators.manifest import Conflict
 from patronage.plans import jobs, scores
 from patronage.sources.tables import Tables
 from tests.conftest import SF_SMALL
@@ -14,15 +18,15 @@ def test_star_schema_and_scores_round_trip(spark, scratch):
     expected = dict(cleaning.table_counts(t).collect())
     assert {k: spark.read.parquet(paths[k]).count() for k in expected} == expected
     items = spark.read.parquet(paths["order_items"])
-    assert "invoice_month" in items.columns
+    assert "invoice_month" in items.columns and "invoice_month" in spark.read.parquet(paths["orders"]).columns
     assert sorted(r[0] for r in items.select("item_id").collect()) == list(range(1, items.count() + 1))
     assert spark.read.parquet(paths["category_margin_assumptions"]).count() == t.margins().count()
 
     first = jobs.persist_scores(t, f"{scratch}/scores")
     again = jobs.persist_scores(t, f"{scratch}/scores")
-    assert latest_version(spark, f"{scratch}/scores/rfm_scores") == again["rfm_scores"]
-    a = spark.read.parquet(first["rfm_scores"]).drop("updated_at")
-    b = spark.read.parquet(again["rfm_scores"]).drop("updated_at")
+    table = KeyedTable(spark, again["rfm_scores"])
+    assert first == again and table.version == 2
+    a, b = table.read(1).drop("updated_at"), table.read(2).drop("updated_at")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
     assert b.count() == scores.rfm_scores(t).count()
 
@@ -47,7 +51,7 @@ def test_customers_without_a_margin_keep_their_rfm_scores(spark, scratch):
     star = _tiny_star(spark)
     t = Tables.from_star(spark, **star)
     paths = jobs.persist_scores(t, f"{scratch}/scores")
-    rfm, clv = (spark.read.parquet(paths[n]) for n in ("rfm_scores", "clv_scores"))
+    rfm, clv = (KeyedTable(spark, paths[n]).read() for n in ("rfm_scores", "clv_scores"))
     assert {r.customer_id for r in rfm.collect()} == {"a", "b"} and {r.customer_id for r in clv.collect()} == {"a"}
     from patronage.plans import explore, serving
     stored = Tables.from_star(spark, **star, rfm_scores=rfm, clv_scores=clv)
@@ -85,3 +89,143 @@ def test_top_products_does_not_overflow(spark):
     rows = explore.top_products(Tables.from_star(spark, **{**star, "order_items": few})).collect()
     assert len(rows) == 1 and rows[0].units == 30
     assert rows[0].net_revenue > Decimal(2 ** 63) / 10 ** 6
+
+
+RAW = ("id bigint, InvoiceNo string, StockCode string, Description string, Quantity int, InvoiceDate timestamp_ntz, UnitPrice decimal(10,4), "
+       "CustomerID string, Country string")
+
+
+def _raw_rows(n=400):
+    """Lines of 60 invoices over 5 months; an invoice's lines are spread over the file."""
+    at = datetime.datetime
+    return [(i, f"{i * 7 % 60}", f"s{i % 9}", [" mug ", "BAG", None, "lunch bag", "odd"][i * 3 % 5], i % 4 + 1, at(2011, i * 7 % 60 % 5 + 1, 3, 9, i % 60),
+             Decimal(i % 11 + 1) / 4, f"c{i * 7 % 60 % 13}", [None, "UK", "FR"][i % 3]) for i in range(1, n + 1)]
+
+
+def _tables_of(spark, rows):
+    return Tables.from_star(spark, raw=spark.createDataFrame(rows, RAW))
+
+
+def _contents(spark, root):
+    t = jobs.load_star_schema(spark, root)
+    frames = {"orders": t.orders(with_country=True), "order_items": t.order_items(), "products": t.products(), "customers": t.customers().drop("created_at")}
+    return {k: sorted(map(str, (tuple(r[c] for c in sorted(df.columns)) for r in df.collect()))) for k, df in frames.items()}
+
+
+def test_two_appends_equal_one_load_of_both(spark, scratch):
+    rows = _raw_rows()
+    jobs.build_star_schema(_tables_of(spark, rows), f"{scratch}/one", buckets=4)
+    for n, part in enumerate((rows[:150], rows[150:170], rows[170:])):
+        for _ in range(2 if n == 1 else 1):  # a load that is sent again is not loaded again
+            jobs.build_star_schema(_tables_of(spark, part), f"{scratch}/more", mode="append", buckets=4, load_id=f"day-{n}")
+    one, more = _contents(spark, f"{scratch}/one"), _contents(spark, f"{scratch}/more")
+    assert one == more and len(one["order_items"]) == 400 and len(one["orders"]) == 60
+    t = jobs.load_star_schema(spark, f"{scratch}/more")
+    assert t.order_items().agg(F.count_distinct("item_id"), F.min("item_id"), F.max("item_id")).first()[:] == (400, 1, 400)
+    whole = _tables_of(spark, rows)
+    assert sorted(map(str, map(tuple, scores.rfm_scores(t).collect()))) == sorted(map(str, map(tuple, scores.rfm_scores(
+        Tables.from_star(spark, orders=_from(whole, "orders"), order_items=_from(whole, "order_items"))).collect())))
+
+
+def _from(t, name):
+    from patronage.plans import cleaning
+    return cleaning.orders_dim(t) if name == "orders" else cleaning.order_items_clean(t)
+
+
+def test_an_unfinished_or_late_load_stores_nothing(spark, scratch, monkeypatch):
+    rows, root = _raw_rows(120), f"{scratch}/star"
+    jobs.build_star_schema(_tables_of(spark, rows[:60]), root, buckets=4, load_id="a")
+    before = _contents(spark, root)
+    from patronage.operators import manifest
+
+    def crash(self, number, content):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(manifest.Manifests, "commit", crash)
+        with pytest.raises(RuntimeError):
+            jobs.build_star_schema(_tables_of(spark, rows[60:]), root, mode="append", load_id="b")
+    assert _contents(spark, root) == before
+    real = manifest.Manifests.commit
+
+    def raced(self, number, content):
+        real(self, number, {**content, "loads": content["loads"][:-1] + [{"id": "other", "folder": content["loads"][0]["folder"]}]})
+        real(self, number, content)
+
+    with monkeypatch.context() as m:
+        m.setattr(manifest.Manifests, "commit", raced)
+        with pytest.raises(Conflict):
+            jobs.build_star_schema(_tables_of(spark, rows[60:]), f"{scratch}/raced", load_id="b")
+    jobs.build_star_schema(_tables_of(spark, rows[60:]), root, mode="append", load_id="b")
+    jobs.build_star_schema(_tables_of(spark, rows), f"{scratch}/one", buckets=4)
+    assert _contents(spark, root) == _contents(spark, f"{scratch}/one")
+    jobs.build_star_schema(_tables_of(spark, rows[:10]), root, mode="overwrite", buckets=8)
+    assert len(_contents(spark, root)["order_items"]) == 10
+
+
+def test_replaced_scores_are_read_back(spark, scratch):
+    root = f"{scratch}/star"
+    jobs.build_star_schema(_tables_of(spark, _raw_rows(120)), root, buckets=4)
+    for mode in ("replace", "upsert", "replace"):
+        jobs.persist_scores(jobs.load_star_schema(spark, root), root, mode)
+        t = jobs.load_star_schema(spark, root)
+        assert t.stored("rfm_scores").count() == 13 and t.stored("clv_scores") is not None
+    assert KeyedTable(spark, f"{root}/rfm_scores").version == 3
+    some = t.stored("rfm_scores").limit(2)
+    KeyedTable(spark, f"{root}/rfm_scores").replace(some, ["customer_id"])
+    assert jobs.load_star_schema(spark, root).stored("rfm_scores").count() == 2
+
+
+def _plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_meet_their_invoices_without_a_shuffle(spark, scratch):
+    root = f"{scratch}/star"
+    for n in range(2):
+        jobs.build_star_schema(_tables_of(spark, _raw_rows()[200 * n:200 * n + 200]), root, mode="append", buckets=4)
+    t = jobs.load_star_schema(spark, root)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = _plan(t.completed_orders().join(t.order_items(), "invoice_no"))
+        sums = _plan(t.completed_orders().join(scores.invoice_totals(t), "invoice_no"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for plan in (joined, sums):
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and plan.count("Bucketed: true") >= 2, plan
+
+
+def _lines_read(df):
+    """Files that the scan of the lines has read."""
+    df.collect()
+    todo, files = [df._jdf.queryExecution().executedPlan()], 0
+    while todo:
+        node = todo.pop()
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif node.getClass().getSimpleName().endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif "FileSourceScan" in node.getClass().getSimpleName() and "line_total" in node.toString():
+            files += node.metrics().apply("numFiles").value()
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return files
+
+
+def test_a_period_reads_its_months_only(spark, scratch):
+    from patronage.plans import serving
+    root = f"{scratch}/star"
+    jobs.build_star_schema(_tables_of(spark, _raw_rows()), root, buckets=4)
+    t = jobs.load_star_schema(spark, root)
+    for query in (serving.monthly_revenue, serving.order_details):
+        part = query(t.between("2011-02-01", "2011-03-15"))
+        assert "dynamicpruning" in part._jdf.queryExecution().executedPlan().toString().lower()
+        assert {r["year_month"] for r in part.collect()} == {"2011-02", "2011-03"}
+        every, few = _lines_read(query(t)), _lines_read(query(t.between("2011-02-01", "2011-03-15")))
+        assert 0 < few <= every * 2 / 5, (query.__name__, every, few)
+    whole = {r["year_month"]: r for r in serving.monthly_revenue(t).collect()}
+    february = serving.monthly_revenue(t.between("2011-02-01", "2011-03-01")).collect()
+    assert len(february) == 1 and february[0]["gross_revenue"] == whole["2011-02"]["gross_revenue"]
+    late = t.restrict_orders(lambda o: o.where("customer_id = 'c1' and month(invoice_date) = 4"))
+    assert {r["year_month"] for r in serving.monthly_revenue(late).collect()} <= {"2011-04"}
