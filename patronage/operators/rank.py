@@ -3,17 +3,18 @@
 A window with ``ORDER BY`` and no ``PARTITION BY`` runs on one task. Two
 distributed forms replace it, at every size:
 
-* :func:`order_statistics` finds the rows at a few given ranks. Only a slim
-  frame (metric, value, key) is range-partitioned, all metrics in one shuffle;
-  the row counts of its partitions (one number each) tell which partition
-  holds a rank, and only those few partitions are numbered.
+* :func:`order_statistics` finds the rows at a few given ranks by selection:
+  a mergeable quantile sketch brackets each rank between two values, a count
+  says which ranks the bracket holds, and so on inside it; where one value fills the bracket,
+  the key is narrowed in the same way. Nothing is sorted or shuffled but
+  sketches and counts; a few rows per rank reach the driver.
 * :func:`add_tiles` turns the rows at the tile borders into literals, so that a
   tile is a comparison with at most k - 1 cut keys, evaluated where the row is.
 * :func:`number_rows` gives every row its rank (surrogate ids): the sorted
   partitions are materialised once and each one's rows start after those before it.
 
-All orders end in a unique key, so a value that a third of all rows share still
-spreads over partitions. The input is materialised once in the shared
+All orders end in a unique key, so a value that a third of all rows share is
+split by it. The input is materialised once in the shared
 checkpoint folder; building such a query therefore runs Spark jobs.
 """
 
@@ -24,7 +25,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import ByteType, DataType, DecimalType, DoubleType, FloatType, IntegerType, ShortType, StringType
 
 from patronage.session import ensure_checkpoint_dir
 
@@ -56,47 +57,130 @@ def _sort_key(df: DataFrame, metric: Metric, key: str) -> list[Column]:
             (value if floating else F.lit(None)).cast("double").alias("floating"), F.col(key).alias("key")]
 
 
-SORT = ["out", "exact", "floating", "key"]
+FEW = 500         # rows of a bracket that are read to the driver
+ACCURACY = 10_000  # of the sketches: they are off by n / ACCURACY ranks at most
+KEY_BYTES = 6      # of a text key that one projection holds (exact in a double)
+
+
+class _Selection:
+    """The rows among which a rank is still to be found: a condition, how many
+    they are, and the rank among them."""
+
+    def __init__(self, name: str, rank: int, inside: Column, n: int):
+        self.name, self.rank, self.inside, self.n = name, rank, inside, n
+        self.left = rank   # rank among the rows inside
+        self.level = 0     # projections that all rows inside agree on
+        self.value = 0.0   # of the last of these
+
+
+def _projections(df: DataFrame, metric: Metric, key: str) -> list[Callable[[float], Column]]:
+    """Doubles that order rows as the sort key does, one after another; each
+    is given the value of the one before, on which the rows agree."""
+    value, kind = F.col(metric.value), df.schema[metric.value].dataType
+    low = F.lit(float("-inf"))
+    out = [lambda _: F.coalesce(F.nanvl(value.cast("double"), F.lit(float("inf"))), low)]  # NaN is last
+    if isinstance(kind, (FloatType, DoubleType)):
+        out += [lambda _: value.isNotNull().cast("double"), lambda _: F.coalesce(F.isnan(value), F.lit(False)).cast("double")]
+    elif not _exact_in_double(kind):  # numbers that are one double differ by little
+        exact = value.cast("decimal(38,6)")
+        out.append(lambda same: F.coalesce((exact - F.lit(same).cast("decimal(38,6)")).cast("double"), low) if abs(same) < 1e31 else F.lit(0.0))
+    k = F.col(key)
+    if isinstance(df.schema[key].dataType, StringType):
+        longest = df.agg(F.max(F.octet_length(k))).first()[0] or 0
+        for at in range(0, longest, KEY_BYTES):
+            part = F.rpad(F.hex(F.substring(k.cast("binary"), at + 1, KEY_BYTES)), 2 * KEY_BYTES, "0")
+            out.append(lambda _, part=part: F.coalesce(F.conv(part, 16, 10).cast("double"), low))
+        out.append(lambda _: F.coalesce(F.octet_length(k).cast("double"), low))
+    else:
+        whole = k.cast("decimal(38,0)")
+        out.append(lambda _: F.coalesce(k.cast("double"), low))
+        out.append(lambda same: F.coalesce((whole - F.lit(same).cast("decimal(38,0)")).cast("double"), low) if abs(same) < 1e31 else F.lit(0.0))
+    return out
+
+
+def _exact_in_double(kind: DataType) -> bool:
+    return isinstance(kind, (ByteType, ShortType, IntegerType)) or isinstance(kind, DecimalType) and kind.precision <= 15
+
+
+def _narrow(df: DataFrame, todo: list[_Selection], projections: dict[str, list[Callable[[float], Column]]]) -> None:
+    """One round: bracket every rank, count, and keep the rows that hold it."""
+    def x(s: _Selection) -> Column:
+        return projections[s.name][s.level](s.value)
+
+    # ranks of one metric that are sought among the same rows share a sketch
+    shared: dict[tuple, list[_Selection]] = {}
+    for s in todo:
+        shared.setdefault((s.name, s.level, id(s.inside)), []).append(s)
+    sketches = []
+    for i, group in enumerate(shared.values()):
+        at = []
+        for s in group:
+            slack = 2 * s.n / ACCURACY + 1
+            at += [max(0.0, (s.left - slack) / s.n), min(1.0, (s.left + slack) / s.n)]
+        sketches.append(F.percentile_approx(F.when(group[0].inside, x(group[0])), at, ACCURACY).alias(f"s{i}"))
+    found = df.agg(*sketches).first()
+    brackets = [(s, *found[f"s{i}"][2 * j:2 * j + 2]) for i, group in enumerate(shared.values()) for j, s in enumerate(group)]
+    counts = []
+    for i, (s, low, high) in enumerate(brackets):
+        v = x(s)
+        counts += [F.count_if(s.inside & c).alias(f"{name}{i}") for name, c in (
+            ("below", v < low), ("low", v == low), ("between", (v > low) & (v < high)), ("high", (v == high) & (v > low)))]
+    row = df.agg(*counts).first()
+    for i, (s, low, high) in enumerate(brackets):
+        v = x(s)
+        shares = [(row[f"below{i}"], v < low, None), (row[f"low{i}"], v == low, low), (row[f"between{i}"], (v > low) & (v < high), None),
+                  (row[f"high{i}"], (v == high) & (v > low), high)]
+        shares.append((s.n - sum(n for n, _, _ in shares), v > high, None))
+        for n, condition, same in shares:  # in order: the rank is in one of them
+            if s.left <= n:
+                s.inside, s.n = s.inside & condition, n
+                if same is not None:
+                    s.level, s.value = s.level + 1, same
+                break
+            s.left -= n
+
+
+def _order_of(row) -> tuple:
+    """A sort key as Spark orders it: NULL first, NaN last."""
+    def number(v):
+        return (0, 0) if v is None else (2, 0) if v != v else (1, v)
+    return number(row["exact"]), number(row["floating"]), (0, b"") if row["key"] is None else (
+        1, row["key"].encode() if isinstance(row["key"], str) else row["key"])
 
 
 def order_statistics(df: DataFrame, metrics: Mapping[str, Metric], key: str,
                      ranks: Callable[[str, int], Sequence[int]]) -> tuple[dict[str, dict[int, tuple]], dict[str, int]]:
     """The sort keys at some ranks of each metric.
 
-    ``df`` must be materialised (it is read twice); ``key`` is unique.
-    ``ranks(name, n)`` gives the 1-based ranks wanted among the n rows that
+    ``df`` must be materialised (it is read a few times); ``key`` (text or a whole number) is
+    unique. ``ranks(name, n)`` gives the 1-based ranks wanted among the n rows that
     the metric ranks; ranks outside 1..n are left out. Returns
-    ``{name: {rank: sort key}}`` and ``{name: n}``. The driver holds one count
-    per partition and the rows asked for.
+    ``{name: {rank: sort key}}`` and ``{name: n}``. The driver gets a sketch's
+    and a count's few numbers a round, and ``FEW`` rows per rank at most.
     """
-    names = list(metrics)
-    totals = df.agg(F.count(F.lit(1)).alias("all"), *[
-        F.count_if(F.col(m.only) if m.only else F.lit(True)).alias(f"n_{i}") for i, m in enumerate(metrics.values())]).first()
-    sizes = {name: totals[f"n_{i}"] for i, name in enumerate(names)}
-    slim = df.select(F.inline(F.array(*[
-        F.struct(F.lit(i).alias("metric"), *_sort_key(df, metrics[name], key)) for i, name in enumerate(names)])))
-    ranged = checkpointed(slim.repartitionByRange("metric", *SORT).withColumn("part", F.spark_partition_id()))
-    wanted: dict[tuple[int, int], tuple[str, int]] = {}
-    starts, at = [], 0
-    for row in sorted(ranged.groupBy("part").count().collect()):
-        starts.append((row["part"], at, at + row["count"]))
-        at += row["count"]
-    for i, name in enumerate(names):
-        for rank in ranks(name, sizes[name]):
-            if 1 <= rank <= sizes[name]:
-                place = i * totals["all"] + rank
-                part, low = next((p, lo) for p, lo, hi in starts if place <= hi)
-                wanted[part, place - low] = (name, rank)
-    found: dict[str, dict[int, tuple]] = {name: {} for name in names}
+    conditions = {name: F.coalesce(F.col(m.only), F.lit(False)) if m.only else F.lit(True) for name, m in metrics.items()}
+    totals = df.agg(*[F.count_if(c).alias(f"n_{i}") for i, c in enumerate(conditions.values())]).first()
+    sizes = {name: totals[f"n_{i}"] for i, name in enumerate(metrics)}
+    wanted = [_Selection(name, r, conditions[name], n) for name, n in sizes.items() for r in sorted(set(ranks(name, n))) if 1 <= r <= n]
+    projections: dict[str, list[Callable[[float], Column]]] = {}
+    while todo := [s for s in wanted if s.n > FEW]:
+        for s in todo:
+            if s.name not in projections:
+                projections[s.name] = _projections(df, metrics[s.name], key)
+            if s.level >= len(projections[s.name]):
+                raise ValueError(f"{key} isn't unique")
+        _narrow(df, todo, projections)
+    found: dict[str, dict[int, tuple]] = {name: {} for name in metrics}
     if wanted:
-        numbered = (ranged.where(F.col("part").isin(sorted({p for p, _ in wanted})))
-                    .withColumn("nth", F.row_number().over(Window.partitionBy("part").orderBy("metric", *SORT))))
-        hit = F.lit(False)
-        for part, nth in wanted:
-            hit = hit | ((F.col("part") == part) & (F.col("nth") == nth))
-        for r in numbered.where(hit).collect():
-            name, rank = wanted[r["part"], r["nth"]]
-            found[name][rank] = tuple(r[c] for c in SORT)
+        rows = df.select(F.inline(F.filter(F.array(*[
+            F.when(s.inside, F.struct(F.lit(i).alias("nth"), *_sort_key(df, metrics[s.name], key))) for i, s in enumerate(wanted)]),
+            lambda r: r.isNotNull()))).collect()
+        inside: dict[int, list] = {}
+        for r in rows:
+            inside.setdefault(r["nth"], []).append(r)
+        for i, s in enumerate(wanted):
+            row = sorted(inside[i], key=_order_of)[s.left - 1]
+            found[s.name][s.rank] = (row["out"], row["exact"], row["floating"], row["key"])
     return found, sizes
 
 

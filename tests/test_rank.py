@@ -7,8 +7,9 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from patronage.operators.rank import (Metric, add_tiles, checkpointed, ntile_border, number_rows, qcut_bin,
-                                      qcut_border, quantiles)
+from patronage.operators import rank
+from patronage.operators.rank import (Metric, add_tiles, checkpointed, ntile_border, number_rows, order_statistics,
+                                      qcut_bin, qcut_border, quantiles)
 from patronage.plans.oracle import qcut_bins
 
 
@@ -84,3 +85,60 @@ def test_number_rows(spark):
     for partitions in (1, 7, 3000):  # more partitions than five digits' worth would be no different: they are numbers
         got = number_rows(df, [F.col("tied"), F.col("id")], "n", partitions=partitions).orderBy("n").collect()
         assert [(r["tied"], r["id"]) for r in got] == sorted((i % 3, i) for i in ids) and [r["n"] for r in got] == list(range(1, 2001))
+
+
+def _sorted_keys(df, metric, key):
+    rows = df.where(metric.only).collect() if metric.only else df.collect()
+    def order(r):
+        v = r[metric.value]
+        return ((0, 0) if v is None else (2, 0) if v != v else (1, v)), r[key].encode() if isinstance(r[key], str) else r[key]
+    return [(r[metric.value], r[key]) for r in sorted(rows, key=order)]
+
+
+def _odd_frame(spark, n=4000):
+    """One hot value, NULLs, NaN and infinities, decimals that are one double, keys that are prefixes of others."""
+    return spark.range(n).select(
+        F.concat(F.lit("key-of-customer-"), F.when(F.col("id") % 2 == 0, F.col("id").cast("string")).otherwise(F.concat(F.col("id").cast("string"), F.lit("\0é")))).alias("key"),
+        (F.col("id") * 0x123456789 % 0x3fffffffffff - 0x1fffffffffff).alias("number"),
+        F.when(F.col("id") % 3 != 0, F.lit(5)).otherwise(F.lit(9)).alias("hot"),
+        F.when(F.col("id") % 5 == 0, F.lit(None)).when(F.col("id") % 5 == 1, F.lit(float("nan"))).when(F.col("id") % 5 == 2, F.lit(float("-inf")))
+        .otherwise(F.sin("id")).alias("odd"),
+        (F.lit("12345678901234567890.000001").cast("decimal(38,6)") + F.col("id").cast("decimal(38,6)") / 1000000).cast("decimal(38,6)").alias("close"),
+        (F.col("id") % 4 != 0).alias("some"))
+
+
+@pytest.mark.parametrize("few", [1, 20, 500])
+@pytest.mark.parametrize("key", ["key", "number"])
+def test_selection_equals_sorting(spark, monkeypatch, few, key):
+    monkeypatch.setattr(rank, "FEW", few)
+    monkeypatch.setattr(rank, "ACCURACY", 100)
+    df = checkpointed(_odd_frame(spark))
+    metrics = {c: Metric(c) for c in ("hot", "odd", "close")} | {"part": Metric("hot", only="some")}
+    wanted = [1, 2, 777, 1333, 1334, 2000, 2667, 2999, 3000, 3999, 4000, 4001, 0]
+    found, sizes = order_statistics(df, metrics, key, lambda name, n: wanted)
+    assert sizes == {"hot": 4000, "odd": 4000, "close": 4000, "part": 3000}
+    for name, metric in metrics.items():
+        want = _sorted_keys(df, metric, key)
+        assert set(found[name]) == {r for r in wanted if 1 <= r <= len(want)}
+        for r, (out, exact, floating, at) in found[name].items():
+            value = exact if exact is not None else floating
+            assert not out and str(at) == str(want[r - 1][1]) and (value == want[r - 1][0] or value != value)
+
+
+def test_selection_moves_no_rows(spark, monkeypatch):
+    """Every frame that is read is the table itself or an aggregate without keys."""
+    from pyspark.sql import DataFrame
+    df, plans = checkpointed(_odd_frame(spark)), []
+    for name in ("first", "collect"):
+        real = getattr(type(df), name)
+        monkeypatch.setattr(type(df), name, lambda self, real=real: plans.append(self._jdf.queryExecution().executedPlan().toString()) or real(self))
+    order_statistics(df, {"hot": Metric("hot"), "close": Metric("close")}, "key", lambda name, n: [n // 5 * j for j in range(1, 5)])
+    assert plans and isinstance(df, DataFrame)
+    for plan in plans:
+        assert "hashpartitioning" not in plan and "rangepartitioning" not in plan and "Sort" not in plan, plan
+
+
+def test_a_repeated_key_is_an_error(spark):
+    df = checkpointed(spark.createDataFrame([("a", 1)] * 1000, "key string, v int"))
+    with pytest.raises(ValueError, match="unique"):
+        order_statistics(df, {"v": Metric("v")}, "key", lambda name, n: [500])
