@@ -36,7 +36,7 @@ LEAST = 10             # occurrences of a candidate
 LONGEST = 3            # words
 COVERED = 50           # per cent of a phrase's occurrences that lie in one longer phrase
 SCALE = 1_000_000
-BLOCK_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 19
 _BREAKS = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d\x09", b"\n" * 10 + b" ")
 WORDS = pa.schema([("block", pa.int64()), ("data", pa.binary()), ("code", pa.int32()), ("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
 PHRASES = pa.schema([("block", pa.int64()), ("data", pa.binary()), ("code", pa.int32()), ("left", pa.int64()), ("right", pa.int64()), ("n", pa.int64())])
@@ -176,16 +176,22 @@ def _stored(df: DataFrame, folders: list[str], name: str) -> DataFrame:
 
 def _frequent(rows: DataFrame, key: list[str], least: int) -> DataFrame:
     """Group and count: of a block's phrases (block, code, key, n) those whose
-    group has at least ``least`` occurrences, with f (these) and id (the smallest block
-    and code of the group, one number). Packed rows pass through.
+    group has at least ``least`` occurrences, with id (the smallest block and code of
+    the group, one number). The row of this block and code, the group's first, has f
+    (the occurrences) and the key too. Packed rows pass through, and rows without a code with f.
 
     One shuffle by the key does both the counting and the semi-join. A group has one
     row for each block that holds it."""
     own = F.shiftleft("block", CODE_BITS).bitwiseOR(F.col("code").cast("long"))
     alike = Window.partitionBy(*key, "apart")
-    grouped = (rows.select("*", own.alias("own"), F.when(F.col("data").isNotNull(), F.col("block")).alias("apart"))
-               .select("*", F.sum("n").over(alike).alias("f"), F.min("own").over(alike).alias("id")))
-    return grouped.where((F.col("f") >= least) | F.col("code").isNull()).drop("n", "apart")
+    # no more is shuffled than the key and one number that holds block and code
+    slim = rows.select("data", *key, "n", own.alias("own"), F.when(F.col("data").isNotNull(), F.col("block")).alias("apart"))
+    grouped = slim.select("*", F.sum("n").over(alike).alias("f"), F.min("own").over(alike).alias("id"))
+    shown = F.col("own").isNull() | (F.col("own") == F.col("id"))
+    return grouped.where((F.col("f") >= least) | F.col("own").isNull()).select(
+        F.coalesce("apart", F.shiftright("own", CODE_BITS)).alias("block"), "data",
+        F.col("own").bitwiseAND((1 << CODE_BITS) - 1).cast("int").alias("code"), "id",
+        *[F.when(shown, F.col(c)).alias(c) for c in (*key, "f")])
 
 
 def ratio(a: Column, left: Column, right: Column, scale: int = SCALE) -> Column:
@@ -201,7 +207,7 @@ def phrases(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
     word), f, left, right (ids of its first and last k - 1 words), heads, tails (counts of
     its first and last 1, 2, ... words). ``folders`` collects the scratch folders used."""
     counted = _stored(_frequent(_first_pass(docs, text_col, lang_col, block_words), ["word", "lang"], least), folders, "collocations-1")
-    first = F.col("id") == F.col("own")  # one row of a group
+    first = F.col("id").isNotNull() & F.col("f").isNotNull()  # one row of a group
     words = counted.where(first).select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f",
                                         F.array("f").alias("heads"), F.array("f").alias("tails"))
     sizes = counted.where("code is null and data is null").groupBy("lang").agg(F.max("f").alias("n"))
