@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,16 +46,23 @@ MASTER_SCHEMA = T.StructType([
 ])
 
 
+#: Quotes are doubled inside quoted fields, as other writers and readers of CSV do it.
+QUOTING = {"quote": '"', "escape": '"'}
+SPLITS = 200_000  # input splits up to which their counts are broadcast
+
+
 def read_raw_csv(spark: SparkSession, path: str, timestamp_format: str = "M/d/yyyy H:mm",
-                 encoding: str = "ISO-8859-1", normalize_keys: bool = False) -> DataFrame:
+                 encoding: str = "ISO-8859-1", normalize_keys: bool = False, multi_line: bool = False) -> DataFrame:
     """S-01: raw invoice-line CSV with an explicit schema. Codes stay strings;
     unparseable timestamps become NULL instead of failing the job, and a row
     with a bad number keeps its text in ``_corrupt_record`` (NULL for good rows),
-    so that it can be told from a row whose number is missing.
+    so that it can be told from a row whose number is missing. Quotes inside a quoted
+    field are doubled, a backslash is itself. Fields that hold line ends need
+    ``multi_line``, with which a file is read by one task.
     ``normalize_keys`` trims and upper-cases StockCode (case-insensitive keys)."""
     schema = T.StructType([*RAW_CSV_SCHEMA.fields, T.StructField("_corrupt_record", T.StringType())])
     df = (spark.read.schema(schema).option("header", True).option("columnNameOfCorruptRecord", "_corrupt_record")
-          .option("encoding", encoding).option("mode", "PERMISSIVE").csv(path))
+          .option("encoding", encoding).option("mode", "PERMISSIVE").option("multiLine", multi_line).options(**QUOTING).csv(path))
     ts = F.try_to_timestamp(F.col("InvoiceDate"), F.lit(timestamp_format)).cast("timestamp_ntz")
     df = df.withColumn("InvoiceDate", ts)
     if normalize_keys:
@@ -72,12 +79,23 @@ def with_file_order(df: DataFrame) -> DataFrame:
 
 
 def stage_raw(df: DataFrame) -> DataFrame:
-    """S-02: consecutive surrogate ``id`` from 1 in file order (a distributed
-    exact rank over ``_seq``; the input is materialised first, so the
-    nondeterministic split ids are fixed once)."""
-    if "_seq" not in df.columns:
-        df = with_file_order(df)
-    return number_rows(checkpointed(df), [F.col("_seq")], "id").select("id", *[c for c in df.columns if c != "_seq"])
+    """S-02: consecutive surrogate ``id`` from 1.
+
+    Rows as read from files are numbered where they are, in file order (path,
+    split offset, place in the split): the rows of each input split are counted, a
+    running sum over the splits (one number each) gives the ids before a split, and a
+    row adds its place in it. No row is shuffled, and a task that runs again gives
+    its rows the same ids. Rows with a ``_seq`` are numbered in its order."""
+    if "_seq" in df.columns:
+        return number_rows(checkpointed(df), [F.col("_seq")], "id").select("id", *[c for c in df.columns if c != "_seq"])
+    placed = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+                       F.monotonically_increasing_id().alias("_at"))
+    splits = checkpointed(placed.groupBy("_file", "_block").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_rows")))
+    earlier = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)  # one row per split
+    starts = splits.select("_file", "_block", (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_start"))
+    if splits.count() <= SPLITS:
+        starts = F.broadcast(starts)
+    return placed.join(starts, ["_file", "_block"]).select((F.col("_at") + F.col("_start")).alias("id"), *df.columns)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
@@ -97,12 +115,12 @@ def export_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None,
     out = df.select(*columns) if columns else df
     if single_file:
         out = out.coalesce(1)
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").option("header", True).options(**QUOTING, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path)
 
 
 def read_master_csv(spark: SparkSession, path: str) -> DataFrame:
     """S-04: the customer master export, read back with its explicit schema."""
-    return spark.read.schema(MASTER_SCHEMA).option("header", True).csv(path)
+    return spark.read.schema(MASTER_SCHEMA).option("header", True).options(**QUOTING).csv(path)
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, *, partition_column: str | None = None,

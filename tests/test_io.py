@@ -52,3 +52,52 @@ def test_bad_numbers_are_kept_apart_from_missing_ones(spark, scratch):
     rows = {r.InvoiceNo: r for r in read_raw_csv(spark, path).collect()}
     assert rows["1"]._corrupt_record is None and rows["3"]._corrupt_record is None and rows["3"].Quantity is None
     assert rows["2"].Quantity is None and "six" in rows["2"]._corrupt_record
+
+
+HEADER = ["InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice", "CustomerID", "Country"]
+ODD = ['SAY ""HI"", x', 'a "quoted" word', "back\\slash", 'ends in backslash\\', "comma, and 'more'", '"', '\\"', " spaced "]
+
+
+def test_quoted_text_survives_pandas_both_ways(spark, scratch):
+    import pandas as pd
+    frame = pd.DataFrame([(str(i), "s", d, i, "12/1/2010 8:26", 2.55, "17850", "United Kingdom") for i, d in enumerate(ODD)], columns=HEADER)
+    frame.to_csv(f"{scratch}/in.csv", index=False, encoding="ISO-8859-1")
+    df = read_raw_csv(spark, f"{scratch}/in.csv")
+    rows = sorted(df.collect(), key=lambda r: r.Quantity)
+    assert [r.Description for r in rows] == ODD and all(r._corrupt_record is None and r.CustomerID == "17850" for r in rows)
+    export_csv(df.select("Quantity", "Description", "Country"), f"{scratch}/out", single_file=True)
+    part = next(f"{scratch}/out/{f}" for f in os.listdir(f"{scratch}/out") if f.endswith(".csv"))
+    back = pd.read_csv(part).sort_values("Quantity")
+    assert back["Description"].tolist() == ODD and set(back["Country"]) == {"United Kingdom"}
+
+
+def test_line_ends_in_quotes(spark, scratch):
+    import pandas as pd
+    texts = ["two\nlines", 'a "b"\r\n,c', "plain"]
+    pd.DataFrame([(str(i), "s", d, i, "12/1/2010 8:26", 2.55, "c", "UK") for i, d in enumerate(texts)], columns=HEADER).to_csv(f"{scratch}/in.csv", index=False)
+    rows = read_raw_csv(spark, f"{scratch}/in.csv", multi_line=True).orderBy("Quantity").collect()
+    assert [r.Description for r in rows] == texts and len(rows) == 3
+
+
+def test_ids_in_place_over_many_splits(spark, scratch):
+    want = []
+    for f in range(3):
+        with open(f"{scratch}/raw-{f}.csv", "w", encoding="ISO-8859-1") as out:
+            out.write(",".join(HEADER) + "\n")
+            for i in range(700 - 300 * f):
+                want.append(f"{f}-{i}")
+                out.write(f"{f}-{i},s,{'d' * (i % 37)},1,12/1/2010 8:26,1.00,c,UK\n")
+    open(f"{scratch}/raw-9.csv", "w").close()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        df = read_raw_csv(spark, f"{scratch}/raw-*.csv")
+        assert df.rdd.getNumPartitions() > 10
+        staged = stage_raw(df)
+        rows = staged.orderBy("id").collect()
+        plan = staged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r.id for r in rows] == list(range(1, len(want) + 1)) and [r.InvoiceNo for r in rows] == want
+    assert "rangepartitioning" not in plan and "hashpartitioning" not in plan and staged.columns == ["id", *df.columns]
+    assert stage_raw(read_raw_csv(spark, f"{scratch}/raw-9.csv")).count() == 0
