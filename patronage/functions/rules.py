@@ -1,8 +1,7 @@
 """Rule tables compiled into native CASE expressions.
 
-Each builder has a Column form (used by the Spark plans) and a SQL-text form
-(used by the DuckDB oracle), both rendered from the same table in
-``patronage.config`` so the two can never drift apart.
+Builders take their rules from the tables in ``patronage.config``. The DuckDB
+twins don't use them: they state the rules on their own.
 """
 
 from __future__ import annotations
@@ -133,14 +132,6 @@ def category_col(description: Column | str, rules=config.CATEGORY_RULES,
     return first_match([(description.rlike(pattern), label) for label, pattern in rules], fallback)
 
 
-def category_sql(description: str, rules=config.CATEGORY_RULES,
-                 fallback: str = config.FALLBACK_CATEGORY) -> str:
-    whens = " ".join(
-        f"WHEN regexp_matches({description}, {_sql_str(p)}) THEN {_sql_str(label)}"
-        for label, p in rules)
-    return f"CASE {whens} ELSE {_sql_str(fallback)} END"
-
-
 # ---------------------------------------------------------------------------
 # Lookups with a default
 # ---------------------------------------------------------------------------
@@ -167,13 +158,6 @@ def non_merch_col(stock_code: Column) -> Column:
     return cond
 
 
-def non_merch_sql(stock_code: str) -> str:
-    codes = ", ".join(_sql_str(c) for c in config.NON_MERCH_CODES)
-    prefixes = " OR ".join(f"starts_with({stock_code}, {_sql_str(p)})"
-                           for p in config.NON_MERCH_PREFIXES)
-    return f"({stock_code} IN ({codes}) OR {prefixes})"
-
-
 def roi_band_col(roi: Column | str) -> Column:
     if isinstance(roi, str):
         return F.expr(roi_band_sql(roi))

@@ -15,6 +15,7 @@ from patronage.sources.tables import RAW_ORDER
 # The twins share constants with the engine, never its operators or rule
 # compiler: tiles, quantiles, segments and fan-outs are DuckDB's own.
 
+# The two segment rule tables, first match wins.
 SQL_SEGMENT = """CASE
     WHEN r_score >= 4 AND f_score >= 4 AND m_score >= 4 THEN 'Champions'
     WHEN r_score >= 3 AND f_score >= 4 AND m_score >= 3 THEN 'Loyal Customers'

@@ -262,9 +262,3 @@ class Tables:
             .otherwise(F.col("o_custkey").cast("string")).alias("CustomerID"),
             F.col("country").alias("Country"),
             F.struct(*[F.col(c) for c in RAW_ORDER]).alias("_seq"))
-
-
-def seq_first(value: Column | str, seq: str = "_seq") -> Column:
-    """Value of the first row (by staging order) within a group."""
-    value = F.col(value) if isinstance(value, str) else value
-    return F.min_by(value, F.col(seq))
