@@ -135,8 +135,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 20, *, query_block: int = QUERY
     ``is_query``: condition for the rows that are queries. Returns query_id,
     rank (from 1), vec_id, score; ties go to the smaller vec_id. All others, if
     fewer than k. Rows with the query's own vec_id aren't its candidates; if a
-    vec_id has several rows, its best row counts, once. Vectors of another size
-    than the table's most common one raise an error. Scores must fit in 64 bits.
+    vec_id has several rows, its best row counts, once. Vectors of
+    different sizes raise an error. Scores must fit in 64 bits.
     An empty table gives no rows.
     """
     spark = vectors.sparkSession
