@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from patronage.functions.keys import normalize_key
 from patronage.operators.rank import checkpointed, number_rows
+from patronage.sources.csv_records import read_records
 
 RAW_CSV_SCHEMA = T.StructType([
     T.StructField("InvoiceNo", T.StringType()),
@@ -58,11 +59,17 @@ def read_raw_csv(spark: SparkSession, path: str, timestamp_format: str = "M/d/yy
     with a bad number keeps its text in ``_corrupt_record`` (NULL for good rows),
     so that it can be told from a row whose number is missing. Quotes inside a quoted
     field are doubled, a backslash is itself. Fields that hold line ends need
-    ``multi_line``, with which a file is read by one task.
+    ``multi_line``: files are still split, at the price of a first job that reads them all, and
+    the result has a further column ``_seq``, their order (:mod:`patronage.sources.csv_records`).
     ``normalize_keys`` trims and upper-cases StockCode (case-insensitive keys)."""
     schema = T.StructType([*RAW_CSV_SCHEMA.fields, T.StructField("_corrupt_record", T.StringType())])
-    df = (spark.read.schema(schema).option("header", True).option("columnNameOfCorruptRecord", "_corrupt_record")
-          .option("encoding", encoding).option("mode", "PERMISSIVE").option("multiLine", multi_line).options(**QUOTING).csv(path))
+    options = {**QUOTING, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    if multi_line:
+        # line ends inside a field stay as they are
+        fields = F.from_csv("record", schema.simpleString()[7:-1].replace(":", " "), {**options, "multiLine": "true"})
+        df = read_records(spark, path, encoding).select(fields.alias("_row"), "_seq").select("_row.*", "_seq")
+    else:
+        df = spark.read.schema(schema).options(header=True, encoding=encoding, **options).csv(path)
     ts = F.try_to_timestamp(F.col("InvoiceDate"), F.lit(timestamp_format)).cast("timestamp_ntz")
     df = df.withColumn("InvoiceDate", ts)
     if normalize_keys:
@@ -85,7 +92,16 @@ def stage_raw(df: DataFrame) -> DataFrame:
     split offset, place in the split): the rows of each input split are counted, a
     running sum over the splits (one number each) gives the ids before a split, and a
     row adds its place in it. No row is shuffled, and a task that runs again gives
-    its rows the same ids. Rows with a ``_seq`` are numbered in its order."""
+    its rows the same ids. Rows with a ``_seq`` are numbered in its order; without a shuffle, too,
+    if it holds places in splits, as that of CSV records does."""
+    if "_seq" in df.columns and df.schema["_seq"].dataType.names == ["file", "block", "place"]:
+        splits = checkpointed(df.groupBy("_seq.file", "_seq.block").agg((F.max("_seq.place") + 1).alias("_rows")))
+        earlier = Window.orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)  # one row per split
+        starts = splits.select(F.struct("file", "block").alias("_split"), (F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) + 1).alias("_start"))
+        if splits.count() <= SPLITS:
+            starts = F.broadcast(starts)
+        placed = df.withColumn("_split", F.struct("_seq.file", "_seq.block")).join(starts, "_split")
+        return placed.select((F.col("_start") + F.col("_seq.place")).alias("id"), *[c for c in df.columns if c != "_seq"])
     if "_seq" in df.columns:
         return number_rows(checkpointed(df), [F.col("_seq")], "id").select("id", *[c for c in df.columns if c != "_seq"])
     placed = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
