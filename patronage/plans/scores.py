@@ -137,7 +137,12 @@ def rfm_scores(t: Tables) -> DataFrame:
     Ties break on ascending customer_id. The stored table, if there is one."""
     if t.stored("rfm_scores") is not None:
         return t.stored("rfm_scores").select(*RFM_COLUMNS)
-    tiled = add_tiles(rfm_base(t), "customer_id", _rfm_tiles())
+    return rfm_of(rfm_base(t))
+
+
+def rfm_of(base: DataFrame) -> DataFrame:
+    """RFM scores from recency_days, frequency and monetary per customer."""
+    tiled = add_tiles(base, "customer_id", _rfm_tiles())
     return _segment_and_sum(tiled.select("*", _recency_score()), config.SQL_SEGMENT_RULES).select(*RFM_COLUMNS)
 
 
@@ -192,7 +197,16 @@ def clv_scores(t: Tables) -> DataFrame:
     tiers. The stored table, if there is one."""
     if t.stored("clv_scores") is not None:
         return t.stored("clv_scores").select(*CLV_COLUMNS)
-    tiled = add_tiles(clv_values(t), "customer_id", {"_c": (Metric("clv_12m"), config.CLV_TILES)})
+    return _clv_tiers(clv_values(t))
+
+
+def clv_of(base: DataFrame) -> DataFrame:
+    """CLV scores from per-customer inputs (those of :func:`clv_base`)."""
+    return _clv_tiers(base.select("customer_id", *_clv_columns()))
+
+
+def _clv_tiers(values: DataFrame) -> DataFrame:
+    tiled = add_tiles(values, "customer_id", {"_c": (Metric("clv_12m"), config.CLV_TILES)})
     return tiled.select(*CLV_VALUE_COLUMNS, _tier("_c").alias("clv_segment"))
 
 
@@ -367,14 +381,13 @@ def score_upsert(t: Tables) -> DataFrame:
     upsert: scores over the full history, for the customers active after the
     midpoint; the others keep their old row."""
     from patronage.operators.upsert import upsert
+    from patronage.plans import state
 
+    # the fact is read once: partials up to the midpoint, and after it; both add up to the full history
     cut = F.broadcast(_midpoint_cutoff(t))  # one row
-
-    def before(o: DataFrame) -> DataFrame:
-        return o.crossJoin(cut).where(F.to_date("invoice_date") <= F.col("_cutoff")).drop("_cutoff")
-
-    later = t.completed_orders().crossJoin(cut).where(F.to_date("invoice_date") > F.col("_cutoff"))
-    active = later.select("customer_id").distinct()
-    old = rfm_scores(t.restrict_orders(before))
-    new = rfm_scores(t).join(active, "customer_id", "left_semi")
+    invoices = state.invoice_state(t, clv=False).crossJoin(cut)
+    parts = checkpointed(state.partials(invoices, F.to_date("invoice_date") > F.col("_cutoff")))
+    active = parts.where("period").select("customer_id")
+    old = rfm_of(state.rfm_base(parts.where("NOT period")))
+    new = rfm_of(state.rfm_base(parts)).join(active, "customer_id", "left_semi")
     return upsert(old, new, ["customer_id"])
