@@ -142,7 +142,10 @@ def rfm_scores(t: Tables) -> DataFrame:
 
 def rfm_of(base: DataFrame) -> DataFrame:
     """RFM scores from recency_days, frequency and monetary per customer."""
-    tiled = add_tiles(base, "customer_id", _rfm_tiles())
+    return _rfm_segments(add_tiles(base, "customer_id", _rfm_tiles()))
+
+
+def _rfm_segments(tiled: DataFrame) -> DataFrame:
     return _segment_and_sum(tiled.select("*", _recency_score()), config.SQL_SEGMENT_RULES).select(*RFM_COLUMNS)
 
 
@@ -383,11 +386,17 @@ def score_upsert(t: Tables) -> DataFrame:
     from patronage.operators.upsert import upsert
     from patronage.plans import state
 
-    # the fact is read once: partials up to the midpoint, and after it; both add up to the full history
+    # the fact is read once: partials up to the midpoint, and after it; both add up to the full
+    # history, so one row per customer holds both states, and one selection finds the borders of both
     cut = F.broadcast(_midpoint_cutoff(t))  # one row
     invoices = state.invoice_state(t, clv=False).crossJoin(cut)
-    parts = checkpointed(state.partials(invoices, F.to_date("invoice_date") > F.col("_cutoff")))
-    active = parts.where("period").select("customer_id")
-    old = rfm_of(state.rfm_base(parts.where("NOT period")))
-    new = rfm_of(state.rfm_base(parts)).join(active, "customer_id", "left_semi")
-    return upsert(old, new, ["customer_id"])
+    parts = state.partials(invoices, F.to_date("invoice_date") > F.col("_cutoff"))
+    tiled = checkpointed(add_tiles(state.rfm_base_of_two(checkpointed(parts)), "customer_id", {
+        f"{era}{tile}": (Metric(era + metric.value, only), k) for era, only in (("new_", None), ("old_", "old"))
+        for tile, (metric, k) in _rfm_tiles().items()}))
+
+    def scored(era: str, rows: str) -> DataFrame:
+        own = [F.col(f"{era}{c}").alias(c) for c in ("recency_days", "frequency", "monetary", *_rfm_tiles())]
+        return _rfm_segments(tiled.where(rows).select("customer_id", *own))
+
+    return upsert(scored("old_", "old"), scored("new_", "active"), ["customer_id"])

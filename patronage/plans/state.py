@@ -77,6 +77,28 @@ def rfm_base(parts: DataFrame) -> DataFrame:
                     F.col("orders").cast("int").alias("frequency"), F.col("monetary").cast("decimal(18,2)").alias("monetary")))
 
 
+def rfm_base_of_two(parts: DataFrame) -> DataFrame:
+    """RFM inputs of two states in one row per customer, from partials whose ``period``
+    says whether they came later: ``old_*`` without those, for the rows that are ``old``, and ``new_*``
+    with them. ``active``: the customer has later orders."""
+    def snapshot(rows: Column, name: str) -> Column:
+        return F.date_add(F.to_date(F.max(F.when(rows, F.col("last_seen")))), 1).alias(name)
+
+    early, late = ~F.col("period"), F.col("period")
+    snap = parts.agg(snapshot(early, "_old_snapshot"), snapshot(F.lit(True), "_new_snapshot"))  # one row
+    both = parts.groupBy("customer_id").agg(
+        *[agg for era, rows in (("old_", early), ("new_", F.lit(True))) for agg in (
+            F.coalesce(F.sum(F.when(rows, F.col("orders"))), F.lit(0)).alias(f"{era}orders"),
+            F.max(F.when(rows, F.col("last_date"))).alias(f"{era}last"),
+            F.sum(F.when(rows, F.col("monetary"))).cast("decimal(18,2)").alias(f"{era}monetary"))],
+        F.coalesce(F.bool_or(late), F.lit(False)).alias("active"))
+    return both.where("new_orders > 0").crossJoin(F.broadcast(snap)).select(
+        "customer_id", "active", (F.col("old_orders") > 0).alias("old"),
+        *[c for era in ("old_", "new_") for c in (
+            F.datediff(f"_{era}snapshot", f"{era}last").cast("int").alias(f"{era}recency_days"),
+            F.col(f"{era}orders").cast("int").alias(f"{era}frequency"), F.col(f"{era}monetary"))])
+
+
 def clv_base(parts: DataFrame) -> DataFrame:
     """CLV inputs per customer with orders of lines that have a margin."""
     days = F.datediff(F.max("last_seen"), F.min("first_seen"))
