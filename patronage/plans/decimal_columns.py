@@ -37,6 +37,7 @@ DECIMAL_COLUMNS = {'analysis_footer': [],
                      'churn_rate',
                      'clv_12m',
                      'clv_36m'],
+ 'customer_reach': ['gross_revenue'],
  'customers_dim': [],
  'dataset_span_months': [],
  'monthly_kpi': ['gross_revenue', 'net_revenue', 'total_profit'],
@@ -94,6 +95,7 @@ TEMPORAL_COLUMNS = {'analysis_footer': [],
  'country_revenue_line_grain': [],
  'customer_clv_master': ['first_purchase_date', 'last_purchase_date'],
  'customer_master': ['first_purchase_date', 'last_purchase_date'],
+ 'customer_reach': [],
  'customers_dim': ['first_purchase_date', 'last_purchase_date'],
  'dataset_span_months': [],
  'monthly_kpi': [],

@@ -32,12 +32,17 @@ def _month_start(col: str = "invoice_date") -> Column:
 
 def monthly_net_revenue(t: Tables) -> DataFrame:
     """Q-10n: margin-adjusted revenue per month, AOV and month-over-month %."""
-    inv = scores.invoice_margin_totals(t, config.DEFAULT_MARGIN)
-    monthly = (_completed_invoices(t).join(inv, "invoice_no")
-               .groupBy(_month_start().alias("order_date"))
-               .agg(F.sum("inv_margin").alias("net"),
-                    F.count(F.lit(1)).alias("order_count"),
-                    F.count_distinct("customer_id").alias("customers")))
+    if t.rollup is None:
+        inv = scores.invoice_margin_totals(t, config.DEFAULT_MARGIN)
+        monthly = (_completed_invoices(t).join(inv, "invoice_no")
+                   .groupBy(_month_start().alias("order_date"))
+                   .agg(F.sum("inv_margin").alias("net"),
+                        F.count(F.lit(1)).alias("order_count"),
+                        F.count_distinct("customer_id").alias("customers")))
+    else:
+        monthly = t.rollup.groups("all", ["year_month"]).select(
+            F.to_date("year_month", "yyyy-MM").cast("timestamp_ntz").alias("order_date"), F.col("net_default").alias("net"),
+            F.col("orders").alias("order_count"), "customers")
     # one row per month: bounded single-partition window
     prev = F.lag("net").over(Window.orderBy("order_date")).cast("double")
     net = F.col("net").cast("double")

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patronage.operators.keyed_table import KeyedTable
-from patronage.plans import cleaning, scores
+from patronage.plans import cleaning, rollup, scores
 from patronage.sources.star import StarStore
 from patronage.sources.tables import Tables
 
 SCORES = ("rfm_scores", "clv_scores")
+ROLLUP = "revenue_rollup"
 BUCKETS = 16  # of invoices; about as many as the lines have GB, at least the cluster's cores
 
 
@@ -87,16 +88,28 @@ def _paths(store: StarStore, manifest: dict, load: str) -> dict[str, str]:
 
 def load_star_schema(spark, root: str, **options) -> Tables:
     """The tables that :func:`build_star_schema` stored, and the newest stored
-    scores if :func:`persist_scores` wrote them under the same root. Facts are
+    scores and rollup if :func:`persist_scores` and :func:`persist_rollup` wrote them under the same root. Facts are
     scans of invoice buckets: lines are summed per invoice and join their headers without a shuffle."""
     store = StarStore(spark, root)
     stored = {name: KeyedTable(spark, f"{store.root}/{name}") for name in SCORES}
+    place = f"{store.root}/{ROLLUP}"
+    if rollup.facts_of(spark, place) == store.manifest()[0]:  # one of earlier loads is left unread
+        options = {"rollup": rollup.read(spark, place), **options}
     return Tables.from_star(
         spark, orders=store.fact("orders"), order_items=store.fact("order_items"), products=store.table("products"),
         customers=store.table("customers"), margins=store.table("category_margin_assumptions"),
         **{name: table.read() for name, table in stored.items() if table.version}, **options)
 
 
+def persist_rollup(spark, root: str) -> str:
+    """Sum up the loaded star schema by month, country and category, for the reports
+    that read these sums. After another load it isn't read until it is made anew. Returns its root."""
+    number = StarStore(spark, root).manifest()[0]
+    place = f"{root.rstrip('/')}/{ROLLUP}"
+    rollup.write(rollup.build(load_star_schema(spark, root)), place, facts=number)
+    return place
+
+
 def _stamped(df: DataFrame) -> DataFrame:
     return df.withColumn("updated_at", F.current_timestamp())
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from patronage.plans import campaign, cleaning, explore, scores, serving
+from patronage.plans import campaign, cleaning, explore, rollup, scores, serving
 from patronage.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
@@ -62,5 +62,6 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "segment_counts": campaign.segment_counts,
     "analysis_footer": campaign.analysis_footer,
     "score_upsert": scores.score_upsert,
+    "customer_reach": rollup.customer_reach,
     "customer_clv_master": scores.customer_clv_master,
 }

@@ -92,15 +92,23 @@ def _month_of(col: str = "invoice_date"):
 
 def monthly_revenue(t: Tables) -> DataFrame:
     """Q-10: gross revenue trend by month with month-over-month growth."""
+    return _revenue_trend(_months_of_lines(t) if t.rollup is None else t.rollup.groups("all", ["year_month"]).select(
+        "year_month", F.col("orders").alias("order_count"), F.col("customers").alias("unique_customers"), "gross", "price_sum", "lines"))
+
+
+def _months_of_lines(t: Tables) -> DataFrame:
     inv = t.order_items().groupBy("invoice_no").agg(
         sum_money("line_total").alias("inv_total"), sum_money("unit_price").alias("price_sum"),
         F.count(F.lit(1)).alias("lines"))
-    monthly = (t.completed_orders().join(inv, "invoice_no")
-               .groupBy(_month_of().alias("year_month"))
-               .agg(F.count(F.lit(1)).alias("order_count"),
-                    F.count_distinct("customer_id").alias("unique_customers"),
-                    F.sum("inv_total").alias("gross"),
-                    F.sum("price_sum").alias("price_sum"), F.sum("lines").alias("lines")))
+    return (t.completed_orders().join(inv, "invoice_no")
+            .groupBy(_month_of().alias("year_month"))
+            .agg(F.count(F.lit(1)).alias("order_count"),
+                 F.count_distinct("customer_id").alias("unique_customers"),
+                 F.sum("inv_total").alias("gross"),
+                 F.sum("price_sum").alias("price_sum"), F.sum("lines").alias("lines")))
+
+
+def _revenue_trend(monthly: DataFrame) -> DataFrame:
     # one row per month: a single-partition window over a bounded input
     prev = F.lag("gross").over(Window.orderBy("year_month"))
     growth = F.try_divide((F.col("gross") - prev).cast("double"),
@@ -115,16 +123,9 @@ def monthly_revenue(t: Tables) -> DataFrame:
 
 def category_revenue(t: Tables) -> DataFrame:
     """Q-11: revenue by product category (completed orders, 4-way star)."""
-    per_invoice = (scores.line_margins(t)
-                   .groupBy("invoice_no", "category", "gross_margin_pct")
-                   .agg(sum_money("line_total").alias("lt"), F.sum("quantity").alias("qty"),
-                        sum_money("unit_price").alias("price_sum"), F.count(F.lit(1)).alias("lines")))
-    done = t.completed_orders().select("invoice_no")
-    agg = (per_invoice.join(done, "invoice_no")
-           .groupBy("category", "gross_margin_pct")
-           .agg(F.count(F.lit(1)).alias("order_count"), F.sum("qty").alias("units_sold"),
-                F.sum("lt").alias("gross"), F.sum("price_sum").alias("price_sum"),
-                F.sum("lines").alias("lines")))
+    agg = _categories_of_lines(t) if t.rollup is None else (
+        t.rollup.sums("category", ["category"]).join(t.margins().select("category", "gross_margin_pct"), "category")
+        .withColumnsRenamed({"orders": "order_count", "units": "units_sold"}))
     return agg.select(
         "category", F.col("gross_margin_pct").alias("blended_margin_pct"), "order_count",
         F.col("units_sold").cast("bigint").alias("units_sold"),
@@ -133,6 +134,19 @@ def category_revenue(t: Tables) -> DataFrame:
         round_half_up(F.col("price_sum").cast("double") / F.col("lines"), 2).alias("avg_unit_price"))
 
 
+def _categories_of_lines(t: Tables) -> DataFrame:
+    per_invoice = (scores.line_margins(t)
+                   .groupBy("invoice_no", "category", "gross_margin_pct")
+                   .agg(sum_money("line_total").alias("lt"), F.sum("quantity").alias("qty"),
+                        sum_money("unit_price").alias("price_sum"), F.count(F.lit(1)).alias("lines")))
+    done = t.completed_orders().select("invoice_no")
+    return (per_invoice.join(done, "invoice_no")
+            .groupBy("category", "gross_margin_pct")
+            .agg(F.count(F.lit(1)).alias("order_count"), F.sum("qty").alias("units_sold"),
+                 F.sum("lt").alias("gross"), F.sum("price_sum").alias("price_sum"),
+                 F.sum("lines").alias("lines")))
+
+
 def _country_revenue(t: Tables, line_grain: bool) -> DataFrame:
     """Per country: customers, share, gross revenue and CLV totals.
 
@@ -281,12 +295,15 @@ def order_details(t: Tables) -> DataFrame:
 
 def monthly_kpi(t: Tables) -> DataFrame:
     """Q-18 (view ``vw_monthly_kpi``): monthly gross and margin-adjusted revenue."""
-    inv = scores.invoice_margin_totals(t)
-    monthly = (t.completed_orders().join(inv, "invoice_no")
-               .groupBy(_month_of().alias("year_month"))
-               .agg(F.count(F.lit(1)).alias("total_orders"),
-                    F.count_distinct("customer_id").alias("unique_customers"),
-                    F.sum("inv_total").alias("gross"), F.sum("inv_margin").alias("net")))
+    if t.rollup is None:
+        inv = scores.invoice_margin_totals(t)
+        monthly = (t.completed_orders().join(inv, "invoice_no")
+                   .groupBy(_month_of().alias("year_month"))
+                   .agg(F.count(F.lit(1)).alias("total_orders"),
+                        F.count_distinct("customer_id").alias("unique_customers"),
+                        F.sum("inv_total").alias("gross"), F.sum("inv_margin").alias("net")))
+    else:
+        monthly = t.rollup.groups("matched", ["year_month"]).withColumnsRenamed({"orders": "total_orders", "customers": "unique_customers"})
     return monthly.select(
         "year_month", "total_orders", "unique_customers",
         round_money(F.col("gross")).alias("gross_revenue"),

@@ -97,13 +97,14 @@ class Tables:
                   order_items: DataFrame | None = None,
                   products: DataFrame | None = None, customers: DataFrame | None = None,
                   margins: DataFrame | None = None, raw: DataFrame | None = None,
-                  rfm_scores: DataFrame | None = None, clv_scores: DataFrame | None = None,
+                  rfm_scores: DataFrame | None = None, clv_scores: DataFrame | None = None, rollup=None,
                   category_rules=config.CATEGORY_RULES) -> "Tables":
         """Tables of a star schema. With stored score tables, views and BI
-        queries read them instead of scoring the fact again."""
+        queries read them instead of scoring the fact again; with a stored rollup
+        (:mod:`patronage.plans.rollup`) the monthly and category reports read that."""
         star = {"orders": orders, "order_items": order_items, "products": products,
                 "customers": customers, "margins": margins, "raw": raw,
-                "rfm_scores": rfm_scores, "clv_scores": clv_scores}
+                "rfm_scores": rfm_scores, "clv_scores": clv_scores, "rollup": rollup}
         return cls(spark, None, category_rules=category_rules, star=star)
 
     def source(self, name: str) -> DataFrame:
@@ -121,6 +122,11 @@ class Tables:
         :meth:`from_star`; None if the scores are to be computed."""
         return None if self._order_filter else self._star.get(name)
 
+    @property
+    def rollup(self):
+        """The stored rollup given to :meth:`from_star`; None for restricted orders."""
+        return None if self._order_filter else self._star.get("rollup")
+
     # -- logical tables ----------------------------------------------------
     def margins(self) -> DataFrame:
         """category, gross_margin_pct, notes: a small table, broadcast in joins.
