@@ -11,9 +11,11 @@ enumerated and looked up in that table, and the members of matching values are
 compared by their whole distance.
 
 Equal fingerprints are one node from the start. Neither the ball nor the
-lookup depends on how many members a value has. The members of a value are
-dealt into blocks of bounded size, and pairs of blocks are compared in tasks
-that return a spanning forest of the links they find, never all pairs.
+lookup depends on how many members a value has. Members of a value that many
+fingerprints share are indexed once more by their other bits, so work follows near
+pairs and not the square of such a value. Members are dealt into blocks of bounded size, and
+pairs of blocks are compared in tasks that return a spanning forest of the links
+they find, never all pairs.
 """
 
 from __future__ import annotations
@@ -103,9 +105,62 @@ def _balls(width: int, radius: int) -> list[int]:
     return [sum(1 << b if b < 63 else -1 << 63 for b in bits) for n in range(radius + 1) for bits in itertools.combinations(range(width), n)]
 
 
+def _tables(width: int, max_bits: int) -> list[list[tuple[int, int]]]:
+    """Keys for members that share one segment: the other ``width`` bits are cut into
+    max_bits + 2 parts, and a table's key leaves out max_bits of them, so whoever
+    differs in at most max_bits of these bits agrees on the key of some table.
+    Each table is a list of parts (shift, bits)."""
+    parts = max_bits + 2
+    edges = [width * i // parts for i in range(parts + 1)]
+    cuts = [(a, b - a) for a, b in zip(edges, edges[1:], strict=False)]
+    return [list(kept) for kept in itertools.combinations(cuts, parts - max_bits)]
+
+
+def _members_of_tables(members: DataFrame, values: DataFrame, segments: int, max_bits: int) -> DataFrame:
+    """seg, value, part (table), key, fp: the members of ``values``, once in each table."""
+    width = BITS // segments
+    rotated = F.col("fp")  # the segment that they share goes to the lowest bits, the others above it
+    for s in range(1, segments):
+        turned = F.shiftrightunsigned("fp", s * width).bitwiseOR(F.shiftleft("fp", BITS - s * width))
+        rotated = F.when(F.col("seg") == s, turned).otherwise(rotated)
+    keys = []
+    for i, table in enumerate(_tables(BITS - width, max_bits)):
+        key = F.lit(0).cast("long")
+        for shift, bits in table:
+            part = F.shiftrightunsigned("rest", width + shift).bitwiseAND(F.lit((1 << bits) - 1))
+            key = F.shiftleft(key, bits).bitwiseOR(part)
+        keys.append(F.struct(F.lit(i).alias("part"), key.alias("key")))
+    return (members.join(values, ["seg", "value"]).withColumn("rest", rotated)
+            .select("seg", "value", "fp", F.explode(F.array(*keys)).alias("t")).select("seg", "value", "t.part", "t.key", "fp"))
+
+
+def _blocks(keyed: DataFrame, pairs: DataFrame, block: int) -> DataFrame:
+    """left, right: the blocks of fingerprints to be compared. ``keyed``: seg,
+    value, part, key, fp; ``pairs``: seg, value, other (values whose members may be near)."""
+    where = ["seg", "value", "part", "key"]
+    sizes = checkpointed(keyed.groupBy(*where).agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"), F.count(F.lit(1)).alias("n")))
+    others = sizes.select("seg", F.col("value").alias("other"), "part", "key", F.col("blocks").alias("blocks_b"))
+    met = checkpointed(pairs.join(sizes, ["seg", "value"]).join(others, ["seg", "other", "part", "key"])
+                       .where("other <> value or n > 1").select(*where, "other", "blocks", "blocks_b"))
+    tasks = (met.withColumn("a", F.explode(F.expr("sequence(0, blocks - 1)")))
+             .withColumn("b", F.explode(F.expr("sequence(if(value = other, a, 0L), blocks_b - 1)")))
+             .select(*where, "a", "other", "b"))
+    wanted = (met.select(*where, "blocks").unionAll(met.select("seg", F.col("other").alias("value"), "part", "key", F.col("blocks_b").alias("blocks")))
+              .distinct())
+    held = checkpointed(keyed.join(wanted, where).withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")))
+                        .groupBy(*where, "block").agg(F.collect_list("fp").alias("fps")))
+    left = held.select(*where, F.col("block").alias("a"), F.col("fps").alias("left"))
+    right = held.select("seg", F.col("value").alias("other"), "part", "key", F.col("block").alias("b"), F.col("fps").alias("right"))
+    return tasks.join(left, [*where, "a"]).join(right, ["seg", "other", "part", "key", "b"]).select("left", "right")
+
+
 def links(nodes: DataFrame, *, max_bits: int = MAX_BITS, segments: int = SEGMENTS, block: int = BLOCK) -> DataFrame:
     """Links u, v between distinct fingerprints (column fp, bigint) that
-    connect exactly what pairs within ``max_bits`` connect."""
+    connect exactly what pairs within ``max_bits`` connect.
+
+    Values of more than ``block`` members are indexed once more: members of two such
+    values may still differ in max_bits of their other bits, and are only
+    compared where they agree on the key of a table of these bits."""
     if BITS % segments:
         raise ValueError("segments must divide 64")
     width, radius = BITS // segments, max_bits // segments
@@ -113,26 +168,27 @@ def links(nodes: DataFrame, *, max_bits: int = MAX_BITS, segments: int = SEGMENT
     cut = [F.struct(F.lit(s).alias("seg"), F.shiftrightunsigned("fp", s * width).bitwiseAND(F.lit(mask)).alias("value"))
            if width < 64 else F.struct(F.lit(0).alias("seg"), F.col("fp").alias("value")) for s in range(segments)]
     members = nodes.select("fp", F.explode(F.array(*cut)).alias("t")).select("t.seg", "t.value", "fp")
-    sizes = checkpointed(members.groupBy("seg", "value").agg(F.ceil(F.count(F.lit(1)) / block).alias("blocks"),
-                                                             F.count(F.lit(1)).alias("n")))
+    sizes = checkpointed(members.groupBy("seg", "value").agg(F.count(F.lit(1)).alias("n")))
     ball = F.array(*[F.lit(m) for m in _balls(width, radius)])
     near = F.filter(F.transform(ball, lambda m: F.col("value").bitwiseXOR(m)), lambda w: w >= F.col("value"))
-    probes = sizes.select("seg", "value", F.col("blocks").alias("blocks_a"), "n", F.explode(near).alias("other"))
-    found = (probes.join(sizes.select("seg", F.col("value").alias("other"), F.col("blocks").alias("blocks_b")), ["seg", "other"])
-             .where("other <> value or n > 1"))
-    found = checkpointed(found.select("seg", "value", "other", "blocks_a", "blocks_b"))
-    pairs = (found.withColumn("a", F.explode(F.expr("sequence(0, blocks_a - 1)")))
-             .withColumn("b", F.explode(F.expr("sequence(if(value = other, a, 0L), blocks_b - 1)")))
-             .select("seg", "value", "a", "other", "b"))
-    wanted = (found.select("seg", "value", F.col("blocks_a").alias("blocks"))
-              .unionAll(found.select("seg", F.col("other").alias("value"), F.col("blocks_b").alias("blocks"))).distinct())
-    held = (members.join(wanted, ["seg", "value"])
-            .withColumn("block", F.pmod(F.xxhash64("fp"), F.col("blocks")))
-            .groupBy("seg", "value", "block").agg(F.collect_list("fp").alias("fps")))
-    held = checkpointed(held)
-    left = held.select("seg", "value", F.col("block").alias("a"), F.col("fps").alias("left"))
-    right = held.select("seg", F.col("value").alias("other"), F.col("block").alias("b"), F.col("fps").alias("right"))
-    sides = pairs.join(left, ["seg", "value", "a"]).join(right, ["seg", "other", "b"]).select("left", "right")
+    probes = sizes.select("seg", "value", "n", F.explode(near).alias("other"))
+    found = checkpointed(probes.join(sizes.select("seg", F.col("value").alias("other"), F.col("n").alias("n_b")), ["seg", "other"])
+                         .where("other <> value or n > 1").select("seg", "value", "other", (F.greatest("n", "n_b") > block).alias("large")))
+    small, large = (found.where(c).select("seg", "value", "other") for c in ("not large", "large"))
+
+    def values(pairs: DataFrame) -> DataFrame:
+        return pairs.select("seg", "value").unionAll(pairs.select("seg", F.col("other").alias("value"))).distinct()
+
+    whole = members.join(values(small), ["seg", "value"])
+    lists = whole.groupBy("seg", "value").agg(F.collect_list("fp").alias("fps"))  # at most a block each
+    lists = checkpointed(lists)
+    sides = (small.join(lists.select("seg", "value", F.col("fps").alias("left")), ["seg", "value"])
+             .join(lists.select("seg", F.col("value").alias("other"), F.col("fps").alias("right")), ["seg", "other"]).select("left", "right"))
+    if width < 64 and not large.isEmpty():
+        sides = sides.unionAll(_blocks(_members_of_tables(members, values(large), segments, max_bits), large, block))
+    elif width == 64:
+        keyed = members.join(values(large), ["seg", "value"]).withColumn("part", F.lit(0)).withColumn("key", F.lit(0).cast("long"))
+        sides = sides.unionAll(_blocks(keyed, large, block))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

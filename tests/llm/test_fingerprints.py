@@ -3,8 +3,10 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from patronage.llm import fingerprints, simhash_dedup
 from patronage.llm.components import components
@@ -62,6 +64,33 @@ def test_links_connect_what_pairs_connect(spark, block, segments, bits):
     assert len(set(got)) == len(set(want)) and len(set(zip(got, want, strict=True))) == len(set(want))
 
 
+def test_work_of_one_hot_value_follows_near_pairs(spark):
+    """3,000 fingerprints of one lower half, a few of them near: what is compared
+    is a small part of all pairs, and all links are found."""
+    rng = random.Random(5)
+    low, fps = 0x1234abcd, set()
+    while len(fps) < 2900:
+        fps.add(rng.getrandbits(32) << 32 | low)
+    for x in list(fps)[:100]:
+        fps.add(x ^ 1 << rng.randrange(32, 64) ^ 1 << rng.randrange(32, 64) ^ 1 << rng.randrange(64))
+    fps = sorted(fps)
+    nodes = spark.createDataFrame([(signed(x),) for x in fps], "fp bigint")
+    members = nodes.select(F.lit(0).alias("seg"), F.lit(low).cast("long").alias("value"), "fp")
+    pairs = spark.createDataFrame([(0, low, low)], "seg int, value bigint, other bigint")
+    keyed = simhash_dedup._members_of_tables(members, pairs.select("seg", "value"), 2, 3)
+    compared = simhash_dedup._blocks(keyed, pairs, 64).agg(F.sum(F.size("left") * F.size("right"))).first()[0]
+    assert compared < len(fps) ** 2 / 50
+    for block in (64, 1024):
+        roots = {r["node"]: r["root"] for r in components(simhash_dedup.links(nodes, block=block)).collect()}
+        got = [roots.get(signed(x), signed(x)) for x in fps]
+        near = np.array(fps, np.uint64)
+        want = {frozenset(map(int, near[np.bitwise_count(near ^ x) <= 3])) for x in near}
+        label = dict(zip(fps, got, strict=True))
+        assert all(len({label[y] for y in group}) == 1 for group in want)
+        sizes = Counter(got)
+        assert sum(n > 1 for n in sizes.values()) >= 90 and max(sizes.values()) < 20
+
+
 def test_near_duplicates_of_edge_rows(edge_docs, edge_rows, no_docs):
     rows = simhash_dedup.near_duplicates(edge_docs).collect()
     assert len(rows) == len(edge_rows)
