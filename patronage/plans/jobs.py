@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patronage.operators.keyed_table import KeyedTable
+from patronage.operators.rank import checkpointed
 from patronage.plans import cleaning, rollup, scores
 from patronage.sources.star import StarStore
 from patronage.sources.tables import Tables
@@ -60,10 +61,11 @@ def build_star_schema(t: Tables, root: str, mode: str = "overwrite", buckets: in
     headers = cleaning.orders_from(lines)
     dates = headers.select("invoice_no", "invoice_date")
     if earlier:  # an invoice that is stored keeps its header, and its new lines its month
-        stored = store.fact("orders").select("invoice_no", F.col("invoice_date").alias("stored_date"))
+        stored = store.headers_of(dates).select("invoice_no", F.col("invoice_date").alias("stored_date"))
         dates = dates.join(stored, "invoice_no", "left").select("invoice_no", F.coalesce("stored_date", "invoice_date").alias("invoice_date"))
         headers = headers.join(stored, "invoice_no", "left_anti")
     schemas = {"orders": store.write_fact("orders", headers.select("*", _month("invoice_date")), load, buckets)}
+    store.write_index(load, buckets)
     items = (cleaning.order_items_from(lines).join(dates.select("invoice_no", _month("invoice_date")), "invoice_no")
              .withColumn("item_id", F.col("item_id") + first_item))
     schemas["order_items"] = store.write_fact("order_items", items, load, buckets)
@@ -75,7 +77,7 @@ def build_star_schema(t: Tables, root: str, mode: str = "overwrite", buckets: in
     tables = {"customers": store.write_table("customers", _customers(store.parts("customer_parts", folders))),
               "products": store.write_table("products", cleaning.products_of(products, t.category_rules)),
               "category_margin_assumptions": store.write_table("category_margin_assumptions", t.margins())}
-    new = {"loads": [*earlier, {"id": load_id or load, "folder": load}], "buckets": buckets, "items": first_item + lines.count(), "tables": tables,
+    new = {"loads": [*earlier, {"id": load_id or load, "folder": load, "indexed": True}], "buckets": buckets, "items": first_item + lines.count(), "tables": tables,
            "schemas": schemas}
     store.manifests.commit(number + 1, new)
     return _paths(store, new, load)
@@ -101,6 +103,45 @@ def load_star_schema(spark, root: str, **options) -> Tables:
         **{name: table.read() for name, table in stored.items() if table.version}, **options)
 
 
+def append_violations(spark, root: str, orders: DataFrame, order_items: DataFrame) -> DataFrame:
+    """V-04 on load: the rows of ready-made headers and lines that would break a constraint of
+    the star schema stored under ``root``, before they are appended.
+
+    Returns constraint_name, key (the offending key; NULL for a missing one) and n, its rows:
+    invoices that are stored already or come twice, lines without a stored or
+    new header, customers and products that aren't stored, and NULLs in columns that
+    have none. A NULL key is reported as NULL, not as a missing parent. Stored headers are met through
+    their index: files that can't hold a new invoice aren't read. No rows: the batch may be appended."""
+    store = StarStore(spark, root)
+
+    def counted(df: DataFrame, key: str) -> DataFrame:
+        return df.where(F.col(key).isNotNull()).groupBy(F.col(key).cast("string").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+
+    def named(df: DataFrame, name: str) -> DataFrame:
+        return df.select(F.lit(name).alias("constraint_name"), "key", "n")
+
+    headers, lines = checkpointed(counted(orders, "invoice_no")), checkpointed(counted(order_items, "invoice_no"))
+    asked = headers.select("key").union(lines.select("key")).distinct()
+    stored = checkpointed(store.headers_of(asked.select(F.col("key").alias("invoice_no"))).select(F.col("invoice_no").alias("key")).distinct())
+    again = headers.join(stored.withColumn("there", F.lit(True)), "key", "left").where("there OR n > 1")
+    parents = stored.union(headers.select("key"))
+    parts = [named(again, "orders.pk_invoice_no"), named(lines.join(parents, "key", "left_anti"), "order_items.fk_invoice_no")]
+    for rows, key, parent, name in ((orders, "customer_id", "customers", "orders.fk_customer_id"),
+                                    (order_items, "stock_code", "products", "order_items.fk_stock_code")):
+        known = store.table(parent).select(F.col(key).alias("key"))
+        parts.append(named(counted(rows, key).join(known, "key", "left_anti"), name))
+    for table, rows in (("orders", orders), ("order_items", order_items)):
+        columns = [c for c in cleaning.NOT_NULL[table] if c in rows.columns]
+        nulls = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+        parts.append(nulls.select(F.inline(F.array(*[
+            F.struct(F.lit(f"{table}.nn_{c}").alias("constraint_name"), F.lit(None).cast("string").alias("key"), F.col(c).alias("n"))
+            for c in columns]))).where("n > 0"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def persist_rollup(spark, root: str) -> str:
     """Sum up the loaded star schema by month, country and category, for the reports
     that read these sums. After another load it isn't read until it is made anew. Returns its root."""

@@ -8,7 +8,9 @@ catalog (a path alone doesn't tell them): :class:`StarStore` does it on reading.
 
 ``customers`` and ``products`` are small beside the lines and depend on all
 loads; each load stores additive parts, from which the tables of all loads are
-written anew. A load counts once the manifest names it; the manifest is the last thing
+written anew. Beside the orders lies an index of their invoices
+(:mod:`patronage.operators.key_index`), so a load meets the stored headers of its own invoices by
+reading the few files that may hold them. A load counts once the manifest names it; the manifest is the last thing
 written. Loads have an id: one that is there already isn't loaded again.
 """
 
@@ -22,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from patronage.operators import key_index
 from patronage.operators.manifest import Manifests, path_of
 
 FACTS = ("orders", "order_items")
@@ -70,6 +73,44 @@ class StarStore:
         self.spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
         return self.spark.table(table).where(F.col("load").isin(loads)).drop("load")
 
+    # -- stored invoices -------------------------------------------------------------
+    def write_index(self, load: str, buckets: int) -> None:
+        """Index the invoices of a load's headers, once they are written."""
+        place = f"{self.root}/orders/load={load}"
+        fs, p = path_of(self.spark, place)
+        if not any(s.isDirectory() for s in fs.listStatus(p)):  # a load without new headers has no file
+            return
+        stored = self.spark.read.parquet(place).select(
+            "invoice_no", F.substring_index(F.col("_metadata.file_path"), f"/load={load}/", -1).alias("file"))
+        self.write_parts("orders_index", key_index.build(stored, "invoice_no", buckets), load)
+
+    def order_files(self, invoices: DataFrame) -> list[str]:
+        """The files of committed headers that may hold some of ``invoices``
+        (column ``invoice_no``): at most as many as are stored."""
+        _, manifest = self.manifest()
+        keys = invoices.select(F.col("invoice_no").alias("key")).distinct()
+        files = []
+        for load in manifest["loads"]:
+            place = f"{self.root}/orders/load={load['folder']}"
+            fs, index = path_of(self.spark, f"{self.root}/orders_index/load={load['folder']}")
+            if fs.exists(index):
+                held = key_index.holders(self.spark.read.parquet(index.toString()), keys, manifest["buckets"])
+                files += [f"{place}/{r['file']}" for r in held.select("file").distinct().collect()]
+            elif not load.get("indexed"):  # stored before there were indexes
+                files.append(place)
+        return files
+
+    def headers_of(self, invoices: DataFrame) -> DataFrame:
+        """The committed headers of ``invoices`` (column ``invoice_no``, NULLs match
+        none), read from the files that may hold them only."""
+        _, manifest = self.manifest()
+        schema = StructType.fromJson(manifest["schemas"]["orders"])
+        files = self.order_files(invoices)
+        if not files:
+            return self.spark.createDataFrame([], schema)
+        keys = invoices.select("invoice_no").distinct()
+        return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(*files).join(keys, "invoice_no", "left_semi")
+
     # -- small tables ---------------------------------------------------------------
     def write_parts(self, name: str, rows: DataFrame, load: str) -> None:
         rows.write.parquet(f"{self.root}/{name}/load={load}")
