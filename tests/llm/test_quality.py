@@ -95,3 +95,50 @@ def test_an_id_counts_once_however_often_it_is_repeated(spark):
     once = quality.train(spark.createDataFrame(docs, SCHEMA), ls)
     often = quality.train(spark.createDataFrame(docs + docs[:50] * 40, SCHEMA), ls)
     assert (once.weights == often.weights).all() and once.cut == often.cut
+
+
+def test_all_labelled_rows_are_fitted(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SLICE", 16)  # many slices; the rarer label starts again within some
+    docs, labels = corpus(900)
+    docs = docs + [(i, None, "x", 0.5, "label") for i in range(900, 920)]
+    labels = labels + [(i, 1, 0) for i in range(900, 920)] + [(5000 + i, 0, 0) for i in range(30)]  # labels without documents
+    known = {i: q for i, q, _ in labels if zlib.crc32(str(i).encode()) % 5}
+    df, ls = spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+    hashes = {r["id"]: r["h"] for r in df.selectExpr("doc_id as id", "xxhash64(doc_id) as h").collect()}
+    ids = sorted((d[0] for d in docs if d[0] in known), key=lambda i: hashes[i] % 2**64 >> 54 << 64 | hashes[i] + 2**63)
+    text = {d[0]: d[1] for d in docs}
+    x, good = np.array([quality.features(text[i]) for i in ids]), np.array([known[i] == 1 for i in ids])
+    share = sum(q == 0 for q in known.values()) / len(known)
+    model, want = quality.train(df, ls), quality.fit(x, good, share)
+    assert np.allclose(model.mean, x.mean(axis=0)) and np.allclose(model.weights, want.weights, atol=1e-6) and abs(model.cut - want.cut) < 1e-5
+    for flip in (False, True):  # the rarer label may be either
+        one = quality.train(df, ls.selectExpr("doc_id", "1 - quality as quality") if flip else ls)
+        two = quality.fit(x, good ^ flip, 1 - share if flip else share)
+        assert np.allclose(one.weights, two.weights, atol=1e-6) and abs(one.cut - two.cut) < 1e-5
+
+
+def test_more_labels_than_a_bounded_sample_would_hold(spark):
+    """20,600 ids of label 1, of which only some past the first 10,000 by hash hold bars: a fit to the first ones can't see them."""
+    ids = spark.range(26_000).where(~quality.held_out(quality.F.col("id"))).selectExpr("id", "row_number() over (order by xxhash64(id)) as place")
+    docs = ids.selectExpr("id as doc_id", "if(id % 50 = 0, 'aa *** bb ***', if(place > 15000, 'aa | bb | cc', 'aa bb cc')) as text")
+    labels = ids.selectExpr("id as doc_id", "if(id % 50 = 0, 0, 1) as quality")
+    whole = quality.train(docs, labels)
+    bars = docs.where("text like '%|%'").count() / docs.count() * quality.features("aa | bb | cc")[quality.FEATURES.index("bars")]
+    assert bars > 0 and abs(whole.mean[quality.FEATURES.index("bars")] - bars) < 1e-12
+
+
+def test_the_cut_is_the_exact_quantile():
+    rng = np.random.default_rng(5)
+    for n in (2, 3, 10, 3000):
+        for spread in (1, 5, 1000):  # few or many equal strengths
+            s, good = rng.integers(0, spread, n) / 7, rng.random(n) < 0.8
+            good[:2] = False, True
+            order = np.lexsort((good, s))
+            for share in (quality.Fraction(1, 10), quality.Fraction(int((~good).sum()), n), quality.Fraction(9, 10)):
+                weight = [(1 - share) / int(good.sum()) if good[i] else share / int((~good).sum()) for i in order]
+                total = at = 0
+                while (total := total + weight[at]) < share:
+                    at += 1
+                at = min(at, n - 2)
+                got = quality._quantile(lambda edges: quality._slots(s, good, edges), int((~good).sum()), int(good.sum()), share)
+                assert got == (s[order[at]] + s[order[at + 1]]) / 2
