@@ -39,7 +39,7 @@ BATCH = 128
 RATE = 0.01
 CLIP = 1.0          # largest norm of a gradient
 SEGMENT = 128       # bytes
-SEGMENTS = 2048     # that advance together: about 40 MB
+SEGMENTS = 2048     # that advance together: about 10 MB
 BATCH_BYTES = 4 << 20
 
 
@@ -99,6 +99,38 @@ class Cell:
         return table, recurrent
 
 
+class Reader:
+    """:class:`Cell` for reading alone: keeps nothing for gradients. Each gate
+    has a plane of its own, so that all arithmetic runs over contiguous memory,
+    in buffers for up to ``rows`` texts that every step uses again. The halves
+    inside the gates' sigmoid are in their weights, which is exact."""
+
+    def __init__(self, cell: Cell, rows: int):
+        half = np.array([0.5, 0.5, 1], cell.table.dtype)[:, None, None]
+        self.tables = np.stack(np.split(cell.table, 3, axis=1)) * half
+        self.recurrent = np.stack(np.split(cell.recurrent, 3, axis=1)) * half
+        self.x, self.u = (np.empty((3, rows, cell.size), cell.table.dtype) for _ in range(2))
+
+    def step(self, codes: np.ndarray, h: np.ndarray) -> None:
+        """Replace each row's state in h by the next, after its byte in codes."""
+        x, u = self.x[:, :len(codes)], self.u[:, :len(codes)]
+        for table, plane in zip(self.tables, x, strict=True):
+            table.take(codes, axis=0, out=plane, mode="clip")  # the other mode copies the buffer
+        np.matmul(h, self.recurrent, out=u)
+        z, r, n = x
+        gates = x[:2]
+        gates += u[:2]
+        np.tanh(gates, out=gates)
+        gates += 1
+        gates *= 0.5
+        r *= u[2]
+        n += r
+        np.tanh(n, out=n)
+        h -= n
+        h *= z
+        h += n
+
+
 @dataclass
 class Network:
     """Languages and weights: a byte table and recurrent weights per direction,
@@ -150,15 +182,23 @@ class Network:
         counts = [int(c) for c in np.searchsorted(-lengths, -np.arange(codes.shape[0]), side="left")]
         out, bias = self.weights[4:]
         left, right = Cell(*self.weights[:2]), Cell(*self.weights[2:4])
-        s = left.size
-        logits = [h @ out[:s] + bias for _, h, _ in left.run(codes, counts)]
-        sums = np.zeros((codes.shape[1], len(self.languages)), np.float64)
-        h = np.zeros((codes.shape[1], s), right.table.dtype)
+        s, rows = left.size, codes.shape[1]
+        codes = codes.astype(np.intp)
+        reader, h, logits = Reader(left, rows), np.zeros((rows, s), left.table.dtype), []
+        for t, n in enumerate(counts):
+            reader.step(codes[t, :n], h[:n])
+            logits.append(h[:n] @ out[:s] + bias)
+        sums = np.zeros((len(self.languages), rows), np.float64)
+        reader, h = Reader(right, rows), np.zeros((rows, s), right.table.dtype)
         for t in range(len(counts) - 1, -1, -1):  # rows join at their last byte, with an empty state
             n = counts[t]
-            h[:n], _ = right.step(right.table[codes[t, :n]], h[:n])
-            sums[:n] += _softmax(logits[t] + h[:n] @ out[s:])
-        return sums
+            reader.step(codes[t, :n], h[:n])
+            p = np.ascontiguousarray((logits[t] + h[:n] @ out[s:]).T)  # by language: long sums over rows
+            p -= p.max(axis=0)
+            np.exp(p, out=p)
+            p /= p.sum(axis=0)
+            sums[:, :n] += p
+        return sums.T
 
     def document_probabilities(self, raws: Sequence[bytes]) -> np.ndarray:
         """Mean probabilities over all bytes of each text (empty: zeros)."""

@@ -1,6 +1,7 @@
 """The byte network: gradients, plain recurrence, held-out accuracy."""
 
 import random
+import time
 import zlib
 
 import numpy as np
@@ -63,6 +64,33 @@ def test_documents_equal_the_plain_recurrence(monkeypatch):
         assert p == pytest.approx(plain_probabilities(net, raw) if raw else np.zeros(3), abs=1e-12)
 
 
+def test_reading_costs_less_than_the_steps_of_a_fit():
+    net = Network.fresh(["x", "y", "z"], seed=2)
+    rng = np.random.default_rng(6)
+    lengths = np.sort(rng.integers(1, 65, 2048))[::-1]
+    codes = rng.integers(0, 256, (64, 2048)).astype(np.uint8)
+    counts = [int((lengths > t).sum()) for t in range(64)]
+    left, right = language.Cell(*net.weights[:2]), language.Cell(*net.weights[2:4])
+
+    def by_steps():
+        forward = [h for _, h, _ in left.run(codes, counts)]
+        sums, h = np.zeros((2048, 3)), np.zeros((2048, language.HIDDEN), np.float32)
+        for t in range(63, -1, -1):
+            n = counts[t]
+            h[:n], _ = right.step(right.table[codes[t, :n]], h[:n])
+            sums[:n] += language._softmax(np.concatenate([forward[t], h[:n]], axis=1) @ net.weights[4] + net.weights[5])
+        return sums
+
+    def cpu(run):
+        began = time.thread_time()
+        run()
+        return time.thread_time() - began
+
+    assert net.segment_sums(codes, lengths) == pytest.approx(by_steps(), rel=1e-5)
+    steps, reading = (min(cpu(f) for _ in range(9)) for f in (by_steps, lambda: net.segment_sums(codes, lengths)))
+    assert reading < 0.8 * steps
+
+
 SYLLABLES = {"aa": ["ba", "lo", "mi", "té"], "bb": ["krz", "ost", "ew", "ó"], "cc": ["ng", "hua", "xi", "qi"]}
 SCHEMA = "doc_id bigint, text string, lang string, lang_pred string, score double"
 
